@@ -192,8 +192,11 @@ FROM silver GROUP BY trip_month""",
     }
 
 
+from farebox.plans.oracle_more import more_sql  # noqa: E402
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
-    for part in (cleaning_sql, aggregate_sql):
+    for part in (cleaning_sql, aggregate_sql, more_sql):
         out.update(part())
     return out

@@ -113,8 +113,20 @@ def _aggregates() -> dict[str, Query]:
     }
 
 
+from farebox.plans.queries_more import (  # noqa: E402
+    documents_queries,
+    incremental_queries,
+    landing_queries,
+    quality_queries,
+    sink_queries,
+    snapshot_queries,
+    streaming_queries,
+)
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for part in (_cleaning, _aggregates):
+    for part in (_cleaning, _aggregates, quality_queries, incremental_queries, snapshot_queries,
+                 sink_queries, landing_queries, documents_queries, streaming_queries):
         out.update(part())
     return out

@@ -22,7 +22,7 @@ Rows of ``lineitem JOIN orders``; rows whose ``l_orderkey`` is a multiple of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.config import DateWindow
@@ -82,3 +82,94 @@ def trips_raw(spark: SparkSession, sf_dir: str, prune_for: DateWindow | None = N
 
 # The cleaning window used by every query over the driver tables.
 DRIVER_WINDOW = DateWindow("1997-01-01", "1997-06-01")
+
+
+# --- landing files derived from the driver tables ---------------------------
+
+LANDING_PARTITION = "_file"
+# Landing directories are written as ``<landing>/_file=yellow_tripdata_<YYYY-MM>.parquet``
+# (one Spark write per physical schema, partitioned by file name).
+DRIVER_LANDING_TEMPLATE = LANDING_PARTITION + "=yellow_tripdata_{month}.parquet"
+
+
+def trips_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trips plus the other TLC-style columns, in canonical types.
+
+    RatecodeID = l_linenumber, PULocationID = l_partkey, DOLocationID =
+    l_suppkey, payment_type = l_linenumber % 4 + 1, airport_fee = l_tax,
+    congestion_surcharge = l_discount (present in even months only), and a
+    sub-microsecond part ``_nanos`` = l_linenumber for the nanosecond files.
+    """
+    lineitem = table(spark, sf_dir, "lineitem")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    joined = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    copies = F.when(F.col("l_orderkey") % DUPLICATE_EVERY == 0, 2).otherwise(1)
+    pickup = F.col("o_orderdate") + F.make_dt_interval(
+        F.lit(0), (F.col("l_orderkey") % 24).cast("int"))
+    return joined.select(
+        F.col("l_suppkey").cast("bigint").alias("VendorID"),
+        F.nullif(F.col("l_quantity") - F.lit(1), F.lit(13.0)).alias("passenger_count"),
+        (F.col("l_extendedprice") - F.lit(2000)).alias("total_amount"),
+        pickup.alias("tpep_pickup_datetime"),
+        F.col("l_shipdate").alias("tpep_dropoff_datetime"),
+        F.col("l_quantity").alias("trip_distance"),
+        F.col("l_returnflag").alias("store_and_fwd_flag"),
+        F.col("l_linenumber").cast("double").alias("RatecodeID"),
+        F.col("l_partkey").alias("PULocationID"),
+        F.col("l_suppkey").alias("DOLocationID"),
+        ((F.col("l_linenumber") % 4) + 1).cast("bigint").alias("payment_type"),
+        F.col("l_tax").alias("airport_fee"),
+        F.col("l_discount").alias("congestion_surcharge"),
+        F.col("l_linenumber").cast("bigint").alias("_nanos"),
+        F.explode(F.sequence(F.lit(1), copies)).alias("_copy"),
+    ).drop("_copy")
+
+
+def _epoch_nanos(ts_col: str, extra: str) -> F.Column:
+    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{ts_col}`)")
+    return micros * F.lit(1000) + F.col(extra)
+
+
+def write_driver_landing(spark: SparkSession, sf_dir: str, landing: str) -> list[str]:
+    """Write every pickup month of the driver tables as drifting landing files.
+
+    Odd months ("schema A"): INT32 VendorID / location ids / payment type,
+    BIGINT passenger_count and RatecodeID, timestamps as INT64 nanoseconds
+    since the epoch, ``airport_fee``. Even months ("schema B"): canonical
+    widths, DOUBLE passenger_count, microsecond timestamps, ``Airport_fee``
+    and an extra ``congestion_surcharge``. Two Spark writes in total; each
+    is partitioned by the landing file name. Returns the months written.
+    """
+    rows = trips_landing(spark, sf_dir).withColumn(
+        "_ym", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
+    rows = rows.withColumn(
+        LANDING_PARTITION, F.concat(F.lit("yellow_tripdata_"), F.col("_ym"), F.lit(".parquet")))
+    odd = F.month("tpep_pickup_datetime") % 2 == 1
+    schema_a = rows.filter(odd).select(
+        F.col("VendorID").cast("int").alias("VendorID"),
+        F.col("passenger_count").cast("bigint").alias("passenger_count"),
+        "total_amount",
+        _epoch_nanos("tpep_pickup_datetime", "_nanos").alias("tpep_pickup_datetime"),
+        _epoch_nanos("tpep_dropoff_datetime", "_nanos").alias("tpep_dropoff_datetime"),
+        "trip_distance", "store_and_fwd_flag",
+        F.col("RatecodeID").cast("bigint").alias("RatecodeID"),
+        F.col("PULocationID").cast("int").alias("PULocationID"),
+        F.col("DOLocationID").cast("int").alias("DOLocationID"),
+        F.col("payment_type").cast("int").alias("payment_type"),
+        "airport_fee",
+        LANDING_PARTITION,
+    )
+    schema_b = rows.filter(~odd).select(
+        "VendorID", "passenger_count", "total_amount", "tpep_pickup_datetime",
+        "tpep_dropoff_datetime", "trip_distance", "store_and_fwd_flag", "RatecodeID",
+        "PULocationID", "DOLocationID", "payment_type",
+        F.col("airport_fee").alias("Airport_fee"), "congestion_surcharge", LANDING_PARTITION,
+    )
+    months: set[str] = set()
+    for i, part in enumerate((schema_a, schema_b)):
+        obs = Observation(f"landing_months_{i}")
+        observed = part.hint("rebalance", LANDING_PARTITION).observe(
+            obs, F.collect_set(F.regexp_extract(LANDING_PARTITION, r"(\d{4}-\d{2})", 1)).alias("m"))
+        observed.write.mode("append").partitionBy(LANDING_PARTITION).parquet(landing)
+        months.update(obs.get["m"] or [])
+    return sorted(months)
