@@ -23,7 +23,10 @@ from farebox.sources.landing import SOURCE_MONTH_PATTERN
 
 def landing_stream(spark: SparkSession, landing: str, schema: T.StructType,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).format("parquet")
+    # Month files are directories of part files; the month comes from the file
+    # path, so recurse instead of relying on key=value partition discovery.
+    reader = (spark.readStream.schema(schema).format("parquet")
+              .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.load(landing)
