@@ -293,3 +293,83 @@ def kpi_snapshot(silver: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> Data
     return per_month.withColumn("linhas", F.sum(TRIPS).over(Window.partitionBy())).orderBy(
         cols.month
     )
+
+
+def quantiles_exact(
+    df: DataFrame,
+    column: str | None = None,
+    probs: list[float] | None = None,
+    buckets: int = 256,
+) -> DataFrame:
+    """Exact continuous quantiles (linear interpolation between ranks), distributed.
+
+    ``percentile`` keeps every distinct value of a group in one buffer, and a
+    global sort would funnel ranks through one task. Instead:
+
+    1. one pass: row count and ``buckets - 1`` approximate cut points;
+    2. distinct values with their counts (partial aggregation, so a value
+       holding a third of all rows is one row), each tagged with its bucket
+       (``Bucketizer``: binary search, JVM side);
+    3. per-bucket counts (at most ``buckets`` rows) locate the bucket and the
+       offset of every target rank;
+    4. only the buckets holding target ranks are ranked, with a running sum
+       over (value, count) inside each bucket.
+
+    Returns one row ``p50, p90, ...`` (names as in ``quantiles_approx``).
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    column = column or DEFAULT_COLUMNS.amount
+    probs = probs or QUANTILE_PROBS
+    names = QUANTILE_NAMES if probs == QUANTILE_PROBS else [f"q{i}" for i in range(len(probs))]
+    values = df.select(F.col(column).cast("double").alias("v")).filter(
+        F.col("v").isNotNull() & ~F.isnan("v"))
+    cuts = [i / buckets for i in range(1, buckets)]
+    head = values.agg(F.count(F.lit(1)).alias("n"),
+                      F.percentile_approx("v", F.array(*[F.lit(c) for c in cuts]), 10000)
+                      .alias("b")).first()
+    n = int(head["n"])
+    if n == 0:
+        return df.limit(0).agg(*[F.lit(None).cast("double").alias(nm) for nm in names])
+    splits = [float("-inf"), *sorted(set(head["b"] or [])), float("inf")]
+    counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    tagged = Bucketizer(splits=splits, inputCol="v", outputCol="bucket").transform(counted)
+    per_bucket = sorted((int(r[0]), int(r[1])) for r in
+                        tagged.groupBy("bucket").agg(F.sum("c")).collect())
+    starts, acc = {}, 0
+    for b, c in per_bucket:
+        starts[b] = (acc, c)
+        acc += c
+
+    def locate(rank: int) -> tuple[int, int]:
+        for b, (start, c) in starts.items():
+            if start <= rank < start + c:
+                return b, rank - start
+        raise AssertionError("rank outside the data")
+
+    wanted = {}
+    for p in probs:
+        h = p * (n - 1)
+        for r in {int(h // 1), int(-(-h // 1))}:
+            wanted[r] = locate(r)
+    target_buckets = sorted({b for b, _ in wanted.values()})
+    w = Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (
+        tagged.filter(F.col("bucket").isin(target_buckets))
+        .withColumn("_end", F.sum("c").over(w))
+        .withColumn("_start", F.col("_end") - F.col("c"))
+    )
+    # <= 2 * len(probs) target rows: broadcast them (size proven by construction)
+    targets = df.sparkSession.createDataFrame(
+        [(r, float(b), off) for r, (b, off) in wanted.items()], "rank long, bucket double, off long")
+    picks = ranked.join(F.broadcast(targets), on="bucket").filter(
+        (F.col("_start") <= F.col("off")) & (F.col("off") < F.col("_end"))
+    ).select("rank", "v")
+    at = {r: F.max(F.when(F.col("rank") == r, F.col("v"))) for r in wanted}
+    out = []
+    for p, nm in zip(probs, names):
+        h = p * (n - 1)
+        lo, hi = int(h // 1), int(-(-h // 1))
+        frac = h - lo
+        out.append(F.round(at[lo] + (at[hi] - at[lo]) * F.lit(frac), 4).alias(nm))
+    return picks.agg(*out)

@@ -145,6 +145,12 @@ FROM silver WHERE trip_month = 5 GROUP BY 1""",
 SELECT MIN(total_amount) AS min_amount, MAX(total_amount) AS max_amount,
        ROUND(AVG(total_amount), 2) AS avg_amount,
        MIN(passenger_count) AS min_pax, MAX(passenger_count) AS max_pax
+FROM silver""",
+        "quantiles_exact": with_("silver") + """
+SELECT ROUND(quantile_cont(total_amount, 0.5), 4) AS p50,
+       ROUND(quantile_cont(total_amount, 0.9), 4) AS p90,
+       ROUND(quantile_cont(total_amount, 0.99), 4) AS p99,
+       ROUND(quantile_cont(total_amount, 0.999), 4) AS p999
 FROM silver""",
         "tail_distortion": with_("silver") + """
 SELECT trip_month AS mes, ROUND(AVG(total_amount), 2) AS media,

@@ -99,6 +99,7 @@ def _aggregates() -> dict[str, Query]:
         "trips_per_month": lambda s, d: agg.trips_per_month(silver(s, d)),
         "profile_ranges": lambda s, d: agg.profile_ranges(silver(s, d)),
         "quantiles_approx": lambda s, d: agg.quantiles_approx(silver(s, d)),
+        "quantiles_exact": lambda s, d: agg.quantiles_exact(silver(s, d)),
         "tail_distortion": lambda s, d: agg.tail_distortion(silver(s, d)),
         "weekday_occupancy": lambda s, d: agg.weekday_occupancy(silver(s, d), month=5),
         "vendor_profile": lambda s, d: agg.vendor_profile(silver(s, d)),
