@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.config import AVG_AMOUNT, AVG_PASSENGERS, DEFAULT_COLUMNS, TripColumns
-from farebox.functions.columns import month_label, year_month
+from farebox.functions.columns import month_label
 
 DEFAULT_NOTE = "KPIs computed by farebox over the Silver layer."
 
@@ -52,8 +52,9 @@ def kpi_document(
         F.avg(cols.amount).alias("_avg_amount"),
         F.count_if(in_month).alias("_n_m"),
         F.avg(F.when(in_month, F.col(cols.passengers))).alias("_avg_pax_m"),
-        F.min(year_month(F.col(cols.pickup))).alias("_first"),
-        F.max(year_month(F.col(cols.pickup))).alias("_last"),
+        # integer yyyyMM keeps this a hash aggregate (string min/max would sort)
+        F.min(_ym_number(F.col(cols.pickup))).alias("_first"),
+        F.max(_ym_number(F.col(cols.pickup))).alias("_last"),
     )
     g = F.col("_g")
     by_month, by_hour, total = g == 1, g == 2, g == 3
@@ -68,8 +69,8 @@ def kpi_document(
     return sets.agg(
         F.struct(
             F.coalesce(F.max(F.when(total, F.col("_n"))), F.lit(0)).alias("linhas_silver"),
-            F.concat(F.max(F.when(total, F.col("_first"))), F.lit(" a "),
-                     F.max(F.when(total, F.col("_last")))).alias("periodo"),
+            F.concat(_ym_text(F.max(F.when(total, F.col("_first")))), F.lit(" a "),
+                     _ym_text(F.max(F.when(total, F.col("_last"))))).alias("periodo"),
             F.lit(note).alias("nota"),
         ).alias("meta"),
         F.sort_array(F.collect_list(F.when(by_month, q1_item))).alias("q1_receita_mensal"),
@@ -79,6 +80,14 @@ def kpi_document(
     )
 
 
+def _ym_number(ts):
+    return F.year(ts) * 100 + F.month(ts)
+
+
+def _ym_text(n):
+    return F.format_string("%04d-%02d", (n / 100).cast("int"), n % 100)
+
+
 def to_json_document(doc: DataFrame, column: str = "document") -> DataFrame:
     """The document as one JSON text column (field order as in the struct)."""
     return doc.select(F.to_json(F.struct(*[F.col(c) for c in doc.columns])).alias(column))

@@ -18,7 +18,7 @@ from farebox.operators.cleaning import to_silver
 from farebox.operators.snapshots import SnapshotTable, kpi_diff
 from farebox.plans import jobs
 from farebox.plans.queries import W, silver, typed
-from farebox.session import scratch_path
+from farebox.session import checkpoint_root, scratch_path
 from farebox.sinks import catalog as cat
 from farebox.sinks.layout import write_gold, write_silver
 from farebox.sources import landing as ld
@@ -83,8 +83,13 @@ def quality_queries():
 
 def upsert_scenario(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Target = Silver rows with VendorID % 3 in (0, 1); source = class 1 with
-    ``total_amount + 1`` (updates) plus class 2 (inserts)."""
-    s = silver(spark, sf_dir)
+    ``total_amount + 1`` (updates) plus class 2 (inserts).
+
+    Silver is materialised once (reliable checkpoint in the shared folder):
+    the class filters are pushed below its dedup, so without the cut every
+    branch would recompute the whole cleaning pipeline."""
+    checkpoint_root(spark)
+    s = silver(spark, sf_dir).checkpoint(eager=True)
     cls = F.pmod(F.col(C.vendor), F.lit(3))
     target = s.filter(cls != 2)
     source = s.filter(cls == 1).withColumn(C.amount, F.col(C.amount) + 1).unionByName(
