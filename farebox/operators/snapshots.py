@@ -116,13 +116,21 @@ class SnapshotTable:
         replace_all: bool = True,
         committed_at: dt.datetime | None = None,
         user: str | None = None,
+        expectations=None,
     ) -> int:
         """Write ``df`` as a new version.
 
         ``replace_all``: the version holds exactly ``df``'s partitions
         (overwrite); otherwise ``df`` replaces only the partitions it
         contains and the others carry over from the previous version (merge).
+
+        ``expectations``: data-quality checks evaluated *during* the write
+        (an ``Observation``: no extra pass, no cache). A failed critical check
+        raises ``DataQualityError`` and the version is never published; its
+        files stay unreferenced and are overwritten by the next attempt.
         """
+        from farebox.operators.quality import gate, observe_checks, observed_results
+
         prev = self._version_row(None)
         version = 0 if prev is None else int(prev["version"]) + 1
         # The partitions written are observed during the write itself (a set
@@ -134,12 +142,17 @@ class SnapshotTable:
             .observe(obs, F.collect_set(self.partition_col).alias("parts"),
                      F.count(F.lit(1)).alias("rows"))
         )
+        dq_obs = None
+        if expectations is not None:
+            staged, dq_obs = observe_checks(staged, expectations or None, name=f"dq_{version}")
         (
             staged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(SNAPSHOT, self.partition_col)
             .parquet(self.data_path)
         )
+        if dq_obs is not None:
+            gate(observed_results(dq_obs), raise_on_fail=True)  # raises before publishing
         written = sorted(obs.get["parts"] or [])
         metrics = {"num_output_rows": int(obs.get["rows"]), **(metrics or {})}
         manifest = {} if (replace_all or prev is None) else {

@@ -36,6 +36,22 @@ def silver_job(spark: SparkSession, bronze: str, silver: str, window: DateWindow
                         expectations)
 
 
+def silver_snapshot_job(spark: SparkSession, bronze: str, table: SnapshotTable,
+                        window: DateWindow, cols: TripColumns = DEFAULT_COLUMNS,
+                        expectations=None) -> int:
+    """Bronze -> a new Silver version, gated in the same pass as the write.
+
+    Unlike ``silver_job`` nothing is persisted: the checks are observed while
+    the snapshot files are written, and the version is published (history
+    row appended) only if every critical check passed.
+    """
+    from farebox.operators.quality import default_expectations
+
+    silver = to_silver(spark.read.parquet(bronze), window, cols)
+    return table.commit(silver, "WRITE",
+                        expectations=expectations or default_expectations(cols))
+
+
 def read_silver(spark: SparkSession, silver: str, window: DateWindow | None = None,
                 cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
     """Silver, pruned to the window's month partitions when the window lies in one year."""

@@ -94,3 +94,18 @@ def test_gate_blocks_the_write(spark, layers):
     from farebox.session import path_exists
 
     assert not path_exists(spark, target)
+
+
+def test_snapshot_commit_gates_in_the_same_pass(spark, layers):
+    from farebox.operators.snapshots import SnapshotTable
+
+    table = SnapshotTable(spark, scratch_path(spark, "j_snap"))
+    v = jobs.silver_snapshot_job(spark, layers["bronze"], table, DRIVER_WINDOW)
+    assert v == 0 and table.read().count() == spark.read.parquet(layers["silver"]).count()
+    bad = SnapshotTable(spark, scratch_path(spark, "j_snap_bad"))
+    from farebox.operators.quality import default_expectations
+
+    rows = jobs.read_silver(spark, layers["silver"]).withColumn("total_amount", F.lit(-1.0))
+    with pytest.raises(DataQualityError):
+        bad.commit(rows, "WRITE", expectations=default_expectations())
+    assert bad.latest_version() is None  # never published
