@@ -81,14 +81,30 @@ def merge_metrics(
     Updates are unconditional (a matched row counts as updated even when
     its values are equal), as in MERGE ... WHEN MATCHED UPDATE SET *.
     """
+    return merge_plan(target, source, keys, partition_col).select(
+        "inserted", "updated", "deleted", "source_rows")
+
+
+def merge_plan(
+    target: DataFrame, source: DataFrame, keys: list[str], partition_col: str | None = None
+) -> DataFrame:
+    """Merge metrics plus ``duplicated_keys`` of the source, in one pass.
+
+    The source is reduced to ``(key, n)`` (partial aggregation, so a
+    duplicated hot key costs one row per task), left-joined to the target's
+    distinct keys, and aggregated once: the unique-source rule (M2) is
+    checked by the same job that produces the metrics.
+    """
     on = _on(keys, partition_col)
+    per_key = source.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     hits = target.select(*on).distinct().withColumn("_hit", F.lit(True))
-    joined = source.select(*on).join(hits, on=on, how="left")
+    joined = per_key.join(hits, on=on, how="left")
     return joined.agg(
-        count_if(F.col("_hit").isNull()).alias("inserted"),
-        count_if(F.col("_hit")).alias("updated"),
+        F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_n"))), F.lit(0)).alias("inserted"),
+        F.coalesce(F.sum(F.when(F.col("_hit"), F.col("_n"))), F.lit(0)).alias("updated"),
         F.lit(0).cast("long").alias("deleted"),
-        F.count(F.lit(1)).alias("source_rows"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("source_rows"),
+        count_if(F.col("_n") > 1).alias("duplicated_keys"),
     )
 
 

@@ -50,6 +50,7 @@ class SnapshotTable:
         self.partition_col = partition_col
         self.data_path = f"{self.root}/data"
         self.history_path = f"{self.root}/_history"
+        self.rows_written = 0
 
     # -- history -------------------------------------------------------------
     def history(self) -> DataFrame:
@@ -75,6 +76,10 @@ class SnapshotTable:
             rows = h.filter(F.col("version") == version).collect()
         return rows[0] if rows else None
 
+    def latest(self):
+        """The newest history row (None before the first commit)."""
+        return self._version_row(None)
+
     def latest_version(self) -> int | None:
         row = self.history().agg(F.max("version")).first()
         return None if row[0] is None else int(row[0])
@@ -93,6 +98,10 @@ class SnapshotTable:
         row = self._version_row(version)
         if row is None:
             raise ValueError(f"version {version} does not exist in {self.root}")
+        return self.read_version_row(row)
+
+    def read_version_row(self, row) -> DataFrame:
+        """The data of one history row (its manifest as literal partition filters)."""
         pairs = [(e["partition"], e[SNAPSHOT]) for e in row["manifest"]]
         data = self.spark.read.parquet(self.data_path)
         if not pairs:
@@ -117,6 +126,7 @@ class SnapshotTable:
         committed_at: dt.datetime | None = None,
         user: str | None = None,
         expectations=None,
+        prev=False,
     ) -> int:
         """Write ``df`` as a new version.
 
@@ -131,7 +141,8 @@ class SnapshotTable:
         """
         from farebox.operators.quality import gate, observe_checks, observed_results
 
-        prev = self._version_row(None)
+        if prev is False:  # not supplied by the caller: read the latest version row
+            prev = self._version_row(None)
         version = 0 if prev is None else int(prev["version"]) + 1
         # The partitions written are observed during the write itself (a set
         # bounded by the partition count), not by scanning the data again.
@@ -154,7 +165,8 @@ class SnapshotTable:
         if dq_obs is not None:
             gate(observed_results(dq_obs), raise_on_fail=True)  # raises before publishing
         written = sorted(obs.get["parts"] or [])
-        metrics = {"num_output_rows": int(obs.get["rows"]), **(metrics or {})}
+        self.rows_written = int(obs.get["rows"])
+        metrics = {"num_output_rows": self.rows_written, **(metrics or {})}
         manifest = {} if (replace_all or prev is None) else {
             e["partition"]: e[SNAPSHOT] for e in prev["manifest"]}
         for p in written:

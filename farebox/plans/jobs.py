@@ -93,20 +93,24 @@ def merge_into(
         source = mg.dedup_by_key(source, key_cols, order_by or [])
     staged = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if on_duplicate == "raise":
-            mg.assert_unique_keys(staged, key_cols)
-        if table.latest_version() is None:
-            version = table.commit(staged, "WRITE", committed_at=committed_at)
-            n = int(table.history().filter(F.col("version") == version)
-                    .select(F.col("metrics")["num_output_rows"]).first()[0])
+        prev = table.latest()
+        if prev is None:
+            if on_duplicate == "raise":
+                mg.assert_unique_keys(staged, key_cols)
+            version = table.commit(staged, "WRITE", committed_at=committed_at, prev=prev)
+            n = table.rows_written
             return {"inserted": n, "updated": 0, "deleted": 0, "source_rows": n, "version": version}
-        current = table.read()
+        current = table.read_version_row(prev)
         scoped, _months = mg.scope_to_source_partitions(current, staged, part)
-        metrics = mg.merge_metrics(scoped, staged, keys, part).first().asDict()
+        plan = mg.merge_plan(scoped, staged, keys, part).first().asDict()
+        if on_duplicate == "raise" and plan.pop("duplicated_keys"):
+            raise mg.MergeConflictError(f"source keys {key_cols} occur more than once")
+        plan.pop("duplicated_keys", None)
+        metrics = {k: int(v) for k, v in plan.items()}
         merged = mg.upsert(scoped, staged, keys, part)
-        version = table.commit(merged, "MERGE", {k: int(v) for k, v in metrics.items()},
-                               replace_all=False, committed_at=committed_at)
-        return {**{k: int(v) for k, v in metrics.items()}, "version": version}
+        version = table.commit(merged, "MERGE", metrics, replace_all=False,
+                               committed_at=committed_at, prev=prev)
+        return {**metrics, "version": version}
     finally:
         staged.unpersist()
 
