@@ -85,6 +85,16 @@ def derive_month_hour(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> Dat
     )
 
 
+YEAR_MONTH_COL = "trip_year_month"
+
+
+def derive_year_month(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS,
+                      name: str = YEAR_MONTH_COL) -> DataFrame:
+    """``yyyyMM`` of the pickup as an int: the partition column to use when a
+    window spans years (``trip_month`` alone merges January of two years)."""
+    return df.withColumn(name, F.year(cols.pickup) * 100 + F.month(cols.pickup))
+
+
 def clean(
     df: DataFrame, window: DateWindow | None = None, cols: TripColumns = DEFAULT_COLUMNS
 ) -> DataFrame:

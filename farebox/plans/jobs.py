@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from farebox.config import DEFAULT_COLUMNS, DateWindow, TripColumns
 from farebox.operators import merge as mg
 from farebox.operators.cleaning import to_silver
-from farebox.operators.quality import run_checks
 from farebox.operators.snapshots import SnapshotTable
 from farebox.sinks.layout import write_gold, write_silver
 from farebox.sources.landing import read_landing, write_bronze
@@ -113,8 +112,3 @@ def merge_into(
         return {**metrics, "version": version}
     finally:
         staged.unpersist()
-
-
-def checked(df: DataFrame, expectations=None, cols: TripColumns = DEFAULT_COLUMNS):
-    """Gate helper for callers that stage their own writes."""
-    return run_checks(df, expectations, raise_on_fail=True, cols=cols)

@@ -119,3 +119,23 @@ def test_watermark_filter_is_pushed_to_the_scan(spark, tmp_path):
     out = mg.since_watermark(df, "ts", wm)
     assert sorted(r.id for r in out.collect()) == [4, 5, 6, 7, 8, 9]
     assert mg.since_watermark(df, "ts", None).count() == 10
+
+
+def test_year_month_partitions_for_windows_spanning_years(spark):
+    from farebox.operators.cleaning import YEAR_MONTH_COL, derive_year_month
+
+    def row(y, m, amount):
+        p = dt.datetime(y, m, 10, 9)
+        return (1, 1, amount, p, p + dt.timedelta(minutes=5), m, 9)
+
+    old = derive_year_month(spark.createDataFrame(
+        [row(2023, 1, 5.0), row(2023, 11, 6.0), row(2024, 1, 7.0)], SCHEMA))
+    t = SnapshotTable(spark, scratch_path(spark, "ym"), partition_col=YEAR_MONTH_COL)
+    jobs.merge_into(t, old, KEYS)
+    late = derive_year_month(spark.createDataFrame([row(2024, 1, 8.0)], SCHEMA))
+    m = jobs.merge_into(t, late, KEYS)
+    assert (m["inserted"], m["updated"]) == (0, 1)
+    got = sorted((r[YEAR_MONTH_COL], r.total_amount) for r in t.read().collect())
+    assert got == [(202301, 5.0), (202311, 6.0), (202401, 8.0)]
+    manifest = {e["partition"]: e["snapshot"] for e in t.latest()["manifest"]}
+    assert manifest == {202301: 0, 202311: 0, 202401: 1}
