@@ -28,11 +28,16 @@ def bronze_job(spark: SparkSession, landing: str, months: list[str], bronze: str
     write_bronze(read_landing(spark, landing, months, **kwargs), bronze)
 
 
+def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A layer by storage format."""
+    return spark.read.format(fmt).load(path)
+
+
 def silver_job(spark: SparkSession, bronze: str, silver: str, window: DateWindow,
-               cols: TripColumns = DEFAULT_COLUMNS, expectations=None):
+               cols: TripColumns = DEFAULT_COLUMNS, expectations=None, fmt: str = "parquet"):
     """Bronze -> Silver: clean, gate (one DQ job over the persisted rows), write."""
-    return write_silver(to_silver(spark.read.parquet(bronze), window, cols), silver, cols,
-                        expectations)
+    return write_silver(to_silver(read_layer(spark, bronze, fmt), window, cols), silver, cols,
+                        expectations, fmt=fmt)
 
 
 def silver_snapshot_job(spark: SparkSession, bronze: str, table: SnapshotTable,
@@ -46,24 +51,24 @@ def silver_snapshot_job(spark: SparkSession, bronze: str, table: SnapshotTable,
     """
     from farebox.operators.quality import default_expectations
 
-    silver = to_silver(spark.read.parquet(bronze), window, cols)
+    silver = to_silver(read_layer(spark, bronze), window, cols)
     return table.commit(silver, "WRITE",
                         expectations=expectations or default_expectations(cols))
 
 
 def read_silver(spark: SparkSession, silver: str, window: DateWindow | None = None,
-                cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
+                cols: TripColumns = DEFAULT_COLUMNS, fmt: str = "parquet") -> DataFrame:
     """Silver, pruned to the window's month partitions when the window lies in one year."""
-    df = spark.read.parquet(silver)
+    df = read_layer(spark, silver, fmt)
     if window is not None and window.single_year:
         df = df.filter(F.col(cols.month).isin(window.months_in_window()))
     return df
 
 
 def gold_job(spark: SparkSession, silver: str, gold_root: str, month: int = 5,
-             cols: TripColumns = DEFAULT_COLUMNS) -> dict[str, str]:
+             cols: TripColumns = DEFAULT_COLUMNS, fmt: str = "parquet") -> dict[str, str]:
     """Silver -> the two Gold aggregates and the Gold fact table."""
-    return write_gold(spark.read.parquet(silver), gold_root, month, cols)
+    return write_gold(read_layer(spark, silver, fmt), gold_root, month, cols, fmt=fmt)
 
 
 def merge_into(

@@ -36,9 +36,10 @@ def landing_stream(spark: SparkSession, landing: str, schema: T.StructType,
 
 
 def ingest_available(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
-                     schema: T.StructType) -> int:
+                     schema: T.StructType, max_files_per_trigger: int | None = None) -> int:
     """Append every landing file not seen before to Bronze; returns rows added."""
-    stream = landing_stream(spark, landing, schema).withColumn("_ingested_at", F.current_timestamp())
+    stream = landing_stream(spark, landing, schema, max_files_per_trigger).withColumn(
+        "_ingested_at", F.current_timestamp())
     query = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
@@ -52,8 +53,12 @@ def ingest_available(spark: SparkSession, landing: str, bronze: str, checkpoint:
 
 def upsert_available(spark: SparkSession, landing: str, table, checkpoint: str,
                      schema: T.StructType, window: DateWindow,
-                     cols: TripColumns = DEFAULT_COLUMNS) -> int:
-    """Clean each micro-batch and merge it into the snapshot table."""
+                     cols: TripColumns = DEFAULT_COLUMNS,
+                     max_files_per_trigger: int | None = 64) -> int:
+    """Clean each micro-batch and merge it into the snapshot table.
+
+    ``max_files_per_trigger`` bounds each micro-batch (``availableNow``
+    still drains the whole backlog, in several bounded merges)."""
     from farebox.operators.cleaning import to_silver
     from farebox.plans.jobs import merge_into
 
@@ -62,7 +67,8 @@ def upsert_available(spark: SparkSession, landing: str, table, checkpoint: str,
         merge_into(table, silver, cols.natural_key)
 
     query = (
-        landing_stream(spark, landing, schema).writeStream.foreachBatch(merge_batch)
+        landing_stream(spark, landing, schema, max_files_per_trigger)
+        .writeStream.foreachBatch(merge_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
