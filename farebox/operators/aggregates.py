@@ -9,6 +9,8 @@ functions below operate on at most 24 aggregated rows.
 
 from __future__ import annotations
 
+import bisect
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -299,14 +301,18 @@ def quantiles_exact(
     df: DataFrame,
     column: str | None = None,
     probs: list[float] | None = None,
-    buckets: int = 256,
+    buckets: int | None = None,
+    rows_per_bucket: int = 2_000_000,
 ) -> DataFrame:
     """Exact continuous quantiles (linear interpolation between ranks), distributed.
 
     ``percentile`` keeps every distinct value of a group in one buffer, and a
     global sort would funnel ranks through one task. Instead:
 
-    1. one pass: row count and ``buckets - 1`` approximate cut points;
+    1. row count, then ``buckets - 1`` approximate cut points; by default
+       ``buckets`` grows with the data (about ``rows_per_bucket`` rows per
+       bucket, at least 256, at most 100,000 cut points) so the buckets that
+       are ranked in step 4 stay small at any scale;
     2. distinct values with their counts (partial aggregation, so a value
        holding a third of all rows is one row), each tagged with its bucket
        (``Bucketizer``: binary search, JVM side);
@@ -324,28 +330,29 @@ def quantiles_exact(
     names = QUANTILE_NAMES if probs == QUANTILE_PROBS else [f"q{i}" for i in range(len(probs))]
     values = df.select(F.col(column).cast("double").alias("v")).filter(
         F.col("v").isNotNull() & ~F.isnan("v"))
-    cuts = [i / buckets for i in range(1, buckets)]
-    head = values.agg(F.count(F.lit(1)).alias("n"),
-                      F.percentile_approx("v", F.array(*[F.lit(c) for c in cuts]), 10000)
-                      .alias("b")).first()
-    n = int(head["n"])
+    n = int(values.agg(F.count(F.lit(1))).first()[0])
     if n == 0:
         return df.limit(0).agg(*[F.lit(None).cast("double").alias(nm) for nm in names])
+    if buckets is None:
+        buckets = min(100_000, max(256, -(-n // rows_per_bucket)))
+    cuts = [i / buckets for i in range(1, buckets)]
+    accuracy = max(10_000, 10 * buckets)  # rank error n / accuracy, finer than a bucket
+    head = values.agg(F.percentile_approx("v", F.array(*[F.lit(c) for c in cuts]), accuracy)
+                      .alias("b")).first()
     splits = [float("-inf"), *sorted(set(head["b"] or [])), float("inf")]
     counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
     tagged = Bucketizer(splits=splits, inputCol="v", outputCol="bucket").transform(counted)
     per_bucket = sorted((int(r[0]), int(r[1])) for r in
                         tagged.groupBy("bucket").agg(F.sum("c")).collect())
-    starts, acc = {}, 0
-    for b, c in per_bucket:
-        starts[b] = (acc, c)
+    bucket_ids, starts, acc = [], [], 0
+    for b, c in per_bucket:  # cumulative row offset where each bucket starts
+        bucket_ids.append(b)
+        starts.append(acc)
         acc += c
 
     def locate(rank: int) -> tuple[int, int]:
-        for b, (start, c) in starts.items():
-            if start <= rank < start + c:
-                return b, rank - start
-        raise AssertionError("rank outside the data")
+        i = bisect.bisect_right(starts, rank) - 1
+        return bucket_ids[i], rank - starts[i]
 
     wanted = {}
     for p in probs:
