@@ -339,7 +339,8 @@ def quantiles_exact(
     accuracy = max(10_000, 10 * buckets)  # rank error n / accuracy, finer than a bucket
     head = values.agg(F.percentile_approx("v", F.array(*[F.lit(c) for c in cuts]), accuracy)
                       .alias("b")).first()
-    splits = [float("-inf"), *sorted(set(head["b"] or [])), float("inf")]
+    inner = sorted(set(head["b"] or [])) or [0.0]  # Bucketizer needs >= 3 splits
+    splits = [float("-inf"), *inner, float("inf")]
     counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
     tagged = Bucketizer(splits=splits, inputCol="v", outputCol="bucket").transform(counted)
     per_bucket = sorted((int(r[0]), int(r[1])) for r in
