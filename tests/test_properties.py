@@ -70,3 +70,49 @@ def test_quantiles_exact_matches_numpy(spark, values, buckets):
     arr = np.array([d[0] for d in data])
     for p, name in zip(agg.QUANTILE_PROBS, agg.QUANTILE_NAMES):
         assert row[name] == round(float(np.quantile(arr, p)), 4)
+
+
+def _frame(spark, rows):
+    data = []
+    for vendor, pax, amount, off, dur in rows:
+        pickup = BASE + dt.timedelta(hours=off)
+        data.append((vendor, pax, amount, pickup, pickup + dt.timedelta(hours=dur)))
+    return spark.createDataFrame(
+        data, "VendorID bigint, passenger_count double, total_amount double, "
+              "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz")
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(trip, min_size=1, max_size=40))
+def test_discard_profile_matches_brute_force(spark, rows):
+    from farebox.operators.quality import discard_profile
+
+    typed = cl.cast_types(cl.select_required(_frame(spark, rows)))
+    got = discard_profile(typed, WINDOW).first()
+    assert got.linhas_landing == len(rows)
+    assert got.linhas_silver == len(expected_silver(rows))
+    dropped = (got.descartadas_nulos + got.descartadas_valor + got.descartadas_passageiros
+               + got.descartadas_cronologia + got.descartadas_janela + got.descartadas_duplicadas)
+    assert dropped == got.linhas_landing - got.linhas_silver
+
+
+keyed = st.dictionaries(st.integers(0, 30), st.integers(0, 5), max_size=20)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(keyed, keyed)
+def test_upsert_and_change_set_match_dict_semantics(spark, old, new_rows):
+    from farebox.operators import merge as mg
+
+    schema = "k bigint, m int, v bigint"
+    t = spark.createDataFrame([(k, k % 3, v) for k, v in old.items()], schema)
+    s = spark.createDataFrame([(k, k % 3, v + 100) for k, v in new_rows.items()], schema)
+    merged = dict(old)
+    merged.update({k: v + 100 for k, v in new_rows.items()})
+    out = mg.upsert(t, s, ["k"], "m")
+    assert sorted((r.k, r.v) for r in out.collect()) == sorted(merged.items())
+    m = mg.merge_metrics(t, s, ["k"], "m").first()
+    assert (m.inserted, m.updated) == (len(set(new_rows) - set(old)), len(set(new_rows) & set(old)))
+    changes = mg.change_set(t, out, ["k", "m"])
+    replay = mg.apply_change_set(t, changes, ["k", "m"])
+    assert sorted((r.k, r.v) for r in replay.collect()) == sorted(merged.items())
