@@ -206,3 +206,8 @@ def since_watermark(df: DataFrame, ts_col: str, watermark) -> DataFrame:
 def advance_watermark(processed: DataFrame, ts_col: str, mark_col: str = "watermark") -> DataFrame:
     """New control row: the greatest ingestion time processed."""
     return processed.agg(F.max(ts_col).alias(mark_col))
+
+
+def save_watermark(control_row: DataFrame, path: str) -> None:
+    """Append the control row to the control table (one tiny file per run)."""
+    control_row.coalesce(1).write.mode("append").parquet(path)

@@ -132,8 +132,9 @@ def _incremental_since_watermark(spark, sf_dir):
         ARRIVAL, F.col(C.dropoff) + F.expr("INTERVAL 1 HOUR"))
     cut = F.lit(PROCESSED_UNTIL).cast("timestamp_ntz")
     first_batch = bronze.filter(F.col(ARRIVAL) <= cut)
-    control = mg.advance_watermark(first_batch, ARRIVAL)
-    wm = mg.read_watermark(control)
+    control_path = scratch_path(spark, "control")
+    mg.save_watermark(mg.advance_watermark(first_batch, ARRIVAL), control_path)
+    wm = mg.read_watermark(spark.read.parquet(control_path))
     later = mg.since_watermark(bronze, ARRIVAL, wm)
     return mg.upsert(to_silver(first_batch, W), to_silver(later, W), KEYS, C.month)
 
