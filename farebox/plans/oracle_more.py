@@ -238,6 +238,7 @@ SELECT {LANDING_COLS.replace('total_amount,', "CASE WHEN _source_month = '1997-0
        _source_month
 FROM landing""",
         "catalog_register": with_("silver") + "SELECT * FROM silver",
+        "layers_end_to_end": with_("q1") + "SELECT * FROM q1",
         "catalog_sql_scan": with_("q1") + """
 SELECT trip_month AS mes, qtd_corridas, receita_media_usd, receita_total_usd FROM q1""",
         # landing

@@ -282,8 +282,24 @@ def _catalog_register_all(spark, sf_dir):
                                                              f"{root}/gold"))
 
 
+def _layers_end_to_end(spark, sf_dir):
+    """Landing (drifting files) -> Bronze -> gated Silver -> Gold -> catalog; Gold Q1 by name."""
+    root = scratch_path(spark, "e2e")
+    land, bronze, silver_p, gold = (f"{root}/{n}" for n in ("landing", "bronze", "silver", "gold"))
+    months = write_driver_landing(spark, sf_dir, land)
+    jobs.bronze_job(spark, land, months, bronze, DRIVER_LANDING_TEMPLATE)
+    jobs.silver_job(spark, bronze, silver_p, W)
+    jobs.gold_job(spark, silver_p, gold)
+    report = cat.register_all(spark, DATABASE, cat.layer_specs(bronze, silver_p, gold))
+    skipped = [r.name for r in report.collect() if r.status != "registered"]
+    if skipped:
+        raise RuntimeError(f"layers not registered: {skipped}")
+    return spark.table(f"{DATABASE}.gold_receita_mensal")
+
+
 def sink_queries():
     return {
+        "layers_end_to_end": _layers_end_to_end,
         "silver_write": _silver_write,
         "gold_write_aggregates": lambda s, d: _gold(s, d, "agg_receita_mensal"),
         "gold_trips": lambda s, d: _gold(s, d, "trips"),
