@@ -45,3 +45,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
+
+
+def cluster_settings(input_bytes: int, total_cores: int,
+                     target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Session settings sized for a large input (apply them when building the session).
+
+    * scan splits of ``target_partition_bytes`` so every task reads a bounded
+      slice (a 400 MB monthly file is a couple of tasks, 100 TB ~ 400k tasks);
+    * an initial shuffle width of about one partition per target size of the
+      input (at least 2x the cores), which AQE then coalesces to the advisory
+      size after measuring the real shuffle: partitions stay bounded and spill
+      gracefully instead of failing;
+    * skew-join splitting on, so a key holding a third of one side is cut
+      into advisory-size pieces.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.parquet.filterPushdown": "true",
+    }

@@ -88,3 +88,13 @@ def test_window_from_months_relation(spark):
     months = spark.createDataFrame([("2023-12",), ("2023-11",)], "month string")
     row = cl.window_from_months(months).first()
     assert (row.window_start, row.window_end) == (dt.date(2023, 11, 1), dt.date(2024, 1, 1))
+
+
+def test_cluster_settings_scale_with_input():
+    from farebox.session import cluster_settings
+
+    small = cluster_settings(10 * 1024**3, total_cores=8)
+    big = cluster_settings(100 * 1024**4, total_cores=8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 40
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
