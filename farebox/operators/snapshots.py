@@ -12,7 +12,7 @@ A version becomes visible only when its history row is appended, after its
 data files are complete; a failed commit leaves unreferenced files that the
 next attempt (same version number) overwrites. Reading a version turns its
 manifest (one entry per partition, bounded by the partition count) into
-literal partition filters, so only that version's files are listed and
+the list of directories to read, so only that version's files are listed and
 read. Restore writes no data: the new version re-points to old snapshots.
 """
 
@@ -101,16 +101,19 @@ class SnapshotTable:
         return self.read_version_row(row)
 
     def read_version_row(self, row) -> DataFrame:
-        """The data of one history row (its manifest as literal partition filters)."""
+        """The data of one history row.
+
+        Only the manifest's directories are listed (``basePath`` keeps the
+        partition columns), so reading a version costs the same however many
+        versions the table has accumulated.
+        """
         pairs = [(e["partition"], e[SNAPSHOT]) for e in row["manifest"]]
-        data = self.spark.read.parquet(self.data_path)
         if not pairs:
-            return data.limit(0).drop(SNAPSHOT)
-        cond = None
-        for part, snap in pairs:
-            c = (F.col(SNAPSHOT) == F.lit(snap)) & (F.col(self.partition_col) == F.lit(part))
-            cond = c if cond is None else cond | c
-        return data.filter(cond).drop(SNAPSHOT)
+            return self.spark.read.parquet(self.data_path).limit(0).drop(SNAPSHOT)
+        dirs = [f"{self.data_path}/{SNAPSHOT}={snap}/{self.partition_col}={part}"
+                for part, snap in pairs]
+        return (self.spark.read.option("basePath", self.data_path).parquet(*dirs)
+                .drop(SNAPSHOT))
 
     def read_as_of_timestamp(self, ts) -> DataFrame:
         """T4: read the version that was current at ``ts``."""
