@@ -117,3 +117,21 @@ def merge_into(
         return {**metrics, "version": version}
     finally:
         staged.unpersist()
+
+
+class AnswerMismatchError(Exception):
+    """The DataFrame API and Spark SQL answers differ."""
+
+
+def export_kpis(spark: SparkSession, silver: DataFrame, out_path: str, month: int = 5,
+                view: str = "silver_trips") -> None:
+    """Q1 through the API and through SQL must be the same bag (one job), then the
+    KPI document (one scan of Silver) is written as a single JSON file."""
+    from farebox.operators.aggregates import bag_equality, monthly_revenue, monthly_revenue_sql
+    from farebox.operators.documents import kpi_document, to_json_document
+
+    api = monthly_revenue(silver, cols=DEFAULT_COLUMNS)
+    sql = monthly_revenue_sql(spark, silver, view=view)
+    if not bag_equality(api, sql).first()["equal"]:
+        raise AnswerMismatchError("API and SQL answers for Q1 differ")
+    to_json_document(kpi_document(silver, month)).coalesce(1).write.mode("overwrite").text(out_path)

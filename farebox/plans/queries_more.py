@@ -372,7 +372,7 @@ def landing_queries():
 
 def _kpi_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "kpis")
-    docs.to_json_document(docs.kpi_document(silver(spark, sf_dir))).coalesce(1).write.text(path)
+    jobs.export_kpis(spark, silver(spark, sf_dir), path)
     return docs.monthly_rows(docs.read_kpi_json(spark, path))
 
 
