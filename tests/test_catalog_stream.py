@@ -76,3 +76,31 @@ def test_available_now_stream_is_idempotent(spark):
     months = sorted(r[0] for r in spark.read.parquet(bronze).select("_source_month").distinct()
                     .collect())
     assert spark.read.parquet(bronze).count() == 8 and months == ["2023-01", "2023-02"]
+
+
+def test_describe_shows_location_and_partitions(spark, tmp_path):
+    loc = str(tmp_path / "d")
+    spark.createDataFrame([(1, 1)], "x int, trip_month int").write.partitionBy(
+        "trip_month").parquet(loc)
+    cat.ensure_database(spark, DB)
+    q = cat.register_table(spark, DB, cat.TableSpec("d", loc, "described"))
+    rows = {r.col_name: r.data_type for r in cat.describe(spark, q).collect()}
+    assert loc.split("/")[-1] in rows["Location"]
+    assert rows["Comment"] == "described" and rows["Provider"] == "parquet"
+    assert "trip_month" in rows
+
+
+def test_history_document_is_iso_json(spark):
+    import datetime as dt
+    import json
+
+    from farebox.operators.documents import history_document
+    from farebox.operators.snapshots import SnapshotTable
+
+    t = SnapshotTable(spark, scratch_path(spark, "hdoc"))
+    t.commit(spark.createDataFrame([(1, 1)], "x int, trip_month int"), "WRITE",
+             committed_at=dt.datetime(2024, 1, 2, 3, 4, 5))
+    doc = json.loads(history_document(t.latest_history()).first().document)
+    assert doc["version"] == 0 and doc["operation"] == "WRITE"
+    assert doc["timestamp"] == "2024-01-02T03:04:05.000000"
+    assert doc["operationMetrics"] == {"num_output_rows": 1}
