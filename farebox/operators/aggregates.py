@@ -287,6 +287,38 @@ def demand_intensity(q2: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> Data
     ).orderBy(cols.hour)
 
 
+def monthly_and_hourly(
+    silver: DataFrame, month: int = 5, cols: TripColumns = DEFAULT_COLUMNS
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Q1 and Q2 from ONE scan: grouping sets ``(month), (hour)``.
+
+    Returns ``(q1, q2, sets)``; ``sets`` is the small aggregated relation (at
+    most 12 + 24 rows) both are selected from, so a caller writing both can
+    persist it and scan Silver once.
+    """
+    in_month = F.col(cols.month) == F.lit(month)
+    sets = silver.groupingSets([[cols.month], [cols.hour]], cols.month, cols.hour).agg(
+        F.grouping_id().alias("_g"),
+        F.count(F.lit(1)).alias("_n"),
+        F.avg(cols.amount).alias("_avg_amount"),
+        F.sum(cols.amount).alias("_sum_amount"),
+        F.count_if(in_month).alias("_n_m"),
+        F.avg(F.when(in_month, F.col(cols.passengers))).alias("_avg_pax_m"),
+    )
+    q1 = sets.filter(F.col("_g") == 1).select(
+        cols.month,
+        F.col("_n").alias(TRIPS),
+        F.round("_avg_amount", 2).alias(AVG_AMOUNT),
+        F.round("_sum_amount", 2).alias(SUM_AMOUNT),
+    ).orderBy(cols.month)
+    q2 = sets.filter((F.col("_g") == 2) & (F.col("_n_m") > 0)).select(
+        cols.hour,
+        F.col("_n_m").alias(TRIPS),
+        F.round("_avg_pax_m", 3).alias(AVG_PASSENGERS),
+    ).orderBy(cols.hour)
+    return q1, q2, sets
+
+
 def kpi_snapshot(silver: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
     """Monthly trips / average plus the snapshot's total rows, in one scan."""
     per_month = silver.groupBy(cols.month).agg(

@@ -67,6 +67,12 @@ def test_month_partition_pruning(spark, layers):
 def test_gold_tables(spark, layers):
     q1 = spark.read.parquet(layers["paths"]["agg_receita_mensal"])
     assert [r.trip_month for r in q1.collect()] == [1, 2, 3, 4, 5]
+    from farebox.operators.aggregates import hourly_passengers, monthly_revenue
+
+    silver = spark.read.parquet(layers["silver"])
+    q2 = spark.read.parquet(layers["paths"]["agg_passageiros_hora_maio"])
+    assert sorted(map(tuple, q2.collect())) == sorted(map(tuple, hourly_passengers(silver).collect()))
+    assert sorted(map(tuple, q1.collect())) == sorted(map(tuple, monthly_revenue(silver).collect()))
     fact = spark.read.parquet(layers["paths"]["trips"])
     assert fact.count() == spark.read.parquet(layers["silver"]).count()
 
