@@ -206,15 +206,18 @@ def _history_document(spark, sf_dir):
     return docs.history_document(t.latest_history(20))
 
 
+def _kpi_diff(spark, sf_dir):
+    t = versioned(spark, sf_dir, "diff")
+    return kpi_diff(agg.kpi_snapshot(t.read(0)), agg.kpi_snapshot(t.read(1)))
+
+
 def snapshot_queries():
     return {
         "read_as_of_version": lambda s, d: versioned(s, d, "asof").read(0),
         "read_as_of_timestamp": lambda s, d: versioned(s, d, "asofts").read_as_of_timestamp(
             dt.datetime(2024, 1, 15)),
         "restore_version": _restore,
-        "kpi_diff": lambda s, d: (lambda t: kpi_diff(agg.kpi_snapshot(t.read(0)),
-                                                     agg.kpi_snapshot(t.read(1))))(
-            versioned(s, d, "diff")),
+        "kpi_diff": _kpi_diff,
         "history_latest": _history_latest,
         "history_document": _history_document,
     }
