@@ -17,9 +17,22 @@ from pyspark.sql import functions as F
 from farebox.config import (
     AVG_AMOUNT,
     AVG_PASSENGERS,
+    AVG_PAX,
+    AVG_TICKET,
     DEFAULT_COLUMNS,
+    DOC_MONTH_NUM,
+    GLOBAL_AVG,
+    HOUR_ALIAS,
+    LAYER,
+    MEAN,
+    MEDIAN,
+    MONTH_ALIAS,
+    RIDES,
+    ROWS,
     SUM_AMOUNT,
+    TAIL_GAP,
     TRIPS,
+    WEEKDAY,
     TripColumns,
 )
 from farebox.functions.columns import month_label
@@ -39,7 +52,7 @@ def monthly_revenue(
 
 
 MONTHLY_REVENUE_SQL = """
-SELECT {month} AS mes,
+SELECT {month} AS {month_alias},
        COUNT(*) AS {trips},
        ROUND(AVG({amount}), 2) AS {avg},
        ROUND(SUM({amount}), 2) AS {sum}
@@ -56,7 +69,7 @@ def monthly_revenue_sql(spark, silver: DataFrame, view: str = "silver_trips",
     return spark.sql(
         MONTHLY_REVENUE_SQL.format(
             month=cols.month, trips=TRIPS, amount=cols.amount, avg=AVG_AMOUNT,
-            sum=SUM_AMOUNT, view=view,
+            sum=SUM_AMOUNT, view=view, month_alias=MONTH_ALIAS,
         )
     )
 
@@ -85,7 +98,7 @@ def bag_equality(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def global_avg_amount(silver: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
     """A4: row-weighted average amount over the whole period."""
-    return silver.agg(F.round(F.avg(cols.amount), 2).alias("media_global_usd"))
+    return silver.agg(F.round(F.avg(cols.amount), 2).alias(GLOBAL_AVG))
 
 
 def mean_of_monthly_means(q1: DataFrame) -> DataFrame:
@@ -109,13 +122,13 @@ def hourly_passengers(
 
 
 HOURLY_PASSENGERS_SQL = """
-SELECT HOUR({pickup}) AS hora_do_dia,
+SELECT HOUR({pickup}) AS {hour_alias},
        COUNT(*) AS {trips},
        ROUND(AVG({passengers}), 3) AS {avg}
 FROM {view}
 WHERE {month_col} = {month}
 GROUP BY HOUR({pickup})
-ORDER BY hora_do_dia
+ORDER BY {hour_alias}
 """
 
 
@@ -126,7 +139,7 @@ def hourly_passengers_sql(spark, silver: DataFrame, month: int = 5, view: str =
     return spark.sql(
         HOURLY_PASSENGERS_SQL.format(
             pickup=cols.pickup, trips=TRIPS, passengers=cols.passengers, avg=AVG_PASSENGERS,
-            view=view, month_col=cols.month, month=int(month),
+            view=view, month_col=cols.month, month=int(month), hour_alias=HOUR_ALIAS,
         )
     )
 
@@ -179,12 +192,12 @@ def tail_distortion(silver: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> D
         silver.groupBy(cols.month)
         .agg(F.avg(cols.amount).alias("_avg"), median.alias("_median"))
         .select(
-            F.col(cols.month).alias("mes"),
-            F.round("_avg", 2).alias("media"),
-            F.round("_median", 2).alias("mediana"),
-            F.round(F.col("_avg") - F.col("_median"), 2).alias("distorcao_cauda"),
+            F.col(cols.month).alias(MONTH_ALIAS),
+            F.round("_avg", 2).alias(MEAN),
+            F.round("_median", 2).alias(MEDIAN),
+            F.round(F.col("_avg") - F.col("_median"), 2).alias(TAIL_GAP),
         )
-        .orderBy("mes")
+        .orderBy(MONTH_ALIAS)
     )
 
 
@@ -194,12 +207,12 @@ def weekday_occupancy(
     """Trips and average passengers by weekday (1 = Sunday ... 7 = Saturday)."""
     return (
         silver.filter(F.col(cols.month) == F.lit(month))
-        .groupBy(F.dayofweek(cols.pickup).alias("dia_semana"))
+        .groupBy(F.dayofweek(cols.pickup).alias(WEEKDAY))
         .agg(
-            F.count(F.lit(1)).alias("corridas"),
-            F.round(F.avg(cols.passengers), 3).alias("media_pax"),
+            F.count(F.lit(1)).alias(RIDES),
+            F.round(F.avg(cols.passengers), 3).alias(AVG_PAX),
         )
-        .orderBy("dia_semana")
+        .orderBy(WEEKDAY)
     )
 
 
@@ -208,11 +221,11 @@ def vendor_profile(silver: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> Da
     return (
         silver.groupBy(cols.vendor)
         .agg(
-            F.count(F.lit(1)).alias("corridas"),
-            F.round(F.avg(cols.passengers), 3).alias("media_pax"),
-            F.round(F.avg(cols.amount), 2).alias("ticket_medio"),
+            F.count(F.lit(1)).alias(RIDES),
+            F.round(F.avg(cols.passengers), 3).alias(AVG_PAX),
+            F.round(F.avg(cols.amount), 2).alias(AVG_TICKET),
         )
-        .orderBy(F.desc("corridas"), cols.vendor)
+        .orderBy(F.desc(RIDES), cols.vendor)
     )
 
 
@@ -220,9 +233,7 @@ def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
     """One ``(camada, linhas)`` row per layer, a UNION ALL of global counts."""
     out = None
     for name, df in layers.items():
-        part = df.agg(F.count(F.lit(1)).alias("linhas")).select(
-            F.lit(name).alias("camada"), "linhas"
-        )
+        part = df.agg(F.count(F.lit(1)).alias(ROWS)).select(F.lit(name).alias(LAYER), ROWS)
         out = part if out is None else out.union(part)
     return out
 
@@ -239,8 +250,8 @@ def peak_month(q1: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
         F.struct(F.col(AVG_AMOUNT), -F.col(cols.month)),
     )
     return q1.agg(best.alias("_b")).select(
-        F.col("_b.mes_num").alias("mes_num"),
-        month_label(F.col("_b.mes_num")).alias("mes"),
+        F.col("_b.mes_num").alias(DOC_MONTH_NUM),
+        month_label(F.col("_b.mes_num")).alias(MONTH_ALIAS),
         F.col(f"_b.{AVG_AMOUNT}").alias(AVG_AMOUNT),
     )
 
@@ -324,7 +335,7 @@ def kpi_snapshot(silver: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> Data
     per_month = silver.groupBy(cols.month).agg(
         F.count(F.lit(1)).alias(TRIPS), F.round(F.avg(cols.amount), 2).alias(AVG_AMOUNT)
     )
-    return per_month.withColumn("linhas", F.sum(TRIPS).over(Window.partitionBy())).orderBy(
+    return per_month.withColumn(ROWS, F.sum(TRIPS).over(Window.partitionBy())).orderBy(
         cols.month
     )
 

@@ -12,31 +12,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farebox.config import AVG_AMOUNT, AVG_PASSENGERS, DEFAULT_COLUMNS, TripColumns
+from farebox.config import (
+    AVG_AMOUNT,
+    AVG_PASSENGERS,
+    DEFAULT_COLUMNS,
+    DOC_GLOBAL_AVG,
+    DOC_HOUR,
+    DOC_META,
+    DOC_MONTH_NUM,
+    DOC_NOTE,
+    DOC_PERIOD,
+    DOC_Q1,
+    DOC_Q2,
+    DOC_SILVER_ROWS,
+    MONTH_ALIAS,
+    PERIOD_SEPARATOR,
+    RIDES,
+    TripColumns,
+)
 from farebox.functions.columns import month_label
 
 DEFAULT_NOTE = "KPIs computed by farebox over the Silver layer."
 
 Q1_ITEM = T.StructType([
-    T.StructField("mes_num", T.IntegerType()),
-    T.StructField("mes", T.StringType()),
-    T.StructField("corridas", T.LongType()),
+    T.StructField(DOC_MONTH_NUM, T.IntegerType()),
+    T.StructField(MONTH_ALIAS, T.StringType()),
+    T.StructField(RIDES, T.LongType()),
     T.StructField(AVG_AMOUNT, T.DoubleType()),
 ])
 Q2_ITEM = T.StructType([
-    T.StructField("hora", T.IntegerType()),
-    T.StructField("corridas", T.LongType()),
+    T.StructField(DOC_HOUR, T.IntegerType()),
+    T.StructField(RIDES, T.LongType()),
     T.StructField(AVG_PASSENGERS, T.DoubleType()),
 ])
 DOCUMENT_SCHEMA = T.StructType([
-    T.StructField("meta", T.StructType([
-        T.StructField("linhas_silver", T.LongType()),
-        T.StructField("periodo", T.StringType()),
-        T.StructField("nota", T.StringType()),
+    T.StructField(DOC_META, T.StructType([
+        T.StructField(DOC_SILVER_ROWS, T.LongType()),
+        T.StructField(DOC_PERIOD, T.StringType()),
+        T.StructField(DOC_NOTE, T.StringType()),
     ])),
-    T.StructField("q1_receita_mensal", T.ArrayType(Q1_ITEM)),
-    T.StructField("q1_media_global_usd", T.DoubleType()),
-    T.StructField("q2_passageiros_hora_maio", T.ArrayType(Q2_ITEM)),
+    T.StructField(DOC_Q1, T.ArrayType(Q1_ITEM)),
+    T.StructField(DOC_GLOBAL_AVG, T.DoubleType()),
+    T.StructField(DOC_Q2, T.ArrayType(Q2_ITEM)),
 ])
 
 
@@ -59,24 +76,24 @@ def kpi_document(
     g = F.col("_g")
     by_month, by_hour, total = g == 1, g == 2, g == 3
     q1_item = F.struct(
-        m.alias("mes_num"), month_label(m).alias("mes"), F.col("_n").alias("corridas"),
+        m.alias(DOC_MONTH_NUM), month_label(m).alias(MONTH_ALIAS), F.col("_n").alias(RIDES),
         F.round("_avg_amount", 2).alias(AVG_AMOUNT),
     )
     q2_item = F.struct(
-        h.alias("hora"), F.col("_n_m").alias("corridas"),
+        h.alias(DOC_HOUR), F.col("_n_m").alias(RIDES),
         F.round("_avg_pax_m", 3).alias(AVG_PASSENGERS),
     )
     return sets.agg(
         F.struct(
-            F.coalesce(F.max(F.when(total, F.col("_n"))), F.lit(0)).alias("linhas_silver"),
-            F.concat(_ym_text(F.max(F.when(total, F.col("_first")))), F.lit(" a "),
-                     _ym_text(F.max(F.when(total, F.col("_last"))))).alias("periodo"),
-            F.lit(note).alias("nota"),
-        ).alias("meta"),
-        F.sort_array(F.collect_list(F.when(by_month, q1_item))).alias("q1_receita_mensal"),
-        F.max(F.when(total, F.round("_avg_amount", 2))).alias("q1_media_global_usd"),
+            F.coalesce(F.max(F.when(total, F.col("_n"))), F.lit(0)).alias(DOC_SILVER_ROWS),
+            F.concat(_ym_text(F.max(F.when(total, F.col("_first")))), F.lit(PERIOD_SEPARATOR),
+                     _ym_text(F.max(F.when(total, F.col("_last"))))).alias(DOC_PERIOD),
+            F.lit(note).alias(DOC_NOTE),
+        ).alias(DOC_META),
+        F.sort_array(F.collect_list(F.when(by_month, q1_item))).alias(DOC_Q1),
+        F.max(F.when(total, F.round("_avg_amount", 2))).alias(DOC_GLOBAL_AVG),
         F.sort_array(F.collect_list(F.when(by_hour & (F.col("_n_m") > 0), q2_item))).alias(
-            "q2_passageiros_hora_maio"),
+            DOC_Q2),
     )
 
 
@@ -100,10 +117,10 @@ def read_kpi_json(spark, path: str) -> DataFrame:
 
 def monthly_rows(doc: DataFrame) -> DataFrame:
     """Q1 entries as rows; ``mes`` defaulted from ``mes_num`` when absent."""
-    return doc.select(F.inline("q1_receita_mensal")).select(
-        "mes_num",
-        F.coalesce(F.col("mes"), month_label(F.col("mes_num"))).alias("mes"),
-        "corridas",
+    return doc.select(F.inline(DOC_Q1)).select(
+        DOC_MONTH_NUM,
+        F.coalesce(F.col(MONTH_ALIAS), month_label(F.col(DOC_MONTH_NUM))).alias(MONTH_ALIAS),
+        RIDES,
         AVG_AMOUNT,
     )
 

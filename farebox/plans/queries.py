@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.config import DEFAULT_COLUMNS as C
+from farebox.config import MONTH_ALIAS
 from farebox.functions.columns import month_label, year_month
 from farebox.operators import aggregates as agg
 from farebox.operators import cleaning as cl
@@ -67,7 +68,7 @@ def _cleaning() -> dict[str, Query]:
             cl.derive_month_hour(not_null(s, d))
             .select(C.month)
             .distinct()
-            .select(C.month, month_label(F.col(C.month)).alias("mes"))
+            .select(C.month, month_label(F.col(C.month)).alias(MONTH_ALIAS))
         ),
     }
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.config import DEFAULT_COLUMNS as C
+from farebox.config import AVG_AMOUNT, MONTH_ALIAS, SUM_AMOUNT, TRIPS
 from farebox.operators import aggregates as agg
 from farebox.operators import documents as docs
 from farebox.operators import merge as mg
@@ -271,8 +272,8 @@ def _registered_silver(spark, sf_dir) -> str:
 def _catalog_sql_scan(spark, sf_dir):
     qualified = _registered_silver(spark, sf_dir)
     return spark.sql(agg.MONTHLY_REVENUE_SQL.format(
-        month=C.month, trips="qtd_corridas", amount=C.amount, avg="receita_media_usd",
-        sum="receita_total_usd", view=qualified))
+        month=C.month, trips=TRIPS, amount=C.amount, avg=AVG_AMOUNT,
+        sum=SUM_AMOUNT, view=qualified, month_alias=MONTH_ALIAS))
 
 
 def _catalog_register_all(spark, sf_dir):

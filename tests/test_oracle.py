@@ -15,7 +15,7 @@ from conftest import SF_SMALL
 SUBSET = [
     "silver_trips", "dedup_exact", "monthly_revenue", "hourly_passengers_sql", "weekday_occupancy",
     "peak_low_hour", "discard_rate", "dq_report", "merge_upsert", "change_set", "kpi_document",
-    "quantiles_exact", "window_from_months",
+    "quantiles_exact", "window_from_months", "catalog_sql_scan", "kpi_json_roundtrip",
 ]
 
 
