@@ -115,6 +115,11 @@ def read_kpi_json(spark, path: str) -> DataFrame:
     return spark.read.schema(DOCUMENT_SCHEMA).json(path)
 
 
+def parse_kpi_json(text: DataFrame, column: str = "document") -> DataFrame:
+    """S10 for documents stored as text in a column: ``from_json`` with the schema."""
+    return text.select(F.from_json(column, DOCUMENT_SCHEMA).alias("_d")).select("_d.*")
+
+
 def monthly_rows(doc: DataFrame) -> DataFrame:
     """Q1 entries as rows; ``mes`` defaulted from ``mes_num`` when absent."""
     return doc.select(F.inline(DOC_Q1)).select(

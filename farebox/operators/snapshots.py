@@ -203,6 +203,19 @@ class SnapshotTable:
         )
 
 
+MERGE_METRICS = ["inserted", "updated", "deleted", "source_rows"]
+
+
+def history_metrics(history: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """Metrics of each version read from its map, a missing key counting as 0."""
+    names = names or MERGE_METRICS
+    return history.select(
+        "version",
+        *[F.coalesce(F.try_element_at("metrics", F.lit(k)), F.lit(0).cast("long")).alias(k)
+          for k in names],
+    )
+
+
 def _user() -> str:
     try:
         return getpass.getuser()

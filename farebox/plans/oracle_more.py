@@ -203,6 +203,11 @@ FROM source s LEFT JOIN (SELECT DISTINCT VendorID, tpep_pickup_datetime, tpep_dr
                                 trip_month FROM target) t
   ON {KEY_MATCH.format(a='s', b='t')}""",
         "change_set": scen + CHANGE_SET,
+        "merge_history_metrics": scen + f"""
+SELECT COUNT(*) FILTER (WHERE t.VendorID IS NULL) AS inserted,
+       COUNT(*) FILTER (WHERE t.VendorID IS NOT NULL) AS updated,
+       CAST(0 AS BIGINT) AS deleted, COUNT(*) AS source_rows
+FROM source s LEFT JOIN target t ON {KEY_MATCH.format(a='s', b='t')}""",
         "gold_incremental": scen + Q1_OF.format(src="upserted"),
         "incremental_since_watermark": with_("silver") + "SELECT * FROM silver",
         "merge_partition_scoped": scen + f""",

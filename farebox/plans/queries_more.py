@@ -212,8 +212,16 @@ def _kpi_diff(spark, sf_dir):
     return kpi_diff(agg.kpi_snapshot(t.read(0)), agg.kpi_snapshot(t.read(1)))
 
 
+def _merge_history_metrics(spark, sf_dir):
+    from farebox.operators.snapshots import history_metrics
+
+    t = versioned(spark, sf_dir, "hmetrics")
+    return history_metrics(t.history().filter(F.col("version") == 1)).drop("version")
+
+
 def snapshot_queries():
     return {
+        "merge_history_metrics": _merge_history_metrics,
         "read_as_of_version": lambda s, d: versioned(s, d, "asof").read(0),
         "read_as_of_timestamp": lambda s, d: versioned(s, d, "asofts").read_as_of_timestamp(
             dt.datetime(2024, 1, 15)),

@@ -84,7 +84,7 @@ def _with_lineage(df: DataFrame) -> DataFrame:
     )
 
 
-def group_by_schema(spark: SparkSession, paths: list[str], threads: int = 8) -> list[list[str]]:
+def group_by_schema(spark: SparkSession, paths: list[str], threads: int = 16) -> list[list[str]]:
     """Group landing paths by their footer schema.
 
     Footer reads are driver-side metadata calls; a small thread pool

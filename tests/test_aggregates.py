@@ -49,3 +49,12 @@ def test_quantiles_approx_rank_error(spark):
     row = agg.quantiles_approx(df, relative_error=0.001).first()
     for p, name in zip(agg.QUANTILE_PROBS, agg.QUANTILE_NAMES):
         assert abs(row[name] - p * n) <= 0.001 * n + 1
+
+
+def test_kpi_document_json_roundtrip_through_from_json(spark, raw_df):
+    from farebox.operators import documents as docs
+
+    text = docs.to_json_document(docs.kpi_document(to_silver(raw_df)))
+    rows = docs.monthly_rows(docs.parse_kpi_json(text)).collect()
+    assert [(r.mes_num, r.mes, r.corridas, r.receita_media_usd) for r in rows] == [
+        (1, "Jan", 1, 20.5), (5, "Mai", 1, 55.0)]
