@@ -16,8 +16,10 @@ from farebox.config import (
     AVG_AMOUNT,
     AVG_PASSENGERS,
     DEFAULT_COLUMNS,
+    DOC_DISCARD_PCT,
     DOC_GLOBAL_AVG,
     DOC_HOUR,
+    DOC_LANDING_ROWS,
     DOC_META,
     DOC_MONTH_NUM,
     DOC_NOTE,
@@ -50,6 +52,8 @@ DOCUMENT_SCHEMA = T.StructType([
         T.StructField(DOC_SILVER_ROWS, T.LongType()),
         T.StructField(DOC_PERIOD, T.StringType()),
         T.StructField(DOC_NOTE, T.StringType()),
+        T.StructField(DOC_LANDING_ROWS, T.LongType()),
+        T.StructField(DOC_DISCARD_PCT, T.DoubleType()),
     ])),
     T.StructField(DOC_Q1, T.ArrayType(Q1_ITEM)),
     T.StructField(DOC_GLOBAL_AVG, T.DoubleType()),
@@ -58,9 +62,16 @@ DOCUMENT_SCHEMA = T.StructType([
 
 
 def kpi_document(
-    silver: DataFrame, month: int = 5, note: str = DEFAULT_NOTE, cols: TripColumns = DEFAULT_COLUMNS
+    silver: DataFrame, month: int = 5, note: str = DEFAULT_NOTE, cols: TripColumns = DEFAULT_COLUMNS,
+    landing: DataFrame | None = None,
 ) -> DataFrame:
-    """K6 + A16 + A17: the KPI document as one row of nested columns."""
+    """K6 + A16 + A17: the KPI document as one row of nested columns.
+
+    With ``landing`` (the raw rows Silver was cleaned from) ``meta`` also
+    carries the landing row count and the discarded share (A15); the count is
+    one scalar (one job), added as a literal.
+    """
+    landing_rows = None if landing is None else landing.count()
     m, h = F.col(cols.month), F.col(cols.hour)
     in_month = m == F.lit(month)
     sets = silver.groupingSets([[cols.month], [cols.hour], []], cols.month, cols.hour).agg(
@@ -89,6 +100,7 @@ def kpi_document(
             F.concat(_ym_text(F.max(F.when(total, F.col("_first")))), F.lit(PERIOD_SEPARATOR),
                      _ym_text(F.max(F.when(total, F.col("_last"))))).alias(DOC_PERIOD),
             F.lit(note).alias(DOC_NOTE),
+            *_landing_meta(landing_rows, F.coalesce(F.max(F.when(total, F.col("_n"))), F.lit(0))),
         ).alias(DOC_META),
         F.sort_array(F.collect_list(F.when(by_month, q1_item))).alias(DOC_Q1),
         F.max(F.when(total, F.round("_avg_amount", 2))).alias(DOC_GLOBAL_AVG),
@@ -97,6 +109,14 @@ def kpi_document(
     )
 
 
+def _landing_meta(landing_rows, silver_rows) -> list:
+    if landing_rows is None:
+        return []
+    pct = (F.lit(float(landing_rows)) - silver_rows) * 100.0 / F.lit(float(landing_rows))
+    return [F.lit(landing_rows).cast("long").alias(DOC_LANDING_ROWS),
+            F.round(pct, 2).alias(DOC_DISCARD_PCT)]
+
+
 def _ym_number(ts):
     return F.year(ts) * 100 + F.month(ts)
 

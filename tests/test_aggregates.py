@@ -58,3 +58,13 @@ def test_kpi_document_json_roundtrip_through_from_json(spark, raw_df):
     rows = docs.monthly_rows(docs.parse_kpi_json(text)).collect()
     assert [(r.mes_num, r.mes, r.corridas, r.receita_media_usd) for r in rows] == [
         (1, "Jan", 1, 20.5), (5, "Mai", 1, 55.0)]
+
+
+def test_kpi_document_meta_with_discard_rate(spark, raw_df):
+    from farebox.operators import documents as docs
+
+    doc = docs.kpi_document(to_silver(raw_df), landing=raw_df).first()
+    assert (doc.meta.linhas_silver, doc.meta.linhas_landing) == (2, 7)
+    assert doc.meta.taxa_descartada_pct == round(5 * 100 / 7, 2)
+    plain = docs.kpi_document(to_silver(raw_df)).first()
+    assert "linhas_landing" not in plain.meta.asDict()
