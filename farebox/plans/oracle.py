@@ -196,13 +196,3 @@ SELECT trip_month, COUNT(*) AS qtd_corridas, ROUND(AVG(total_amount), 2) AS rece
        CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS linhas
 FROM silver GROUP BY trip_month""",
     }
-
-
-from farebox.plans.oracle_more import more_sql  # noqa: E402
-
-
-def all_sql() -> dict[str, str]:
-    out: dict[str, str] = {}
-    for part in (cleaning_sql, aggregate_sql, more_sql):
-        out.update(part())
-    return out

@@ -18,33 +18,19 @@ from farebox.config import MONTH_ALIAS
 from farebox.functions.columns import month_label, year_month
 from farebox.operators import aggregates as agg
 from farebox.operators import cleaning as cl
-from farebox.sources.driver_tables import DRIVER_WINDOW, trips_raw
+from farebox.plans.inputs import W, not_null, q1, q2, silver, typed
+from farebox.plans.queries_more import (
+    documents_queries,
+    incremental_queries,
+    landing_queries,
+    quality_queries,
+    sink_queries,
+    snapshot_queries,
+    streaming_queries,
+)
+from farebox.sources.driver_tables import trips_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
-W = DRIVER_WINDOW
-
-
-# --- shared building blocks -------------------------------------------------
-
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver trips of the driver window (scan predicates derived from the window)."""
-    return cl.to_silver(trips_raw(spark, sf_dir, prune_for=W), W)
-
-
-def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.cast_types(cl.select_required(trips_raw(spark, sf_dir)))
-
-
-def not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.filter_not_null(typed(spark, sf_dir))
-
-
-def q1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return agg.monthly_revenue(silver(spark, sf_dir))
-
-
-def q2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return agg.hourly_passengers(silver(spark, sf_dir), month=5)
 
 
 # --- P: projections, filters, dedup ------------------------------------------
@@ -115,15 +101,6 @@ def _aggregates() -> dict[str, Query]:
     }
 
 
-from farebox.plans.queries_more import (  # noqa: E402
-    documents_queries,
-    incremental_queries,
-    landing_queries,
-    quality_queries,
-    sink_queries,
-    snapshot_queries,
-    streaming_queries,
-)
 
 
 def all_queries() -> dict[str, Query]:

@@ -18,7 +18,7 @@ from farebox.operators import quality as dq
 from farebox.operators.cleaning import to_silver
 from farebox.operators.snapshots import SnapshotTable, kpi_diff
 from farebox.plans import jobs
-from farebox.plans.queries import W, silver, typed
+from farebox.plans.inputs import W, silver, typed
 from farebox.session import checkpoint_root, scratch_path
 from farebox.sinks import catalog as cat
 from farebox.sinks.layout import write_gold, write_silver

@@ -10,7 +10,7 @@ from farebox.config import DEFAULT_COLUMNS as C
 from farebox.operators import aggregates as agg
 from farebox.operators import merge as mg
 from farebox.operators import quality as dq
-from farebox.plans.queries import silver, typed
+from farebox.plans.inputs import silver, typed
 from farebox.plans.queries_more import upsert_scenario
 from farebox.sources.driver_tables import table, trips_raw
 

@@ -39,7 +39,7 @@ def layers(spark):
 
 
 def test_silver_gate_passed_and_rows_match(spark, layers):
-    from farebox.plans.queries import silver
+    from farebox.plans.inputs import silver
 
     assert all(r.passed for r in layers["results"])
     written = spark.read.parquet(layers["silver"])
