@@ -177,8 +177,11 @@ def recompute_for_changed_partitions(
 ) -> DataFrame:
     """M8: refresh an aggregate only for partitions that have changes.
 
-    ``compute(df)`` must group by ``partition_col``. Touched partitions are a
-    small relation (one row per month), joined as a semi/anti filter.
+    ``compute(df)`` must group by ``partition_col``. ``changes`` is any
+    relation holding the changed rows' partition values: a change set, or
+    simply the source batch of the merge (cheaper: no full outer join). The
+    touched partitions are a small relation (one row per month), used as a
+    semi/anti join filter (broadcast by AQE once measured).
     """
     touched = changes.select(partition_col).distinct()
     fresh = compute(new_table.join(touched, on=partition_col, how="left_semi"))
