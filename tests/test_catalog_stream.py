@@ -104,3 +104,31 @@ def test_history_document_is_iso_json(spark):
     assert doc["version"] == 0 and doc["operation"] == "WRITE"
     assert doc["timestamp"] == "2024-01-02T03:04:05.000000"
     assert doc["operationMetrics"] == {"num_output_rows": 1}
+
+
+def test_streaming_upsert_absorbs_late_files(spark):
+    import datetime as dt
+
+    from farebox.config import DateWindow
+    from farebox.operators.snapshots import SnapshotTable
+    from farebox.plans.queries_more import canonical_landing_schema
+
+    schema = canonical_landing_schema()
+    land, ckpt = scratch_path(spark, "su_land"), scratch_path(spark, "su_ckpt")
+    table = SnapshotTable(spark, scratch_path(spark, "su_table"))
+
+    def land_month(month: str, amount: float) -> None:
+        p = dt.datetime(2023, int(month[5:]), 3, 10)
+        row = (1, 1.0, amount, p, p + dt.timedelta(minutes=9), 1.0, "N", 1.0, 1, 2, 1, 0.0, None)
+        spark.createDataFrame([row], schema).write.mode("append").parquet(
+            f"{land}/yellow_tripdata_{month}.parquet")
+
+    window = DateWindow("2023-01-01", "2023-03-01")
+    land_month("2023-01", 10.0)
+    st.upsert_available(spark, land, table, ckpt, schema, window)
+    land_month("2023-02", 20.0)
+    st.upsert_available(spark, land, table, ckpt, schema, window)
+    assert st.upsert_available(spark, land, table, ckpt, schema, window) == 0  # nothing new
+    rows = sorted((r.trip_month, r.total_amount) for r in table.read().collect())
+    assert rows == [(1, 10.0), (2, 20.0)]
+    assert table.latest_version() == 1  # first load, then one merge
