@@ -139,3 +139,14 @@ def test_year_month_partitions_for_windows_spanning_years(spark):
     assert got == [(202301, 5.0), (202311, 6.0), (202401, 8.0)]
     manifest = {e["partition"]: e["snapshot"] for e in t.latest()["manifest"]}
     assert manifest == {202301: 0, 202311: 0, 202401: 1}
+
+
+def test_natural_key_and_missing_table(spark):
+    from farebox.config import NATURAL_KEY
+
+    assert NATURAL_KEY == ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime"]
+    t = SnapshotTable(spark, scratch_path(spark, "absent"))
+    assert t.latest_version() is None and t.latest() is None
+    assert t.history().count() == 0
+    with pytest.raises(ValueError):
+        t.read()
