@@ -56,6 +56,11 @@ def write_silver(
     them instead of recomputing the dedup shuffle. ``MEMORY_AND_DISK``
     spills rather than failing on a large month; ``unpersist`` runs even when
     the gate raises. Returns the check results.
+
+    This is a full refresh (static overwrite): Spark clears the target before
+    the write job runs, so a job that dies part-way leaves the path empty.
+    Where readers must never see that, write versions with ``SnapshotTable``
+    (published only after the data is complete).
     """
     from farebox.operators.quality import run_checks
 
