@@ -40,6 +40,29 @@ def silver_job(spark: SparkSession, bronze: str, silver: str, window: DateWindow
                         expectations, fmt=fmt)
 
 
+def silver_publish_job(spark: SparkSession, bronze: str, silver_root: str, window: DateWindow,
+                       database: str, table: str = "silver_trips",
+                       cols: TripColumns = DEFAULT_COLUMNS, expectations=None) -> str:
+    """Bronze -> a fresh Silver location, gated, then the catalog table is re-pointed.
+
+    The refresh is written below ``silver_root`` under a new run folder, so
+    the location readers use is never cleared or half-written; the catalog
+    registration (DROP + CREATE ... LOCATION) switches readers to the new
+    data only after the gate passed and the write committed. Returns the
+    new location (older runs are left for a retention policy to remove).
+    """
+    import uuid
+
+    from farebox.sinks.catalog import TableSpec, ensure_database, register_table
+
+    location = f"{silver_root.rstrip('/')}/run={uuid.uuid4().hex[:12]}"
+    silver_job(spark, bronze, location, window, cols, expectations)
+    ensure_database(spark, database)
+    register_table(spark, database, TableSpec(table, location,
+                                              "Silver trips, partitioned by trip_month."))
+    return location
+
+
 def silver_snapshot_job(spark: SparkSession, bronze: str, table: SnapshotTable,
                         window: DateWindow, cols: TripColumns = DEFAULT_COLUMNS,
                         expectations=None) -> int:

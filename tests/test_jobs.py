@@ -115,3 +115,19 @@ def test_snapshot_commit_gates_in_the_same_pass(spark, layers):
     with pytest.raises(DataQualityError):
         bad.commit(rows, "WRITE", expectations=default_expectations())
     assert bad.latest_version() is None  # never published
+
+
+def test_silver_publish_repoints_the_catalog_only_after_success(spark, layers):
+    root = scratch_path(spark, "j_pub")
+    first = jobs.silver_publish_job(spark, layers["bronze"], root, DRIVER_WINDOW, "farebox_pub")
+    n = spark.read.parquet(layers["silver"]).count()
+    assert spark.table("farebox_pub.silver_trips").count() == n
+    # a refresh that fails its gate leaves the published table untouched
+    bad_bronze = scratch_path(spark, "j_bad_bronze")
+    spark.read.parquet(layers["bronze"]).limit(0).write.parquet(bad_bronze)
+    with pytest.raises(DataQualityError):
+        jobs.silver_publish_job(spark, bad_bronze, root, DRIVER_WINDOW, "farebox_pub")
+    assert spark.table("farebox_pub.silver_trips").count() == n
+    location = spark.sql("DESCRIBE TABLE EXTENDED farebox_pub.silver_trips").filter(
+        "col_name = 'Location'").first().data_type
+    assert location.endswith(first.split("/")[-1])
