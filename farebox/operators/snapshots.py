@@ -9,8 +9,10 @@ Layout below ``root``:
   for every partition of that version, the snapshot that holds it.
 
 A version becomes visible only when its history row is appended, after its
-data files are complete; a failed commit leaves unreferenced files that the
-next attempt (same version number) overwrites. Reading a version turns its
+data files are complete. Every commit attempt writes under its own snapshot
+id (``version * 10**6`` plus a random part), so no attempt can overwrite the
+files of a committed version; a failed attempt only leaves unreferenced
+files. (History appends assume one writer per table at a time.) Reading a version turns its
 manifest (one entry per partition, bounded by the partition count) into
 the list of directories to read, so only that version's files are listed and
 read. Restore writes no data: the new version re-points to old snapshots.
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 import getpass
+import secrets
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +32,7 @@ from farebox.config import MONTH_COL
 from farebox.session import path_exists
 
 SNAPSHOT = "snapshot"
+SNAPSHOT_SPAN = 1_000_000  # snapshot id = version * SNAPSHOT_SPAN + random part
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("version", T.LongType(), False),
@@ -149,16 +153,17 @@ class SnapshotTable:
         version = 0 if prev is None else int(prev["version"]) + 1
         # The partitions written are observed during the write itself (a set
         # bounded by the partition count), not by scanning the data again.
-        obs = Observation(f"commit_{version}")
+        snapshot_id = version * SNAPSHOT_SPAN + secrets.randbelow(SNAPSHOT_SPAN)
+        obs = Observation(f"commit_{snapshot_id}")
         staged = (
-            df.withColumn(SNAPSHOT, F.lit(version).cast("long"))
+            df.withColumn(SNAPSHOT, F.lit(snapshot_id).cast("long"))
             .hint("rebalance", self.partition_col)
             .observe(obs, F.collect_set(self.partition_col).alias("parts"),
                      F.count(F.lit(1)).alias("rows"))
         )
         dq_obs = None
         if expectations is not None:
-            staged, dq_obs = observe_checks(staged, expectations or None, name=f"dq_{version}")
+            staged, dq_obs = observe_checks(staged, expectations or None, name=f"dq_{snapshot_id}")
         (
             staged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -173,7 +178,7 @@ class SnapshotTable:
         manifest = {} if (replace_all or prev is None) else {
             e["partition"]: e[SNAPSHOT] for e in prev["manifest"]}
         for p in written:
-            manifest[p] = version
+            manifest[p] = snapshot_id
         self._append_history(version, operation, metrics, manifest, committed_at, user)
         return version
 
