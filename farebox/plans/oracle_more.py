@@ -244,6 +244,10 @@ SELECT {LANDING_COLS.replace('total_amount,', "CASE WHEN _source_month = '1997-0
 FROM landing""",
         "catalog_register": with_("silver") + "SELECT * FROM silver",
         "layers_end_to_end": with_("q1") + "SELECT * FROM q1",
+        "catalog_sql_hourly": with_("silver") + """
+SELECT CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hora_do_dia, COUNT(*) AS qtd_corridas,
+       ROUND(AVG(passenger_count), 3) AS media_passageiros
+FROM silver WHERE trip_month = 5 GROUP BY 1""",
         "catalog_sql_scan": with_("q1") + """
 SELECT trip_month AS mes, qtd_corridas, receita_media_usd, receita_total_usd FROM q1""",
         # landing

@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.config import DEFAULT_COLUMNS as C
-from farebox.config import AVG_AMOUNT, MONTH_ALIAS, SUM_AMOUNT, TRIPS
+from farebox.config import (
+    AVG_AMOUNT,
+    AVG_PASSENGERS,
+    HOUR_ALIAS,
+    MONTH_ALIAS,
+    SUM_AMOUNT,
+    TRIPS,
+)
 from farebox.operators import aggregates as agg
 from farebox.operators import documents as docs
 from farebox.operators import merge as mg
@@ -284,6 +291,14 @@ def _catalog_sql_scan(spark, sf_dir):
         sum=SUM_AMOUNT, view=qualified, month_alias=MONTH_ALIAS))
 
 
+def _catalog_sql_hourly(spark, sf_dir):
+    """Q2 in SQL over the registered, month-partitioned table (month 5 is a partition filter)."""
+    qualified = _registered_silver(spark, sf_dir)
+    return spark.sql(agg.HOURLY_PASSENGERS_SQL.format(
+        pickup=C.pickup, trips=TRIPS, passengers=C.passengers, avg=AVG_PASSENGERS,
+        view=qualified, month_col=C.month, month=5, hour_alias=HOUR_ALIAS))
+
+
 def _catalog_register_all(spark, sf_dir):
     root = scratch_path(spark, "layers")
     s = silver(spark, sf_dir)
@@ -318,6 +333,7 @@ def sink_queries():
         "bronze_backfill_month": _bronze_backfill,
         "catalog_register": lambda s, d: s.table(_registered_silver(s, d)),
         "catalog_sql_scan": _catalog_sql_scan,
+        "catalog_sql_hourly": _catalog_sql_hourly,
         "catalog_register_all": _catalog_register_all,
         "catalog_describe": lambda s, d: cat.describe(s, _registered_silver(s, d)),
     }

@@ -56,3 +56,8 @@ def test_no_query_plans_a_cross_product(spark):
                  "kpi_snapshot", "demand_intensity", "peak_low_hour"):
         t = tree(plan_of(spark, name))
         assert "CartesianProduct" not in t and "BroadcastNestedLoopJoin" not in t, name
+
+
+def test_sql_over_the_catalog_table_prunes_months(spark):
+    plan = plan_of(spark, "catalog_sql_hourly")
+    assert re.search(r"PartitionFilters: \[[^\]]*trip_month#\d+ = 5", plan)
