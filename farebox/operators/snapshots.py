@@ -73,11 +73,12 @@ class SnapshotTable:
         )
 
     def _version_row(self, version: int | None):
+        """One history row; should a version have two rows (two attempts), the
+        earliest commit is the one that counts, deterministically."""
         h = self.history()
-        if version is None:
-            rows = h.orderBy(F.desc("version")).limit(1).collect()
-        else:
-            rows = h.filter(F.col("version") == version).collect()
+        if version is not None:
+            h = h.filter(F.col("version") == version)
+        rows = h.orderBy(F.desc("version"), "committed_at", "operation").limit(1).collect()
         return rows[0] if rows else None
 
     def latest(self):
