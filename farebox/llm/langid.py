@@ -121,7 +121,7 @@ def train(docs: DataFrame, label_col: str = "lang", text_col: str = "text", rows
         got = known.mapInArrow(count, "l int, b int, n bigint").groupBy("l", "b").agg(F.sum("n").alias("n")).toArrow()
         counts[got["l"].to_numpy(), got["b"].to_numpy()] = got["n"].to_numpy()  # languages x buckets at most
     per_order = counts.reshape(len(langs), ORDER, 1 << BITS) + SMOOTHING
-    logp = np.log(per_order / per_order.sum(axis=2, keepdims=True)).reshape(len(langs), -1).T
+    logp = np.log(per_order / per_order.sum(axis=2, keepdims=True)).reshape(counts.shape).T
     return langs, np.ascontiguousarray(logp, np.float32), np.log(n / n.sum()) if langs else n
 
 
