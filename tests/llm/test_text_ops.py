@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -54,8 +55,10 @@ def test_base_spans_cases(text):
 
 
 def test_long_runs_take_linear_time():
-    text = "1" * 300_000 + " " + "a" * 300_000 + " " + "1.1" * 100_000 + "+1" + " " * 300_000 + "@" * 1000
-    assert pii.spans_of(text) == []
+    text = "1" * 300_000 + " " + "a" * 300_000 + " " + "1.1" * 100_000 + " +1" + " " * 300_000 + "@" * 1000
+    began = time.monotonic()
+    assert {s["kind"] for s in pii.spans_of(text)} == {"ip"}  # 11.11.11.11 and so on
+    assert time.monotonic() - began < 20
 
 
 def test_checksums_and_context():
