@@ -57,11 +57,9 @@ def quote(name: str) -> str:
 def nanos_to_timestamp_ntz(name: str) -> Column:
     """Wall clock from a bigint column of nanoseconds since the epoch.
 
-    No zone is involved (the value *is* a wall clock), so a spring-forward
-    gap such as 02:30 stays 02:30. Integer arithmetic only: nanos near 1.7e18
-    exceed a double's 53-bit mantissa, so a floating-point division would
-    round some microseconds. ``pmod`` makes the division a floor, which is
-    also right for instants before 1970.
+    The value counts wall-clock time, so it is added to a zone-less epoch and
+    02:30 stays 02:30 on every day. Whole-number arithmetic throughout; taking
+    off ``pmod`` first makes the division round down before 1970, too.
     """
     c = quote(name)
     return F.expr(

@@ -9,7 +9,8 @@ functions below operate on at most 24 aggregated rows.
 
 from __future__ import annotations
 
-import bisect
+import math
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,22 +78,23 @@ def monthly_revenue_sql(spark, silver: DataFrame, view: str = "silver_trips",
 def bag_equality(left: DataFrame, right: DataFrame) -> DataFrame:
     """Compare two relations as bags (order-free, duplicates count).
 
-    One row: sizes, rows only on each side (``exceptAll`` both ways), and
-    ``equal``. Built as one aggregate over a tagged union, so no cross join
-    and no driver round trip.
+    Each left row counts +1 and each right row -1; a group of equal rows whose
+    sum is not 0 has that many rows on one side only. One pass over either side
+    and one shuffle, with partial sums before it. One row: sizes, surplus rows
+    of each side, and ``equal``.
     """
-    tag = "_side"
-    parts = (
-        left.select(F.lit("left").alias(tag))
-        .unionByName(right.select(F.lit("right").alias(tag)))
-        .unionByName(left.exceptAll(right).select(F.lit("only_left").alias(tag)))
-        .unionByName(right.exceptAll(left).select(F.lit("only_right").alias(tag)))
-    )
-    return parts.agg(
-        F.count_if(F.col(tag) == "left").alias("left_rows"),
-        F.count_if(F.col(tag) == "right").alias("right_rows"),
-        F.count_if(F.col(tag) == "only_left").alias("only_left"),
-        F.count_if(F.col(tag) == "only_right").alias("only_right"),
+    cols = left.columns
+    both = left.withColumn("_w", F.lit(1)).union(right.withColumn("_w", F.lit(-1)))  # by position
+    groups = both.groupBy(*cols).agg(F.sum("_w").alias("_d"), F.count_if(F.col("_w") > 0).alias("_l"),
+                                     F.count_if(F.col("_w") < 0).alias("_r"))
+
+    def total(c):
+        return F.coalesce(F.sum(c), F.lit(0))
+
+    return groups.agg(
+        total(F.col("_l")).alias("left_rows"), total(F.col("_r")).alias("right_rows"),
+        total(F.greatest(F.col("_d"), F.lit(0))).alias("only_left"),
+        total(F.greatest(-F.col("_d"), F.lit(0))).alias("only_right"),
     ).withColumn("equal", (F.col("only_left") == 0) & (F.col("only_right") == 0))
 
 
@@ -344,83 +346,45 @@ def quantiles_exact(
     df: DataFrame,
     column: str | None = None,
     probs: list[float] | None = None,
-    buckets: int | None = None,
-    rows_per_bucket: int = 2_000_000,
 ) -> DataFrame:
     """Exact continuous quantiles (linear interpolation between ranks), distributed.
 
-    ``percentile`` keeps every distinct value of a group in one buffer, and a
-    global sort would funnel ranks through one task. Instead:
-
-    1. row count, then ``buckets - 1`` approximate cut points; by default
-       ``buckets`` grows with the data (about ``rows_per_bucket`` rows per
-       bucket, at least 256, at most 100,000 cut points) so the buckets that
-       are ranked in step 4 stay small at any scale;
-    2. distinct values with their counts (partial aggregation, so a value
-       holding a third of all rows is one row), each tagged with its bucket
-       (``Bucketizer``: binary search, JVM side);
-    3. per-bucket counts (at most ``buckets`` rows) locate the bucket and the
-       offset of every target rank;
-    4. only the buckets holding target ranks are ranked, with a running sum
-       over (value, count) inside each bucket.
+    The column is reduced once to distinct values with their counts (partial
+    aggregation, so a value holding a third of all rows is one row), dealt by
+    value ranges and written with the number of its range. One count per range
+    says which ranges hold the wanted ranks; only those are ranked, each by a
+    running sum of counts. The same at any size.
 
     Returns one row ``p50, p90, ...`` (names as in ``quantiles_approx``).
     """
-    from pyspark.ml.feature import Bucketizer
+    from farebox.session import scratch_path
 
     column = column or DEFAULT_COLUMNS.amount
     probs = probs or QUANTILE_PROBS
     names = QUANTILE_NAMES if probs == QUANTILE_PROBS else [f"q{i}" for i in range(len(probs))]
-    values = df.select(F.col(column).cast("double").alias("v")).filter(
-        F.col("v").isNotNull() & ~F.isnan("v"))
-    n = int(values.agg(F.count(F.lit(1))).first()[0])
+    spark = df.sparkSession
+    counted = df.select(F.col(column).cast("double").alias("v")).filter(
+        F.col("v").isNotNull() & ~F.isnan("v")).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    path = scratch_path(spark, "value-counts")
+    counted.repartitionByRange("v").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.schema("v double, c bigint, part int").parquet(path)
+    # one row per range, in the order of the values
+    sizes = dealt.groupBy("part").agg(F.sum("c").alias("n")).orderBy("part").collect()
+    n = sum(r["n"] for r in sizes)
     if n == 0:
-        return df.limit(0).agg(*[F.lit(None).cast("double").alias(nm) for nm in names])
-    if buckets is None:
-        buckets = min(100_000, max(256, -(-n // rows_per_bucket)))
-    cuts = [i / buckets for i in range(1, buckets)]
-    accuracy = max(10_000, 10 * buckets)  # rank error n / accuracy, finer than a bucket
-    head = values.agg(F.percentile_approx("v", F.array(*[F.lit(c) for c in cuts]), accuracy)
-                      .alias("b")).first()
-    inner = sorted(set(head["b"] or [])) or [0.0]  # Bucketizer needs >= 3 splits
-    splits = [float("-inf"), *inner, float("inf")]
-    counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    tagged = Bucketizer(splits=splits, inputCol="v", outputCol="bucket").transform(counted)
-    per_bucket = sorted((int(r[0]), int(r[1])) for r in
-                        tagged.groupBy("bucket").agg(F.sum("c")).collect())
-    bucket_ids, starts, acc = [], [], 0
-    for b, c in per_bucket:  # cumulative row offset where each bucket starts
-        bucket_ids.append(b)
-        starts.append(acc)
-        acc += c
-
-    def locate(rank: int) -> tuple[int, int]:
-        i = bisect.bisect_right(starts, rank) - 1
-        return bucket_ids[i], rank - starts[i]
-
-    wanted = {}
-    for p in probs:
-        h = p * (n - 1)
-        for r in {int(h // 1), int(-(-h // 1))}:
-            wanted[r] = locate(r)
-    target_buckets = sorted({b for b, _ in wanted.values()})
-    w = Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        tagged.filter(F.col("bucket").isin(target_buckets))
-        .withColumn("_end", F.sum("c").over(w))
-        .withColumn("_start", F.col("_end") - F.col("c"))
-    )
-    # <= 2 * len(probs) target rows: broadcast them (size proven by construction)
-    targets = df.sparkSession.createDataFrame(
-        [(r, float(b), off) for r, (b, off) in wanted.items()], "rank long, bucket double, off long")
-    picks = ranked.join(F.broadcast(targets), on="bucket").filter(
-        (F.col("_start") <= F.col("off")) & (F.col("off") < F.col("_end"))
-    ).select("rank", "v")
-    at = {r: F.max(F.when(F.col("rank") == r, F.col("v"))) for r in wanted}
-    out = []
-    for p, nm in zip(probs, names):
-        h = p * (n - 1)
-        lo, hi = int(h // 1), int(-(-h // 1))
-        frac = h - lo
-        out.append(F.round(at[lo] + (at[hi] - at[lo]) * F.lit(frac), 4).alias(nm))
-    return picks.agg(*out)
+        return dealt.agg(*[F.max(F.lit(None).cast("double")).alias(nm) for nm in names])
+    first = dict(zip([r["part"] for r in sizes], accumulate([0, *(r["n"] for r in sizes)])))
+    ranks = {r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}
+    holds = sorted({max(p for p, a in first.items() if a <= r) for r in ranks})
+    w = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    start = F.try_element_at(F.create_map(*[F.lit(x) for p in holds for x in (p, first[p])]), F.col("part"))
+    ranked = dealt.filter(F.col("part").isin(holds)).withColumn("upto", start + F.sum("c").over(w))
+
+    def at(rank: int):
+        return F.min(F.when(F.col("upto") > rank, F.col("v")))
+
+    def quantile(p: float):
+        low, high, share = math.floor(p * (n - 1)), math.ceil(p * (n - 1)), p * (n - 1) % 1
+        return F.round(at(low) + (at(high) - at(low)) * F.lit(share), 4)
+
+    return ranked.agg(*[quantile(p).alias(nm) for p, nm in zip(probs, names)])

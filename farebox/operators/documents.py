@@ -34,6 +34,9 @@ from farebox.config import (
 )
 from farebox.functions.columns import month_label
 
+#: Marks the landing count among the grouping sets, whose ids are 0 to 3.
+LANDING_SET = 9
+
 DEFAULT_NOTE = "KPIs computed by farebox over the Silver layer."
 
 Q1_ITEM = T.StructType([
@@ -68,10 +71,9 @@ def kpi_document(
     """K6 + A16 + A17: the KPI document as one row of nested columns.
 
     With ``landing`` (the raw rows Silver was cleaned from) ``meta`` also
-    carries the landing row count and the discarded share (A15); the count is
-    one scalar (one job), added as a literal.
+    carries the landing row count and the discarded share (A15); the count is one
+    more row of the grouping sets, so building the plan runs nothing.
     """
-    landing_rows = None if landing is None else landing.count()
     m, h = F.col(cols.month), F.col(cols.hour)
     in_month = m == F.lit(month)
     sets = silver.groupingSets([[cols.month], [cols.hour], []], cols.month, cols.hour).agg(
@@ -84,6 +86,9 @@ def kpi_document(
         F.min(_ym_number(F.col(cols.pickup))).alias("_first"),
         F.max(_ym_number(F.col(cols.pickup))).alias("_last"),
     )
+    if landing is not None:
+        raw = landing.agg(F.count(F.lit(1)).alias("_n")).withColumn("_g", F.lit(LANDING_SET).cast("long"))
+        sets = sets.unionByName(raw, allowMissingColumns=True)
     g = F.col("_g")
     by_month, by_hour, total = g == 1, g == 2, g == 3
     q1_item = F.struct(
@@ -100,7 +105,9 @@ def kpi_document(
             F.concat(_ym_text(F.max(F.when(total, F.col("_first")))), F.lit(PERIOD_SEPARATOR),
                      _ym_text(F.max(F.when(total, F.col("_last"))))).alias(DOC_PERIOD),
             F.lit(note).alias(DOC_NOTE),
-            *_landing_meta(landing_rows, F.coalesce(F.max(F.when(total, F.col("_n"))), F.lit(0))),
+            *([] if landing is None else _landing_meta(
+                F.coalesce(F.max(F.when(g == LANDING_SET, F.col("_n"))), F.lit(0)),
+                F.coalesce(F.max(F.when(total, F.col("_n"))), F.lit(0)))),
         ).alias(DOC_META),
         F.sort_array(F.collect_list(F.when(by_month, q1_item))).alias(DOC_Q1),
         F.max(F.when(total, F.round("_avg_amount", 2))).alias(DOC_GLOBAL_AVG),
@@ -110,11 +117,8 @@ def kpi_document(
 
 
 def _landing_meta(landing_rows, silver_rows) -> list:
-    if landing_rows is None:
-        return []
-    pct = (F.lit(float(landing_rows)) - silver_rows) * 100.0 / F.lit(float(landing_rows))
-    return [F.lit(landing_rows).cast("long").alias(DOC_LANDING_ROWS),
-            F.round(pct, 2).alias(DOC_DISCARD_PCT)]
+    pct = F.try_divide((landing_rows - silver_rows) * 100.0, landing_rows)
+    return [landing_rows.alias(DOC_LANDING_ROWS), F.round(pct, 2).alias(DOC_DISCARD_PCT)]
 
 
 def _ym_number(ts):
@@ -159,6 +163,12 @@ def history_document(history: DataFrame) -> DataFrame:
             F.date_format("committed_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
             "operation",
             F.col("metrics").alias("operationMetrics"),
-            F.col("user").alias("userName"),
         )).alias("document"),
     ).orderBy(F.desc("version"))
+
+
+def kpi_diff_document(diff: DataFrame, key: str) -> DataFrame:
+    """K7: a KPI diff (T3) as one JSON document, months in order."""
+    row = F.struct(*[F.col(c) for c in diff.columns])
+    return diff.agg(F.array_sort(F.collect_list(row)).alias("meses")).select(
+        F.to_json(F.struct("meses")).alias("document"))

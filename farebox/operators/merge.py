@@ -90,40 +90,66 @@ def merge_plan(
 ) -> DataFrame:
     """Merge metrics plus ``duplicated_keys`` of the source, in one pass.
 
-    The source is reduced to ``(key, n)`` (partial aggregation, so a
-    duplicated hot key costs one row per task), left-joined to the target's
-    distinct keys, and aggregated once: the unique-source rule (M2) is
-    checked by the same job that produces the metrics.
+    Both sides are tagged and counted per key in one aggregate (with partial
+    counts before the shuffle), so a hot key costs one row per task.
     """
     on = _on(keys, partition_col)
-    per_key = source.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    hits = target.select(*on).distinct().withColumn("_hit", F.lit(True))
-    joined = per_key.join(hits, on=on, how="left")
-    return joined.agg(
-        F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_n"))), F.lit(0)).alias("inserted"),
-        F.coalesce(F.sum(F.when(F.col("_hit"), F.col("_n"))), F.lit(0)).alias("updated"),
+    tagged = source.select(*on, F.lit(1).alias("_s")).unionByName(target.select(*on, F.lit(0).alias("_s")))
+    per_key = tagged.groupBy(*on).agg(F.sum("_s").alias("_n"), F.count_if(F.col("_s") == 0).alias("_t"))
+
+    def total(cond):
+        return F.coalesce(F.sum(F.when(cond, F.col("_n"))), F.lit(0))
+
+    return per_key.agg(
+        total(F.col("_t") == 0).alias("inserted"),
+        total(F.col("_t") > 0).alias("updated"),
         F.lit(0).cast("long").alias("deleted"),
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("source_rows"),
+        total(F.lit(True)).alias("source_rows"),
         count_if(F.col("_n") > 1).alias("duplicated_keys"),
     )
 
 
-def months_of(df: DataFrame, partition_col: str) -> list:
-    """Distinct partition values of a source (bounded by the number of
-    partitions, e.g. <= 12 months), used as literal partition filters."""
-    return sorted(r[0] for r in df.select(partition_col).distinct().collect())
+#: Per key: does the merged row's key occur in the target, and in how many source rows.
+HAD_TARGET, SOURCE_ROWS = "_had_target", "_source_rows"
 
 
-def scope_to_source_partitions(
-    target: DataFrame, source: DataFrame, partition_col: str
-) -> tuple[DataFrame, list]:
-    """M3: target restricted to the partitions the source touches.
+def merge_by_order(target: DataFrame, source: DataFrame, keys: list[str],
+                   order_by: list[str] | None = None) -> DataFrame:
+    """Upsert where a stated order, not arrival, decides between rows of one key.
 
-    Literal ``IN`` values become ``PartitionFilters`` on a partitioned scan,
-    so untouched months are neither read nor rewritten.
+    Per key the greatest row by ``order_by`` and then all other columns is kept,
+    the target's rows included, so merging batches in any split or order, or
+    twice, ends in the same table. One aggregate with a partial step before its
+    shuffle. Adds ``HAD_TARGET`` and ``SOURCE_ROWS`` for the metrics.
     """
-    months = months_of(source, partition_col)
-    return target.filter(F.col(partition_col).isin(months)), months
+    cols = target.columns
+    rest = [*(order_by or []), *[c for c in cols if c not in keys and c not in (order_by or [])]]
+    both = target.withColumn("_s", F.lit(0)).unionByName(source.select(*cols).withColumn("_s", F.lit(1)))
+    best = both.groupBy(*keys).agg(
+        F.max(F.struct(*rest)).alias("_best"), F.sum("_s").alias(SOURCE_ROWS),
+        (F.min("_s") == 0).alias(HAD_TARGET))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}") for c in cols], SOURCE_ROWS, HAD_TARGET)
+
+
+def merge_counts() -> list[Column]:
+    """M4 as aggregates over ``merge_by_order`` rows, to be observed while they are written."""
+    n = F.col(SOURCE_ROWS)
+    return [F.coalesce(F.sum(F.when(~F.col(HAD_TARGET), n)), F.lit(0)).alias("inserted"),
+            F.coalesce(F.sum(F.when(F.col(HAD_TARGET), n)), F.lit(0)).alias("updated"),
+            F.lit(0).cast("long").alias("deleted"), F.coalesce(F.sum(n), F.lit(0)).alias("source_rows")]
+
+
+def in_partitions(partition_col: str, values: list) -> Column:
+    """Literal partition filter; a null among the values stands for the null partition."""
+    c = F.col(partition_col)
+    some = c.isin([v for v in values if v is not None])
+    return some | c.isNull() if None in values else some
+
+
+def months_of(df: DataFrame, partition_col: str) -> list:
+    """Distinct partition values (as many as there are partitions); null comes last."""
+    found = [r[0] for r in df.select(partition_col).distinct().collect()]
+    return sorted(found, key=lambda v: (v is None, v))
 
 
 CHANGE_TYPE = "_change_type"
@@ -133,32 +159,34 @@ def change_set(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """M7: rows that differ between two versions, change-data-feed style.
 
     ``_change_type`` is ``insert``, ``delete``, ``update_preimage`` or
-    ``update_postimage``; unchanged rows are omitted (null-safe compare of
-    every non-key column). One full outer join on the key; each joined row
-    emits its 0, 1 or 2 change rows through a generator.
+    ``update_postimage``; unchanged rows are omitted (null-safe compare of every
+    column). Both versions are tagged and met per key in one aggregate; a key
+    that one version holds twice is an error, never a product of rows.
     """
     cols = old.columns
-    values = [c for c in cols if c not in keys]
-    o = old.select(*keys, F.struct(*[F.col(c) for c in cols]).alias("_old"))
-    n = new.select(*keys, F.struct(*[F.col(c) for c in cols]).alias("_new"))
-    j = o.join(n, on=keys, how="full_outer")
-    in_old, in_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
-    differs = F.lit(False)
-    for c in values:
-        differs = differs | ~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}"))
-    changed = in_old & in_new & differs
-
-    def tagged(row: str, kind: Column) -> Column:
-        return F.struct(*[F.col(f"{row}.{c}").alias(c) for c in cols], kind.alias(CHANGE_TYPE))
-
-    pre = F.when(changed, tagged("_old", F.lit("update_preimage"))).when(
-        in_old & ~in_new, tagged("_old", F.lit("delete")))
-    post = F.when(changed, tagged("_new", F.lit("update_postimage"))).when(
-        in_new & ~in_old, tagged("_new", F.lit("insert")))
-    return (
-        j.select(F.explode(F.filter(F.array(pre, post), lambda x: x.isNotNull())).alias("_c"))
-        .select("_c.*")
+    row = F.struct(*[F.col(c) for c in cols]).alias("row")
+    both = old.select(*keys, F.lit(0).alias("_side"), row).unionByName(
+        new.select(*cols).select(*keys, F.lit(1).alias("_side"), row))
+
+    def of(side: int) -> tuple[Column, Column]:
+        mine = F.when(F.col("_side") == side, F.col("row"))
+        return F.max(mine), F.count(mine)
+
+    (old_row, n_old), (new_row, n_new) = of(0), of(1)
+    met = both.groupBy(*keys).agg(old_row.alias("_old"), new_row.alias("_new"),
+                                  F.greatest(n_old, n_new).alias("_n"))
+
+    def tagged(side: str, kind: str) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in cols], F.lit(kind).alias(CHANGE_TYPE))
+
+    o, n = F.col("_old"), F.col("_new")
+    rows = (
+        F.when(F.col("_n") > 1, F.raise_error(F.lit(f"a version holds a key of {keys} more than once")))
+        .when(o.isNull(), F.array(tagged("_new", "insert")))
+        .when(n.isNull(), F.array(tagged("_old", "delete")))
+        .when(~o.eqNullSafe(n), F.array(tagged("_old", "update_preimage"), tagged("_new", "update_postimage")))
     )
+    return met.select(F.inline(rows))
 
 
 def apply_change_set(old: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
@@ -168,25 +196,16 @@ def apply_change_set(old: DataFrame, changes: DataFrame, keys: list[str]) -> Dat
     return old.join(gone, on=keys, how="left_anti").unionByName(added.select(*old.columns))
 
 
-def recompute_for_changed_partitions(
-    old_result: DataFrame,
-    new_table: DataFrame,
-    changes: DataFrame,
-    partition_col: str,
-    compute,
-) -> DataFrame:
-    """M8: refresh an aggregate only for partitions that have changes.
+def refresh_partitions(stored: DataFrame, table: DataFrame, values: list, partition_col: str, compute) -> DataFrame:
+    """M8: a stored aggregate brought up to date for the touched partitions only.
 
-    ``compute(df)`` must group by ``partition_col``. ``changes`` is any
-    relation holding the changed rows' partition values: a change set, or
-    simply the source batch of the merge (cheaper: no full outer join). The
-    touched partitions are a small relation (one row per month), used as a
-    semi/anti join filter (broadcast by AQE once measured).
+    ``values``: the partitions of the merged batch (``months_of``). ``compute``
+    groups by ``partition_col``. The values are literals, so a partitioned
+    ``table`` is read in those partitions alone; all others come from ``stored``.
     """
-    touched = changes.select(partition_col).distinct()
-    fresh = compute(new_table.join(touched, on=partition_col, how="left_semi"))
-    kept = old_result.join(touched, on=partition_col, how="left_anti")
-    return kept.unionByName(fresh.select(*old_result.columns))
+    touched = in_partitions(partition_col, values)
+    fresh = compute(table.filter(touched))
+    return stored.filter(~touched).unionByName(fresh.select(*stored.columns))
 
 
 def read_watermark(control: DataFrame, mark_col: str = "watermark"):
@@ -197,8 +216,10 @@ def read_watermark(control: DataFrame, mark_col: str = "watermark"):
 def since_watermark(df: DataFrame, ts_col: str, watermark) -> DataFrame:
     """M9: rows newer than the watermark; ``None`` (nothing processed yet) keeps all.
 
-    The watermark is a literal, so the predicate is pushed into the Parquet
-    scan (row groups whose max ``ts_col`` is older are skipped).
+    The watermark is a literal; on a stored column the predicate reaches the
+    Parquet scan (row groups whose greatest ``ts_col`` is older are skipped).
+    Save the new mark only after the rows are written: a crash in between
+    repeats rows, which the merge absorbs, and never loses any.
     """
     if watermark is None:
         return df

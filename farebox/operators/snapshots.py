@@ -1,232 +1,72 @@
-"""Versioned tables on plain Parquet: history, read-as-of, restore.
-
-Layout below ``root``:
-
-* ``data/``     rows, partitioned by ``(snapshot, <partition column>)``; a
-  commit only writes the partitions it changes, into a new ``snapshot``.
-* ``_history/`` one row per version: ``version, committed_at, operation,
-  metrics (map<string,bigint>), user, manifest`` where ``manifest`` lists,
-  for every partition of that version, the snapshot that holds it.
-
-A version becomes visible only when its history row is appended, after its
-data files are complete. Every commit attempt writes under its own snapshot
-id (``version * 10**6`` plus a random part), so no attempt can overwrite the
-files of a committed version; a failed attempt only leaves unreferenced
-files. (History appends assume one writer per table at a time.) Reading a version turns its
-manifest (one entry per partition, bounded by the partition count) into
-the list of directories to read, so only that version's files are listed and
-read. Restore writes no data: the new version re-points to old snapshots.
+"""Kept versions of a table as ordinary rows: reads as of a version or a time, history, KPI diff.
+
+A versioned table is plain Parquet partitioned by ``snapshot`` and month; a
+version is the rows with one ``snapshot`` value. Reading one is a partition
+filter, restoring one is copying its rows under a new value, and the history is
+an aggregate of the table joined to a small relation of commit times. There is
+no log or manifest to keep: what the files hold is all there is.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import getpass
-import secrets
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from farebox.config import MONTH_COL
-from farebox.session import path_exists
 
 SNAPSHOT = "snapshot"
-SNAPSHOT_SPAN = 1_000_000  # snapshot id = version * SNAPSHOT_SPAN + random part
-
-HISTORY_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType(), False),
-    T.StructField("committed_at", T.TimestampType(), False),
-    T.StructField("operation", T.StringType(), False),
-    T.StructField("metrics", T.MapType(T.StringType(), T.LongType()), True),
-    T.StructField("user", T.StringType(), True),
-    T.StructField("manifest", T.ArrayType(T.StructType([
-        T.StructField("partition", T.IntegerType(), False),
-        T.StructField(SNAPSHOT, T.LongType(), False),
-    ])), False),
-])
-
-
-class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, partition_col: str = MONTH_COL):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.partition_col = partition_col
-        self.data_path = f"{self.root}/data"
-        self.history_path = f"{self.root}/_history"
-        self.rows_written = 0
-
-    # -- history -------------------------------------------------------------
-    def history(self) -> DataFrame:
-        """T1 source: every version (empty relation before the first commit)."""
-        if path_exists(self.spark, self.history_path):
-            return self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
-        return self.spark.createDataFrame([], HISTORY_SCHEMA)
-
-    def latest_history(self, n: int = 20) -> DataFrame:
-        """Newest ``n`` versions (top-k, ``TakeOrderedAndProject``)."""
-        return (
-            self.history()
-            .select("version", "committed_at", "operation", "metrics", "user")
-            .orderBy(F.desc("version"))
-            .limit(n)
-        )
-
-    def _version_row(self, version: int | None):
-        """One history row; should a version have two rows (two attempts), the
-        earliest commit is the one that counts, deterministically."""
-        h = self.history()
-        if version is not None:
-            h = h.filter(F.col("version") == version)
-        rows = h.orderBy(F.desc("version"), "committed_at", "operation").limit(1).collect()
-        return rows[0] if rows else None
-
-    def latest(self):
-        """The newest history row (None before the first commit)."""
-        return self._version_row(None)
-
-    def latest_version(self) -> int | None:
-        row = self.history().agg(F.max("version")).first()
-        return None if row[0] is None else int(row[0])
-
-    def version_at(self, ts) -> int:
-        """T4: newest version committed at or before ``ts``."""
-        lit = F.lit(ts).cast("timestamp")
-        row = self.history().filter(F.col("committed_at") <= lit).agg(F.max("version")).first()
-        if row[0] is None:
-            raise ValueError(f"no version committed at or before {ts}")
-        return int(row[0])
-
-    # -- reads ---------------------------------------------------------------
-    def read(self, version: int | None = None) -> DataFrame:
-        """The table as of ``version`` (latest when None)."""
-        row = self._version_row(version)
-        if row is None:
-            raise ValueError(f"version {version} does not exist in {self.root}")
-        return self.read_version_row(row)
-
-    def read_version_row(self, row) -> DataFrame:
-        """The data of one history row.
-
-        Only the manifest's directories are listed (``basePath`` keeps the
-        partition columns), so reading a version costs the same however many
-        versions the table has accumulated.
-        """
-        pairs = [(e["partition"], e[SNAPSHOT]) for e in row["manifest"]]
-        if not pairs:
-            return self.spark.read.parquet(self.data_path).limit(0).drop(SNAPSHOT)
-        dirs = [f"{self.data_path}/{SNAPSHOT}={snap}/{self.partition_col}={part}"
-                for part, snap in pairs]
-        return (self.spark.read.option("basePath", self.data_path).parquet(*dirs)
-                .drop(SNAPSHOT))
-
-    def read_as_of_timestamp(self, ts) -> DataFrame:
-        """T4: read the version that was current at ``ts``."""
-        return self.read(self.version_at(ts))
-
-    # -- writes --------------------------------------------------------------
-    def commit(
-        self,
-        df: DataFrame,
-        operation: str,
-        metrics: dict[str, int] | None = None,
-        replace_all: bool = True,
-        committed_at: dt.datetime | None = None,
-        user: str | None = None,
-        expectations=None,
-        prev=False,
-    ) -> int:
-        """Write ``df`` as a new version.
-
-        ``replace_all``: the version holds exactly ``df``'s partitions
-        (overwrite); otherwise ``df`` replaces only the partitions it
-        contains and the others carry over from the previous version (merge).
-
-        ``expectations``: data-quality checks evaluated *during* the write
-        (an ``Observation``: no extra pass, no cache). A failed critical check
-        raises ``DataQualityError`` and the version is never published; its
-        files stay unreferenced and are overwritten by the next attempt.
-        """
-        from farebox.operators.quality import gate, observe_checks, observed_results
-
-        if prev is False:  # not supplied by the caller: read the latest version row
-            prev = self._version_row(None)
-        version = 0 if prev is None else int(prev["version"]) + 1
-        # The partitions written are observed during the write itself (a set
-        # bounded by the partition count), not by scanning the data again.
-        snapshot_id = version * SNAPSHOT_SPAN + secrets.randbelow(SNAPSHOT_SPAN)
-        obs = Observation(f"commit_{snapshot_id}")
-        staged = (
-            df.withColumn(SNAPSHOT, F.lit(snapshot_id).cast("long"))
-            .hint("rebalance", self.partition_col)
-            .observe(obs, F.collect_set(self.partition_col).alias("parts"),
-                     F.count(F.lit(1)).alias("rows"))
-        )
-        dq_obs = None
-        if expectations is not None:
-            staged, dq_obs = observe_checks(staged, expectations or None, name=f"dq_{snapshot_id}")
-        (
-            staged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(SNAPSHOT, self.partition_col)
-            .parquet(self.data_path)
-        )
-        if dq_obs is not None:
-            gate(observed_results(dq_obs), raise_on_fail=True)  # raises before publishing
-        written = sorted(obs.get["parts"] or [])
-        self.rows_written = int(obs.get["rows"])
-        metrics = {"num_output_rows": self.rows_written, **(metrics or {})}
-        manifest = {} if (replace_all or prev is None) else {
-            e["partition"]: e[SNAPSHOT] for e in prev["manifest"]}
-        for p in written:
-            manifest[p] = snapshot_id
-        self._append_history(version, operation, metrics, manifest, committed_at, user)
-        return version
-
-    def restore(self, version: int, committed_at: dt.datetime | None = None) -> int:
-        """T5: new version identical to ``version`` (re-points, copies no data)."""
-        row = self._version_row(version)
-        if row is None:
-            raise ValueError(f"version {version} does not exist")
-        latest = self.latest_version()
-        manifest = {e["partition"]: e[SNAPSHOT] for e in row["manifest"]}
-        new_version = latest + 1
-        self._append_history(new_version, "RESTORE", {"restored_version": version}, manifest,
-                             committed_at, None)
-        return new_version
-
-    def _append_history(self, version, operation, metrics, manifest, committed_at, user) -> None:
-        row = (
-            int(version),
-            committed_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-            operation,
-            {k: int(v) for k, v in (metrics or {}).items()},
-            user or _user(),
-            [(int(p), int(s)) for p, s in sorted(manifest.items())],
-        )
-        self.spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.history_path
-        )
-
-
-MERGE_METRICS = ["inserted", "updated", "deleted", "source_rows"]
-
-
-def history_metrics(history: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """Metrics of each version read from its map, a missing key counting as 0."""
-    names = names or MERGE_METRICS
-    return history.select(
-        "version",
-        *[F.coalesce(F.try_element_at("metrics", F.lit(k)), F.lit(0).cast("long")).alias(k)
-          for k in names],
-    )
-
-
-def _user() -> str:
-    try:
-        return getpass.getuser()
-    except Exception:  # noqa: BLE001
-        return "unknown"
+#: Commit times: one row per version.
+COMMITS_SCHEMA = f"{SNAPSHOT} int, committed_at timestamp, operation string"
+
+
+def write_snapshot(df: DataFrame, path: str, snapshot: int, partition_col: str = MONTH_COL) -> None:
+    """Write ``df`` as version ``snapshot``; writing the same version again replaces its months."""
+    (df.withColumn(SNAPSHOT, F.lit(snapshot)).hint("rebalance", partition_col)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(SNAPSHOT, partition_col).parquet(path))
+
+
+def as_of_version(versions: DataFrame, snapshot: int) -> DataFrame:
+    """The rows of one version (a partition filter on the scan)."""
+    return versions.filter(F.col(SNAPSHOT) == snapshot).drop(SNAPSHOT)
+
+
+def version_at(commits: DataFrame, at: dt.datetime) -> int:
+    """T4: the newest version committed at or before ``at``, which must carry its zone."""
+    if at.tzinfo is None:
+        raise ValueError("an as-of time needs a time zone")
+    found = commits.filter(F.col("committed_at") <= F.lit(at)).agg(F.max(SNAPSHOT)).first()[0]
+    if found is None:
+        raise ValueError(f"no version at or before {at.isoformat()}")
+    return int(found)
+
+
+def as_of_time(versions: DataFrame, commits: DataFrame, at: dt.datetime) -> DataFrame:
+    """T4: the rows that were current at ``at``."""
+    return as_of_version(versions, version_at(commits, at))
+
+
+def history(versions: DataFrame, commits: DataFrame) -> DataFrame:
+    """Version, commit time, operation and a map of counts taken from the stored rows."""
+    counts = versions.groupBy(SNAPSHOT).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct(MONTH_COL).alias("months"))
+    return commits.join(counts, SNAPSHOT, "left").select(
+        F.col(SNAPSHOT).alias("version"), "committed_at", "operation",
+        F.create_map(F.lit("rows"), F.coalesce("rows", F.lit(0)),
+                     F.lit("months"), F.coalesce("months", F.lit(0))).alias("metrics"))
+
+
+def newest(log: DataFrame, n: int) -> DataFrame:
+    """O3: the ``n`` newest versions of a history."""
+    return log.orderBy(F.desc("version")).limit(n)
+
+
+def metric_columns(log: DataFrame, names: list[str]) -> DataFrame:
+    """Chosen metrics as columns; a name the map does not have counts as 0."""
+    return log.select("version", *[
+        F.coalesce(F.try_element_at("metrics", F.lit(k)), F.lit(0).cast("long")).alias(k) for k in names])
 
 
 def kpi_diff(kpi_a: DataFrame, kpi_b: DataFrame, key: str = MONTH_COL) -> DataFrame:

@@ -7,17 +7,15 @@ protocol retries tasks; nothing is held on the driver).
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.config import DEFAULT_COLUMNS, DateWindow, TripColumns
 from farebox.operators import merge as mg
 from farebox.operators.cleaning import to_silver
-from farebox.operators.snapshots import SnapshotTable
-from farebox.sinks.layout import write_gold, write_silver
+from farebox.operators.quality import gate, observe_checks, observed_results
+from farebox.session import path_exists, scratch_path
+from farebox.sinks.layout import write_gold, write_partitioned, write_silver
 from farebox.sources.landing import read_landing, write_bronze
 
 
@@ -35,7 +33,7 @@ def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 def silver_job(spark: SparkSession, bronze: str, silver: str, window: DateWindow,
                cols: TripColumns = DEFAULT_COLUMNS, expectations=None, fmt: str = "parquet"):
-    """Bronze -> Silver: clean, gate (one DQ job over the persisted rows), write."""
+    """Bronze -> Silver: clean, gate while staging, publish."""
     return write_silver(to_silver(read_layer(spark, bronze, fmt), window, cols), silver, cols,
                         expectations, fmt=fmt)
 
@@ -47,38 +45,21 @@ def silver_publish_job(spark: SparkSession, bronze: str, silver_root: str, windo
 
     The refresh is written below ``silver_root`` under a new run folder, so
     the location readers use is never cleared or half-written; the catalog
-    registration (DROP + CREATE ... LOCATION) switches readers to the new
+    registration then switches readers to the new
     data only after the gate passed and the write committed. Returns the
     new location (older runs are left for a retention policy to remove).
     """
     import uuid
 
-    from farebox.sinks.catalog import TableSpec, ensure_database, register_table
+    from farebox.sinks.catalog import Layer, ensure_database, register
 
     location = f"{silver_root.rstrip('/')}/run={uuid.uuid4().hex[:12]}"
     silver_job(spark, bronze, location, window, cols, expectations)
     ensure_database(spark, database)
-    register_table(spark, database, TableSpec(table, location,
-                                              "Silver trips, partitioned by trip_month."))
+    register(spark, database, Layer(table, location, "Cleaned trips by month."))
     return location
 
 
-def silver_snapshot_job(spark: SparkSession, bronze: str, table: SnapshotTable,
-                        window: DateWindow, cols: TripColumns = DEFAULT_COLUMNS,
-                        expectations=None) -> int:
-    """Bronze -> a new Silver version, gated in the same pass as the write.
-
-    Unlike ``silver_job`` nothing is persisted: the checks are observed while
-    the snapshot files are written, and the version is published (history
-    row appended) only if every critical check passed.
-    """
-    from farebox.operators.quality import default_expectations
-
-    silver = to_silver(read_layer(spark, bronze), window, cols)
-    return table.commit(silver, "WRITE",
-                        expectations=expectations or default_expectations(cols))
-
-
 def read_silver(spark: SparkSession, silver: str, window: DateWindow | None = None,
                 cols: TripColumns = DEFAULT_COLUMNS, fmt: str = "parquet") -> DataFrame:
     """Silver, pruned to the window's month partitions when the window lies in one year."""
@@ -94,52 +75,51 @@ def gold_job(spark: SparkSession, silver: str, gold_root: str, month: int = 5,
     return write_gold(read_layer(spark, silver, fmt), gold_root, month, cols, fmt=fmt)
 
 
-def merge_into(
-    table: SnapshotTable,
-    source: DataFrame,
-    keys: list[str],
-    on_duplicate: str = "raise",
-    order_by: list[Column | str] | None = None,
-    committed_at: dt.datetime | None = None,
-) -> dict[str, int]:
-    """M1-M5: upsert ``source`` into the latest version of ``table`` as a new version.
-
-    * unique-source rule (M2): ``raise`` (default) or ``keep_greatest``
-      (one row per key, greatest by ``order_by``);
-    * partition-scoped (M3): only partitions present in the source are
-      read, merged and written; the new version re-uses the others;
-    * metrics (M4) from one join before the write;
-    * first load (M5): no version yet -> plain write, ``inserted = n``.
-
-    The source is persisted (memory + disk) because it is read several
-    times; it is released in ``finally``.
+def load_increment(spark: SparkSession, batch: DataFrame, path: str, keys: list[str],
+                   order_by: list[str] | None = None, expectations=None,
+                   cols: TripColumns = DEFAULT_COLUMNS) -> dict[str, int]:
+    """M1-M6 + D8: gate a batch of Silver rows and merge it into the table at ``path``.
+
+    1. The batch is written to the scratch folder while its checks, months and rows
+       are observed. An empty batch ends here; a failed check raises.
+    2. The touched months of the table (none on the first load) and the staged batch
+       are merged per key by a stated order (see ``merge_by_order``); the result is
+       staged while the metrics are observed.
+    3. The staged months replace the table's (dynamic overwrite).
+
+    The outcome does not depend on how rows are split into batches, and running a
+    batch again changes nothing, so a run that dies anywhere is simply repeated.
+    The table holds one row per key and month.
     """
-    part = table.partition_col
-    key_cols = keys if part in keys else [*keys, part]
-    if on_duplicate == "keep_greatest":
-        source = mg.dedup_by_key(source, key_cols, order_by or [])
-    staged = source.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        prev = table.latest()
-        if prev is None:
-            if on_duplicate == "raise":
-                mg.assert_unique_keys(staged, key_cols)
-            version = table.commit(staged, "WRITE", committed_at=committed_at, prev=prev)
-            n = table.rows_written
-            return {"inserted": n, "updated": 0, "deleted": 0, "source_rows": n, "version": version}
-        current = table.read_version_row(prev)
-        scoped, _months = mg.scope_to_source_partitions(current, staged, part)
-        plan = mg.merge_plan(scoped, staged, keys, part).first().asDict()
-        if on_duplicate == "raise" and plan.pop("duplicated_keys"):
-            raise mg.MergeConflictError(f"source keys {key_cols} occur more than once")
-        plan.pop("duplicated_keys", None)
-        metrics = {k: int(v) for k, v in plan.items()}
-        merged = mg.upsert(scoped, staged, keys, part)
-        version = table.commit(merged, "MERGE", metrics, replace_all=False,
-                               committed_at=committed_at, prev=prev)
-        return {**metrics, "version": version}
-    finally:
-        staged.unpersist()
+    part = cols.month
+    on = keys if part in keys else [*keys, part]
+    stage = scratch_path(spark, "increment")
+    checked, checks = observe_checks(batch, expectations, name=f"dq-{stage[-12:]}", cols=cols)
+    seen = Observation(f"batch-{stage[-12:]}")
+    checked.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(part).alias("parts"),
+                    F.count_if(F.col(part).isNull()).alias("no_part")).write.parquet(stage)
+    if not seen.get["rows"]:
+        return {"inserted": 0, "updated": 0, "deleted": 0, "source_rows": 0}
+    gate(observed_results(checks))
+    parts = sorted(seen.get["parts"]) + ([None] if seen.get["no_part"] else [])
+    staged = spark.read.schema(batch.schema).parquet(stage)
+    if path_exists(spark, path):
+        target = spark.read.schema(batch.schema).parquet(path).filter(mg.in_partitions(part, parts))
+    else:
+        target = staged.limit(0)
+    merged = mg.merge_by_order(target.select(*batch.columns), staged, on, order_by)
+    counts = Observation(f"merge-{stage[-12:]}")
+    merged.observe(counts, *mg.merge_counts()).drop(mg.SOURCE_ROWS, mg.HAD_TARGET).write.parquet(f"{stage}-merged")
+    write_partitioned(spark.read.schema(batch.schema).parquet(f"{stage}-merged"), path, [part], dynamic=True)
+    return {k: int(v) for k, v in counts.get.items()}
+
+
+def incremental_silver_job(spark: SparkSession, bronze: DataFrame, silver: str, window: DateWindow,
+                           cols: TripColumns = DEFAULT_COLUMNS, order_by: list[str] | None = None,
+                           expectations=None) -> dict[str, int]:
+    """Bronze rows -> clean -> gate -> first load or merge into the Silver table at ``silver``."""
+    return load_increment(spark, to_silver(bronze, window, cols), silver, cols.natural_key, order_by,
+                          expectations, cols)
 
 
 class AnswerMismatchError(Exception):

@@ -12,43 +12,47 @@ KEY_MATCH = ("{a}.VendorID = {b}.VendorID AND {a}.tpep_pickup_datetime = {b}.tpe
              " AND {a}.trip_month = {b}.trip_month")
 
 METRICS = """metrics AS (
-  SELECT COUNT(*) AS total_rows,
-         COUNT(*) FILTER (WHERE VendorID IS NULL) AS nulls__VendorID,
-         COUNT(*) FILTER (WHERE passenger_count IS NULL) AS nulls__passenger_count,
-         COUNT(*) FILTER (WHERE total_amount IS NULL) AS nulls__total_amount,
-         COUNT(*) FILTER (WHERE tpep_pickup_datetime IS NULL) AS nulls__tpep_pickup_datetime,
-         COUNT(*) FILTER (WHERE tpep_dropoff_datetime IS NULL) AS nulls__tpep_dropoff_datetime,
-         COUNT(*) FILTER (WHERE total_amount <= 0) AS bad_amount,
-         COUNT(*) FILTER (WHERE passenger_count <= 0) AS bad_pax,
-         COUNT(*) FILTER (WHERE tpep_dropoff_datetime <= tpep_pickup_datetime) AS bad_chrono
+  SELECT COUNT(*) AS rows_seen,
+         COUNT(*) FILTER (WHERE VendorID IS NULL) AS missing_VendorID,
+         COUNT(*) FILTER (WHERE passenger_count IS NULL) AS missing_passenger_count,
+         COUNT(*) FILTER (WHERE total_amount IS NULL) AS missing_total_amount,
+         COUNT(*) FILTER (WHERE tpep_pickup_datetime IS NULL) AS missing_tpep_pickup_datetime,
+         COUNT(*) FILTER (WHERE tpep_dropoff_datetime IS NULL) AS missing_tpep_dropoff_datetime,
+         COUNT(*) FILTER (WHERE total_amount <= 0) AS amount_not_positive,
+         COUNT(*) FILTER (WHERE passenger_count <= 0) AS passengers_not_positive,
+         COUNT(*) FILTER (WHERE tpep_dropoff_datetime <= tpep_pickup_datetime) AS dropoff_not_after
   FROM {src})"""
 
 _OFFENDERS = "concat_ws(', ', " + ", ".join(
-    f"CASE WHEN nulls__{c} > 0 THEN '{c}=' || CAST(nulls__{c} AS VARCHAR) END" for c in REQ) + ")"
+    f"CASE WHEN missing_{c} > 0 THEN '{c}=' || CAST(missing_{c} AS VARCHAR) END" for c in REQ) + ")"
 
 REPORT = f"""
 SELECT 'colunas_obrigatorias_presentes' AS "check", CAST(0 AS BIGINT) AS metric, TRUE AS passed,
        TRUE AS critical, 'ok' AS detail
-UNION ALL SELECT 'dataset_nao_vazio', total_rows, total_rows > 0, TRUE,
-       'linhas: ' || CAST(total_rows AS VARCHAR) FROM metrics
+UNION ALL SELECT 'dataset_nao_vazio', rows_seen, rows_seen > 0, TRUE,
+       'linhas: ' || CAST(rows_seen AS VARCHAR) FROM metrics
 UNION ALL SELECT 'sem_nulos_em_obrigatorias',
-       CAST({' + '.join('nulls__' + c for c in REQ)} AS BIGINT),
-       greatest({', '.join('nulls__' + c for c in REQ)}, 0) = 0, TRUE,
+       CAST({' + '.join('missing_' + c for c in REQ)} AS BIGINT),
+       greatest({', '.join('missing_' + c for c in REQ)}, 0) = 0, TRUE,
        CASE WHEN {_OFFENDERS} = '' THEN 'ok' ELSE 'nulos: ' || {_OFFENDERS} END FROM metrics
-UNION ALL SELECT 'total_amount_positivo', bad_amount, bad_amount = 0, TRUE,
-       CAST(bad_amount AS VARCHAR) || ' linhas <= 0' FROM metrics
-UNION ALL SELECT 'passenger_count_positivo', bad_pax, bad_pax = 0, TRUE,
-       CAST(bad_pax AS VARCHAR) || ' linhas <= 0' FROM metrics
-UNION ALL SELECT 'dropoff_apos_pickup', bad_chrono, bad_chrono = 0, TRUE,
-       CAST(bad_chrono AS VARCHAR) || ' viagens invertidas' FROM metrics"""
+UNION ALL SELECT 'total_amount_positivo', amount_not_positive, amount_not_positive = 0, TRUE,
+       CAST(amount_not_positive AS VARCHAR) || ' linhas <= 0' FROM metrics
+UNION ALL SELECT 'passenger_count_positivo', passengers_not_positive, passengers_not_positive = 0, TRUE,
+       CAST(passengers_not_positive AS VARCHAR) || ' linhas <= 0' FROM metrics
+UNION ALL SELECT 'dropoff_apos_pickup', dropoff_not_after, dropoff_not_after = 0, TRUE,
+       CAST(dropoff_not_after AS VARCHAR) || ' viagens invertidas' FROM metrics"""
 
 SCENARIO = [
-    """target AS (SELECT * FROM silver WHERE VendorID % 3 <> 2)""",
+    """uniq AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+    PARTITION BY VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, trip_month
+    ORDER BY total_amount DESC, passenger_count DESC, pickup_hour DESC) AS rn FROM silver) WHERE rn = 1)""",
+    """target AS (SELECT * FROM uniq WHERE VendorID % 3 <> 2)""",
     """source AS (
   SELECT VendorID, passenger_count, total_amount + 1 AS total_amount, tpep_pickup_datetime,
          tpep_dropoff_datetime, trip_month, pickup_hour
-  FROM silver WHERE VendorID % 3 = 1
-  UNION ALL SELECT * FROM silver WHERE VendorID % 3 = 2)""",
+  FROM uniq WHERE VendorID % 3 = 1
+  UNION ALL SELECT * FROM uniq WHERE VendorID % 3 = 2)""",
     f"""upserted AS (
   SELECT * FROM source
   UNION ALL SELECT * FROM target t
@@ -114,7 +118,10 @@ SELECT CAST(to_json({
     'linhas_silver': (SELECT COUNT(*) FROM silver),
     'periodo': (SELECT min(strftime(tpep_pickup_datetime, '%Y-%m')) || ' a '
                        || max(strftime(tpep_pickup_datetime, '%Y-%m')) FROM silver),
-    'nota': 'KPIs computed by farebox over the Silver layer.'},
+    'nota': 'KPIs computed by farebox over the Silver layer.',
+    'linhas_landing': (SELECT COUNT(*) FROM trips_raw),
+    'taxa_descartada_pct': (SELECT ROUND(((SELECT COUNT(*) FROM trips_raw) - COUNT(*)) * 100.0::DOUBLE
+                                         / (SELECT COUNT(*) FROM trips_raw), 2) FROM silver)},
   'q1_receita_mensal': (SELECT list({'mes_num': trip_month, 'mes': """ + MONTH_LABEL_SQL.format(
     m="trip_month") + """,
                                      'corridas': qtd_corridas,
@@ -127,6 +134,17 @@ SELECT CAST(to_json({
 }) AS VARCHAR) AS document"""
 
 
+def greatest_of(*changes: str) -> str:
+    """Cleaned trips where every raw row arrives once per change of its amount, the greatest kept per key."""
+    arms = "\n  UNION ALL ".join(f"SELECT * REPLACE (total_amount + {c} AS total_amount) FROM trips_raw_0" for c in changes)
+    sql = with_("silver").replace("trips_raw AS (", "trips_raw_0 AS (", 1)
+    sql = sql.replace("typed AS (", f"trips_raw AS (\n  {arms}),\ntyped AS (", 1)
+    return sql + """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
+  PARTITION BY VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, trip_month
+  ORDER BY total_amount DESC, passenger_count DESC, pickup_hour DESC) AS rn FROM silver) WHERE rn = 1"""
+
+
 def more_sql() -> dict[str, str]:
     typed_metrics = with_("typed", extra=[METRICS.format(src="typed")])
     silver_metrics = with_("silver", extra=[METRICS.format(src="silver")])
@@ -208,8 +226,19 @@ SELECT COUNT(*) FILTER (WHERE t.VendorID IS NULL) AS inserted,
        COUNT(*) FILTER (WHERE t.VendorID IS NOT NULL) AS updated,
        CAST(0 AS BIGINT) AS deleted, COUNT(*) AS source_rows
 FROM source s LEFT JOIN target t ON {KEY_MATCH.format(a='s', b='t')}""",
-        "gold_incremental": scen + Q1_OF.format(src="upserted"),
-        "incremental_since_watermark": with_("silver") + "SELECT * FROM silver",
+        "gold_incremental": scen + f""",
+late AS (SELECT * FROM source WHERE trip_month >= 4),
+merged AS (SELECT * FROM target WHERE trip_month < 4
+  UNION ALL SELECT * FROM late
+  UNION ALL SELECT * FROM target t WHERE trip_month >= 4
+    AND NOT EXISTS (SELECT 1 FROM late s WHERE {KEY_MATCH.format(a='s', b='t')}))
+""" + Q1_OF.format(src="merged"),
+        "incremental_since_watermark": with_("trips_raw") + """
+SELECT *, tpep_dropoff_datetime + INTERVAL 1 HOUR AS _ingested_at FROM trips_raw
+WHERE tpep_dropoff_datetime + INTERVAL 1 HOUR > (
+  SELECT max(tpep_dropoff_datetime + INTERVAL 1 HOUR) FROM trips_raw
+  WHERE tpep_dropoff_datetime + INTERVAL 1 HOUR <= TIMESTAMP '1997-03-01')""",
+        "incremental_silver": greatest_of("-250.0", "125.0", "0.0"),
         "merge_partition_scoped": scen + f""",
 late AS (SELECT * FROM source WHERE trip_month >= 4)
 SELECT * FROM target WHERE trip_month < 4
@@ -232,7 +261,42 @@ SELECT COALESCE(a.trip_month, b.trip_month) AS trip_month,
        ROUND(b.receita_media_usd - a.receita_media_usd, 2) AS receita_media_usd_delta,
        ROUND(b.linhas - a.linhas, 2) AS linhas_delta
 FROM ka a FULL OUTER JOIN kb b ON a.trip_month = b.trip_month""",
+        "history_latest": scen + """
+SELECT 1 AS version, 'MERGE' AS operation, '2024-02-01' AS committed_on, COUNT(*) AS rows,
+       COUNT(DISTINCT trip_month) AS months FROM upserted""",
+        "history_document": scen + """
+SELECT version, '{"version":' || version || ',"timestamp":"' || committed || '","operation":"' || op
+       || '","operationMetrics":{"rows":' || n || ',"months":' || m || '}}' AS document
+FROM (SELECT 0 AS version, '2024-01-01T00:00:00.000000' AS committed, 'WRITE' AS op, COUNT(*) AS n,
+             COUNT(DISTINCT trip_month) AS m FROM target
+      UNION ALL SELECT 1, '2024-02-01T00:00:00.000000', 'MERGE', COUNT(*), COUNT(DISTINCT trip_month)
+      FROM upserted)""",
+        "kpi_diff_document": scen + f""",
+ka AS ({KPI_OF.format(src='target')}),
+kb AS ({KPI_OF.format(src='upserted')})
+SELECT CAST(to_json({{'meses': list({{
+         'trip_month': a.trip_month,
+         'qtd_corridas_a': a.qtd_corridas, 'qtd_corridas_b': b.qtd_corridas,
+         'receita_media_usd_a': a.receita_media_usd, 'receita_media_usd_b': b.receita_media_usd,
+         'linhas_a': a.linhas, 'linhas_b': b.linhas,
+         'qtd_corridas_delta': b.qtd_corridas - a.qtd_corridas,
+         'receita_media_usd_delta': ROUND(b.receita_media_usd - a.receita_media_usd, 2),
+         'linhas_delta': b.linhas - a.linhas}} ORDER BY a.trip_month)}}) AS VARCHAR) AS document
+FROM ka a JOIN kb b ON a.trip_month = b.trip_month""",
         # sinks and catalog
+        "catalog_register_all": """
+SELECT * FROM (VALUES ('bronze_trips', 'missing'), ('silver_trips', 'registered'),
+  ('gold_receita_mensal', 'registered'), ('gold_passageiros_hora_maio', 'registered'),
+  ('gold_trips', 'registered')) AS t(name, status)""",
+        "catalog_show": """
+SELECT 'farebox' AS database, name FROM (VALUES ('bronze_trips'), ('silver_trips'), ('gold_receita_mensal'),
+  ('gold_passageiros_hora_maio'), ('gold_trips')) AS t(name)""",
+        "catalog_describe": """
+SELECT * FROM (VALUES ('VendorID', 'int'), ('passenger_count', 'int'), ('total_amount', 'double'),
+  ('tpep_pickup_datetime', 'timestamp_ntz'), ('tpep_dropoff_datetime', 'timestamp_ntz'),
+  ('trip_month', 'int'), ('pickup_hour', 'int')) AS t(col_name, data_type)""",
+        "quantiles_approx": """
+SELECT TRUE AS p50_within, TRUE AS p90_within, TRUE AS p99_within, TRUE AS p999_within""",
         "silver_write": with_("silver") + "SELECT * FROM silver",
         "gold_write_aggregates": with_("q1") + "SELECT * FROM q1",
         "gold_trips": with_("silver") + """
@@ -254,15 +318,20 @@ SELECT trip_month AS mes, qtd_corridas, receita_media_usd, receita_total_usd FRO
         "landing_scan": f"WITH {LANDING}\nSELECT {LANDING_COLS}, _source_month FROM landing",
         "landing_normalise_types": f"""WITH {LANDING}
 SELECT VendorID, passenger_count, total_amount,
-       epoch_us(tpep_pickup_datetime) * 1000 + nanos_part AS tpep_pickup_datetime,
-       epoch_us(tpep_dropoff_datetime) * 1000 + nanos_part AS tpep_dropoff_datetime,
+       CASE WHEN odd THEN CAST(epoch_us(tpep_pickup_datetime) * 1000 + nanos_part AS VARCHAR)
+            ELSE strftime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S') END AS tpep_pickup_datetime,
+       CASE WHEN odd THEN CAST(epoch_us(tpep_dropoff_datetime) * 1000 + nanos_part AS VARCHAR)
+            ELSE strftime(tpep_dropoff_datetime, '%Y-%m-%d %H:%M:%S') END AS tpep_dropoff_datetime,
        trip_distance, store_and_fwd_flag, RatecodeID, PULocationID, DOLocationID, payment_type,
-       airport_fee
-FROM landing WHERE month(tpep_pickup_datetime) % 2 = 1""",
+       airport_fee, congestion_surcharge,
+       CASE WHEN odd THEN 'bigint' ELSE 'timestamp_ntz' END AS stored_as
+FROM (SELECT *, month(tpep_pickup_datetime) % 2 = 1 AS odd FROM landing)""",
         "landing_union_by_name": f"WITH {LANDING}\nSELECT {LANDING_COLS} FROM landing",
         "nanos_to_timestamp": f"""WITH {LANDING}
-SELECT VendorID, tpep_pickup_datetime, tpep_dropoff_datetime
-FROM landing WHERE month(tpep_pickup_datetime) % 2 = 1""",
+SELECT VendorID, tpep_pickup_datetime, tpep_dropoff_datetime FROM landing""",
+        "bronze_lineage": f"""WITH {LANDING}
+SELECT 'yellow_tripdata_' || _source_month || '.parquet' AS file, _source_month, COUNT(*) AS linhas,
+       COUNT(*) AS com_carga FROM landing GROUP BY _source_month""",
         "bronze_source_month": f"""WITH {LANDING}
 SELECT _source_month, COUNT(*) AS linhas FROM landing GROUP BY _source_month""",
         # documents
@@ -272,5 +341,5 @@ SELECT trip_month AS mes_num, {MONTH_LABEL_SQL.format(m='trip_month')} AS mes,
        qtd_corridas AS corridas, receita_media_usd FROM q1""",
         # streaming
         "stream_landing_to_bronze": f"WITH {LANDING}\nSELECT {LANDING_COLS}, _source_month FROM landing",
-        "stream_upsert": with_("silver") + "SELECT * FROM silver",
+        "stream_upsert": greatest_of("0.0", "CASE WHEN month(tpep_pickup_datetime) % 2 = 1 THEN 125.0 ELSE -250.0 END"),
     }

@@ -13,7 +13,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from farebox.config import DEFAULT_COLUMNS, TripColumns
@@ -50,26 +49,27 @@ def write_silver(
     expectations=None,
     fmt: str = "parquet",
 ):
-    """K2 + K5 + D8: persist, gate (one DQ job), then write from the cache.
+    """K2 + K5 + D8: staged write that observes the checks, gate, then publish.
 
-    The gate's aggregate materialises the persisted rows; the write reuses
-    them instead of recomputing the dedup shuffle. ``MEMORY_AND_DISK``
-    spills rather than failing on a large month; ``unpersist`` runs even when
-    the gate raises. Returns the check results.
+    The rows are written once to the shared scratch folder while the checks ride
+    along, so nothing is kept in executors. Only if the gate passes is the staged
+    layer copied over ``path``, which therefore never holds rows that failed.
+    Returns the check results.
 
     This is a full refresh (static overwrite): Spark clears the target before
-    the write job runs, so a job that dies part-way leaves the path empty.
-    Where readers must never see that, write versions with ``SnapshotTable``
-    (published only after the data is complete).
+    the copy, so a copy that dies part-way leaves the path empty and is run again.
+    Where readers must never see that, use ``jobs.silver_publish_job``.
     """
-    from farebox.operators.quality import run_checks
-
-    staged = silver.hint("rebalance", cols.month).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        results = run_checks(staged, expectations, raise_on_fail=True, cols=cols)
-        write_partitioned(staged, path, [cols.month], balance=False, fmt=fmt, dynamic=False)
-    finally:
-        staged.unpersist()
+    from farebox.operators.quality import gate, observe_checks, observed_results
+    from farebox.session import scratch_path
+
+    spark = silver.sparkSession
+    stage = scratch_path(spark, "silver-stage")
+    checked, obs = observe_checks(silver, expectations, name=stage.rsplit("/", 1)[-1], cols=cols)
+    write_partitioned(checked, stage, [cols.month], fmt=fmt)
+    results = gate(observed_results(obs))
+    staged = spark.read.format(fmt).schema(silver.schema).load(stage)
+    write_partitioned(staged.select(*silver.columns), path, [cols.month], fmt=fmt, dynamic=False)
     return results
 
 

@@ -30,19 +30,9 @@ from farebox.config import DateWindow
 DUPLICATE_EVERY = 50  # fixed: the oracle duplicates the same rows
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Its schema is inferred once per path, then passed
-    explicitly, so later reads skip Parquet's footer-inference job."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def trips_raw(spark: SparkSession, sf_dir: str, prune_for: DateWindow | None = None) -> DataFrame:

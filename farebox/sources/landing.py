@@ -28,7 +28,6 @@ from pyspark.sql import types as T
 from farebox.config import CANONICAL_NAMES, CANONICAL_TYPES, LANDING_FILE_PREFIX
 from farebox.functions.columns import nanos_to_timestamp_ntz
 
-NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 SOURCE_MONTH_PATTERN = LANDING_FILE_PREFIX + r"(\d{4}-\d{2})\.parquet(?:/|$)"
 
 
@@ -37,19 +36,25 @@ def landing_path(landing: str, month: str, template: str = LANDING_FILE_PREFIX +
     return f"{landing.rstrip('/')}/{template.format(month=month)}"
 
 
-def enable_nanos_as_long(spark: SparkSession) -> None:
-    """Spark rejects TIMESTAMP(NANOS) columns unless they are read as bigint."""
-    spark.conf.set(NANOS_AS_LONG, "true")
+def normalise_types(df: DataFrame, canonical: dict[str, str] | None = None) -> DataFrame:
+    """Each drifting column that exists, in its canonical type (one projection).
 
+    A value that does not fit becomes null instead of ending the load; ``lost_values`` counts them.
+    """
+    wanted = _wanted(df, canonical)
+    return df.select(*[F.col(f"`{c}`").try_cast(wanted[c]).alias(c) if c in wanted else F.col(f"`{c}`")
+                       for c in df.columns])
 
-def normalise_types(df: DataFrame, canonical: dict[str, str] | None = None) -> DataFrame:
-    """Cast each drifting column that exists to its canonical type (one projection)."""
-    canonical = CANONICAL_TYPES if canonical is None else canonical
-    lower = {k.lower(): v for k, v in canonical.items()}
-    return df.select(
-        *[F.col(f"`{c}`").cast(lower[c.lower()]).alias(c) if c.lower() in lower else F.col(f"`{c}`")
-          for c in df.columns]
-    )
+
+def lost_values(df: DataFrame, canonical: dict[str, str] | None = None) -> DataFrame:
+    """One row: for each drifting column, how many values ``normalise_types`` turns into null."""
+    return df.agg(*[F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(t).isNull()).alias(c)
+                    for c, t in _wanted(df, canonical).items()])
+
+
+def _wanted(df: DataFrame, canonical: dict[str, str] | None) -> dict[str, str]:
+    types = {k.lower(): v for k, v in (CANONICAL_TYPES if canonical is None else canonical).items()}
+    return {c: types[c.lower()] for c in df.columns if c.lower() in types}
 
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:
@@ -113,9 +118,9 @@ def read_landing(
 
     Columns: all source columns (canonical types, nanos recovered), then
     ``_source_file``, ``_ingested_at`` and ``_source_month`` when
-    ``lineage``.
+    ``lineage``. Files with TIMESTAMP(NANOS) columns need the session setting
+    ``spark.sql.legacy.parquet.nanosAsLong`` (in ``session.cluster_settings``).
     """
-    enable_nanos_as_long(spark)
     paths = [landing_path(landing, m, template) for m in months]
     frames = []
     for group in group_by_schema(spark, paths):

@@ -7,8 +7,9 @@ X1  Idempotent arrival: a file-source stream (explicit schema, no
     nothing arrived). The Parquet sink is exactly-once through its own
     commit log.
 X2  Late data through the upsert: ``foreachBatch`` merges each micro-batch
-    into the Silver snapshot table by natural key. A replayed batch (after a
-    failure) upserts the same keys again, so the effect is exactly-once.
+    into the Silver table by the gated incremental job. A stated order decides
+    between rows of one key, those of earlier batches included, so the table
+    does not depend on how files fall into batches, nor on a replay.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farebox.config import DEFAULT_COLUMNS, DateWindow, TripColumns
+from farebox.session import path_exists
 from farebox.sources.landing import SOURCE_MONTH_PATTERN
 
 
@@ -40,6 +42,7 @@ def ingest_available(spark: SparkSession, landing: str, bronze: str, checkpoint:
     """Append every landing file not seen before to Bronze; returns rows added."""
     stream = landing_stream(spark, landing, schema, max_files_per_trigger).withColumn(
         "_ingested_at", F.current_timestamp())
+    before = _rows(spark, bronze)
     query = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
@@ -48,23 +51,33 @@ def ingest_available(spark: SparkSession, landing: str, bronze: str, checkpoint:
         .start(bronze)
     )
     query.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    return _rows(spark, bronze) - before
 
 
-def upsert_available(spark: SparkSession, landing: str, table, checkpoint: str,
+def _rows(spark: SparkSession, path: str) -> int:
+    """Rows committed to a sink (from the file footers); a run's progress reports are only kept for 100 batches."""
+    if not path_exists(spark, f"{path}/_spark_metadata"):
+        return 0
+    return spark.read.schema("_source_month string").parquet(path).count()
+
+
+def upsert_available(spark: SparkSession, landing: str, silver: str, checkpoint: str,
                      schema: T.StructType, window: DateWindow,
                      cols: TripColumns = DEFAULT_COLUMNS,
-                     max_files_per_trigger: int | None = 64) -> int:
-    """Clean each micro-batch and merge it into the snapshot table.
+                     max_files_per_trigger: int | None = 64,
+                     order_by: list[str] | None = None) -> int:
+    """Every landing file not seen before, cleaned, gated and merged into the table at ``silver``.
+
+    ``max_files_per_trigger`` bounds a micro-batch and nothing else. Returns the
+    cleaned rows merged.
+    """
+    from farebox.plans.jobs import incremental_silver_job
 
-    ``max_files_per_trigger`` bounds each micro-batch (``availableNow``
-    still drains the whole backlog, in several bounded merges)."""
-    from farebox.operators.cleaning import to_silver
-    from farebox.plans.jobs import merge_into
+    merged: list[int] = []
 
     def merge_batch(batch: DataFrame, _batch_id: int) -> None:
-        silver = to_silver(batch, window, cols)
-        merge_into(table, silver, cols.natural_key)
+        counts = incremental_silver_job(batch.sparkSession, batch, silver, window, cols, order_by)
+        merged.append(counts["source_rows"])
 
     query = (
         landing_stream(spark, landing, schema, max_files_per_trigger)
@@ -74,4 +87,4 @@ def upsert_available(spark: SparkSession, landing: str, table, checkpoint: str,
         .start()
     )
     query.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    return sum(merged)

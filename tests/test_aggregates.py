@@ -4,25 +4,32 @@ from farebox.operators import aggregates as agg
 from farebox.operators.cleaning import to_silver
 
 
-def test_q1_monthly_revenue(raw_df):
+def test_revenue_by_month(raw_df):
     rows = agg.monthly_revenue(to_silver(raw_df)).collect()
-    assert [(r.trip_month, r.qtd_corridas, r.receita_media_usd) for r in rows] == [
-        (1, 1, 20.5), (5, 1, 55.0)]
+    assert [(r.trip_month, r.qtd_corridas, r.receita_media_usd, r.receita_total_usd) for r in rows] == [
+        (2, 1, 12.75, 12.75), (3, 1, 31.5, 31.5), (4, 1, 8.0, 8.0)]
 
 
-def test_q2_hourly_passengers(raw_df):
-    rows = agg.hourly_passengers(to_silver(raw_df), month=5).collect()
-    assert [(r.pickup_hour, r.qtd_corridas, r.media_passageiros) for r in rows] == [(18, 1, 4.0)]
-
-
-def test_q2_no_month_leaks(raw_df):
-    assert agg.hourly_passengers(to_silver(raw_df), month=1).collect()[0].pickup_hour == 8
+def test_passengers_by_hour_of_one_month(raw_df):
+    s = to_silver(raw_df)
+    hours = {m: [(r.pickup_hour, r.media_passageiros) for r in agg.hourly_passengers(s, month=m).collect()]
+             for m in (1, 2, 4)}
+    assert hours == {1: [], 2: [(23, 3.0)], 4: [(21, 5.0)]}
 
 
 def test_sql_equals_api(spark, raw_df):
     s = to_silver(raw_df)
     eq = agg.bag_equality(agg.monthly_revenue(s), agg.monthly_revenue_sql(spark, s, "t_eq")).first()
-    assert eq.equal and eq.left_rows == 2
+    assert eq.equal and eq.left_rows == 3
+
+
+def test_bag_equality_counts_copies_and_nulls(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (3, "z")], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (2, None), (4, "z")], "p int, q string")
+    r = agg.bag_equality(a, b).first()
+    assert (r.left_rows, r.right_rows, r.only_left, r.only_right, r.equal) == (4, 4, 2, 2, False)
+    empty = agg.bag_equality(a.limit(0), b.limit(0)).first()
+    assert empty.equal and empty.left_rows == 0
 
 
 def test_derived_kpis(spark):
@@ -57,14 +64,14 @@ def test_kpi_document_json_roundtrip_through_from_json(spark, raw_df):
     text = docs.to_json_document(docs.kpi_document(to_silver(raw_df)))
     rows = docs.monthly_rows(docs.parse_kpi_json(text)).collect()
     assert [(r.mes_num, r.mes, r.corridas, r.receita_media_usd) for r in rows] == [
-        (1, "Jan", 1, 20.5), (5, "Mai", 1, 55.0)]
+        (2, "Fev", 1, 12.75), (3, "Mar", 1, 31.5), (4, "Abr", 1, 8.0)]
 
 
 def test_kpi_document_meta_with_discard_rate(spark, raw_df):
     from farebox.operators import documents as docs
 
     doc = docs.kpi_document(to_silver(raw_df), landing=raw_df).first()
-    assert (doc.meta.linhas_silver, doc.meta.linhas_landing) == (2, 7)
-    assert doc.meta.taxa_descartada_pct == round(5 * 100 / 7, 2)
+    assert (doc.meta.linhas_silver, doc.meta.linhas_landing) == (3, 9)
+    assert doc.meta.taxa_descartada_pct == round(6 * 100 / 9, 2)
     plain = docs.kpi_document(to_silver(raw_df)).first()
     assert "linhas_landing" not in plain.meta.asDict()

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-import os
+import datetime as dt
 
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from farebox.config import DateWindow
+from farebox.plans.queries_more import canonical_landing_schema
 from farebox.session import scratch_path
 from farebox.sinks import catalog as cat
 from farebox.streaming import landing_stream as st
@@ -11,58 +17,62 @@ from farebox.streaming import landing_stream as st
 DB = "farebox_test"
 
 
-def _dummy(spark, path):
-    spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, name string").write.mode(
-        "overwrite").parquet(path)
+@pytest.fixture(scope="module", autouse=True)
+def database(spark):
+    cat.ensure_database(spark, DB)
+    cat.ensure_database(spark, DB)  # once more changes nothing
 
 
-def test_database_created(spark):
-    cat.ensure_database(spark, DB)
-    assert DB in [r.namespace for r in spark.sql("SHOW DATABASES").collect()]
+def months_at(spark, path, months):
+    spark.createDataFrame([(m * 10.0, m) for m in months], "amount double, trip_month int").write.mode(
+        "overwrite").partitionBy("trip_month").parquet(path)
+    return path
 
 
-def test_register_is_queryable_and_idempotent(spark, tmp_path):
-    loc = str(tmp_path / "t1")
-    _dummy(spark, loc)
-    cat.ensure_database(spark, DB)
-    spec = cat.TableSpec("t1", loc, "it's a test")  # quote in the comment
-    cat.register_table(spark, DB, spec)
-    cat.register_table(spark, DB, spec)
-    rows = spark.sql(f"SELECT * FROM {DB}.t1 ORDER BY id").collect()
-    assert [(r.id, r.name) for r in rows] == [(1, "a"), (2, "b")]
+def test_registered_layer_reads_its_partitions(spark, tmp_path):
+    layer = cat.Layer("fares", months_at(spark, str(tmp_path / "fares"), [3, 7]), "the driver's fares")
+    name = cat.register(spark, DB, layer)
+    assert sorted(spark.sql(f"SELECT trip_month, amount FROM {name}").toPandas().values.tolist()) == [[3, 30], [7, 70]]
+    assert cat.partition_columns(spark, name) == ["trip_month"]
 
 
-def test_partitioned_table_sees_partitions(spark, tmp_path):
-    loc = str(tmp_path / "p")
-    spark.createDataFrame([(1, 1), (2, 5)], "x int, trip_month int").write.partitionBy(
-        "trip_month").parquet(loc)
-    cat.ensure_database(spark, DB)
-    cat.register_table(spark, DB, cat.TableSpec("p", loc))
-    assert spark.table(f"{DB}.p").count() == 2
-    assert cat.is_partitioned(spark, f"{DB}.p")
+def test_registering_again_points_to_the_new_folder(spark, tmp_path):
+    for folder, months in (("old", [1]), ("new", [1, 2, 3])):
+        name = cat.register(spark, DB, cat.Layer("moved", months_at(spark, str(tmp_path / folder), months)))
+        assert spark.table(name).count() == len(months)
 
 
-def test_drop_keeps_files(spark, tmp_path):
-    loc = str(tmp_path / "ext")
-    _dummy(spark, loc)
-    cat.ensure_database(spark, DB)
-    cat.register_table(spark, DB, cat.TableSpec("ext", loc))
-    spark.sql(f"DROP TABLE {DB}.ext")
-    assert any(os.scandir(loc))
+def test_a_wrong_folder_keeps_the_earlier_table(spark, tmp_path):
+    name = cat.register(spark, DB, cat.Layer("kept", months_at(spark, str(tmp_path / "kept"), [5])))
+    with pytest.raises(FileNotFoundError):
+        cat.register(spark, DB, cat.Layer("kept", str(tmp_path / "typo")))
+    assert spark.table(name).count() == 1
 
 
-def test_register_all_skips_missing(spark, tmp_path):
-    loc = str(tmp_path / "silver")
-    _dummy(spark, loc)
-    report = cat.register_all(spark, DB, [cat.TableSpec("silver_x", loc),
-                                          cat.TableSpec("missing_x", str(tmp_path / "nope"))])
-    status = {r.name: r.status for r in report.collect()}
-    assert status == {"silver_x": "registered", "missing_x": "skipped"}
+def test_dropping_forgets_the_table_only(spark, tmp_path):
+    path = months_at(spark, str(tmp_path / "ext"), [4, 6])
+    name = cat.register(spark, DB, cat.Layer("ext", path))
+    spark.sql(f"DROP TABLE {name}")
+    assert spark.read.parquet(path).count() == 2
+    assert "ext" not in {r["name"] for r in cat.show_tables(spark, DB).collect()}
 
 
-def test_available_now_stream_is_idempotent(spark):
-    from pyspark.sql import types as T
+def test_only_missing_folders_are_reported(spark, tmp_path):
+    layers = [cat.Layer("here", months_at(spark, str(tmp_path / "here"), [1])), cat.Layer("gone", str(tmp_path / "gone"))]
+    got = cat.register_layers(spark, DB, layers)
+    assert [tuple(r)[:2] for r in got.collect()] == [("here", "registered"), ("gone", "missing")]
+    with pytest.raises(Exception, match="(?i)nosuchformat"):
+        cat.register_layers(spark, DB, layers[:1], fmt="nosuchformat")
+
+
+def test_show_relations_and_counts(spark, tmp_path):
+    cat.register(spark, DB, cat.Layer("shown", months_at(spark, str(tmp_path / "shown"), [1, 2])))
+    assert "shown" in {r["name"] for r in cat.show_tables(spark, DB).collect()}
+    assert DB in {r["database"] for r in cat.show_databases(spark).collect()}
+    assert [tuple(r) for r in cat.layer_counts(spark, DB, {"a": "shown"}).collect()] == [("a", 2)]
 
+
+def test_available_now_stream_is_idempotent(spark):
     land = scratch_path(spark, "t_land")
     bronze, ckpt = scratch_path(spark, "t_bronze"), scratch_path(spark, "t_ckpt")
     schema = T.StructType([T.StructField("VendorID", T.LongType())])
@@ -79,56 +89,45 @@ def test_available_now_stream_is_idempotent(spark):
 
 
 def test_describe_shows_location_and_partitions(spark, tmp_path):
-    loc = str(tmp_path / "d")
-    spark.createDataFrame([(1, 1)], "x int, trip_month int").write.partitionBy(
-        "trip_month").parquet(loc)
-    cat.ensure_database(spark, DB)
-    q = cat.register_table(spark, DB, cat.TableSpec("d", loc, "described"))
-    rows = {r.col_name: r.data_type for r in cat.describe(spark, q).collect()}
-    assert loc.split("/")[-1] in rows["Location"]
-    assert rows["Comment"] == "described" and rows["Provider"] == "parquet"
-    assert "trip_month" in rows
-
-
-def test_history_document_is_iso_json(spark):
-    import datetime as dt
-    import json
-
-    from farebox.operators.documents import history_document
-    from farebox.operators.snapshots import SnapshotTable
-
-    t = SnapshotTable(spark, scratch_path(spark, "hdoc"))
-    t.commit(spark.createDataFrame([(1, 1)], "x int, trip_month int"), "WRITE",
-             committed_at=dt.datetime(2024, 1, 2, 3, 4, 5))
-    doc = json.loads(history_document(t.latest_history()).first().document)
-    assert doc["version"] == 0 and doc["operation"] == "WRITE"
-    assert doc["timestamp"] == "2024-01-02T03:04:05.000000"
-    assert doc["operationMetrics"] == {"num_output_rows": 1}
-
-
-def test_streaming_upsert_absorbs_late_files(spark):
-    import datetime as dt
-
-    from farebox.config import DateWindow
-    from farebox.operators.snapshots import SnapshotTable
-    from farebox.plans.queries_more import canonical_landing_schema
-
-    schema = canonical_landing_schema()
-    land, ckpt = scratch_path(spark, "su_land"), scratch_path(spark, "su_ckpt")
-    table = SnapshotTable(spark, scratch_path(spark, "su_table"))
-
-    def land_month(month: str, amount: float) -> None:
-        p = dt.datetime(2023, int(month[5:]), 3, 10)
-        row = (1, 1.0, amount, p, p + dt.timedelta(minutes=9), 1.0, "N", 1.0, 1, 2, 1, 0.0, None)
-        spark.createDataFrame([row], schema).write.mode("append").parquet(
-            f"{land}/yellow_tripdata_{month}.parquet")
-
-    window = DateWindow("2023-01-01", "2023-03-01")
-    land_month("2023-01", 10.0)
-    st.upsert_available(spark, land, table, ckpt, schema, window)
-    land_month("2023-02", 20.0)
-    st.upsert_available(spark, land, table, ckpt, schema, window)
-    assert st.upsert_available(spark, land, table, ckpt, schema, window) == 0  # nothing new
-    rows = sorted((r.trip_month, r.total_amount) for r in table.read().collect())
-    assert rows == [(1, 10.0), (2, 20.0)]
-    assert table.latest_version() == 1  # first load, then one merge
+    path = months_at(spark, str(tmp_path / "d"), [9])
+    name = cat.register(spark, DB, cat.Layer("d", path, "described"))
+    rows = {r.col_name: r.data_type for r in cat.describe(spark, name).collect()}
+    assert rows["Location"].endswith("/d") and rows["Provider"] == "parquet"
+    assert rows["Comment"] == "described" and rows["trip_month"] == "int"
+
+
+def test_more_batches_than_progress_reports_are_all_counted(spark):
+    land, bronze, ckpt = (scratch_path(spark, n) for n in ("many_land", "many_bronze", "many_ckpt"))
+    schema = T.StructType([T.StructField("VendorID", T.LongType())])
+    spark.range(110).select(F.col("id").alias("VendorID"), F.concat(
+        F.lit("yellow_tripdata_"), F.date_format(F.add_months(F.lit("2010-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM"),
+        F.lit(".parquet")).alias("_f")).repartitionByRange(110, "VendorID").write.partitionBy("_f").parquet(land)
+    assert st.ingest_available(spark, land, bronze, ckpt, schema, max_files_per_trigger=1) == 110
+    assert spark.read.parquet(bronze).count() == 110
+
+
+TRIP = (1, 1.0, 10.0, dt.datetime(2023, 1, 3, 10), dt.datetime(2023, 1, 3, 10, 9), 1.0, "N", 1.0, 1, 2, 1, 0.0, None)
+WINDOW = DateWindow("2023-01-01", "2023-03-01")
+
+
+def land_trips(spark, land, name, *trips):
+    spark.createDataFrame(list(trips), canonical_landing_schema()).coalesce(1).write.mode("append").parquet(
+        f"{land}/yellow_tripdata_{name}.parquet")
+
+
+def trip(vendor=1, amount=10.0, day=3, month=1, passengers=1.0):
+    p = dt.datetime(2023, month, day, 10)
+    return (vendor, passengers, amount, p, p + dt.timedelta(minutes=9), *TRIP[5:])
+
+
+@pytest.mark.parametrize("files", [1, 3, 64])
+def test_stream_upsert_is_the_same_at_any_batch_size(spark, files):
+    land, path, ckpt = (scratch_path(spark, n) for n in ("su_land", "su_table", "su_ckpt"))
+    land_trips(spark, land, "2022-12", trip(month=12))  # outside the window: an empty first batch at one file a time
+    land_trips(spark, land, "2023-01", trip(amount=10.0), trip(2, 7.0))
+    land_trips(spark, land, "2023-02", trip(amount=20.0), trip(1, 5.0, month=2))
+    land_trips(spark, land, "2023-03", trip(amount=15.0), trip(2, 7.0))
+    st.upsert_available(spark, land, path, ckpt, canonical_landing_schema(), WINDOW, max_files_per_trigger=files)
+    assert st.upsert_available(spark, land, path, ckpt, canonical_landing_schema(), WINDOW) == 0
+    got = sorted((r.VendorID, r.trip_month, r.total_amount) for r in spark.read.parquet(path).collect())
+    assert got == [(1, 1, 20.0), (1, 2, 5.0), (2, 1, 7.0)]

@@ -22,25 +22,25 @@ def test_cast_types_contract(raw_df):
     }
 
 
-def test_seven_dirty_rows_clean_to_two(raw_df):
+def test_dirty_rows_clean_to_three(raw_df):
     out = cl.to_silver(raw_df)
     rows = sorted(out.collect(), key=lambda r: r.tpep_pickup_datetime)
-    assert [(r.VendorID, r.total_amount) for r in rows] == [(1, 20.5), (1, 55.0)]
+    assert [(r.VendorID, r.total_amount) for r in rows] == [(6, 12.75), (1, 31.5), (2, 8.0)]
 
 
 def test_dedup_removes_exact_copies(raw_df):
-    assert cl.dedup_exact(raw_df).count() == 6
+    assert cl.dedup_exact(raw_df).count() == 8
 
 
 def test_derived_month_and_hour(raw_df):
     out = cl.to_silver(raw_df)
     got = sorted((r.trip_month, r.pickup_hour) for r in out.collect())
-    assert got == [(1, 8), (5, 18)]
+    assert got == [(2, 23), (3, 6), (4, 21)]
     assert out.schema["trip_month"].dataType == T.IntegerType()
 
 
 def test_custom_window(raw_df):
-    out = cl.to_silver(raw_df, DateWindow("2023-01-01", "2023-02-01"))
+    out = cl.to_silver(raw_df, DateWindow("2023-02-01", "2023-03-01"))
     assert out.count() == 1
 
 
@@ -90,11 +90,46 @@ def test_window_from_months_relation(spark):
     assert (row.window_start, row.window_end) == (dt.date(2023, 11, 1), dt.date(2024, 1, 1))
 
 
-def test_cluster_settings_scale_with_input():
-    from farebox.session import cluster_settings
+def test_cluster_settings_follow_the_shuffled_bytes():
+    from farebox.session import MOST_SHUFFLE_PARTITIONS, cluster_settings
 
-    small = cluster_settings(10 * 1024**3, total_cores=8)
-    big = cluster_settings(100 * 1024**4, total_cores=8000)
-    assert int(small["spark.sql.shuffle.partitions"]) == 40
-    assert int(big["spark.sql.shuffle.partitions"]) == 409600
-    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    def width(*a, **k):
+        return int(cluster_settings(*a, **k)["spark.sql.shuffle.partitions"])
+
+    assert width(10 * 1024**3, 8) == 16
+    assert width(100 * 1024**4, 8000, shuffled_bytes=3 * 1024**4) == 16_000
+    assert width(100 * 1024**4, 8000, shuffled_bytes=4 * 1024**4) == 16_384
+    assert width(100 * 1024**4, 8000) == MOST_SHUFFLE_PARTITIONS
+    assert cluster_settings(1, 1)["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+class Fake:
+    """As much of a session as the folder rules look at."""
+
+    def __init__(self, master, named=None):
+        self.master, self.dir, self.sparkContext = master, None, self
+        self.conf = self
+        self.named = named
+
+    def get(self, key, default=None):
+        return self.named if key == "spark.checkpoint.dir" else default
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def setCheckpointDir(self, path):
+        self.dir = path
+
+
+def test_checkpoint_folder_rules(tmp_path):
+    import pytest
+
+    from farebox.session import checkpoint_root
+
+    assert checkpoint_root(Fake("spark://host:7077", "hdfs:///shared/")) == "hdfs:///shared"
+    assert checkpoint_root(Fake("local[2]", str(tmp_path))) == str(tmp_path)
+    own = Fake("local[2]")
+    assert checkpoint_root(own) == checkpoint_root(own)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_root(Fake(master))

@@ -25,8 +25,8 @@ def test_raw_counts(spark):
     assert raw.count() == 61176
     assert raw.distinct().count() == 60000
     m = dq.metrics_row(typed(spark, SF_ORACLE)).first()
-    assert m.total_rows - m.nulls__passenger_count == 59945
-    assert (m.bad_amount, m.bad_pax, m.bad_chrono) == (662, 1167, 29801)
+    assert m.rows_seen - m.missing_passenger_count == 59945
+    assert (m.amount_not_positive, m.passengers_not_positive, m.dropoff_not_after) == (662, 1167, 29801)
 
 
 def test_silver_and_q1(s):

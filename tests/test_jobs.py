@@ -41,7 +41,7 @@ def layers(spark):
 def test_silver_gate_passed_and_rows_match(spark, layers):
     from farebox.plans.inputs import silver
 
-    assert all(r.passed for r in layers["results"])
+    assert all(o.ok for o in layers["results"])
     written = spark.read.parquet(layers["silver"])
     assert written.count() == silver(spark, SF_SMALL).count()
 
@@ -78,7 +78,7 @@ def test_gold_tables(spark, layers):
 
 
 def test_register_all_layers(spark, layers):
-    report = cat.register_all(spark, "farebox_jobs", cat.layer_specs(
+    report = cat.register_layers(spark, "farebox_jobs", cat.layers_of(
         layers["bronze"], layers["silver"], layers["gold"]))
     assert {r.status for r in report.collect()} == {"registered"}
     n = spark.sql("SELECT COUNT(*) FROM farebox_jobs.silver_trips").first()[0]
@@ -102,21 +102,6 @@ def test_gate_blocks_the_write(spark, layers):
     assert not path_exists(spark, target)
 
 
-def test_snapshot_commit_gates_in_the_same_pass(spark, layers):
-    from farebox.operators.snapshots import SnapshotTable
-
-    table = SnapshotTable(spark, scratch_path(spark, "j_snap"))
-    v = jobs.silver_snapshot_job(spark, layers["bronze"], table, DRIVER_WINDOW)
-    assert v == 0 and table.read().count() == spark.read.parquet(layers["silver"]).count()
-    bad = SnapshotTable(spark, scratch_path(spark, "j_snap_bad"))
-    from farebox.operators.quality import default_expectations
-
-    rows = jobs.read_silver(spark, layers["silver"]).withColumn("total_amount", F.lit(-1.0))
-    with pytest.raises(DataQualityError):
-        bad.commit(rows, "WRITE", expectations=default_expectations())
-    assert bad.latest_version() is None  # never published
-
-
 def test_silver_publish_repoints_the_catalog_only_after_success(spark, layers):
     root = scratch_path(spark, "j_pub")
     first = jobs.silver_publish_job(spark, layers["bronze"], root, DRIVER_WINDOW, "farebox_pub")
