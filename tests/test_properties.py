@@ -61,12 +61,12 @@ def test_to_silver_matches_brute_force(spark, rows):
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.integers(-50, 50), min_size=1, max_size=300), st.integers(1, 5))
-def test_quantiles_exact_matches_numpy(spark, values, buckets):
+@given(st.lists(st.integers(-50, 50), min_size=1, max_size=300))
+def test_quantiles_exact_matches_numpy(spark, values):
     hot = [7] * (len(values) // 2 + 1)  # one value holds a third or more of all rows
     data = [(float(v),) for v in values + hot]
     df = spark.createDataFrame(data, "total_amount double")
-    row = agg.quantiles_exact(df, buckets=buckets).first()
+    row = agg.quantiles_exact(df).first()
     arr = np.array([d[0] for d in data])
     for p, name in zip(agg.QUANTILE_PROBS, agg.QUANTILE_NAMES):
         assert row[name] == round(float(np.quantile(arr, p)), 4)
