@@ -6,8 +6,10 @@ labelled rows; the log-probability matrix (buckets x languages, float32, at most
 ``MAX_LANGS`` languages) goes to the tasks, which score batches of documents with
 one gather and one segmented sum.
 
-Training uses about ``TRAIN_ROWS`` labelled rows, chosen by the hash of the id, text
-and label: all of them while there are no more. Prediction reads every text whole.
+Training uses about ``TRAIN_ROWS`` labelled rows: all of them while there are no more,
+else an even number of each language (all rows of a language that has fewer), chosen
+by a hash of the whole row, so that copies of a text are thinned like other rows.
+Priors come from all labelled rows. Prediction reads every text whole.
 
 Null text, or a text without a letter, is ``und`` with score 0; so is everything if
 there is nothing to learn from. Rows with a null label are not learned from. Ties go
@@ -23,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from farebox.llm.common import row_key
+
 ORDER, BITS = 3, 15
 TRAIN_ROWS, MAX_LANGS = 40_000, 512
 SMOOTHING = 0.5
@@ -93,11 +97,28 @@ def count_features(texts: list[str], labels: list[int], langs: int) -> np.ndarra
     return counts
 
 
+def sample_shares(sizes: list[int], rows: int) -> list[float]:
+    """The share of each language's rows to learn from: even numbers, what small languages leave goes to larger ones."""
+    out, left = [0.0] * len(sizes), float(rows)
+    for done, i in enumerate(sorted(range(len(sizes)), key=sizes.__getitem__)):
+        take = min(float(sizes[i]), left / (len(sizes) - done))
+        out[i], left = take / sizes[i], left - take
+    return out
+
+
+def sample(known: DataFrame, langs: list[str], shares: list[float]) -> DataFrame:
+    """The rows (lang, text, h) whose hash falls into their language's share."""
+    if all(x >= 1 for x in shares):
+        return known
+    most = F.create_map(*[F.lit(v) for k, x in zip(langs, shares) for v in (k, int(x * (1 << 30)))])
+    return known.filter(F.pmod("h", F.lit(1 << 30)) < F.try_element_at(most, F.col("lang")))
+
+
 def train(docs: DataFrame, label_col: str = "lang", text_col: str = "text", rows: int = TRAIN_ROWS
           ) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(languages, log-probabilities [bucket, language], log-priors) learned from ``docs``."""
-    known = docs.select(F.col(f"`{label_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text")).filter(
-        "lang is not null and text is not null")
+    known = docs.select(F.col(f"`{label_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"),
+                        row_key(docs)[0].alias("h")).filter("lang is not null and text is not null")
     sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(MAX_LANGS + 1).collect()
     if len(sizes) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
@@ -105,9 +126,7 @@ def train(docs: DataFrame, label_col: str = "lang", text_col: str = "text", rows
     n = np.array([r["n"] for r in sizes], float)
     counts = np.zeros((len(langs), ORDER << BITS))
     if langs:
-        share = min(1.0, rows / n.sum())
-        if share < 1:
-            known = known.filter(F.pmod(F.xxhash64("lang", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
+        known = sample(known, langs, sample_shares([r["n"] for r in sizes], rows)).select("lang", "text")
         place = {x: i for i, x in enumerate(langs)}
 
         def count(batches):

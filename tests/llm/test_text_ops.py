@@ -136,6 +136,24 @@ def test_langid_empty_and_crowded(no_docs, crowded):
     assert {r["lang_pred"] for r in got.collect()} == {"und"}
 
 
+def test_langid_sample_is_bounded_and_even(spark):
+    assert langid.sample_shares([10, 1000, 100], 60) == [1.0, 0.025, 0.25]
+    assert langid.sample_shares([3, 4], 100) == [1.0, 1.0]
+    rows = spark.range(6000).select(
+        "id", F.when(F.col("id") < 40, "fr").otherwise("en").alias("lang"), F.lit("the same text").alias("text"),
+        F.xxhash64("id").alias("h"))
+    got = {r["lang"]: r["count"] for r in langid.sample(
+        rows, ["en", "fr"], langid.sample_shares([5960, 40], 600)).groupBy("lang").count().collect()}
+    assert got["fr"] == 40 and 450 < got["en"] < 680
+
+
+def test_langid_learns_from_a_sample(docs, doc_rows):
+    model = langid.train(docs, rows=60)
+    got = langid.predict(docs, model, {"doc_id": F.col("doc_id"), "lang": F.col("lang")}).filter(
+        "lang_pred <> 'und' and lang is not null")
+    assert got.filter("lang = lang_pred").count() > 0.8 * got.count()
+
+
 def test_langid_held_out_accuracy(spark):
     got = queries.op6_langid(spark, "/root/testdata/sf0.1").join(
         spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "lang"), "doc_id")
