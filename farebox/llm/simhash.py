@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 from farebox.llm.common import materialize, private, row_key
 
 SHINGLE, BITS = 3, 2
-#: The driver's part of the trie: prefixes of so many bits, and about so many leaves at most.
+#: The driver's part of the trie: prefixes of so many bits, and about so many leaves while these are not too full.
 TOP_BITS, LEAVES, LEAST_LEAF = 16, 128, 2048
+#: A leaf with more fingerprints is cut on, so that a pair of leaves takes some 100 MB however many documents there are.
+FULL_LEAF = 1 << 21
 #: Node pairs and fingerprint pairs expanded at a time inside a group.
 STEP = 1 << 17
 
@@ -195,7 +197,7 @@ def links(distinct: DataFrame, budget: int = BITS) -> DataFrame:
     """(u, v): links among distinct fingerprints ``fp`` that connect all within ``budget`` bits of each other."""
     prefix = F.shiftrightunsigned("fp", 64 - TOP_BITS).alias("p")
     counts = {r["p"]: r["count"] for r in distinct.groupBy(prefix).count().collect()}  # at most 2 ** TOP_BITS
-    leaves = cut(counts, max(LEAST_LEAF, sum(counts.values()) // LEAVES))
+    leaves = cut(counts, min(FULL_LEAF, max(LEAST_LEAF, sum(counts.values()) // LEAVES)))
     pairs = leaf_pairs(leaves, budget)
     leaf_of = np.zeros(1 << TOP_BITS, np.int32)
     for k, (bits, p) in enumerate(leaves):

@@ -153,10 +153,11 @@ def clustered(n, seed=5):
     return sorted(out)
 
 
-@pytest.mark.parametrize("step,leaf", [(1 << 17, 2048), (50, 40)])
-def test_trie_join_finds_every_link(spark, monkeypatch, step, leaf):
+@pytest.mark.parametrize("step,leaf,full", [(1 << 17, 2048, 1 << 21), (50, 40, 1 << 21), (50, 40, 12)])
+def test_trie_join_finds_every_link(spark, monkeypatch, step, leaf, full):
     monkeypatch.setattr(simhash, "STEP", step)
     monkeypatch.setattr(simhash, "LEAST_LEAF", leaf)
+    monkeypatch.setattr(simhash, "FULL_LEAF", full)
     fps = clustered(700)
     signed = [x - (x >> 63 << 64) for x in fps]
     edges = simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long"))
