@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from farebox.llm.common import let, lower_ascii, materialize, private
 
 WINDOW, GRAM = 10, 5
-#: A benchmark table of at most so many rows (16-200 bytes each) is broadcast.
+#: The benchmark's tables are broadcast if it has at most so many pairs of item and window (16-200 bytes each).
 BROADCAST_ROWS = 100_000
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SEED = "struct<pos:int,kind:int,fp:bigint,first:int,ctx:array<bigint>>"
@@ -92,17 +92,15 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     return w.select("item_id", F.explode(let(_hashes(F.col("w")), of)).alias("x")).select("item_id", "x.*").distinct()
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id") -> DataFrame:
     """One row per document row: doc id, text_hash, n_words, n_hit, items (sorted item ids as strings)."""
     bench = materialize(benchmark_windows(items, item_col), "bench-windows")
-    prints = _small(bench.select("kind", "fp").distinct().withColumn("known", F.lit(True)))
-    windows = _small(bench.groupBy("len", "whash").agg(
-        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("window_items")))
+    prints = bench.select("kind", "fp").distinct().withColumn("known", F.lit(True))
+    windows = bench.groupBy("len", "whash").agg(
+        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("window_items"))
+    if bench.count() <= BROADCAST_ROWS:  # bounds the entries of both, long item lists included
+        prints, windows = F.broadcast(prints), F.broadcast(windows)
     short = sorted(r["kind"] for r in bench.filter("kind > 0").select("kind").distinct().collect())  # under WINDOW
 
     text = F.col(f"`{text_col}`")
