@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farebox.llm.common import private, row_key
+from farebox.llm.common import materialize, private, row_key
 
 FRAME, BLOCK_ROWS, ALPHA = 1000, 16, 0.7
 #: Rows in a rank bucket, and the most buckets that the offset table may have.
@@ -92,7 +92,7 @@ def mix(docs: DataFrame, source_col: str = "source", weights: dict[str | None, f
     h1, h2 = row_key(docs)
     base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col(f"`{source_col}`").alias("src"), h1.alias("h1"), h2.alias("h2"))
-    counts = base.groupBy("src").agg(F.count("*").alias("n"))
+    counts = materialize(base.groupBy("src").agg(F.count("*").alias("n")), "source-counts")  # one scan for all uses
     sources = counts.count()
     if sources > frame:
         raise ValueError(f"{sources} sources do not fit a frame of {frame} slots")
