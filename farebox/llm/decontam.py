@@ -3,11 +3,11 @@
 A window is ``WINDOW`` consecutive item words (a shorter item is one window). Both
 sides hash every ``GRAM`` consecutive words and keep the least hash of each run of
 ``WINDOW - GRAM + 1`` grams, so any shared span of ``WINDOW`` words shares a kept
-hash. Kept hashes of the documents meet those of the benchmark; each hit carries
-the hashes of the words around it, is extended to the at most
-``WINDOW - GRAM + 1`` windows that hold it, and a window counts only if all its
-words agree (64-bit word hashes). Items of fewer words have no kept gram; each
-such length is met gram by gram instead.
+hash. Kept hashes of the documents meet those of the benchmark; each hit is extended
+to the at most ``WINDOW - GRAM + 1`` windows that hold it, whose hashes it carries, and
+a window counts only if its hash (64 bits, over the grams that cover it) is one of
+the benchmark's. Items of fewer words have no kept gram; each such length is met gram
+by gram instead.
 
 Everything is DataFrame expressions. The benchmark side is broadcast only after
 its size has been counted (``BROADCAST_ROWS``); otherwise both sides shuffle on
@@ -27,7 +27,7 @@ WINDOW, GRAM = 10, 5
 #: The benchmark's tables are broadcast if it has at most so many pairs of item and window (16-200 bytes each).
 BROADCAST_ROWS = 100_000
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-SEED = "struct<pos:int,kind:int,fp:bigint,first:int,ctx:array<bigint>>"
+SEED = "struct<pos:int,kind:int,fp:bigint,wins:array<bigint>>"
 
 
 def words_of(text: Column) -> Column:
@@ -38,54 +38,71 @@ def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def _run(values: Column, i: Column, k: int) -> list[Column]:
+    """``k`` entries from the 0-based place ``i`` on; far cheaper than ``slice`` inside a lambda."""
+    return [F.get(values, i + j) for j in range(k)]
+
+
+def _places(values: Column, k: int) -> Column:
+    """0-based places of all runs of ``k`` entries."""
+    return F.when(F.size(values) >= k, F.sequence(F.lit(0), F.size(values) - k)).otherwise(F.array().cast("array<int>"))
+
+
 def _grams(h: Column, k: int) -> Column:
-    """Hash of every ``k`` consecutive entries of ``h``."""
-    return F.when(F.size(h) >= k, F.transform(
-        F.sequence(F.lit(1), F.size(h) - (k - 1)), lambda i: F.xxhash64(F.slice(h, i, k)))).otherwise(
-        F.array().cast("array<bigint>"))
+    """Hash of every ``k`` consecutive entries of ``h``: the same as the hash of an array of them."""
+    return F.transform(_places(h, k), lambda i: F.xxhash64(*_run(h, i, k)))
 
 
 def _winnowed(g: Column, w: int) -> Column:
-    """Distinct 1-based places of the leftmost least entry of every ``w`` consecutive entries."""
-    return F.when(F.size(g) >= w, F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.size(g) - (w - 1)),
-        lambda i: i - 1 + F.array_position(F.slice(g, i, w), F.array_min(F.slice(g, i, w))).cast("int")))).otherwise(
-        F.array().cast("array<int>"))
+    """Distinct 1-based places of the leftmost least entry of every ``w`` consecutive entries.
+
+    The place differs from the window before only if the least entry does, or if that entry has just left.
+    """
+    def changes(least: Column) -> Column:
+        at = F.filter(_places(g, w), lambda i: (i == 0) | (F.get(least, i) != F.get(least, i - 1)) | (
+            F.get(least, i) == F.get(g, i - 1)))
+        return F.transform(at, lambda i: i + F.array_position(F.array(*_run(g, i, w)), F.get(least, i)).cast("int"))
+
+    return let(F.transform(_places(g, w), lambda i: F.least(*_run(g, i, w))), changes)
+
+
+def _window_hash(g: Column, i: Column) -> Column:
+    """Hash of the window at the 0-based place ``i``, over grams that cover it end to end."""
+    return F.xxhash64(*[F.get(g, i + j) for j in (*range(0, WINDOW - GRAM, GRAM), WINDOW - GRAM)])
 
 
 def _seeds(h: Column, short: list[int]) -> Column:
-    """A document's kept grams with the words around them, and its grams of the short items' lengths."""
-    n = F.size(h)
+    """A document's kept grams, each with the hashes of the windows that may hold it (null beyond the text's
+    ends), and its grams of the short items' lengths."""
+    span = WINDOW - GRAM + 1
 
-    def seed(pos, kind, fp, first, ctx) -> Column:
-        return F.struct(pos.alias("pos"), F.lit(kind).alias("kind"), fp.alias("fp"),
-                        first.alias("first"), ctx.alias("ctx"))
+    def seed(pos, kind, fp, wins) -> Column:
+        return F.struct(pos.alias("pos"), F.lit(kind).alias("kind"), fp.alias("fp"), wins.alias("wins"))
 
     def kept(g: Column) -> Column:
-        def one(p: Column) -> Column:
-            first = F.greatest(p - (WINDOW - GRAM), F.lit(1))
-            return seed(p, 0, F.element_at(g, p), first,
-                        F.slice(h, first, F.least(n, p + (WINDOW - 1)) - first + 1))
-        return F.transform(_winnowed(g, WINDOW - GRAM + 1), one)
+        windows = F.transform(_places(g, span), lambda i: _window_hash(g, i))
+        return let(windows, lambda w: F.transform(_winnowed(g, span), lambda p: seed(
+            p, 0, F.get(g, p - 1), F.array(*_run(w, p - span, span)))))
 
-    out = [let(_grams(h, GRAM), kept)]
     none = F.lit(None).cast("array<bigint>")
 
     def whole(k: int) -> Column:
-        return F.transform(_grams(h, k), lambda fp, i: seed(i + 1, k, fp, i + 1, none))
+        return F.transform(_grams(h, k), lambda fp, i: seed(i + 1, k, fp, none))
 
-    return F.concat(*out, *map(whole, short))
+    return F.concat(let(_grams(h, GRAM), kept), *map(whole, short))
 
 
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Distinct (item, kind, len, whash, fp): kind 0 for full windows, else the short item's length."""
     w = items.select(F.col(id_col).alias("item_id"), words_of(F.col(text_col)).alias("w")).filter(F.size("w") > 0)
 
+    def window(kind, length, whash, fp):
+        return F.struct(kind.alias("kind"), length.alias("len"), whash.alias("whash"), fp.alias("fp"))
+
     def of(h: Column) -> Column:
-        def window(kind, length, whash, fp):
-            return F.struct(kind.alias("kind"), length.alias("len"), whash.alias("whash"), fp.alias("fp"))
-        full = F.transform(F.sequence(F.lit(1), F.size(h) - (WINDOW - 1)), lambda i: window(
-            F.lit(0), F.lit(WINDOW), F.xxhash64(F.slice(h, i, WINDOW)), F.array_min(_grams(F.slice(h, i, WINDOW), GRAM))))
+        span = WINDOW - GRAM + 1
+        full = let(_grams(h, GRAM), lambda g: F.transform(_places(g, span), lambda i: window(
+            F.lit(0), F.lit(WINDOW), _window_hash(g, i), F.least(*_run(g, i, span)))))
         only = F.array(window(F.size(h), F.size(h), F.xxhash64(h), F.xxhash64(h)))
         return F.when(F.size(h) >= WINDOW, full).otherwise(only)
 
@@ -96,7 +113,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                   item_col: str = "item_id") -> DataFrame:
     """One row per document row: doc id, text_hash, n_words, n_hit, items (sorted item ids as strings)."""
     bench = materialize(benchmark_windows(items, item_col), "bench-windows")
-    prints = bench.select("kind", "fp").distinct().withColumn("known", F.lit(True))
+    prints = bench.select("fp").distinct().withColumn("known", F.lit(True))
     windows = bench.groupBy("len", "whash").agg(
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("window_items"))
     if bench.count() <= BROADCAST_ROWS:  # bounds the entries of both, long item lists included
@@ -108,20 +125,18 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     # each document also sends one row of kind -1, so that it is present without any hit
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), own.alias("text_hash"), let(words_of(text), lambda w: F.struct(
         F.size(w).cast("long").alias("n"), F.concat(
-            F.array(F.struct(F.lit(0).alias("pos"), F.lit(-1).alias("kind"), own.alias("fp"), F.lit(0).alias("first"),
-                             F.lit(None).cast("array<bigint>").alias("ctx"))).cast(f"array<{SEED}>"),
+            F.array(F.struct(F.lit(0).alias("pos"), F.lit(-1).alias("kind"), own.alias("fp"),
+                             F.lit(None).cast("array<bigint>").alias("wins"))).cast(f"array<{SEED}>"),
             let(_hashes(w), lambda h: _seeds(h, short)).cast(f"array<{SEED}>")).alias("seeds"))).alias("x")
     ).select("id", "text_hash", F.col("x.n").alias("n_words"), F.inline("x.seeds"))
-    met = rows.join(prints, ["kind", "fp"], "left").filter("known or kind = -1")
+    met = rows.join(prints, "fp", "left").filter("known or kind = -1")
 
-    # a kept gram lies in at most WINDOW - GRAM + 1 windows of the document
-    starts = F.sequence(F.col("first"), F.least(F.col("pos"), F.col("first") + F.size("ctx") - WINDOW))
+    # the windows of a kept gram start at pos - (WINDOW - GRAM) and after; a null hash meets none
     found = F.struct(F.lit(None).cast("int").alias("start"), F.lit(0).alias("len"), F.lit(None).cast("long").alias("whash"))
     tries = F.when(F.col("kind") == -1, F.array(found)).when(F.col("kind") > 0, F.array(F.struct(
-        F.col("pos").alias("start"), F.col("kind").alias("len"), F.col("fp").alias("whash")))).when(
-        F.size("ctx") >= WINDOW, F.transform(starts, lambda s: F.struct(
-            s.alias("start"), F.lit(WINDOW).alias("len"),
-            F.xxhash64(F.slice("ctx", s - F.col("first") + 1, WINDOW)).alias("whash"))))
+        F.col("pos").alias("start"), F.col("kind").alias("len"), F.col("fp").alias("whash")))).otherwise(
+        F.transform("wins", lambda x, j: F.struct(
+            (F.col("pos") - (WINDOW - GRAM) + j).alias("start"), F.lit(WINDOW).alias("len"), x.alias("whash"))))
     hits = met.select("id", "text_hash", "n_words", F.inline(tries)).join(
         windows, ["len", "whash"], "left").filter("window_items is not null or len = 0")
 
