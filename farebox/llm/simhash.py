@@ -33,6 +33,8 @@ SHINGLE, BITS = 3, 2
 TOP_BITS, LEAVES, LEAST_LEAF = 16, 128, 2048
 #: A leaf with more fingerprints is cut on, so that a pair of leaves takes some 100 MB however many documents there are.
 FULL_LEAF = 1 << 21
+#: Fingerprints dealt to their groups at a time.
+DEAL_ROWS = 4096
 #: Node pairs and fingerprint pairs expanded at a time inside a group.
 STEP = 1 << 17
 
@@ -202,29 +204,33 @@ def links(distinct: DataFrame, budget: int = BITS) -> DataFrame:
     leaf_of = np.zeros(1 << TOP_BITS, np.int32)
     for k, (bits, p) in enumerate(leaves):
         leaf_of[p << (TOP_BITS - bits):(p + 1) << (TOP_BITS - bits)] = k
-    groups: list[list[tuple[int, int]]] = [[] for _ in leaves]
-    for g, (i, j) in enumerate(pairs):
-        groups[i].append((g, 0))
-        if j != i:
-            groups[j].append((g, 1))
-    lone = {g for g, (i, j) in enumerate(pairs) if i == j}
+    ends = np.array(pairs, np.int32).reshape(-1, 2)
+    lone = ends[:, 0] == ends[:, 1]
+    # the (group, side) of every leaf, laid end to end: those of leaf k are first[k] .. first[k + 1]
+    owner = np.concatenate([ends[:, 0], ends[~lone, 1]])
+    order = np.argsort(owner, kind="stable")
+    group = np.concatenate([np.arange(len(ends)), np.flatnonzero(~lone)])[order].astype(np.int32)
+    side_of = (order >= len(ends)).astype(np.int8)
+    first = np.searchsorted(owner[order], np.arange(len(leaves) + 1))
+    sent = distinct.sparkSession.sparkContext.broadcast((leaf_of, group, side_of, first, lone))  # set by TOP_BITS
 
     def deal(batches):
+        leaf_at, to, side, start, _ = sent.value
         for batch in batches:
-            fp = batch.column(0).to_numpy(zero_copy_only=False)
-            leaf = leaf_of[(fp.view(np.uint64) >> np.uint64(64 - TOP_BITS)).astype(np.int64)]
-            for k in np.unique(leaf):
-                mine = fp[leaf == k]
-                for g, side in groups[k]:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(mine), g, np.int32)), pa.array(np.full(len(mine), side, np.int8)),
-                         pa.array(mine)], ["g", "side", "fp"])
-
-    def solve(key, group):
-        side = group.column("side").to_numpy()
-        fp = group.column("fp").to_numpy().view(np.uint64)
-        u, v = forest(np.sort(fp[side == 0]), np.sort(fp[side == 1]) if key[0].as_py() not in lone else np.sort(fp),
-                      key[0].as_py() in lone, budget)
+            for at in range(0, batch.num_rows, DEAL_ROWS):
+                fp = batch.column(0).slice(at, DEAL_ROWS).to_numpy(zero_copy_only=False)
+                leaf = leaf_at[(fp.view(np.uint64) >> np.uint64(64 - TOP_BITS)).astype(np.int64)]
+                times = start[leaf + 1] - start[leaf]
+                upto = np.cumsum(times)
+                place = np.arange(upto[-1]) + np.repeat(start[leaf] - (upto - times), times)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(to[place]), pa.array(side[place]), pa.array(np.repeat(fp, times))], ["g", "side", "fp"])
+
+    def solve(key, rows):
+        side, own = rows.column("side").to_numpy(), bool(sent.value[4][key[0].as_py()])
+        fp = rows.column("fp").to_numpy().view(np.uint64)
+        a = np.sort(fp[side == 0])
+        u, v = forest(a, a if own else np.sort(fp[side == 1]), own, budget)
         return pa.table({"u": u.view(np.int64), "v": v.view(np.int64)})
 
     return distinct.select("fp").mapInArrow(deal, "g int, side tinyint, fp bigint").groupBy("g").applyInArrow(
