@@ -96,7 +96,7 @@ def op8_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = doc_bucket(F.col("doc_id"), LEARN_LM) == 0
-    return lm.score(docs, ~held, {"doc_id": F.col("doc_id"), "held_out": held})
+    return lm.score_all(docs, ~held, {"doc_id": F.col("doc_id"), "held_out": held})
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

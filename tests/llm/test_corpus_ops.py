@@ -265,6 +265,40 @@ def test_lm_equals_plain_model(docs, doc_rows, monkeypatch, frequent, states):
         assert x[:4] == y[:4] and x[4] == pytest.approx(y[4], rel=1e-6, abs=1e-3) and x[5] == pytest.approx(y[5], rel=1e-4, abs=2e-2)
 
 
+@pytest.mark.parametrize("frequent,arcs", [(1 << 18, 1 << 20), (8, 6), (1 << 18, 20), (0, 0)])
+def test_lm_of_all_bigrams_equals_plain_model(docs, doc_rows, monkeypatch, frequent, arcs):
+    monkeypatch.setattr(lm, "FREQUENT", frequent)
+    monkeypatch.setattr(lm, "ARCS", arcs)
+    monkeypatch.setattr(lm, "STATES", 3)
+    learn = F.coalesce(F.col("doc_id") % 3 != 0, F.lit(False))
+    got = lm.score_all(docs, learn, {"doc_id": F.col("doc_id")}).collect()
+    train = [r[1] for r in doc_rows if r[0] is not None and r[0] % 3 != 0]
+    want = plain_lm(train, [r[1] for r in doc_rows], 10 ** 9)
+    key = lambda x: (str(x[0]), *x[1:4], round(x[4], 4), round(x[5], 3))
+    a = sorted(map(key, [(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in got]))
+    b = sorted(map(key, [(r[0], *w) for r, w in zip(doc_rows, want)]))
+    for x, y in zip(a, b, strict=True):
+        assert x[:4] == y[:4] and x[4] == pytest.approx(y[4], rel=1e-6, abs=1e-3) and x[5] == pytest.approx(y[5], rel=1e-4, abs=2e-2)
+
+
+def test_lm_query_has_no_cap_on_states(spark, tmp_path):
+    r = random.Random(8)
+    order = [f"w{i}" for i in range(3000)]  # more words than the bounded automaton has states, each with one follower
+    rows = [(i, " ".join(order[k:k + 40]), "en", "s", 0) for i, k in enumerate(r.randrange(2960) for _ in range(900))]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    got = {x["doc_id"]: (x["held_out"], x["score"]) for x in queries.op9_lm(spark, str(tmp_path)).collect()}
+    want = plain_lm([t for i, t, *_ in rows if not got[i][0]], [t for _, t, *_ in rows], 10 ** 9)
+    for (i, *_), w in zip(rows, want, strict=True):
+        assert got[i][1] == pytest.approx(w[4], rel=1e-4, abs=2e-2)
+
+
+def test_lm_of_all_bigrams_without_training_or_documents(docs, no_docs):
+    got = lm.score_all(docs, F.lit(False), {"doc_id": F.col("doc_id")}).collect()
+    assert {r["train_tokens"] for r in got} == {0} and all(r["n_known"] == 0 and r["base_score"] == 0 for r in got)
+    assert lm.score_all(no_docs, F.lit(True), {"doc_id": F.col("doc_id")}).collect() == []
+
+
 def test_lm_chances_sum_to_one():
     keys = np.array([0 * 5 + 1, 0 * 5 + 3, 1 * 5 + 0, 3 * 5 + 4, 4 * 5 + 0])
     a = lm.Automaton(3, keys, np.array([2, 1, 4, 2, 3]))
