@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.llm import chat, decontam, langid, lm, mixing, pii, sharding, simhash, topk, urlfilter
-from farebox.llm.common import doc_bucket, table
+from farebox.llm.common import doc_bucket, materialize, table
+from farebox.session import scratch_path
 
 #: Fixed rules of the URL query, then the pattern rules that judge what they leave.
 URL_RULES = [
@@ -67,7 +68,13 @@ def old_shards():
 
 
 def placement(docs: DataFrame) -> DataFrame:
-    placed = sharding.reshard(docs, old_shards(), SHARDS)
+    """The placement of every row, whose shards are then written below the shared scratch folder."""
+    placed = materialize(sharding.reshard(docs, old_shards(), SHARDS), "placement")
+    path = scratch_path(docs.sparkSession, "shards")
+    affected = sharding.rewrite_affected(docs, placed, path)
+    untouched = [s for s in range(SHARDS) if s not in affected]
+    if not placed.filter(F.col("shard").isin(untouched)).isEmpty():  # the given table is not laid out: these have no files yet
+        sharding.write_shards(docs, placed, path, untouched)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "old_shard", "moved")
 

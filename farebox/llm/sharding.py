@@ -14,6 +14,10 @@ one number per old shard (``MAX_SHARDS`` at most) and the flow.
 Size: UTF-8 bytes of the text (null: none) plus 1. Rows with a null old shard are
 new rows: they may go anywhere at the same cost. Copies of a row are
 interchangeable. An empty table gives an empty result.
+
+The rewrite needs no id: the plan carries hashes of the whole row (``KEY``). Every row
+of the plan takes the content of its key, one copy of which is kept, so repeated rows
+and rows with a null id are written as often as the plan has them.
 """
 
 from __future__ import annotations
@@ -28,6 +32,15 @@ from farebox.llm.common import materialize, row_key
 BUCKET_ROWS, MAX_BUCKETS, MAX_SHARDS = 1024, 1_000_000, 1024
 #: The old shard of rows that had none.
 UNPLACED = -1
+#: Hashes of a row: two over its values, one over its nulls and nested values (the first two skip nulls).
+KEY = ["__h1", "__h2", "__h3"]
+
+
+def content_key(docs: DataFrame) -> list[Column]:
+    """The columns KEY; rows that agree in all of them are copies of one row."""
+    nested = [F.to_json(F.col(f"`{f.name}`")) for f in docs.schema.fields if f.dataType.typeName() in ("array", "struct")]
+    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "0").otherwise("1") for c in docs.columns])
+    return [x.alias(k) for x, k in zip((*row_key(docs), F.xxhash64(nulls, *[F.coalesce(x, F.lit("")) for x in nested])), KEY)]
 
 
 def min_cost_flow(arcs: list[tuple[str, str, int, int]], source: str, sink: str) -> list[int]:
@@ -119,16 +132,16 @@ def size_of(text: Column) -> Column:
 
 def reshard(docs: DataFrame, old_shard: Column, shards: int = 16, capacities: dict[int, int] | None = None,
             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document row: id, size, text_crc32, old_shard, shard, slot (gapless from 0 in its shard), moved.
+    """One row per document row: id, size, text_crc32, old_shard, shard, slot (gapless from 0 in its shard), moved, KEY.
 
     Only (id, size, hashes) is shuffled, never the text.
     """
     text = F.col(f"`{text_col}`")
-    h1, h2 = row_key(docs)
+    h1, h2, h3 = content_key(docs)
     rows = materialize(docs.select(
         F.col(f"`{id_col}`").alias("id"), size_of(text).alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("crc"), F.xxhash64(text).alias("th"),
-        h1.alias("h1"), h2.alias("h2"), F.coalesce(old_shard.cast("int"), F.lit(UNPLACED)).alias("old")), "reshard-rows")
+        h1.alias("h1"), h2.alias("h2"), h3.alias("h3"), F.coalesce(old_shard.cast("int"), F.lit(UNPLACED)).alias("old")), "reshard-rows")
     old = {r["old"]: (r["bytes"], r["n"]) for r in rows.groupBy("old").agg(
         F.sum("size").alias("bytes"), F.count("*").alias("n")).limit(MAX_SHARDS + 2).collect()}
     if len(old) > MAX_SHARDS + 1 or shards > MAX_SHARDS:
@@ -158,24 +171,60 @@ def reshard(docs: DataFrame, old_shard: Column, shards: int = 16, capacities: di
         F.struct(F.lit(e).cast("long").alias("end"), F.lit(s).alias("shard")) for e, s in v]))]) if runs else F.create_map(
         F.lit(0), F.array(F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).alias("shard"))))
     placed = placed.withColumn("shard", F.filter(F.try_element_at(ends, F.col("old")), lambda x: middle < 2 * x["end"])[0]["shard"])
-    placed = materialize(placed.select("id", "size", "crc", "shard", "rn", *cell), "reshard-placed")
+    placed = materialize(placed.select("id", "size", "crc", "shard", "rn", "h1", "h2", "h3", *cell), "reshard-placed")
     first = placed.groupBy("shard", *cell).agg(F.min("rn").alias("rn0"), F.count("*").alias("n")).select(
         "shard", *cell, "rn0", (F.sum("n").over(Window.partitionBy("shard").orderBy(*cell)) - F.col("n")).alias("at"))
     return placed.join(first, ["shard", *cell]).select(
         F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.col("old").alias("old_shard"), "shard",
-        (F.col("at") + F.col("rn") - F.col("rn0")).cast("long").alias("slot"), (F.col("old") != F.col("shard")).alias("moved"))
+        (F.col("at") + F.col("rn") - F.col("rn0")).cast("long").alias("slot"), (F.col("old") != F.col("shard")).alias("moved"),
+        *[F.col(k.strip("_")).alias(k) for k in KEY])
+
+
+def _delete(docs: DataFrame, folder: str) -> None:
+    spark = docs.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+def with_content(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """``target`` (KEY, shard, slot) with the columns of the rows of ``docs`` that have its keys.
+
+    Keys of many copies meet their content in parts, so that no task holds all copies of a row.
+    """
+    body = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")]).alias("row"),
+                       *content_key(docs))
+    per_part = max(3 * BUCKET_ROWS, -(-target.count() // MAX_BUCKETS))
+    many = materialize(target.groupBy(*KEY).agg(F.count("*").alias("n")).filter(F.col("n") > per_part).select(
+        *KEY, F.ceil(F.col("n") / per_part).cast("long").alias("parts")), "many-copies")  # at most MAX_BUCKETS rows
+    if many.isEmpty():
+        return target.join(body.groupBy(*KEY).agg(F.first("row").alias("row")), KEY).select("row.*", "shard", "slot")
+    few = target.join(F.broadcast(many), KEY, "left_anti").join(
+        body.join(F.broadcast(many), KEY, "left_anti").groupBy(*KEY).agg(F.first("row").alias("row")), KEY)
+    content = body.join(F.broadcast(many), KEY).groupBy(*KEY).agg(F.first("row").alias("row"), F.first("parts").alias("parts"))
+    rest = target.join(F.broadcast(many), KEY).withColumn("part", F.pmod("slot", "parts")).drop("parts").join(
+        content.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts"), [*KEY, "part"])
+    return few.select("row.*", "shard", "slot").unionByName(rest.select("row.*", "shard", "slot"))
+
+
+def write_shards(docs: DataFrame, plan: DataFrame, path: str, shards: list[int]) -> set[int]:
+    """Replace these shards below ``path/shard=N`` by what ``plan`` puts there; returns those that get rows."""
+    target = plan.filter(F.col("shard").isin(shards)).select(*KEY, "shard", "slot")
+    with_content(docs, target).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.mode(
+        "overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("shard").parquet(path)
+    return {r[0] for r in target.select("shard").distinct().collect()}
 
 
 def rewrite_affected(docs: DataFrame, plan: DataFrame, path: str, id_col: str = "doc_id") -> list[int]:
     """Rewrite, below ``path/shard=N``, only shards that lose or gain a row; returns them.
 
-    ``docs`` and ``plan`` (from :func:`reshard`) share a unique, non-null id. Files of other shards are not touched.
+    ``plan`` is from :func:`reshard` over the same rows and columns as ``docs``. Files of other shards are not touched.
+    Folders of shards that lose all rows, and of rows that had no shard, go once the others are written.
     """
     moved = plan.filter("moved")
-    affected = sorted({r[0] for c in ("shard", "old_shard") for r in moved.select(c).distinct().collect()} - {UNPLACED})
+    left = {r[0] for r in moved.select("old_shard").distinct().collect()}
+    affected = sorted((left | {r[0] for r in moved.select("shard").distinct().collect()}) - {UNPLACED})
     if affected:
-        target = plan.filter(F.col("shard").isin(affected)).select(F.col(id_col).alias("__plan_id"), "shard", "slot")
-        body = docs.drop("shard", "slot").join(target, F.col(f"`{id_col}`") == F.col("__plan_id")).drop("__plan_id")
-        body.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+        kept = write_shards(docs, plan, path, affected)
+        for shard in sorted(left - kept):
+            _delete(docs, f"{path}/shard={'__HIVE_DEFAULT_PARTITION__' if shard == UNPLACED else shard}")
     return affected

@@ -447,6 +447,40 @@ def test_rewrite_touches_affected_shards_only(spark, tmp_path):
     assert {r["shard"]: r["count"] for r in spark.read.parquet(path).groupBy("shard").count().collect()} == {0: 31, 1: 30, 2: 59}
 
 
+ODD_ROWS = [(None, None, "a", "b"), (None, None, None, "b"), (None, "t", None, "a"), (None, "t", "a", None), (7, "t", None, "a")]
+
+
+@pytest.mark.parametrize("bucket_rows", [1024, 8])
+def test_rewrite_keeps_every_row(spark, tmp_path, monkeypatch, bucket_rows):
+    """Null ids, repeated rows (one of them very often), rows that differ in where the null is, and fewer shards."""
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", bucket_rows)
+    from farebox.llm.common import materialize
+
+    path = str(tmp_path / "shards")
+    rows = [(i % 50, f"text {i % 50}", "en", "s") for i in range(150)] + ODD_ROWS * 4 + [(9, "hot", "en", "s")] * 200
+    rows = [(*r, k % 16 if k % 23 else None) for k, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, shard int")
+    df.repartition(3).write.partitionBy("shard").parquet(path)
+    body = materialize(spark.read.parquet(path), "body")
+    plan = materialize(sharding.reshard(body, F.col("shard"), 8), "plan")
+    assert sharding.rewrite_affected(body, plan, path) == list(range(16))
+    spark.catalog.refreshByPath(path)
+    got = spark.read.parquet(path).collect()
+    assert Counter(tuple(r)[:4] for r in got) == Counter(r[:4] for r in rows)
+    assert {r["shard"] for r in got} == set(range(8)) and not list((tmp_path / "shards").glob("shard=_*"))
+    assert sorted((r["shard"], r["slot"], r["doc_id"] or -1) for r in got) == sorted(
+        (r["shard"], r["slot"], r["doc_id"] or -1) for r in plan.collect())
+
+
+def test_sharding_query_writes_its_shards(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    plan = queries.placement(docs).collect()
+    got = spark.read.parquet(str(tmp_path / "shards"))
+    assert Counter(tuple(r) for r in got.select(*docs.columns).collect()) == Counter(tuple(r) for r in docs.collect())
+    assert sorted((r["shard"], r["slot"], str(r["doc_id"])) for r in got.collect()) == sorted(
+        (r["shard"], r["slot"], str(r["doc_id"])) for r in plan)
+
+
 # -- top-k -----------------------------------------------------------------------------------------
 
 def plain_top(rows, k=20, every=20):
