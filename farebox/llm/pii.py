@@ -32,7 +32,15 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+IBAN_NEXT = re.compile(r" ?[A-Z0-9]")
+#: Characters of an IBAN by country; of other countries any length from LEAST_IBAN to MOST_IBAN may be one.
+IBAN_LENGTHS = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
+LEAST_IBAN, MOST_IBAN = 15, 34
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 
@@ -64,6 +72,44 @@ def mod97(code: str) -> bool:
     return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
 
 
+def _iban_end(text: str, start: int, least: int, most: int, stop: int) -> int | None:
+    """End of the longest run of whole groups from ``start`` that has least to most characters and is confirmed."""
+    at, ends = start + 4, []
+    for chars in range(5, most + 1):
+        step = IBAN_NEXT.match(text, at, stop)
+        if not step:
+            break
+        at = step.end()
+        if chars >= least and not (text[at:at + 1].isascii() and text[at:at + 1].isalnum()):
+            ends.append(at)
+    return next((e for e in reversed(ends) if mod97(text[start:e])), None)
+
+
+def _ibans(text: str) -> list[tuple[int, int]]:
+    """Confirmed IBANs: those of a listed country's length, then between them those of other countries.
+
+    What follows an IBAN may look like more of it, so the search goes on right behind a confirmed span and
+    inside one that is not. At most MOST_IBAN characters are looked at from each start.
+    """
+    found, others = [], []
+    m = IBAN_START.search(text)
+    while m:
+        length = IBAN_LENGTHS.get(text[m.start():m.start() + 2])
+        end = _iban_end(text, m.start(), length, length, len(text)) if length else None
+        if end:
+            found.append((m.start(), end))
+        elif not length:
+            others.append((m.start(), len(found)))
+        m = IBAN_START.search(text, end or m.start() + 4)
+    done, listed = 0, [a for a, _ in found]
+    for start, k in others:
+        if start >= done and (end := _iban_end(
+                text, start, LEAST_IBAN, MOST_IBAN, listed[k] if k < len(listed) else len(text))):
+            found.append((start, end))
+            done = end
+    return found
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Every match holds one @; its local part starts as far left as the class and the last match allow."""
     done, at = 0, text.find("@")
@@ -98,9 +144,8 @@ def _proposed(text: str) -> Iterator[tuple[int, int, int]]:
         for m in PHONE.finditer(text):
             if 9 <= len(NOT_DIGIT.sub("", m[0])) <= 15:
                 yield m.start(), 3, m.end()
-    for m in IBAN.finditer(text):
-        if mod97(m[0]):
-            yield m.start(), 4, m.end()
+    for a, b in _ibans(text):
+        yield a, 4, b
     if "-" in text:
         for m in SSN.finditer(text):
             yield m.start(), 5, m.end()

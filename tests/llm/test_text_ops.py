@@ -64,6 +64,26 @@ def test_long_runs_take_linear_time():
 def test_checksums_and_context():
     kinds = {s["kind"] for s in pii.spans_of("IBAN DE89 3704 0044 0532 0130 00 and ssn 123-45-6789")}
     assert {"iban", "ssn"} <= kinds
+
+
+@pytest.mark.parametrize("code,behind", [
+    ("DE89 3704 0044 0532 0130 00", " BIC COBADEFFXXX"), ("GB29 NWBK 6016 1331 9268 19", " 100 EUR"),
+    ("DE89370400440532013000", " GB29 NWBK 6016 1331 9268 19"), ("NO93 8601 1117 947", " 2 X"), ("BE68 5390 0754 7034", ""),
+    ("GB29 NWBK 6016 1331 9268 19", "\u00c9")])
+def test_iban_ends_with_its_last_group(spark, code, behind):
+    text = f"iban AB12 {code}{behind}"
+    spans = [s for s in pii.spans_of(text) if s["kind"] == "iban"]
+    assert (spans[0]["start"], spans[0]["end"]) == (10, 10 + len(code))
+    assert len(spans) == 1 + ("NWBK" in behind)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert code not in pii.redact(docs).first()["text"]
+
+
+def test_iban_of_no_listed_country_and_no_iban():
+    code = next(c for k in range(100) if pii.mod97(c := f"ZZ{k:02}12345678901234"))
+    assert [(s["start"], s["end"]) for s in pii.spans_of(f"iban {code} A1") if s["kind"] == "iban"] == [(5, 23)]
+    for text in ("DE89 3704 0044 0532 0130 00X", "DE88 3704 0044 0532 0130 00 BIC", "DE89", "DE89 3704 0044"):
+        assert not [s for s in pii.spans_of("iban " + text) if s["kind"] == "iban"]
     assert not pii.spans_of("DE88 3704 0044 0532 0130 00 part 123-45-6789 of")
     near = pii.spans_of("my email a@b.co")[0]["score"]
     assert near > pii.spans_of("see a@b.co")[0]["score"]
