@@ -91,3 +91,49 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (rid) LEFT JOIN its USING (rid)
 """
+
+ORACLE["op11_prefix_trie"] = r"""
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT i, 0, i FROM range(256) t(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+ids AS (SELECT DISTINCT conv_id AS c, CAST(conv_id AS VARCHAR) AS s FROM conversations WHERE conv_id IS NOT NULL),
+crc(c, s, k, v) AS (
+  SELECT c, s, 0, CAST(4294967295 AS BIGINT) FROM ids
+  UNION ALL
+  SELECT c, s, crc.k + 1, xor(crc.v >> 8, bits.v)
+  FROM crc JOIN bits ON bits.k = 8 AND bits.i = xor(crc.v, CAST(ascii(substr(s, crc.k + 1, 1)) AS BIGINT)) % 256
+  WHERE crc.k < length(s)),
+conv AS (SELECT c, c - c % 20 AS base, xor(v, 4294967295) % 4 AS h FROM crc WHERE k = length(s)),
+t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+rebuilt AS (
+  SELECT conv.c, 0 AS part, p, role, text FROM conv JOIN t ON t.c = base AND p <= h
+  UNION ALL
+  SELECT conv.c, 1, p, role, text FROM conv JOIN t ON t.c = conv.c AND p > h),
+placed AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, p) AS depth, role, text FROM rebuilt),
+path AS (
+  SELECT c, depth, len(list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words,
+         sha256(string_agg(role || chr(31) || text, chr(30)) OVER (PARTITION BY c ORDER BY depth ROWS UNBOUNDED PRECEDING)) AS k
+  FROM placed
+  UNION ALL
+  SELECT c, 0, 0, '' FROM conv),
+longest AS (SELECT c, max(depth) AS l FROM path GROUP BY c),
+node AS (
+  SELECT p.depth, p.k, min(p.c) AS conv_id, count(*) AS n_convs, max(words) AS words,
+         sha256(coalesce(string_agg(CAST(p.c AS VARCHAR), ',' ORDER BY p.c) FILTER (WHERE p.depth = l), '')) AS ends_sha256
+  FROM path p JOIN longest USING (c) GROUP BY p.depth, p.k),
+up AS (
+  SELECT n.depth, n.k, a.depth AS above, a.k AS above_k, n.n_convs, n.words
+  FROM node n JOIN path a ON a.c = n.conv_id AND a.depth <= n.depth),
+kids AS (SELECT above AS depth, above_k AS k, count(*) AS n_children FROM up WHERE above = depth - 1 GROUP BY above, above_k),
+total AS (
+  SELECT up.above AS depth, up.above_k AS k, count(*) FILTER (WHERE kids.k IS NULL) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+  FROM up LEFT JOIN kids ON kids.depth = up.depth AND kids.k = up.k GROUP BY up.above, up.above_k),
+parent AS (SELECT u.depth, u.k, p.conv_id AS parent_conv_id FROM up u JOIN node p ON p.depth = u.above AND p.k = u.above_k WHERE u.above = u.depth - 1)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM node n JOIN total USING (depth, k) LEFT JOIN kids USING (depth, k) LEFT JOIN parent USING (depth, k)
+"""

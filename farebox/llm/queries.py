@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import chat, decontam, langid, lm, mixing, pii, sharding, simhash, topk, urlfilter
+from farebox.llm import chat, decontam, langid, lm, milquality, mixing, pii, sharding, simhash, topk, trie, urlfilter, whitening
 from farebox.llm.common import doc_bucket, materialize, table
 from farebox.session import scratch_path
 
@@ -26,7 +26,7 @@ URL_RULES = [
     urlfilter.Rule("block", pattern=r"(?:^|\.)ads-track\.", sure=("ads", "track")),
 ]
 OLD_SHARDS, SHARDS = 16, 16
-LEARN_LANG, LEARN_LM = 3, 10
+LEARN_LANG, LEARN_LM, LEARN_QUALITY = 3, 10, 5
 EXTRA_TEXT = "\\### Assistant: </turn> ok"
 
 
@@ -122,7 +122,23 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = doc_bucket(F.col("doc_id"), LEARN_QUALITY) == 0
+    model = milquality.train(docs.filter(~held), table(spark, sf_dir, "labels"))
+    scored = milquality.predict(docs, model, {"doc_id": F.col("doc_id"), "held_out": held})
+    return scored.withColumn("predicted", F.when(F.col("score") >= milquality.THRESHOLD, 1).otherwise(0))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_pii, op2_mixing, op3_decontamination, op4_topk, op5_sharding, op6_langid, op7_simhash, op8_urlfilter,
-        op9_lm, op10_chat)}
+        op9_lm, op10_chat, op11_prefix_trie, op12_quality, op13_whitening)}
