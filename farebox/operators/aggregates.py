@@ -24,7 +24,6 @@ from farebox.config import (
     DOC_MONTH_NUM,
     GLOBAL_AVG,
     HOUR_ALIAS,
-    LAYER,
     MEAN,
     MEDIAN,
     MONTH_ALIAS,
@@ -153,7 +152,7 @@ def trips_per_month(silver: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> D
 
 def profile_ranges(silver: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
     """Min / max / average amount and min / max passengers in one pass."""
-    return silver.select(
+    return silver.select(  # these five names are fixed
         F.min(cols.amount).alias("min_amount"),
         F.max(cols.amount).alias("max_amount"),
         F.round(F.avg(cols.amount), 2).alias("avg_amount"),
@@ -203,6 +202,81 @@ def tail_distortion(silver: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> D
     )
 
 
+# --- stored sketches: quantiles of any set of months without reading Silver again ---
+
+SKETCH, SKETCH_ROWS, SKETCH_SUM = "sketch", "rows", "amount"
+#: Size parameter of the sketches; its rank error is about 2.3 / K ** 0.9 (0.25 % at 2048).
+SKETCH_K = 2048
+
+
+def monthly_sketches(silver: DataFrame, cols: TripColumns = DEFAULT_COLUMNS, k: int = SKETCH_K) -> DataFrame:
+    """A10 + A11: per month a mergeable quantile sketch of the amount, with its rows and sum.
+
+    A month is one row of bounded size however many trips it has; sketches are made
+    per task and merged behind the shuffle.
+    """
+    return silver.groupBy(cols.month).agg(
+        F.kll_sketch_agg_double(F.col(cols.amount), k).alias(SKETCH), F.count(cols.amount).alias(SKETCH_ROWS),
+        F.sum(cols.amount).alias(SKETCH_SUM))
+
+
+def quantiles_of_sketches(sketches: DataFrame, probs: list[float] | None = None, k: int = SKETCH_K) -> DataFrame:
+    """A10 over stored sketches: the quantiles of all their months together, from a row a month."""
+    probs = probs or QUANTILE_PROBS
+    names = QUANTILE_NAMES if probs == QUANTILE_PROBS else [f"q{i}" for i in range(len(probs))]
+    whole = sketches.agg(F.kll_merge_agg_double(F.col(SKETCH), k).alias(SKETCH))
+    return whole.select(*[F.kll_sketch_get_quantile_double(SKETCH, F.lit(p)).alias(n) for p, n in zip(probs, names)])
+
+
+def tail_distortion_of_sketches(sketches: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
+    """A11 over stored sketches: monthly mean, approximate median and their difference."""
+    mean, median = F.try_divide(SKETCH_SUM, SKETCH_ROWS), F.kll_sketch_get_quantile_double(SKETCH, F.lit(0.5))
+    return sketches.select(
+        F.col(cols.month).alias(MONTH_ALIAS), F.round(mean, 2).alias(MEAN), F.round(median, 2).alias(MEDIAN),
+        F.round(mean - median, 2).alias(TAIL_GAP)).orderBy(MONTH_ALIAS)
+
+
+# --- measures that changes can be added to (M8) ---
+
+MEASURE_ROWS, MEASURE_AMOUNT, MEASURE_PASSENGERS = "n", "amount", "passengers"
+_EXACT = "decimal(38,6)"
+
+
+def gold_measures(rows: DataFrame, sign=None, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
+    """M8: count and sums per month and hour, which Q1 and Q2 follow from; ``sign`` weighs each row (+1 / -1).
+
+    Amounts are summed as decimals of six places, so that taking a row away undoes
+    adding it exactly.
+    """
+    sign = F.lit(1) if sign is None else sign
+    amount = F.col(cols.amount).cast("decimal(26,6)")
+    return rows.groupBy(cols.month, cols.hour).agg(
+        F.sum(sign).cast("long").alias(MEASURE_ROWS), F.sum(amount * sign).cast(_EXACT).alias(MEASURE_AMOUNT),
+        F.sum(F.col(cols.passengers) * sign).cast("long").alias(MEASURE_PASSENGERS))
+
+
+def add_measures(stored: DataFrame, delta: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
+    """M8: stored measures plus those of signed changes; groups that have no row left go. No trip is read."""
+    both = stored.unionByName(delta).groupBy(cols.month, cols.hour).agg(
+        F.sum(MEASURE_ROWS).alias(MEASURE_ROWS), F.sum(MEASURE_AMOUNT).cast(_EXACT).alias(MEASURE_AMOUNT),
+        F.sum(MEASURE_PASSENGERS).alias(MEASURE_PASSENGERS))
+    return both.filter(F.col(MEASURE_ROWS) != 0)
+
+
+def monthly_of_measures(measures: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
+    """A1 from measures."""
+    n, amount = F.sum(MEASURE_ROWS), F.sum(MEASURE_AMOUNT).cast("double")
+    return measures.groupBy(cols.month).agg(
+        n.alias(TRIPS), F.round(amount / n, 2).alias(AVG_AMOUNT), F.round(amount, 2).alias(SUM_AMOUNT)).orderBy(cols.month)
+
+
+def hourly_of_measures(measures: DataFrame, month: int = 5, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
+    """A6 from measures."""
+    n, passengers = F.sum(MEASURE_ROWS), F.sum(MEASURE_PASSENGERS)
+    return measures.filter(F.col(cols.month) == month).groupBy(cols.hour).agg(
+        n.alias(TRIPS), F.round(passengers / n, 3).alias(AVG_PASSENGERS)).orderBy(cols.hour)
+
+
 def weekday_occupancy(
     silver: DataFrame, month: int = 5, cols: TripColumns = DEFAULT_COLUMNS
 ) -> DataFrame:
@@ -231,15 +305,6 @@ def vendor_profile(silver: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> Da
     )
 
 
-def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
-    """One ``(camada, linhas)`` row per layer, a UNION ALL of global counts."""
-    out = None
-    for name, df in layers.items():
-        part = df.agg(F.count(F.lit(1)).alias(ROWS)).select(F.lit(name).alias(LAYER), ROWS)
-        out = part if out is None else out.union(part)
-    return out
-
-
 def total_trips(q1: DataFrame) -> DataFrame:
     """Total trips as the sum of the monthly counts."""
     return q1.agg(F.sum(TRIPS).alias("total_corridas"))

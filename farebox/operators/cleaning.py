@@ -17,9 +17,9 @@ from farebox.config import DEFAULT_COLUMNS, DateWindow, TripColumns
 from farebox.functions.columns import window_predicate
 
 
-def select_required(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
-    """Keep only the five required columns (column pruning at the scan)."""
-    return df.select(*cols.required)
+def select_required(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS, carried: list[str] | None = None) -> DataFrame:
+    """Keep only the five required columns (column pruning at the scan), and ``carried`` ones as they are."""
+    return df.select(*cols.required, *(carried or []))
 
 
 def cast_types(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFrame:
@@ -126,11 +126,15 @@ def raw_prefilter(df: DataFrame, cols: TripColumns = DEFAULT_COLUMNS) -> DataFra
 
 
 def to_silver(
-    df: DataFrame, window: DateWindow | None = None, cols: TripColumns = DEFAULT_COLUMNS
+    df: DataFrame, window: DateWindow | None = None, cols: TripColumns = DEFAULT_COLUMNS,
+    carried: list[str] | None = None,
 ) -> DataFrame:
-    """Projection -> type contract -> rules -> dedup -> month/hour."""
+    """Projection -> type contract -> rules -> dedup -> month/hour.
+
+    ``carried``: further columns to keep, such as a row's arrival; rows that differ in them are no copies.
+    """
     return (
-        df.transform(lambda d: select_required(d, cols))
+        df.transform(lambda d: select_required(d, cols, carried))
         .transform(lambda d: raw_prefilter(d, cols))
         .transform(lambda d: cast_types(d, cols))
         .transform(lambda d: clean(d, window, cols))

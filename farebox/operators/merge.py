@@ -8,7 +8,8 @@ expressed as relational algebra on the natural key:
 Both inputs are shuffled once on the key (or the source is broadcast when
 AQE measures it small at run time); AQE's skew-join handling covers a
 hot key on the target side. A duplicated key in the *source* would make
-the result ambiguous, so it is rejected (or resolved by ``dedup_by_key``).
+the result ambiguous: resolve it by ``dedup_by_key``, or merge by a sequence
+(``newest_of`` / ``met_by_sequence``), which refuses what the sequence can't decide.
 """
 
 from __future__ import annotations
@@ -62,17 +63,6 @@ def dedup_by_key(df: DataFrame, keys: list[str], order_by: list[Column | str]) -
     )
 
 
-def assert_unique_keys(df: DataFrame, keys: list[str]) -> None:
-    """M2 (default rule): raise if the source has a duplicated key (one job)."""
-    from farebox.operators.quality import duplicate_keys
-
-    row = duplicate_keys(df, keys).first()
-    if row["duplicated_keys"]:
-        raise MergeConflictError(
-            f"{row['duplicated_keys']} key(s) of {keys} occur more than once in the source"
-        )
-
-
 def merge_metrics(
     target: DataFrame, source: DataFrame, keys: list[str], partition_col: str | None = None
 ) -> DataFrame:
@@ -109,34 +99,110 @@ def merge_plan(
     )
 
 
-#: Per key: does the merged row's key occur in the target, and in how many source rows.
-HAD_TARGET, SOURCE_ROWS = "_had_target", "_source_rows"
+#: Columns of ``met_by_sequence`` and of what follows from it.
+OLD, NEW, ROWS, GONE = "_old", "_new", "_rows", "_deleted"
+CONFLICT = "several rows of one key have the same place in the sequence"
 
 
-def merge_by_order(target: DataFrame, source: DataFrame, keys: list[str],
-                   order_by: list[str] | None = None) -> DataFrame:
-    """Upsert where a stated order, not arrival, decides between rows of one key.
+def newest_of(batch: DataFrame, keys: list[str], sequence: list[str], tie_break: list[str] | None = None) -> DataFrame:
+    """M2: per key the newest row of a batch as ``_new``, and how many rows the key has as ``_rows``.
 
-    Per key the greatest row by ``order_by`` and then all other columns is kept,
-    the target's rows included, so merging batches in any split or order, or
-    twice, ends in the same table. One aggregate with a partial step before its
-    shuffle. Adds ``HAD_TARGET`` and ``SOURCE_ROWS`` for the metrics.
+    ``sequence`` (such as arrival time, then file) says what is newer; it has to be
+    stated. Rows of one key with the same place in it are fine if they are equal or if
+    ``tie_break`` (columns, the greatest stays) tells them apart; else the batch is
+    ambiguous and the query raises. One aggregate with a partial step before its
+    shuffle, so a hot key costs one row per task.
+    """
+    if not sequence:
+        raise ValueError("a merge needs a sequence: which of two rows of a key is the newer one")
+    place = F.struct(*[F.col(c).alias(f"_p{i}") for i, c in enumerate([*sequence, *(tie_break or [])])])
+    whole = F.struct(*batch.columns)
+    mark = F.xxhash64(*batch.columns)
+    best = batch.groupBy(*keys).agg(
+        F.max(F.struct(place.alias("p"), whole.alias("r"))).alias("_best"),
+        # the greatest and the least mark among the rows in the last place differ if the rows do
+        F.max(F.struct(place.alias("p"), mark.alias("m")))["m"].alias("_high"),
+        F.max(F.struct(place.alias("p"), F.bitwise_not(mark).alias("m")))["m"].alias("_low"),
+        F.count(F.lit(1)).alias(ROWS))
+    one = F.when(F.col("_high") == F.bitwise_not("_low"), F.col("_best.r")).otherwise(F.raise_error(F.lit(f"{CONFLICT}: {keys}")))
+    return best.select(*keys, one.alias(NEW), ROWS)
+
+
+def met_by_sequence(target: DataFrame, batch: DataFrame, keys: list[str], sequence: list[str],
+                    tie_break: list[str] | None = None, buckets: int | None = None) -> DataFrame:
+    """M1-M3: per key of either side the target's row ``_old``, the row to keep ``_new``, and ``_rows`` of the batch.
+
+    Both sides have the same columns, ``GONE`` (a tombstone) among them; the target has
+    a key once. The newest by ``sequence`` stays whichever side it comes from, so
+    batches may be split, reordered or repeated: the outcome is the same. Equal places
+    with different rows raise. For a target bucketed by ``keys``, ``buckets`` deals the
+    batch's newest rows (combined map-side first) to as many partitions, so that the
+    target is not shuffled.
     """
     cols = target.columns
-    rest = [*(order_by or []), *[c for c in cols if c not in keys and c not in (order_by or [])]]
-    both = target.withColumn("_s", F.lit(0)).unionByName(source.select(*cols).withColumn("_s", F.lit(1)))
-    best = both.groupBy(*keys).agg(
-        F.max(F.struct(*rest)).alias("_best"), F.sum("_s").alias(SOURCE_ROWS),
-        (F.min("_s") == 0).alias(HAD_TARGET))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}") for c in cols], SOURCE_ROWS, HAD_TARGET)
+    got = newest_of(batch.select(*cols), keys, sequence, tie_break).withColumnRenamed(NEW, "_got")
+    got = got.repartition(buckets, *keys) if buckets else got
+    old = target.select(*keys, F.struct(*cols).alias(OLD))
+    met = old.join(got, keys, "full_outer")
+
+    def place(side: str) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}") for c in (*sequence, *(tie_break or []))])
+
+    o, got = F.col(OLD), F.col("_got")
+    keep = (F.when(o.isNull(), got).when(got.isNull() | (place("_got") < place(OLD)), o)
+            .when((place("_got") > place(OLD)) | got.eqNullSafe(o), got)
+            .otherwise(F.raise_error(F.lit(f"{CONFLICT}: {keys}"))))
+    return met.select(o.alias(OLD), keep.alias(NEW), F.coalesce(ROWS, F.lit(0)).alias(ROWS),
+                      (got.isNotNull() & (o.isNull() | (place("_got") >= place(OLD)))).alias("_took"))
+
+
+def _live(side: str) -> Column:
+    return F.col(side).isNotNull() & ~F.coalesce(F.col(f"{side}.{GONE}"), F.lit(False))
+
+
+def values_differ(values: list[str]) -> Column:
+    """Whether the kept row differs from the target's in one of the columns."""
+    return ~F.struct(*[F.col(f"{OLD}.{c}") for c in values]).eqNullSafe(F.struct(*[F.col(f"{NEW}.{c}") for c in values]))
+
+
+def sequence_counts(values: list[str]) -> list[Column]:
+    """M4 as aggregates over ``met_by_sequence``, to be observed while its outcome is written.
+
+    ``inserted``, ``updated`` and ``deleted`` count keys that a batch row won (an update
+    is unconditional, as in MERGE); ``changed`` those updates whose ``values`` differ;
+    ``stale`` batch rows that did not win, so that inserted + updated + deleted + stale
+    = source_rows.
+    """
+    took, old, new = F.col("_took"), _live(OLD), _live(NEW)
+    won = took & (old | new)
+    return [F.count_if(took & ~old & new).alias("inserted"), F.count_if(took & old & new).alias("updated"),
+            F.count_if(took & old & ~new).alias("deleted"),
+            F.count_if(took & old & new & values_differ(values)).alias("changed"),
+            F.coalesce(F.sum(F.col(ROWS) - F.when(won, 1).otherwise(0)), F.lit(0)).alias("stale"),
+            F.coalesce(F.sum(ROWS), F.lit(0)).alias("source_rows")]
 
 
-def merge_counts() -> list[Column]:
-    """M4 as aggregates over ``merge_by_order`` rows, to be observed while they are written."""
-    n = F.col(SOURCE_ROWS)
-    return [F.coalesce(F.sum(F.when(~F.col(HAD_TARGET), n)), F.lit(0)).alias("inserted"),
-            F.coalesce(F.sum(F.when(F.col(HAD_TARGET), n)), F.lit(0)).alias("updated"),
-            F.lit(0).cast("long").alias("deleted"), F.coalesce(F.sum(n), F.lit(0)).alias("source_rows")]
+KIND = "_kind"
+
+
+def outcome_rows(met: DataFrame, columns: list[str], values: list[str]) -> DataFrame:
+    """M1 + M7 from one join: the merged table's rows (``_kind`` 'table') and its change rows (``_kind`` 'change').
+
+    A change row's ``_change_type`` is ``insert``, ``delete``, ``update_preimage`` or
+    ``update_postimage``; a key whose ``values`` stay the same has none.
+    """
+    def row(side: str, kind: str, change: str | None) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in columns], F.lit(change).cast("string").alias(CHANGE_TYPE),
+                        F.lit(kind).alias(KIND))
+
+    old, new = _live(OLD), _live(NEW)
+    table = row(NEW, "table", None)
+    changes = (F.when(~old & new, F.array(table, row(NEW, "change", "insert")))
+               .when(old & ~new, F.array(table, row(OLD, "change", "delete")))
+               .when(old & new & values_differ(values),
+                     F.array(table, row(OLD, "change", "update_preimage"), row(NEW, "change", "update_postimage")))
+               .otherwise(F.array(table)))
+    return met.select(F.inline(changes))
 
 
 def in_partitions(partition_col: str, values: list) -> Column:
@@ -146,12 +212,6 @@ def in_partitions(partition_col: str, values: list) -> Column:
     return some | c.isNull() if None in values else some
 
 
-def months_of(df: DataFrame, partition_col: str) -> list:
-    """Distinct partition values (as many as there are partitions); null comes last."""
-    found = [r[0] for r in df.select(partition_col).distinct().collect()]
-    return sorted(found, key=lambda v: (v is None, v))
-
-
 CHANGE_TYPE = "_change_type"
 
 
@@ -196,16 +256,33 @@ def apply_change_set(old: DataFrame, changes: DataFrame, keys: list[str]) -> Dat
     return old.join(gone, on=keys, how="left_anti").unionByName(added.select(*old.columns))
 
 
-def refresh_partitions(stored: DataFrame, table: DataFrame, values: list, partition_col: str, compute) -> DataFrame:
-    """M8: a stored aggregate brought up to date for the touched partitions only.
+VERSION = "version"
 
-    ``values``: the partitions of the merged batch (``months_of``). ``compute``
-    groups by ``partition_col``. The values are literals, so a partitioned
-    ``table`` is read in those partitions alone; all others come from ``stored``.
+
+def replay(old: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """A table brought forward by its change rows of later versions: the last change of each key decides."""
+    cols = old.columns
+    after = changes.filter(F.col(CHANGE_TYPE) != "update_preimage")
+    last = after.groupBy(*keys).agg(F.max(F.struct(VERSION, CHANGE_TYPE, F.struct(*cols).alias("r"))).alias("_l"))
+    kept = last.filter(F.col(f"_l.{CHANGE_TYPE}") != "delete").select("_l.r.*")
+    return old.join(last.select(*keys), keys, "left_anti").select(*cols).unionByName(kept)
+
+
+def as_of(table: DataFrame, changes: DataFrame, keys: list[str], version: int) -> DataFrame:
+    """A table as it was at ``version``: the first later change of each key is undone.
+
+    Reads the table and the change rows after ``version``, which is a partition filter.
     """
-    touched = in_partitions(partition_col, values)
-    fresh = compute(table.filter(touched))
-    return stored.filter(~touched).unionByName(fresh.select(*stored.columns))
+    cols = table.columns
+    before = changes.filter((F.col(VERSION) > version) & (F.col(CHANGE_TYPE) != "update_postimage"))
+    first = before.groupBy(*keys).agg(F.min(F.struct(VERSION, CHANGE_TYPE, F.struct(*cols).alias("r"))).alias("_f"))
+    kept = first.filter(F.col(f"_f.{CHANGE_TYPE}") != "insert").select("_f.r.*")
+    return table.join(first.select(*keys), keys, "left_anti").select(*cols).unionByName(kept)
+
+
+def signed(changes: DataFrame) -> Column:
+    """+1 for a row that a change brings, -1 for one that it takes away."""
+    return F.when(F.col(CHANGE_TYPE).isin("insert", "update_postimage"), 1).otherwise(-1)
 
 
 def read_watermark(control: DataFrame, mark_col: str = "watermark"):

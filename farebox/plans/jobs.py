@@ -7,14 +7,19 @@ protocol retries tasks; nothing is held on the driver).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.config import DEFAULT_COLUMNS, DateWindow, TripColumns
+from farebox.operators import aggregates as agg
 from farebox.operators import merge as mg
 from farebox.operators.cleaning import to_silver
-from farebox.operators.quality import gate, observe_checks, observed_results
-from farebox.session import path_exists, scratch_path
+from farebox.operators.quality import DataQualityError, gate, observe_checks, observed_results
+from farebox.session import folders, remove_path, scratch_path
+from farebox.sinks import keyed
+from farebox.sinks.catalog import Layer, ensure_database, register
 from farebox.sinks.layout import write_gold, write_partitioned, write_silver
 from farebox.sources.landing import read_landing, write_bronze
 
@@ -41,22 +46,38 @@ def silver_job(spark: SparkSession, bronze: str, silver: str, window: DateWindow
 def silver_publish_job(spark: SparkSession, bronze: str, silver_root: str, window: DateWindow,
                        database: str, table: str = "silver_trips",
                        cols: TripColumns = DEFAULT_COLUMNS, expectations=None) -> str:
-    """Bronze -> a fresh Silver location, gated, then the catalog table is re-pointed.
+    """Bronze -> a fresh Silver location, gated, then the catalog table is re-pointed (see ``publish_silver``)."""
+    return publish_silver(to_silver(read_layer(spark, bronze), window, cols), silver_root, database, table, cols, expectations)
 
-    The refresh is written below ``silver_root`` under a new run folder, so
-    the location readers use is never cleared or half-written; the catalog
-    registration then switches readers to the new
-    data only after the gate passed and the write committed. Returns the
-    new location (older runs are left for a retention policy to remove).
-    """
-    import uuid
 
-    from farebox.sinks.catalog import Layer, ensure_database, register
+RUNS_KEPT = 2
+
 
-    location = f"{silver_root.rstrip('/')}/run={uuid.uuid4().hex[:12]}"
-    silver_job(spark, bronze, location, window, cols, expectations)
+def publish_silver(silver: DataFrame, silver_root: str, database: str, table: str = "silver_trips",
+                   cols: TripColumns = DEFAULT_COLUMNS, expectations=None, fmt: str = "parquet") -> str:
+    """K2 + K5 + D8 with one write: a new run folder is written while the checks ride along, then readers are switched.
+
+    The rows are shuffled and written once, below ``silver_root``. Only if the gate
+    passes does the catalog table point at the new folder; a run that fails is removed
+    and readers keep the earlier one, so they never see an empty or half-written layer.
+    ``RUNS_KEPT`` newest runs stay (the current one and one for running readers).
+    Returns the new location.
+    """
+    import time
+
+    spark, root = silver.sparkSession, silver_root.rstrip("/")
+    location = f"{root}/run={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    checked, seen = observe_checks(silver, expectations, name=location[-8:], cols=cols)
+    write_partitioned(checked, location, [cols.month], fmt=fmt)
+    try:
+        gate(observed_results(seen))
+    except DataQualityError:
+        remove_path(spark, location)
+        raise
     ensure_database(spark, database)
-    register(spark, database, Layer(table, location, "Cleaned trips by month."))
+    register(spark, database, Layer(table, location, "Cleaned trips by month."), fmt)
+    for old in folders(spark, f"{root}/run=*")[:-RUNS_KEPT]:
+        remove_path(spark, old)
     return location
 
 
@@ -75,51 +96,52 @@ def gold_job(spark: SparkSession, silver: str, gold_root: str, month: int = 5,
     return write_gold(read_layer(spark, silver, fmt), gold_root, month, cols, fmt=fmt)
 
 
-def load_increment(spark: SparkSession, batch: DataFrame, path: str, keys: list[str],
-                   order_by: list[str] | None = None, expectations=None,
-                   cols: TripColumns = DEFAULT_COLUMNS) -> dict[str, int]:
-    """M1-M6 + D8: gate a batch of Silver rows and merge it into the table at ``path``.
+def incremental_silver_job(spark: SparkSession, bronze: DataFrame, table: keyed.KeyedTable, window: DateWindow,
+                           tie_break: list[str] | None = None, expectations=None) -> dict[str, int]:
+    """Bronze rows -> clean -> gate -> first load or merge into a keyed Silver table.
+
+    ``bronze`` carries the columns of ``table.sequence``; what has arrived last wins, whichever
+    batch it comes in, so corrections take effect in either direction (see ``keyed.merge``).
+    """
+    silver = to_silver(bronze, window, table.cols, carried=list(table.sequence))
+    return keyed.merge(spark, table, silver, expectations, tie_break)
+
 
-    1. The batch is written to the scratch folder while its checks, months and rows
-       are observed. An empty batch ends here; a failed check raises.
-    2. The touched months of the table (none on the first load) and the staged batch
-       are merged per key by a stated order (see ``merge_by_order``); the result is
-       staged while the metrics are observed.
-    3. The staged months replace the table's (dynamic overwrite).
+def gold_refresh_job(spark: SparkSession, table: keyed.KeyedTable, gold: str) -> int:
+    """M8: bring the stored Gold measures at ``gold`` up to the table's version; returns the version.
 
-    The outcome does not depend on how rows are split into batches, and running a
-    batch again changes nothing, so a run that dies anywhere is simply repeated.
-    The table holds one row per key and month.
+    The first run aggregates the table; later ones add the signed changes since the
+    stored version, so they read the change feed and some hundred stored rows, no trip.
+    Measures are kept by version, and running a version again replaces it.
     """
-    part = cols.month
-    on = keys if part in keys else [*keys, part]
-    stage = scratch_path(spark, "increment")
-    checked, checks = observe_checks(batch, expectations, name=f"dq-{stage[-12:]}", cols=cols)
-    seen = Observation(f"batch-{stage[-12:]}")
-    checked.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(part).alias("parts"),
-                    F.count_if(F.col(part).isNull()).alias("no_part")).write.parquet(stage)
-    if not seen.get["rows"]:
-        return {"inserted": 0, "updated": 0, "deleted": 0, "source_rows": 0}
-    gate(observed_results(checks))
-    parts = sorted(seen.get["parts"]) + ([None] if seen.get["no_part"] else [])
-    staged = spark.read.schema(batch.schema).parquet(stage)
-    if path_exists(spark, path):
-        target = spark.read.schema(batch.schema).parquet(path).filter(mg.in_partitions(part, parts))
+    now = keyed.history(spark, table).agg(F.max("version")).first()[0]
+    if now is None:
+        raise ValueError(f"{table.table} has not been loaded")
+    done = read_measures_version(spark, gold)
+    if done is None or done > now:
+        made = agg.gold_measures(keyed.read(spark, table), cols=table.cols)
     else:
-        target = staged.limit(0)
-    merged = mg.merge_by_order(target.select(*batch.columns), staged, on, order_by)
-    counts = Observation(f"merge-{stage[-12:]}")
-    merged.observe(counts, *mg.merge_counts()).drop(mg.SOURCE_ROWS, mg.HAD_TARGET).write.parquet(f"{stage}-merged")
-    write_partitioned(spark.read.schema(batch.schema).parquet(f"{stage}-merged"), path, [part], dynamic=True)
-    return {k: int(v) for k, v in counts.get.items()}
+        made = gold_delta(spark, table, gold, done, now)
+    if done != now:
+        made.coalesce(1).write.mode("overwrite").parquet(f"{gold.rstrip('/')}/version={now:09d}")
+    return now
+
+
+def gold_delta(spark: SparkSession, table: keyed.KeyedTable, gold: str, done: int, now: int) -> DataFrame:
+    """Stored measures of version ``done`` plus the signed changes up to ``now``."""
+    since = keyed.changes(spark, table, after=done, until=now)
+    return agg.add_measures(read_measures(spark, gold, done), agg.gold_measures(since, mg.signed(since), table.cols), table.cols)
+
+
+def read_measures_version(spark: SparkSession, gold: str) -> int | None:
+    """The newest complete version of the stored measures."""
+    found = folders(spark, f"{gold.rstrip('/')}/version=*/_SUCCESS")
+    return max((int(f.split("/")[-2].split("=")[1]) for f in found), default=None)
 
 
-def incremental_silver_job(spark: SparkSession, bronze: DataFrame, silver: str, window: DateWindow,
-                           cols: TripColumns = DEFAULT_COLUMNS, order_by: list[str] | None = None,
-                           expectations=None) -> dict[str, int]:
-    """Bronze rows -> clean -> gate -> first load or merge into the Silver table at ``silver``."""
-    return load_increment(spark, to_silver(bronze, window, cols), silver, cols.natural_key, order_by,
-                          expectations, cols)
+def read_measures(spark: SparkSession, gold: str, version: int | None = None) -> DataFrame:
+    version = read_measures_version(spark, gold) if version is None else version
+    return spark.read.parquet(f"{gold.rstrip('/')}/version={version:09d}")
 
 
 class AnswerMismatchError(Exception):
@@ -133,8 +155,15 @@ def export_kpis(spark: SparkSession, silver: DataFrame, out_path: str, month: in
     from farebox.operators.aggregates import bag_equality, monthly_revenue, monthly_revenue_sql
     from farebox.operators.documents import kpi_document, to_json_document
 
-    api = monthly_revenue(silver, cols=DEFAULT_COLUMNS)
-    sql = monthly_revenue_sql(spark, silver, view=view)
-    if not bag_equality(api, sql).first()["equal"]:
-        raise AnswerMismatchError("API and SQL answers for Q1 differ")
-    to_json_document(kpi_document(silver, month)).coalesce(1).write.mode("overwrite").text(out_path)
+    # cleaned once: both answers and the document read the staged rows
+    stage = scratch_path(spark, "kpi-silver")
+    silver.write.parquet(stage)
+    silver = spark.read.schema(silver.schema).parquet(stage)
+    try:
+        api = monthly_revenue(silver, cols=DEFAULT_COLUMNS)
+        sql = monthly_revenue_sql(spark, silver, view=view)
+        if not bag_equality(api, sql).first()["equal"]:
+            raise AnswerMismatchError("API and SQL answers for Q1 differ")
+        to_json_document(kpi_document(silver, month)).coalesce(1).write.mode("overwrite").text(out_path)
+    finally:
+        remove_path(spark, stage)

@@ -49,8 +49,9 @@ SCENARIO = [
     ORDER BY total_amount DESC, passenger_count DESC, pickup_hour DESC) AS rn FROM silver) WHERE rn = 1)""",
     """target AS (SELECT * FROM uniq WHERE VendorID % 3 <> 2)""",
     """source AS (
-  SELECT VendorID, passenger_count, total_amount + 1 AS total_amount, tpep_pickup_datetime,
-         tpep_dropoff_datetime, trip_month, pickup_hour
+  SELECT VendorID, passenger_count,
+         CASE WHEN VendorID % 2 = 0 THEN total_amount + 1 ELSE total_amount * 0.5::DOUBLE END AS total_amount,
+         tpep_pickup_datetime, tpep_dropoff_datetime, trip_month, pickup_hour
   FROM uniq WHERE VendorID % 3 = 1
   UNION ALL SELECT * FROM uniq WHERE VendorID % 3 = 2)""",
     f"""upserted AS (
@@ -59,6 +60,31 @@ SCENARIO = [
   WHERE NOT EXISTS (SELECT 1 FROM source s WHERE {KEY_MATCH.format(a='s', b='t')}))""",
 ]
 
+#: The target, the late rows, and what comes back of them (lowered, or deleted), as three versions.
+THREE_MERGES = [
+    "late AS (SELECT * FROM source WHERE trip_month >= 4)",
+    """back AS (
+  SELECT * REPLACE (total_amount * 0.125::DOUBLE AS total_amount), pickup_hour = 0 AS gone
+  FROM late WHERE VendorID % 3 = 2 AND pickup_hour % 2 = 0)""",
+    f"""v1 AS (
+  SELECT * FROM late
+  UNION ALL SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM late s WHERE {KEY_MATCH.format(a='s', b='t')}))""",
+    f"""v2 AS (
+  SELECT * EXCLUDE (gone) FROM back WHERE NOT gone
+  UNION ALL SELECT * FROM v1 t WHERE NOT EXISTS (SELECT 1 FROM back s WHERE {KEY_MATCH.format(a='s', b='t')}))""",
+]
+
+CHANGE_FEED = f"""
+SELECT n.*, 'insert' AS _change_type, 1 AS version FROM late n
+WHERE NOT EXISTS (SELECT 1 FROM target o WHERE {KEY_MATCH.format(a='o', b='n')})
+UNION ALL SELECT o.*, 'update_preimage', 1 FROM target o
+WHERE EXISTS (SELECT 1 FROM late n WHERE {KEY_MATCH.format(a='o', b='n')})
+UNION ALL SELECT n.*, 'update_postimage', 1 FROM late n
+WHERE EXISTS (SELECT 1 FROM target o WHERE {KEY_MATCH.format(a='o', b='n')})
+UNION ALL SELECT o.*, CASE WHEN n.gone THEN 'delete' ELSE 'update_preimage' END, 2
+FROM v1 o JOIN back n ON {KEY_MATCH.format(a='o', b='n')}
+UNION ALL SELECT * EXCLUDE (gone), 'update_postimage', 2 FROM back WHERE NOT gone"""
+
 _DIFFERS = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}"
                        for c in ["passenger_count", "total_amount", "pickup_hour"])
 
@@ -134,21 +160,25 @@ SELECT CAST(to_json({
 }) AS VARCHAR) AS document"""
 
 
-def greatest_of(*changes: str) -> str:
-    """Cleaned trips where every raw row arrives once per change of its amount, the greatest kept per key."""
-    arms = "\n  UNION ALL ".join(f"SELECT * REPLACE (total_amount + {c} AS total_amount) FROM trips_raw_0" for c in changes)
-    sql = with_("silver").replace("trips_raw AS (", "trips_raw_0 AS (", 1)
-    sql = sql.replace("typed AS (", f"trips_raw AS (\n  {arms}),\ntyped AS (", 1)
-    return sql + """
-SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
-  PARTITION BY VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, trip_month
-  ORDER BY total_amount DESC, passenger_count DESC, pickup_hour DESC) AS rn FROM silver) WHERE rn = 1"""
+def newest_of(*changes: str) -> str:
+    """Cleaned trips where every raw row arrives once per change of its amount; the last clean arrival of a key wins."""
+    arms = "\n  UNION ALL ".join(f"""SELECT *, {i} AS arrived FROM (SELECT DISTINCT * REPLACE (total_amount + {c} AS total_amount)
+    FROM not_null)""" for i, c in enumerate(changes))
+    return with_("not_null", extra=[f"arrivals AS (\n  {arms})", f"""cleaned AS (
+  SELECT *, CAST(month(tpep_pickup_datetime) AS INTEGER) AS trip_month, CAST(hour(tpep_pickup_datetime) AS INTEGER) AS pickup_hour
+  FROM arrivals
+  WHERE total_amount > 0 AND passenger_count > 0 AND tpep_dropoff_datetime > tpep_pickup_datetime
+    AND tpep_pickup_datetime >= TIMESTAMP '{WINDOW_START}' AND tpep_pickup_datetime < TIMESTAMP '{WINDOW_END}')"""]) + """
+SELECT * EXCLUDE (rn, arrived) FROM (SELECT *, row_number() OVER (
+  PARTITION BY VendorID, tpep_pickup_datetime, tpep_dropoff_datetime
+  ORDER BY arrived DESC, total_amount DESC, passenger_count DESC) AS rn FROM cleaned) WHERE rn = 1"""
 
 
 def more_sql() -> dict[str, str]:
     typed_metrics = with_("typed", extra=[METRICS.format(src="typed")])
     silver_metrics = with_("silver", extra=[METRICS.format(src="silver")])
     scen = with_("silver", extra=SCENARIO)
+    merges = with_("silver", extra=SCENARIO + THREE_MERGES)
     return {
         # quality
         "dq_metrics": typed_metrics + "SELECT * FROM metrics",
@@ -226,19 +256,15 @@ SELECT COUNT(*) FILTER (WHERE t.VendorID IS NULL) AS inserted,
        COUNT(*) FILTER (WHERE t.VendorID IS NOT NULL) AS updated,
        CAST(0 AS BIGINT) AS deleted, COUNT(*) AS source_rows
 FROM source s LEFT JOIN target t ON {KEY_MATCH.format(a='s', b='t')}""",
-        "gold_incremental": scen + f""",
-late AS (SELECT * FROM source WHERE trip_month >= 4),
-merged AS (SELECT * FROM target WHERE trip_month < 4
-  UNION ALL SELECT * FROM late
-  UNION ALL SELECT * FROM target t WHERE trip_month >= 4
-    AND NOT EXISTS (SELECT 1 FROM late s WHERE {KEY_MATCH.format(a='s', b='t')}))
-""" + Q1_OF.format(src="merged"),
+        "change_feed": merges + CHANGE_FEED,
+        "change_replay": merges + "SELECT * FROM v2",
+        "gold_incremental": merges + Q1_OF.format(src="v2"),
         "incremental_since_watermark": with_("trips_raw") + """
 SELECT *, tpep_dropoff_datetime + INTERVAL 1 HOUR AS _ingested_at FROM trips_raw
 WHERE tpep_dropoff_datetime + INTERVAL 1 HOUR > (
   SELECT max(tpep_dropoff_datetime + INTERVAL 1 HOUR) FROM trips_raw
   WHERE tpep_dropoff_datetime + INTERVAL 1 HOUR <= TIMESTAMP '1997-03-01')""",
-        "incremental_silver": greatest_of("-250.0", "125.0", "0.0"),
+        "incremental_silver": newest_of("-250.0", "125.0", "0.0"),
         "merge_partition_scoped": scen + f""",
 late AS (SELECT * FROM source WHERE trip_month >= 4)
 SELECT * FROM target WHERE trip_month < 4
@@ -261,16 +287,19 @@ SELECT COALESCE(a.trip_month, b.trip_month) AS trip_month,
        ROUND(b.receita_media_usd - a.receita_media_usd, 2) AS receita_media_usd_delta,
        ROUND(b.linhas - a.linhas, 2) AS linhas_delta
 FROM ka a FULL OUTER JOIN kb b ON a.trip_month = b.trip_month""",
-        "history_latest": scen + """
-SELECT 1 AS version, 'MERGE' AS operation, '2024-02-01' AS committed_on, COUNT(*) AS rows,
-       COUNT(DISTINCT trip_month) AS months FROM upserted""",
-        "history_document": scen + """
-SELECT version, '{"version":' || version || ',"timestamp":"' || committed || '","operation":"' || op
-       || '","operationMetrics":{"rows":' || n || ',"months":' || m || '}}' AS document
-FROM (SELECT 0 AS version, '2024-01-01T00:00:00.000000' AS committed, 'WRITE' AS op, COUNT(*) AS n,
-             COUNT(DISTINCT trip_month) AS m FROM target
-      UNION ALL SELECT 1, '2024-02-01T00:00:00.000000', 'MERGE', COUNT(*), COUNT(DISTINCT trip_month)
-      FROM upserted)""",
+        "snapshot_as_of_timestamp": scen + "SELECT * FROM target",
+        "history_latest": merges + """
+SELECT 1 AS version, 'MERGE' AS operation, TRUE AS has_user, TRUE AS in_order,
+       COUNT(*) FILTER (WHERE VendorID % 3 = 2) AS inserted, COUNT(*) FILTER (WHERE VendorID % 3 = 1) AS updated,
+       CAST(0 AS BIGINT) AS deleted, COUNT(*) FILTER (WHERE VendorID % 3 = 1) AS changed,
+       CAST(0 AS BIGINT) AS stale, COUNT(*) AS source_rows FROM late
+UNION ALL
+SELECT 2, 'MERGE', TRUE, TRUE, 0, COUNT(*) FILTER (WHERE NOT gone), COUNT(*) FILTER (WHERE gone),
+       COUNT(*) FILTER (WHERE NOT gone), 0, COUNT(*) FROM back""",
+        "history_document": merges + """
+SELECT 0 AS version, 'WRITE' AS operation, COUNT(*) AS source_rows, CAST(0 AS BIGINT) AS changed, TRUE AS same_time FROM target
+UNION ALL SELECT 1, 'MERGE', COUNT(*), COUNT(*) FILTER (WHERE VendorID % 3 = 1), TRUE FROM late
+UNION ALL SELECT 2, 'MERGE', COUNT(*), COUNT(*) FILTER (WHERE NOT gone), TRUE FROM back""",
         "kpi_diff_document": scen + f""",
 ka AS ({KPI_OF.format(src='target')}),
 kb AS ({KPI_OF.format(src='upserted')})
@@ -297,7 +326,12 @@ SELECT * FROM (VALUES ('VendorID', 'int'), ('passenger_count', 'int'), ('total_a
   ('trip_month', 'int'), ('pickup_hour', 'int')) AS t(col_name, data_type)""",
         "quantiles_approx": """
 SELECT TRUE AS p50_within, TRUE AS p90_within, TRUE AS p99_within, TRUE AS p999_within""",
+        "quantiles_stored_sketches": """
+SELECT TRUE AS p50_within, TRUE AS p90_within, TRUE AS p99_within, TRUE AS p999_within""",
+        "tail_distortion_sketches": with_("silver") + """
+SELECT trip_month AS mes, ROUND(AVG(total_amount), 2) AS media, TRUE AS median_within FROM silver GROUP BY trip_month""",
         "silver_write": with_("silver") + "SELECT * FROM silver",
+        "silver_write_path": with_("silver") + "SELECT * FROM silver",
         "gold_write_aggregates": with_("q1") + "SELECT * FROM q1",
         "gold_trips": with_("silver") + """
 SELECT VendorID, passenger_count, total_amount, tpep_pickup_datetime, tpep_dropoff_datetime,
@@ -341,5 +375,5 @@ SELECT trip_month AS mes_num, {MONTH_LABEL_SQL.format(m='trip_month')} AS mes,
        qtd_corridas AS corridas, receita_media_usd FROM q1""",
         # streaming
         "stream_landing_to_bronze": f"WITH {LANDING}\nSELECT {LANDING_COLS}, _source_month FROM landing",
-        "stream_upsert": greatest_of("0.0", "CASE WHEN month(tpep_pickup_datetime) % 2 = 1 THEN 125.0 ELSE -250.0 END"),
+        "stream_upsert": newest_of("0.0", "CASE WHEN month(tpep_pickup_datetime) % 2 = 1 THEN 125.0 ELSE -250.0 END"),
     }

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.config import DEFAULT_COLUMNS as C
-from farebox.config import MONTH_ALIAS
+from farebox.config import MEAN, MEDIAN, MONTH_ALIAS
 from farebox.functions.columns import month_label, year_month
 from farebox.operators import aggregates as agg
 from farebox.operators import cleaning as cl
@@ -28,6 +28,7 @@ from farebox.plans.queries_more import (
     snapshot_queries,
     streaming_queries,
 )
+from farebox.session import scratch_path
 from farebox.sources.driver_tables import trips_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,18 +72,46 @@ def _api_sql_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _quantiles_within_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether each approximate quantile's true rank lies within the stated error of the wanted one."""
     s = silver(spark, sf_dir)
-    found = agg.quantiles_approx(s).first()
+    return _ranks_within(s, agg.quantiles_approx(s).first(), 0.001)
+
+
+def _ranks_within(s: DataFrame, found, error: float) -> DataFrame:
     amount = F.col(C.amount)
 
     def within(name: str, p: float):
         low, high = F.count_if(amount < found[name]), F.count_if(amount <= found[name])
-        slack = F.lit(0.001) * F.count(F.lit(1)) + 1
+        slack = F.lit(error) * F.count(F.lit(1)) + 1
         wanted = F.lit(p) * F.count(F.lit(1))
         return ((low <= wanted + slack) & (high >= wanted - slack)).alias(f"{name}_within")
 
     return s.agg(*[within(n, p) for n, p in zip(agg.QUANTILE_NAMES, agg.QUANTILE_PROBS)])
 
 
+def _stored_sketches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Silver, and a sketch per month read back from a table."""
+    s, path = silver(spark, sf_dir), scratch_path(spark, "sketches")
+    agg.monthly_sketches(s).write.parquet(path)
+    return s, spark.read.parquet(path)
+
+
+def _quantiles_of_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the quantiles merged from the stored months have ranks within the sketches' error."""
+    s, sketches = _stored_sketches(spark, sf_dir)
+    found = agg.quantiles_of_sketches(sketches).first()
+    return _ranks_within(s, found, 0.005)
+
+
+def _tail_distortion_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A11 from stored sketches: the mean, and whether the median's rank is within the sketches' error."""
+    s, sketches = _stored_sketches(spark, sf_dir)
+    by_month = agg.tail_distortion_of_sketches(sketches)
+    met = s.join(by_month, F.col(C.month) == F.col(MONTH_ALIAS))
+    amount, median = F.round(C.amount, 2), F.col(MEDIAN)
+    wanted, slack = F.count(F.lit(1)) * 0.5, F.count(F.lit(1)) * 0.005 + 1
+    return met.groupBy(MONTH_ALIAS, MEAN).agg(
+        ((F.count_if(amount < median) <= wanted + slack) & (F.count_if(amount <= median) >= wanted - slack)).alias("median_within"))
+
+
 def _aggregates() -> dict[str, Query]:
     return {
         "monthly_revenue": q1,
@@ -95,6 +124,8 @@ def _aggregates() -> dict[str, Query]:
         "trips_per_month": lambda s, d: agg.trips_per_month(silver(s, d)),
         "profile_ranges": lambda s, d: agg.profile_ranges(silver(s, d)),
         "quantiles_approx": _quantiles_within_error,
+        "quantiles_stored_sketches": _quantiles_of_sketches,
+        "tail_distortion_sketches": _tail_distortion_sketches,
         "quantiles_exact": lambda s, d: agg.quantiles_exact(silver(s, d)),
         "tail_distortion": lambda s, d: agg.tail_distortion(silver(s, d)),
         "weekday_occupancy": lambda s, d: agg.weekday_occupancy(silver(s, d), month=5),

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,12 +22,12 @@ from farebox.operators import aggregates as agg
 from farebox.operators import documents as docs
 from farebox.operators import merge as mg
 from farebox.operators import quality as dq
-from farebox.operators.cleaning import to_silver
 from farebox.operators import snapshots as snap
 from farebox.plans import jobs
 from farebox.plans.inputs import W, silver, typed
 from farebox.session import checkpoint_root, scratch_path
 from farebox.sinks import catalog as cat
+from farebox.sinks import keyed
 from farebox.sinks.layout import write_gold, write_silver
 from farebox.sources import landing as ld
 from farebox.sources.driver_tables import (
@@ -91,7 +91,8 @@ def quality_queries():
 
 def upsert_scenario(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Silver rows, one per key. Target = those with VendorID % 3 in (0, 1); source =
-    class 1 with ``total_amount + 1`` (updates) plus class 2 (inserts).
+    class 1 with corrected amounts (raised by 1 for even vendors, halved for odd ones) plus
+    class 2 (inserts).
 
     Silver is materialised once (reliable checkpoint in the shared folder):
     the class filters are pushed below its dedup, so without the cut every
@@ -100,11 +101,27 @@ def upsert_scenario(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     s = mg.dedup_by_key(silver(spark, sf_dir), [*KEYS, C.month], [C.amount]).checkpoint(eager=True)
     cls = F.pmod(F.col(C.vendor), F.lit(3))
     target = s.filter(cls != 2)
-    source = s.filter(cls == 1).withColumn(C.amount, F.col(C.amount) + 1).unionByName(
-        s.filter(cls == 2))
+    corrected = F.when(F.col(C.vendor) % 2 == 0, F.col(C.amount) + 1).otherwise(F.col(C.amount) * 0.5)
+    source = s.filter(cls == 1).withColumn(C.amount, corrected).unionByName(s.filter(cls == 2))
     return target, source
 
 
+SEQUENCE = "_arrived"
+#: Rows of one file that share a key: the greater amount stays, then the greater passenger count.
+TIE_BREAK = [C.amount, C.passengers]
+
+
+def keyed_table(spark: SparkSession, name: str, sequence: tuple[str, ...] = (SEQUENCE,)) -> keyed.KeyedTable:
+    """A new keyed table below the shared scratch folder."""
+    root = scratch_path(spark, name)
+    return keyed.KeyedTable(DATABASE, root.rsplit("/", 1)[1].replace("-", "_"), root, sequence, buckets=8)
+
+
+def load(spark: SparkSession, t: keyed.KeyedTable, batch: DataFrame, arrived: int, **how) -> dict[str, int]:
+    """Merge a batch that arrived as the ``arrived``-th."""
+    return keyed.merge(spark, t, batch.withColumn(SEQUENCE, F.lit(arrived)), **how)
+
+
 def _merge_upsert(spark, sf_dir):
     target, source = upsert_scenario(spark, sf_dir)
     return mg.upsert(target, source, KEYS, C.month)
@@ -128,26 +145,54 @@ def late_rows(source: DataFrame) -> DataFrame:
     return source.filter(F.col(C.month) >= LATE_FROM)
 
 
-def _merged_table(spark, sf_dir, name: str, *batches) -> str:
-    """Path of a table first loaded with the scenario's target, then merged with ``batches(source)``."""
+def loaded(spark, sf_dir, name: str, *batches) -> keyed.KeyedTable:
+    """A table first loaded with the scenario's target, then merged with ``batches(source)``."""
     target, source = upsert_scenario(spark, sf_dir)
-    path = scratch_path(spark, name)
-    jobs.load_increment(spark, target, path, KEYS)
-    for batch in batches:
-        jobs.load_increment(spark, batch(source), path, KEYS)
-    return path
+    t = keyed_table(spark, name)
+    load(spark, t, target, 0, operation="WRITE")
+    for i, batch in enumerate(batches, 1):
+        load(spark, t, batch(source), i)
+    return t
+
+
+def returned(source: DataFrame) -> DataFrame:
+    """A third batch: the inserted rows of even hours come back with a tenth of their amount, those of hour 0 are deleted."""
+    late = late_rows(source).filter((F.pmod(F.col(C.vendor), F.lit(3)) == 2) & (F.col(C.hour) % 2 == 0))
+    return late.withColumn(C.amount, F.col(C.amount) * 0.125).withColumn(mg.GONE, F.col(C.hour) == 0)
+
+
+def _three_merges(spark, sf_dir, name: str) -> keyed.KeyedTable:
+    """Versions 0 to 2: the target, the late rows, and what comes back of them."""
+    target, source = upsert_scenario(spark, sf_dir)
+    t = keyed_table(spark, name)
+    load(spark, t, target, 0, operation="WRITE")
+    load(spark, t, late_rows(source), 1)
+    load(spark, t, returned(source), 2, deleted=mg.GONE)
+    return t
+
+
+def _change_feed(spark, sf_dir):
+    """The change rows that versions 1 and 2 left behind when they were merged."""
+    return keyed.changes(spark, _three_merges(spark, sf_dir, "feed"), after=0)
+
+
+def _change_replay(spark, sf_dir):
+    """Version 0 brought forward by the change rows of versions 1 and 2."""
+    t = _three_merges(spark, sf_dir, "replay")
+    return mg.replay(keyed.as_of_version(spark, t, 0), keyed.changes(spark, t, after=0), KEYS)
 
 
 def _gold_incremental(spark, sf_dir):
-    """Stored Gold of the first load, refreshed in the late batch's months from the merged table."""
+    """Q1 from stored measures of the first load, brought forward by the signed changes of two merges."""
     target, source = upsert_scenario(spark, sf_dir)
-    path, gold = scratch_path(spark, "gold-inc"), scratch_path(spark, "gold-inc-q1")
-    jobs.load_increment(spark, target, path, KEYS)
-    agg.monthly_revenue(spark.read.parquet(path)).write.parquet(gold)
-    late = late_rows(source)
-    jobs.load_increment(spark, late, path, KEYS)
-    return mg.refresh_partitions(spark.read.parquet(gold), spark.read.parquet(path),
-                                 mg.months_of(late, C.month), C.month, agg.monthly_revenue)
+    t, gold = keyed_table(spark, "gold_inc"), scratch_path(spark, "gold-inc-measures")
+    load(spark, t, target, 0, operation="WRITE")
+    jobs.gold_refresh_job(spark, t, gold)
+    load(spark, t, late_rows(source), 1)
+    jobs.gold_refresh_job(spark, t, gold)
+    load(spark, t, returned(source), 2, deleted=mg.GONE)
+    jobs.gold_refresh_job(spark, t, gold)
+    return agg.monthly_of_measures(jobs.read_measures(spark, gold))
 
 
 ARRIVAL = "_ingested_at"
@@ -157,38 +202,43 @@ PROCESSED_UNTIL = "1997-03-01"
 def _incremental_since_watermark(spark, sf_dir):
     """Bronze rows with a stored arrival time; the rows up to a cut-off are processed first and
     the mark saved after them. Returns what the next run reads: the rows after the mark."""
-    bronze_path, done_path, control = (scratch_path(spark, n) for n in ("wm-bronze", "wm-done", "wm-control"))
+    bronze_path, control = (scratch_path(spark, n) for n in ("wm-bronze", "wm-control"))
     trips_raw(spark, sf_dir).withColumn(
         ARRIVAL, F.col(C.dropoff) + F.expr("INTERVAL 1 HOUR")).write.parquet(bronze_path)
     bronze = spark.read.parquet(bronze_path)
     first = bronze.filter(F.col(ARRIVAL) <= F.lit(PROCESSED_UNTIL).cast("timestamp_ntz"))
-    jobs.incremental_silver_job(spark, first, done_path, W)
+    jobs.incremental_silver_job(spark, first, keyed_table(spark, "wm_done", (ARRIVAL,)), W, TIE_BREAK)
     mg.save_watermark(mg.advance_watermark(first, ARRIVAL), control)
     mark = mg.read_watermark(spark.read.parquet(control))
     return mg.since_watermark(bronze, ARRIVAL, mark)
 
 
 def _merge_partition_scoped(spark, sf_dir):
-    return spark.read.parquet(_merged_table(spark, sf_dir, "scoped", late_rows))
+    return keyed.read(spark, loaded(spark, sf_dir, "scoped", late_rows))
 
 
 def _merge_idempotent(spark, sf_dir):
-    return spark.read.parquet(_merged_table(spark, sf_dir, "idempotent", lambda s: s, lambda s: s))
+    """The same batch twice, and an older one after it that changes nothing any more."""
+    target, source = upsert_scenario(spark, sf_dir)
+    t = keyed_table(spark, "idempotent")
+    for batch, arrived in ((target, 0), (source, 1), (source, 1), (target, 0)):
+        load(spark, t, batch, arrived)
+    return keyed.read(spark, t)
 
 
-#: Every row arrives with an earlier and a later amount in other files; the greatest amount is the stated order.
+#: Every raw row arrives three times, with amounts lowered, raised and as they are; the last arrival that is clean wins.
 CORRECTIONS = (-250.0, 125.0, 0.0)
 
 
 def _incremental_silver(spark, sf_dir):
     """Raw rows in three batches that hold the same keys with other amounts, and an empty one before them."""
-    path = scratch_path(spark, "inc-silver")
+    t = keyed_table(spark, "inc_silver")
     raw = trips_raw(spark, sf_dir, prune_for=W)
-    jobs.incremental_silver_job(spark, raw.limit(0), path, W, order_by=[C.amount])
-    for change in CORRECTIONS:
-        jobs.incremental_silver_job(
-            spark, raw.withColumn(C.amount, F.col(C.amount) + change), path, W, order_by=[C.amount])
-    return spark.read.parquet(path)
+    jobs.incremental_silver_job(spark, raw.limit(0).withColumn(SEQUENCE, F.lit(0)), t, W)
+    for i, change in enumerate(CORRECTIONS):
+        batch = raw.withColumn(C.amount, F.col(C.amount) + change).withColumn(SEQUENCE, F.lit(i))
+        jobs.incremental_silver_job(spark, batch, t, W, TIE_BREAK)
+    return keyed.read(spark, t)
 
 
 def incremental_queries():
@@ -196,6 +246,8 @@ def incremental_queries():
         "merge_upsert": _merge_upsert,
         "merge_metrics": _merge_metrics,
         "change_set": _change_set,
+        "change_feed": _change_feed,
+        "change_replay": _change_replay,
         "gold_incremental": _gold_incremental,
         "incremental_since_watermark": _incremental_since_watermark,
         "incremental_silver": _incremental_silver,
@@ -206,17 +258,14 @@ def incremental_queries():
 
 # --- snapshots ----------------------------------------------------------------------
 
-UTC = dt.timezone.utc
-COMMITS = [(0, dt.datetime(2024, 1, 1, tzinfo=UTC), "WRITE"), (1, dt.datetime(2024, 2, 1, tzinfo=UTC), "MERGE")]
-
-
 def versioned(spark, sf_dir, name: str) -> tuple[str, DataFrame, DataFrame]:
-    """Path, rows and commit times of two kept versions: 0 = target, 1 = after the upsert."""
+    """Path, rows and history of two kept versions: 0 = target, 1 = after the upsert."""
     target, source = upsert_scenario(spark, sf_dir)
     path = scratch_path(spark, name)
-    snap.write_snapshot(target, path, 0)
-    snap.write_snapshot(mg.upsert(target, source, KEYS, C.month), path, 1)
-    return path, spark.read.parquet(path), spark.createDataFrame(COMMITS, snap.COMMITS_SCHEMA)
+    log = f"{path}-history"
+    snap.write_snapshot(target, path, 0, history_path=log)
+    snap.write_snapshot(mg.upsert(target, source, KEYS, C.month), path, 1, history_path=log, operation="MERGE")
+    return path, spark.read.parquet(path), snap.history(spark, log)
 
 
 def _restore(spark, sf_dir):
@@ -231,20 +280,43 @@ def _as_of_version(spark, sf_dir):
 
 
 def _as_of_time(spark, sf_dir):
-    _, rows, commits = versioned(spark, sf_dir, "asofts")
-    return snap.as_of_time(rows, commits, dt.datetime(2024, 1, 15, tzinfo=UTC))
+    """The keyed table as it was when its first load had been recorded, two merges ago."""
+    t = _three_merges(spark, sf_dir, "asofts")
+    first = keyed.history(spark, t).filter("version = 0").select(F.unix_micros("committed_at")).first()[0]
+    at = dt.datetime.fromtimestamp(0, dt.timezone.utc) + dt.timedelta(microseconds=first)
+    return keyed.as_of_time(spark, t, at)
 
 
-def _history(spark, sf_dir) -> DataFrame:
-    _, rows, commits = versioned(spark, sf_dir, "history")
-    return snap.history(rows, commits)
+def _snapshot_as_of_time(spark, sf_dir):
+    """The same for kept versions."""
+    _, rows, log = versioned(spark, sf_dir, "asofsnap")
+    first = log.filter("version = 0").select(F.unix_micros("committed_at")).first()[0]
+    at = dt.datetime.fromtimestamp(0, dt.timezone.utc) + dt.timedelta(microseconds=first)
+    return snap.as_of_time(rows, log, at)
 
 
 def _history_latest(spark, sf_dir):
-    """The newest version with its commit time as text and its counts as columns."""
-    log = snap.newest(_history(spark, sf_dir), 1)
-    return log.select("version", "operation", F.date_format("committed_at", "yyyy-MM-dd").alias("committed_on"),
-                      *[F.col("metrics")[k].alias(k) for k in ("rows", "months")])
+    """The two newest merges as they recorded themselves; recorded times rise and a user is named."""
+    log = keyed.history(spark, _three_merges(spark, sf_dir, "history"))
+    counts = ["inserted", "updated", "deleted", "changed", "stale", "source_rows"]
+
+    def place(by: str):
+        return F.row_number().over(Window.orderBy(by))  # over a row per merge
+
+    kept = log.select("version", "operation", (F.length("user") > 0).alias("has_user"),
+                      (place("committed_at") == place("version")).alias("in_order"))
+    return snap.newest(kept.join(snap.metric_columns(log, counts), "version"), 2)
+
+
+def _history_document(spark, sf_dir):
+    """K7 read back: what the JSON documents of the recorded history say, and whether their times are those recorded."""
+    log = keyed.history(spark, _three_merges(spark, sf_dir, "histdoc"))
+    parsed = docs.history_document(log).select("version", F.from_json(
+        "document", "version int, timestamp timestamp, operation string, operationMetrics map<string,bigint>").alias("d"))
+    return parsed.join(log.select("version", "committed_at"), "version").select(
+        F.col("d.version").alias("version"), F.col("d.operation").alias("operation"),
+        F.col("d.operationMetrics")["source_rows"].alias("source_rows"), F.col("d.operationMetrics")["changed"].alias("changed"),
+        (F.col("d.timestamp") == F.col("committed_at")).alias("same_time"))
 
 
 def _kpi_diff(spark, sf_dir):
@@ -266,11 +338,12 @@ def snapshot_queries():
         "merge_history_metrics": _merge_history_metrics,
         "read_as_of_version": _as_of_version,
         "read_as_of_timestamp": _as_of_time,
+        "snapshot_as_of_timestamp": _snapshot_as_of_time,
         "restore_version": _restore,
         "kpi_diff": _kpi_diff,
         "kpi_diff_document": lambda s, d: docs.kpi_diff_document(_kpi_diff(s, d), C.month),
         "history_latest": _history_latest,
-        "history_document": lambda s, d: docs.history_document(_history(s, d)),
+        "history_document": _history_document,
     }
 
 
@@ -280,7 +353,16 @@ DATABASE = "farebox"
 
 
 def _silver_write(spark, sf_dir):
-    path = scratch_path(spark, "silver")
+    """One write to a new location behind the gate, then the table is pointed at it."""
+    root = scratch_path(spark, "silver")
+    name = root.rsplit("/", 1)[1].replace("-", "_")
+    jobs.publish_silver(silver(spark, sf_dir), root, DATABASE, name)
+    return spark.table(f"{DATABASE}.{name}")
+
+
+def _silver_write_path(spark, sf_dir):
+    """The staged write over a plain path."""
+    path = scratch_path(spark, "silver-path")
     write_silver(silver(spark, sf_dir), path)
     return spark.read.parquet(path)
 
@@ -312,10 +394,8 @@ def _bronze_backfill(spark, sf_dir):
 
 
 def _registered_silver(spark, sf_dir) -> str:
-    path = scratch_path(spark, "silver")
-    write_silver(silver(spark, sf_dir), path)
-    cat.ensure_database(spark, DATABASE)
-    return cat.register(spark, DATABASE, cat.Layer("silver_trips", path, "Cleaned trips by month."))
+    jobs.publish_silver(silver(spark, sf_dir), scratch_path(spark, "silver"), DATABASE)
+    return f"{DATABASE}.silver_trips"
 
 
 def _catalog_sql_scan(spark, sf_dir):
@@ -370,10 +450,10 @@ def _catalog_describe(spark, sf_dir):
 def _layers_end_to_end(spark, sf_dir):
     """Landing (drifting files) -> Bronze -> gated Silver -> Gold -> catalog; Gold Q1 by name."""
     root = scratch_path(spark, "e2e")
-    land, bronze, silver_p, gold = (f"{root}/{n}" for n in ("landing", "bronze", "silver", "gold"))
+    land, bronze, gold = (f"{root}/{n}" for n in ("landing", "bronze", "gold"))
     months = write_driver_landing(spark, sf_dir, land)
     jobs.bronze_job(spark, land, months, bronze, DRIVER_LANDING_TEMPLATE)
-    jobs.silver_job(spark, bronze, silver_p, W)
+    silver_p = jobs.silver_publish_job(spark, bronze, f"{root}/silver", W, DATABASE)
     jobs.gold_job(spark, silver_p, gold)
     report = cat.register_layers(spark, DATABASE, cat.layers_of(bronze, silver_p, gold))
     skipped = [r.name for r in report.collect() if r.status != "registered"]
@@ -386,6 +466,7 @@ def sink_queries():
     return {
         "layers_end_to_end": _layers_end_to_end,
         "silver_write": _silver_write,
+        "silver_write_path": _silver_write_path,
         "gold_write_aggregates": lambda s, d: _gold(s, d, "agg_receita_mensal"),
         "gold_trips": lambda s, d: _gold(s, d, "trips"),
         "bronze_backfill_month": _bronze_backfill,
@@ -507,15 +588,18 @@ def _land_canonical(spark, sf_dir, landing: str, odd: bool, change: float = 0.0)
 
 
 def _stream_landing_to_bronze(spark, sf_dir):
+    """Odd months, then even months, then the odd ones delivered again: a month that is present is skipped."""
     land, bronze = scratch_path(spark, "stream_landing"), scratch_path(spark, "stream_bronze")
     ckpt = scratch_path(spark, "stream_ckpt")
     schema = canonical_landing_schema()
     _land_canonical(spark, sf_dir, land, odd=True)
     st.ingest_available(spark, land, bronze, ckpt, schema)
     _land_canonical(spark, sf_dir, land, odd=False)
-    st.ingest_available(spark, land, bronze, ckpt, schema)
+    st.ingest_available(spark, land, bronze, ckpt, schema, max_files_per_trigger=FILES_PER_TRIGGER * 4)
     st.ingest_available(spark, land, bronze, ckpt, schema)  # nothing new: adds 0 rows
-    return spark.read.parquet(bronze).drop("_source_file", "_ingested_at")
+    _land_canonical(spark, sf_dir, land, odd=True, change=99.0)
+    st.ingest_available(spark, land, bronze, ckpt, schema)  # months already present: adds 0 rows
+    return spark.read.parquet(bronze).drop("_source_file", "_ingested_at", st.BATCH)
 
 
 #: Files per micro-batch in the registered query; any number gives the same table.
@@ -523,13 +607,14 @@ FILES_PER_TRIGGER = 7
 
 
 def _stream_upsert(spark, sf_dir, files: int = FILES_PER_TRIGGER):
-    """Odd months, then even months; then all again with other amounts for the same keys, greatest kept."""
-    land, ckpt, path = (scratch_path(spark, n) for n in ("stream_landing", "stream_ckpt", "stream_silver"))
+    """Odd months, then even months; then all again with raised (odd) or lowered (even) amounts for the same keys."""
+    land, ckpt = (scratch_path(spark, n) for n in ("stream_landing", "stream_ckpt"))
+    t = keyed_table(spark, "stream_silver", st.ARRIVAL_SEQUENCE)
     schema = canonical_landing_schema()
     for odd, change in ((True, 0.0), (False, 0.0), (True, 125.0), (False, -250.0)):
         _land_canonical(spark, sf_dir, land, odd, change)
-    st.upsert_available(spark, land, path, ckpt, schema, W, max_files_per_trigger=files, order_by=[C.amount])
-    return spark.read.parquet(path)
+    st.upsert_available(spark, land, t, ckpt, schema, W, max_files_per_trigger=files, tie_break=TIE_BREAK)
+    return keyed.read(spark, t)
 
 
 def streaming_queries():

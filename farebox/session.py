@@ -46,6 +46,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of our own and all below it; one that is not there is fine."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders that a (Hadoop-compatible) glob pattern finds."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hpath)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
 #: Beyond so many shuffle partitions the block table of a stage (maps x partitions) outgrows the driver.
 MOST_SHUFFLE_PARTITIONS = 20_000
 

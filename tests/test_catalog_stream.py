@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 
 from farebox.config import DateWindow
 from farebox.plans.queries_more import canonical_landing_schema
-from farebox.session import scratch_path
+from farebox.session import folders, scratch_path
 from farebox.sinks import catalog as cat
+from farebox.sinks import keyed
 from farebox.streaming import landing_stream as st
 
 DB = "farebox_test"
@@ -96,14 +97,14 @@ def test_describe_shows_location_and_partitions(spark, tmp_path):
     assert rows["Comment"] == "described" and rows["trip_month"] == "int"
 
 
-def test_more_batches_than_progress_reports_are_all_counted(spark):
+def test_rows_of_many_batches_are_all_counted(spark):
     land, bronze, ckpt = (scratch_path(spark, n) for n in ("many_land", "many_bronze", "many_ckpt"))
     schema = T.StructType([T.StructField("VendorID", T.LongType())])
-    spark.range(110).select(F.col("id").alias("VendorID"), F.concat(
+    spark.range(12).select(F.col("id").alias("VendorID"), F.concat(
         F.lit("yellow_tripdata_"), F.date_format(F.add_months(F.lit("2010-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM"),
-        F.lit(".parquet")).alias("_f")).repartitionByRange(110, "VendorID").write.partitionBy("_f").parquet(land)
-    assert st.ingest_available(spark, land, bronze, ckpt, schema, max_files_per_trigger=1) == 110
-    assert spark.read.parquet(bronze).count() == 110
+        F.lit(".parquet")).alias("_f")).repartitionByRange(12, "VendorID").write.partitionBy("_f").parquet(land)
+    assert st.ingest_available(spark, land, bronze, ckpt, schema, max_files_per_trigger=1) == 12
+    assert spark.read.parquet(bronze).count() == 12
 
 
 TRIP = (1, 1.0, 10.0, dt.datetime(2023, 1, 3, 10), dt.datetime(2023, 1, 3, 10, 9), 1.0, "N", 1.0, 1, 2, 1, 0.0, None)
@@ -120,14 +121,52 @@ def trip(vendor=1, amount=10.0, day=3, month=1, passengers=1.0):
     return (vendor, passengers, amount, p, p + dt.timedelta(minutes=9), *TRIP[5:])
 
 
-@pytest.mark.parametrize("files", [1, 3, 64])
+@pytest.mark.parametrize("files", [1, 7, 64])
 def test_stream_upsert_is_the_same_at_any_batch_size(spark, files):
-    land, path, ckpt = (scratch_path(spark, n) for n in ("su_land", "su_table", "su_ckpt"))
+    """The last file to arrive wins, also where it lowers an amount."""
+    land, root, ckpt = (scratch_path(spark, n) for n in ("su_land", "su_table", "su_ckpt"))
+    table = keyed.KeyedTable(DB, root.rsplit("/", 1)[1].replace("-", "_"), root, st.ARRIVAL_SEQUENCE, buckets=2)
     land_trips(spark, land, "2022-12", trip(month=12))  # outside the window: an empty first batch at one file a time
     land_trips(spark, land, "2023-01", trip(amount=10.0), trip(2, 7.0))
     land_trips(spark, land, "2023-02", trip(amount=20.0), trip(1, 5.0, month=2))
     land_trips(spark, land, "2023-03", trip(amount=15.0), trip(2, 7.0))
-    st.upsert_available(spark, land, path, ckpt, canonical_landing_schema(), WINDOW, max_files_per_trigger=files)
-    assert st.upsert_available(spark, land, path, ckpt, canonical_landing_schema(), WINDOW) == 0
-    got = sorted((r.VendorID, r.trip_month, r.total_amount) for r in spark.read.parquet(path).collect())
-    assert got == [(1, 1, 20.0), (1, 2, 5.0), (2, 1, 7.0)]
+    schema = canonical_landing_schema()
+    assert st.upsert_available(spark, land, table, ckpt, schema, WINDOW, max_files_per_trigger=files) == 6
+    assert st.upsert_available(spark, land, table, ckpt, schema, WINDOW) == 0
+    got = sorted((r.VendorID, r.trip_month, r.total_amount) for r in keyed.read(spark, table).collect())
+    assert got == [(1, 1, 15.0), (1, 2, 5.0), (2, 1, 7.0)]
+    done = [r.metrics for r in keyed.history(spark, table).collect()]
+    assert sum(m["inserted"] for m in done) == 3 and sum(m["source_rows"] for m in done) == 6
+    assert folders(spark, f"{root.rsplit('/', 1)[0]}/merge-*") == []  # stages are gone
+
+
+def test_a_month_that_is_present_is_not_added_again(spark):
+    land, bronze, ckpt = (scratch_path(spark, n) for n in ("led_land", "led_bronze", "led_ckpt"))
+    schema = T.StructType([T.StructField("VendorID", T.LongType())])
+
+    def deliver(month, ids, files=1):
+        spark.createDataFrame([(i,) for i in ids], "VendorID long").repartition(files).write.mode("append").parquet(
+            f"{land}/yellow_tripdata_{month}.parquet")
+
+    deliver("2023-01", range(6), files=3)  # one delivery in several part files and micro-batches
+    assert st.ingest_available(spark, land, bronze, ckpt, schema, max_files_per_trigger=1) == 6
+    deliver("2023-01", range(50, 53))
+    deliver("2023-02", range(10, 12))
+    assert st.ingest_available(spark, land, bronze, ckpt, schema) == 2
+    deliver("2023-03", [20])
+    deliver("2023-03", [30, 31])  # two deliveries of a new month at once: the first one counts
+    assert st.ingest_available(spark, land, bronze, ckpt, schema) == 1
+    assert sorted(r.VendorID for r in spark.read.parquet(bronze).collect()) == [0, 1, 2, 3, 4, 5, 10, 11, 20]
+    ledger = st.read_ledger(spark, f"{bronze}_ledger")
+    assert sorted(r.month for r in ledger.collect()) == ["2023-01", "2023-02", "2023-03"]
+
+
+def test_deliveries_are_told_apart_by_their_write():
+    import re
+
+    pattern = r"/part-\d+-([0-9a-f-]{36})[^/]*$"
+    one, two = "0123abcd-0123-4567-89ab-0123456789ab", "9123abcd-0123-4567-89ab-0123456789ab"
+    paths = [f"/x/m.parquet/part-00000-{one}-c000.snappy.parquet", f"/x/m.parquet/part-00017-{one}.c000.parquet",
+             f"/x/m.parquet/part-00000-{two}-c000.snappy.parquet", "/x/m.parquet"]
+    found = [re.sub(pattern, r"/\1", p) for p in paths]
+    assert found[0] == found[1] != found[2] and found[3] == paths[3]

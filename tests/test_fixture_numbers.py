@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_ORACLE
+from paths import SF_ORACLE
 from farebox.config import DEFAULT_COLUMNS as C
 from farebox.operators import aggregates as agg
 from farebox.operators import merge as mg

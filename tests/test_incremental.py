@@ -5,7 +5,6 @@ from __future__ import annotations
 import contextlib
 import datetime as dt
 import io
-import os
 import re
 
 import pytest
@@ -15,8 +14,6 @@ from farebox.config import DEFAULT_COLUMNS as C
 from farebox.operators import merge as mg
 from farebox.operators import quality as dq
 from farebox.operators import snapshots as snap
-from farebox.operators.quality import DataQualityError
-from farebox.plans import jobs
 from farebox.session import scratch_path
 from farebox.sinks.layout import write_partitioned
 
@@ -63,8 +60,7 @@ def test_merge_metrics(target, source):
 
 def test_unique_source_rule(spark, target):
     dup = spark.createDataFrame([trip(2, 21.0, 1), trip(2, 22.0, 1)], SCHEMA)
-    with pytest.raises(mg.MergeConflictError):
-        mg.assert_unique_keys(dup, KEYS)
+    assert dq.duplicate_keys(dup, KEYS).first()["duplicated_keys"] == 1
     kept = mg.dedup_by_key(dup, [*KEYS, C.month], [F.col(C.amount)])
     assert amounts(kept) == [(2, 1, 22.0)]
 
@@ -88,10 +84,6 @@ def test_static_vs_dynamic_overwrite(spark, target):
     assert sorted({r.trip_month for r in spark.read.parquet(sta).collect()}) == [1]
 
 
-COMMITS = [(0, dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc), "WRITE"),
-           (1, dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc), "MERGE")]
-
-
 def plan_of(df):
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
@@ -101,76 +93,26 @@ def plan_of(df):
 
 def test_versions_are_read_by_partition(spark, target, source):
     path = scratch_path(spark, "snap")
-    snap.write_snapshot(target, path, 0)
-    snap.write_snapshot(mg.upsert(target, source, KEYS, C.month), path, 1)
-    rows, commits = spark.read.parquet(path), spark.createDataFrame(COMMITS, snap.COMMITS_SCHEMA)
+    log_path = f"{path}-history"
+    assert snap.history(spark, log_path).count() == 0
+    snap.write_snapshot(target, path, 0, history_path=log_path)
+    snap.write_snapshot(mg.upsert(target, source, KEYS, C.month), path, 1, history_path=log_path, operation="MERGE")
+    rows, log = spark.read.parquet(path), snap.history(spark, log_path)
     assert amounts(snap.as_of_version(rows, 0)) == amounts(target)
     assert re.search(r"PartitionFilters: \[[^\]]*snapshot#\d+ = 0", plan_of(snap.as_of_version(rows, 0)))
-    york = dt.timezone(dt.timedelta(hours=-5))
-    assert snap.version_at(commits, dt.datetime(2024, 1, 31, 19, tzinfo=york)) == 1  # midnight in UTC
-    assert snap.version_at(commits, dt.datetime(2024, 1, 31, 18, 59, tzinfo=york)) == 0
-    for bad in (dt.datetime(2024, 1, 5), dt.datetime(2023, 1, 1, tzinfo=york)):
+    times = [dt.datetime.fromtimestamp(r["t"] / 1e6, dt.timezone.utc) for r in log.selectExpr(
+        "version", "unix_micros(committed_at) AS t").orderBy("version").collect()]
+    york, micro = dt.timezone(dt.timedelta(hours=-5)), dt.timedelta(microseconds=1)
+    assert snap.version_at(log, times[1].astimezone(york)) == 1
+    assert snap.version_at(log, (times[1] - micro).astimezone(york)) == 0
+    assert amounts(snap.as_of_time(rows, log, times[0])) == amounts(target)
+    for bad in (times[0].replace(tzinfo=None), times[0] - micro):
         with pytest.raises(ValueError):
-            snap.as_of_time(rows, commits, bad)
-    log = snap.history(rows, commits)
-    assert [r.version for r in snap.newest(log, 1).collect()] == [1]
-    got = {r.version: (r["rows"], r["nothing"]) for r in snap.metric_columns(log, ["rows", "nothing"]).collect()}
-    assert got == {0: (3, 0), 1: (4, 0)}
-
-
-def test_increment_first_load_merge_and_rerun(spark, target, source):
-    path = scratch_path(spark, "inc")
-    empty = jobs.load_increment(spark, target.limit(0), path, KEYS)
-    assert empty == {"inserted": 0, "updated": 0, "deleted": 0, "source_rows": 0}
-    assert jobs.load_increment(spark, target, path, KEYS)["inserted"] == 3
-    assert jobs.load_increment(spark, target.limit(0), path, KEYS) == empty
-    m = jobs.load_increment(spark, source, path, KEYS)
-    assert (m["inserted"], m["updated"], m["source_rows"]) == (1, 1, 2)
-    m = jobs.load_increment(spark, source, path, KEYS)
-    assert (m["inserted"], m["updated"]) == (0, 2)  # updates are unconditional
-    assert amounts(spark.read.parquet(path)) == amounts(mg.upsert(target, source, KEYS, C.month))
-
-
-def test_increment_is_gated(spark, target):
-    path = scratch_path(spark, "gated")
-    jobs.load_increment(spark, target, path, KEYS)
-    with pytest.raises(DataQualityError):
-        jobs.load_increment(spark, spark.createDataFrame([trip(9, -5.0, 1)], SCHEMA), path, KEYS)
-    assert amounts(spark.read.parquet(path)) == amounts(target)
-
-
-@pytest.mark.parametrize("split", [[5], [1, 1, 1, 1, 1], [2, 3], [4, 1]])
-def test_increment_does_not_depend_on_the_split(spark, split):
-    rows = [trip(1, 10.0, 1), trip(1, 30.0, 1), trip(2, 5.0, 2), trip(1, 20.0, 1), trip(2, 5.0, 2)]
-    path = scratch_path(spark, "split")
-    for n in split:
-        jobs.load_increment(spark, spark.createDataFrame(rows[:n], SCHEMA), path, KEYS, [C.amount])
-        rows = rows[n:]
-    assert amounts(spark.read.parquet(path)) == [(1, 1, 30.0), (2, 2, 5.0)]
-
-
-def test_increment_rewrites_touched_months_only(spark, target):
-    path = scratch_path(spark, "scoped")
-    jobs.load_increment(spark, target, path, KEYS)
-
-    def files(month):
-        return set(os.listdir(f"{path.removeprefix('file:')}/trip_month={month}"))
-
-    before = files(1), files(2)
-    jobs.load_increment(spark, spark.createDataFrame([trip(1, 99.0, 2)], SCHEMA), path, KEYS)
-    assert files(1) == before[0] and files(2) != before[1]
-    assert amounts(spark.read.parquet(path)) == [(1, 1, 10.0), (1, 2, 99.0), (2, 1, 20.0)]
-
-
-def test_rows_of_the_null_partition_stay(spark):
-    path, on = scratch_path(spark, "nulls"), ["VendorID", "trip_month"]
-    ok = [dq.Expectation("any", lambda: {"n": F.count(F.lit(1))}, lambda m: m["n"] >= 0, lambda m: F.lit("ok"))]
-    schema = SCHEMA
-    base = [(1, 1, 5.0, None, None, None, 3), (2, 1, 6.0, None, None, 4, 3)]
-    jobs.load_increment(spark, spark.createDataFrame(base, schema), path, on, expectations=ok)
-    m = jobs.load_increment(spark, spark.createDataFrame([(1, 1, 9.0, None, None, None, 3)], schema), path, on, expectations=ok)
-    assert (m["inserted"], m["updated"]) == (0, 1)
-    assert sorted((r.VendorID, r.total_amount) for r in spark.read.parquet(path).collect()) == [(1, 9.0), (2, 6.0)]
+            snap.as_of_time(rows, log, bad)
+    assert [(r.version, r.operation) for r in snap.newest(log, 1).collect()] == [(1, "MERGE")]
+    got = {r.version: (r["rows"], r["months"], r["nothing"]) for r in snap.metric_columns(log, ["rows", "months", "nothing"]).collect()}
+    assert got == {0: (3, 2, 0), 1: (4, 2, 0)}
+    assert {r.user for r in log.collect()} == {spark.sql("SELECT current_user()").first()[0]}
 
 
 def test_change_set_refuses_a_doubled_key(spark, target):
@@ -190,31 +132,3 @@ def test_watermark_filter_is_pushed_to_the_scan(spark, tmp_path):
     assert sorted(r.id for r in out.collect()) == [4, 5, 6, 7, 8, 9]
     assert "GreaterThan(ts,2024-01-01T03:00" in plan_of(out)
     assert mg.since_watermark(df, "ts", None).count() == 10
-
-
-def test_gold_refresh_scans_touched_months_only(spark, target):
-    from farebox.operators.aggregates import monthly_revenue
-
-    path, gold = scratch_path(spark, "m8"), scratch_path(spark, "m8-gold")
-    jobs.load_increment(spark, target, path, KEYS)
-    monthly_revenue(spark.read.parquet(path)).write.parquet(gold)
-    jobs.load_increment(spark, spark.createDataFrame([trip(7, 50.0, 2)], SCHEMA), path, KEYS)
-    out = mg.refresh_partitions(spark.read.parquet(gold), spark.read.parquet(path), [2], C.month, monthly_revenue)
-    assert re.search(r"PartitionFilters: \[[^\]]*trip_month#\d+ = 2", plan_of(out))
-    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, monthly_revenue(spark.read.parquet(path)).collect()))
-
-
-def test_year_month_partitions_for_windows_spanning_years(spark):
-    from farebox.config import TripColumns
-    from farebox.operators.cleaning import YEAR_MONTH_COL, derive_year_month
-
-    def row(y, m, amount):
-        p = dt.datetime(y, m, 10, 9)
-        return (1, 1, amount, p, p + dt.timedelta(minutes=5), m, 9)
-
-    path, cols = scratch_path(spark, "ym"), TripColumns(month=YEAR_MONTH_COL)
-    for rows in ([row(2023, 1, 5.0), row(2023, 11, 6.0), row(2024, 1, 7.0)], [row(2024, 1, 8.0)]):
-        m = jobs.load_increment(spark, derive_year_month(spark.createDataFrame(rows, SCHEMA)), path, KEYS, cols=cols)
-    assert (m["inserted"], m["updated"]) == (0, 1)
-    got = sorted((r[YEAR_MONTH_COL], r.total_amount) for r in spark.read.parquet(path).collect())
-    assert got == [(202301, 5.0), (202311, 6.0), (202401, 8.0)]

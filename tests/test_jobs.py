@@ -17,7 +17,7 @@ from farebox.session import scratch_path
 from farebox.sinks import catalog as cat
 from farebox.sources.driver_tables import DRIVER_LANDING_TEMPLATE, DRIVER_WINDOW, write_driver_landing
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def explain(df) -> str:

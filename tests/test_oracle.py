@@ -10,7 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 SUBSET = [
     "silver_trips", "dedup_exact", "monthly_revenue", "hourly_passengers_sql", "weekday_occupancy",

@@ -6,7 +6,7 @@ import contextlib
 import io
 import re
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 import __spark_entry__ as E
 
