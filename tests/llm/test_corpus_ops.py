@@ -11,6 +11,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -194,29 +195,31 @@ def tokens(text):
     return [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))] + [None]
 
 
-def plain_lm(train, texts, states, alpha=0.1, d=0.75):
-    """Token counts and scores by dictionaries, one token at a time."""
+def plain_lm(train, texts, frequent=10 ** 9, every=None, alpha=0.1):
+    """Token counts and scores by dictionaries, one token at a time; ``every``: the texts that frequent words are counted in."""
     c = Counter(t for x in train for t in tokens(x))
     n, v = sum(c.values()), len(c)
-    own = {w: k for w, k in c.items() if w is not None}
-    vocab = sorted(own, key=lambda w: (-own[w], lm.word_hash(w)))[:states]
-    label = lambda w: "END" if w is None else w if w in vocab_set else "RARE"
-    vocab_set = set(vocab)
-    uni, bi = Counter(), defaultdict(Counter)
+    seen = Counter(t for x in (texts if every is None else every) for t in tokens(x) if t is not None)
+    level = Counter(math.floor(4 * math.log2(k)) for k in seen.values())
+    room, kept = frequent, set()
+    for lv in sorted(level, reverse=True):
+        if level[lv] > room:
+            break
+        room -= level[lv]
+        kept |= {w for w, k in seen.items() if math.floor(4 * math.log2(k)) == lv}
+    rare = [k for w, k in c.items() if w is not None and w not in kept]
+    mass = n + alpha * (len(kept) + 2)
+
+    def p(w):
+        return (c[w] + alpha if w is None or w in kept else (sum(rare) + alpha) / (len(rare) + 1)) / mass
+
+    pairs, states = Counter(), Counter()
     for x in train:
         state = "START"
         for w in tokens(x):
-            lab = label(w)
-            uni[lab] += 1
-            if state != "RARE":
-                bi[state][lab] += 1
-            state = lab
-    # the root's counts are those of all labels
-    labels = vocab + ["RARE", "END", ]
-    total = sum(uni.values()) + alpha * len(labels)
-    p1 = {x: (uni[x] + alpha) / total for x in labels}
-    rare = [k for w, k in own.items() if w not in vocab_set]
-    rare_of = sum(rare) + alpha * (len(rare) + 1)
+            pairs[state, w] += 1
+            states[state] += 1
+            state = w
     out = []
     for x in texts:
         base = s = 0.0
@@ -224,98 +227,84 @@ def plain_lm(train, texts, states, alpha=0.1, d=0.75):
         for w in tokens(x):
             known += c[w] > 0
             base += math.log10((c[w] + alpha) / (n + alpha * (v + 1)))
-            lab, seen = label(w), bi.get(state)
-            if seen and lab in seen:
-                s += math.log10((seen[lab] - d) / sum(seen.values()))
-            elif seen:
-                left = 1 - sum(p1[y] for y in seen)
-                s += math.log10(d * len(seen) / sum(seen.values()) / max(left, 1e-12)) + math.log10(p1[lab])
-            else:
-                s += math.log10(p1[lab])
-            if lab == "RARE":
-                s += math.log10((c[w] + alpha) / rare_of)
-            state = lab
+            k = states[state] ** 0.95
+            s += math.log10((pairs[state, w] + k * p(w)) / (states[state] + k) if states[state] else p(w))
+            state = w
         out.append((len(tokens(x)), known, n, base, s))
     return out
 
 
-@pytest.mark.parametrize("frequent,states", [(1 << 18, 1024), (8, 4), (1 << 18, 3)])
-def test_lm_equals_plain_model(docs, doc_rows, monkeypatch, frequent, states):
-    monkeypatch.setattr(lm, "FREQUENT", frequent)
-    monkeypatch.setattr(lm, "STATES", states)
-    learn = F.coalesce(F.col("doc_id") % 3 != 0, F.lit(False))
-    rows = [r for r in doc_rows if r[0] != 9006] + [(9006, "word " * 20000, "en", "s3", 1)]
-    got = lm.score(docs, learn, {"doc_id": F.col("doc_id")}).collect()
-    train = [r[1] for r in rows if r[0] is not None and r[0] % 3 != 0]
-    if frequent == 8:  # the state vocabulary is taken from the frequent words, whole count levels at a time
-        held = Counter(t for x in train for t in tokens(x) if t)
-        level = Counter(int(4 * math.log2(k)) for k in held.values())
-        room, keep = 8, 0
-        for lv in sorted(level, reverse=True):
-            if level[lv] > room:
-                break
-            room -= level[lv]
-            keep += level[lv]
-        states = min(states, keep)
-    want = plain_lm(train, [r[1] for r in rows], states)
-    key = lambda x: (str(x[0]), *x[1:4], round(x[4], 4), round(x[5], 3))
-    a = sorted(map(key, [(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in got]))
-    b = sorted(map(key, [(r[0], *w) for r, w in zip(rows, want)]))
+def same_scores(got, rows, want):
+    a = sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 3), r["base_score"], r["score"]) for r in got)
+    b = sorted((str(r[0]), *w[:3], round(w[3], 3), *w[3:]) for r, w in zip(rows, want, strict=True))
     for x, y in zip(a, b, strict=True):
-        assert x[:4] == y[:4] and x[4] == pytest.approx(y[4], rel=1e-6, abs=1e-3) and x[5] == pytest.approx(y[5], rel=1e-4, abs=2e-2)
+        assert x[:4] == y[:4] and x[5] == pytest.approx(y[5], rel=1e-9, abs=1e-6) and x[6] == pytest.approx(y[6], rel=1e-6, abs=1e-5)
 
 
-@pytest.mark.parametrize("frequent,arcs", [(1 << 18, 1 << 20), (8, 6), (1 << 18, 20), (0, 0)])
-def test_lm_of_all_bigrams_equals_plain_model(docs, doc_rows, monkeypatch, frequent, arcs):
-    monkeypatch.setattr(lm, "FREQUENT", frequent)
-    monkeypatch.setattr(lm, "ARCS", arcs)
-    monkeypatch.setattr(lm, "STATES", 3)
+@pytest.mark.parametrize("frequent,top,size", [(1 << 18, 1024, 1 << 20), (8, 3, 1 << 20), (1 << 18, 0, 300), (0, 0, 1 << 20), (12, 4, 64)])
+def test_lm_equals_plain_model(docs, doc_rows, monkeypatch, frequent, top, size):
+    """With all bigrams by broadcast, none, or some; texts whole or cut into many slices."""
+    for name, value in (("FREQUENT", frequent), ("TOP", top), ("SLICE", size), ("HELD", 500)):
+        monkeypatch.setattr(lm, name, value)
     learn = F.coalesce(F.col("doc_id") % 3 != 0, F.lit(False))
-    got = lm.score_all(docs, learn, {"doc_id": F.col("doc_id")}).collect()
+    got = lm.score(docs, learn, {"doc_id": F.col("doc_id")}).collect()
     train = [r[1] for r in doc_rows if r[0] is not None and r[0] % 3 != 0]
-    want = plain_lm(train, [r[1] for r in doc_rows], 10 ** 9)
-    key = lambda x: (str(x[0]), *x[1:4], round(x[4], 4), round(x[5], 3))
-    a = sorted(map(key, [(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in got]))
-    b = sorted(map(key, [(r[0], *w) for r, w in zip(doc_rows, want)]))
-    for x, y in zip(a, b, strict=True):
-        assert x[:4] == y[:4] and x[4] == pytest.approx(y[4], rel=1e-6, abs=1e-3) and x[5] == pytest.approx(y[5], rel=1e-4, abs=2e-2)
+    same_scores(got, doc_rows, plain_lm(train, [r[1] for r in doc_rows], frequent))
 
 
 def test_lm_query_has_no_cap_on_states(spark, tmp_path):
     r = random.Random(8)
-    order = [f"w{i}" for i in range(3000)]  # more words than the bounded automaton has states, each with one follower
+    order = [f"w{i}" for i in range(3000)]  # each word has one follower
     rows = [(i, " ".join(order[k:k + 40]), "en", "s", 0) for i, k in enumerate(r.randrange(2960) for _ in range(900))]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
         str(tmp_path / "documents.parquet"))
-    got = {x["doc_id"]: (x["held_out"], x["score"]) for x in queries.op9_lm(spark, str(tmp_path)).collect()}
-    want = plain_lm([t for i, t, *_ in rows if not got[i][0]], [t for _, t, *_ in rows], 10 ** 9)
-    for (i, *_), w in zip(rows, want, strict=True):
-        assert got[i][1] == pytest.approx(w[4], rel=1e-4, abs=2e-2)
-
-
-def test_lm_of_all_bigrams_without_training_or_documents(docs, no_docs):
-    got = lm.score_all(docs, F.lit(False), {"doc_id": F.col("doc_id")}).collect()
-    assert {r["train_tokens"] for r in got} == {0} and all(r["n_known"] == 0 and r["base_score"] == 0 for r in got)
-    assert lm.score_all(no_docs, F.lit(True), {"doc_id": F.col("doc_id")}).collect() == []
-
-
-def test_lm_chances_sum_to_one():
-    keys = np.array([0 * 5 + 1, 0 * 5 + 3, 1 * 5 + 0, 3 * 5 + 4, 4 * 5 + 0])
-    a = lm.Automaton(3, keys, np.array([2, 1, 4, 2, 3]))
-    for state in range(5):
-        steps = [a.walk(np.array([state, x]) if state < 4 else np.array([x]), np.array([0]))[-1] for x in range(5)]
-        assert sum(10 ** s for s in steps) == pytest.approx(1, abs=1e-6)
+    got = queries.op9_lm(spark, str(tmp_path)).collect()
+    held = {x["doc_id"]: x["held_out"] for x in got}
+    same_scores(got, rows, plain_lm([t for i, t, *_ in rows if not held[i]], [t for _, t, *_ in rows]))
 
 
 def test_lm_without_training_or_documents(docs, no_docs):
     got = lm.score(docs, F.lit(False), {"doc_id": F.col("doc_id")}).collect()
-    assert {r["train_tokens"] for r in got} == {0} and all(r["n_known"] == 0 and r["base_score"] == 0 for r in got)
+    assert len(got) == docs.count() and {r["train_tokens"] for r in got} == {0}
+    assert all(r["n_known"] == 0 and r["base_score"] == pytest.approx(0, abs=1e-6) for r in got)
     assert lm.score(no_docs, F.lit(True), {"doc_id": F.col("doc_id")}).collect() == []
 
 
+def test_lm_chances_sum_to_one(spark):
+    """Over a closed vocabulary and one word that was never seen, after every state."""
+    train = ["a b a c", "b b c", "a"]
+    words = ["a", "b", "c", "never"]
+    rows = [(i, t) for i, t in enumerate(train)] + [(100 + i, w) for i, w in enumerate(words)]
+    rows += [(200 + 10 * i + j, f"{s} {w}") for i, s in enumerate(words) for j, w in enumerate(words)] + [(300, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in lm.score(df, F.col("doc_id") < 100, {"doc_id": F.col("doc_id")}).collect()}
+    # score(s w) - score(s) = step(w | s) + end(w) - end(s); the ends' steps follow from the one-word texts
+    want = dict(zip([r[0] for r in rows], [w[4] for w in plain_lm(train, [r[1] for r in rows])]))
+    assert got == pytest.approx(want, abs=1e-6)
+    c = Counter(t for x in train for t in tokens(x))
+    kept = [w.encode() for w in words]
+    p = [(c[w] + 0.1) / (sum(c.values()) + 0.1 * (len(kept) + 2)) for w in [*kept, None]]
+    rest = 0.1 / (sum(c.values()) + 0.1 * (len(kept) + 2))
+    assert sum(p) + rest == pytest.approx(1)
+
+
+def test_lm_words_are_split_as_bytes_split():
+    r = random.Random(3)
+    texts = [bytes(r.choice(b"aB \t\n\x0b\x0c\r.\xc3\xa9") for _ in range(r.randrange(60))) for _ in range(150)] + [b"", b" ", b"x" * 9000]
+    table = {}
+    for x in lm.slices(pa.array(texts, pa.binary())):
+        start = [*np.flatnonzero(x.s == lm.START), len(x.w)]
+        for t, a, b in zip(texts, start, start[1:]):
+            ws = t.lower().split()
+            assert b - a == len(ws) + 1 and x.w[b - 1] == lm.END and list(x.s[a + 1:b]) == list(x.w[a:b - 1])
+            for w, h in zip(ws, x.w[a:b - 1]):
+                assert table.setdefault(w, h) == h
+    assert len(set(table.values())) == len(table) > 100
+
+
 def test_lm_beats_the_base_on_held_out_text(spark):
     got = queries.op9_lm(spark, "/root/testdata/sf0.1").filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
-    assert got[0] > got[1]
+    assert got[0] > 0.85 * got[1]
 
 
 # -- mixing ----------------------------------------------------------------------------------------
