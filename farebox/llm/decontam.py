@@ -158,10 +158,19 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).drop("copy")
 
 
+def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text_hash, n_words) of the documents that hold a benchmark window.
+
+    The word count stays in the result on purpose: without it the optimizer takes the struct of
+    words apart and evaluates the winnowing again in a filter pushed below its explode.
+    """
+    return contamination(docs, items, id_col, text_col).filter("n_hit > 0").select(id_col, "text_hash", "n_words").distinct()
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns, without those that hold a benchmark window."""
     mark, own, id_ = (private(docs, x) for x in ("text_hash", "dirty_hash", "dirty_id"))
-    dirty = materialize(contamination(docs, items, id_col, text_col).filter("n_hit > 0").select(
-        F.col(id_col).alias(id_), F.col("text_hash").alias(own)).distinct(), "contaminated")
+    dirty = materialize(contaminated(docs, items, id_col, text_col), "contaminated").select(
+        F.col(id_col).alias(id_), F.col("text_hash").alias(own))
     return docs.withColumn(mark, F.xxhash64(F.lit(0), F.col(f"`{text_col}`"))).join(
         dirty, (F.col(mark) == F.col(own)) & F.col(f"`{id_col}`").eqNullSafe(F.col(id_)), "left_anti").drop(mark)

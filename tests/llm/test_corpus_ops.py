@@ -83,6 +83,13 @@ def test_decontaminate_keeps_clean_rows(spark, crowded, no_docs, doc_rows):
     assert decontam.decontaminate(crowded, bench.limit(0)).count() == len(doc_rows)
 
 
+def test_contaminated_splits_texts_once(spark):
+    sf = "/root/testdata/sf0.001"
+    found = decontam.contaminated(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+
+
 # -- SimHash ---------------------------------------------------------------------------------------
 
 def plain_fingerprint(text):
@@ -322,7 +329,7 @@ def plain_schedule(shares):
 @pytest.mark.parametrize("shares", [[1], [3, 1], [50, 25, 13, 7, 5], [97, 1, 1, 1], [1] * 20, [40] + [3] * 20])
 def test_schedule_is_pfair(spark, shares):
     q = sum(shares)
-    df = spark.createDataFrame(list(enumerate(shares)), "s int, share int")
+    df = spark.createDataFrame([(0, i, a) for i, a in enumerate(shares)], "g int, s long, share int")
     order = [r["s"] for r in mixing.schedule(df, q).orderBy("slot").collect()]
     assert order == plain_schedule(shares)
     count = [0] * len(shares)
@@ -363,10 +370,50 @@ def test_mix(crowded, doc_rows, until, monkeypatch):
     assert order == [frame[t % 40] for t in range(len(order))]
 
 
-def test_mix_edges(no_docs, docs):
+@pytest.mark.parametrize("until", ["all", "first"])
+def test_row_shares_are_the_target_weights(spark, until):
+    """Sources whose sizes are no multiples of the block: every prefix of whole slots has the targets' rows."""
+    sizes, want = {"a": 4000, "b": 320, "c": 17}, {"a": 0.5, "b": 0.25, "c": 0.25}
+    rows = [(f"{s}{i}", s) for s, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id string, source string")
+    got = mixing.mix(df, weights=want, until=until).select("doc_id", "source", "__slot", "__place", "__epoch").collect()
+    by_slot = defaultdict(list)
+    for r in got:
+        by_slot[r["__slot"]].append(r)
+    assert all(sorted(x["__place"] for x in v) == list(range(16)) for v in by_slot.values())
+    count, slots = Counter(), sorted(by_slot)
+    assert slots == list(range(len(slots)))
+    for t in slots:
+        count.update(x["source"] for x in by_slot[t])
+        for s, w in want.items():
+            assert abs(count[s] - w * 16 * (t + 1)) <= 16 * 1.01  # a block, and the shares' rounding to the frame
+    times = Counter(r["doc_id"] for r in got)
+    if until == "all":
+        assert set(times) == {r[0] for r in rows}
+        for s in sizes:  # passes are even: no row of a source is used twice more often than another, but for the last pass
+            own = [times[x] for x, y in rows if y == s]
+            assert max(own) - min(own) <= 1
+    else:
+        assert set(times.values()) == {1}
+
+
+@pytest.mark.parametrize("sources,frame", [(90, 40), (700, 24)])
+def test_many_sources_are_mixed_by_groups(spark, sources, frame):
+    """Two levels, and three."""
+    r = random.Random(1)
+    rows = [(i, f"s{r.randrange(sources):04d}") for i in range(sources * 6)] + [(10 ** 6 + i, "hot") for i in range(sources * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, source string").repartition(4)
+    got = mixing.mix(df, frame=frame, block_rows=2).select("doc_id", "source", "__slot", "__place").collect()
+    assert {x["doc_id"] for x in got} == {x[0] for x in rows}
+    by_slot = defaultdict(list)
+    for x in got:
+        by_slot[x["__slot"]].append(x)
+    assert sorted(by_slot) == list(range(len(by_slot)))
+    assert all(len({x["source"] for x in v}) == 1 and sorted(x["__place"] for x in v) == [0, 1] for v in by_slot.values())
+
+
+def test_mix_edges(no_docs):
     assert mixing.mix(no_docs).collect() == []
-    with pytest.raises(ValueError, match="do not fit"):
-        mixing.mix(docs, frame=2)
 
 
 # -- sharding --------------------------------------------------------------------------------------
