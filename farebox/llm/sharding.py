@@ -6,10 +6,14 @@ hands to each new one. An old shard's rows lie on a line; the flow cuts the line
 into runs, one per new shard, and a row goes where its middle byte lies. So sizes
 differ from the capacities by about a row per run, and rows that may stay do.
 
-On the line, rows are ordered by text hash, so equal texts lie side by side and part
-only at a cut; a group of equal texts however large is spread over sub-buckets by
-row hash. Offsets come from buckets of about ``BUCKET_ROWS`` rows. The driver holds
-one number per old shard (``MAX_SHARDS`` at most) and the flow.
+Rows with equal texts are a group. A group that fits in a new shard lies whole on one
+line, that of the old shard which holds most of its bytes; larger groups stay where
+they are. On a line rows are ordered by text hash, a group side by side. A group of at
+most ``WHOLE`` of a shard's bytes goes as one where its middle byte lies; a larger one
+parts only where a run ends inside it. A group however large is spread over cells by row
+hash. Offsets come from cells of about ``BUCKET_ROWS`` rows. The driver holds one number per
+old shard (``MAX_SHARDS`` at most) and the flow. Rows get their slots in the order of the
+line, or in a given order.
 
 Size: UTF-8 bytes of the text (null: none) plus 1. Rows with a null old shard are
 new rows: they may go anywhere at the same cost. Copies of a row are
@@ -17,7 +21,9 @@ interchangeable. An empty table gives an empty result.
 
 The rewrite needs no id: the plan carries hashes of the whole row (``KEY``). Every row
 of the plan takes the content of its key, one copy of which is kept, so repeated rows
-and rows with a null id are written as often as the plan has them.
+and rows with a null id are written as often as the plan has them. All columns are
+written; if one is called ``shard`` or ``slot`` already, the layout's own columns get other
+names (see ``layout_names``), unless the caller says that it is the old layout's.
 """
 
 from __future__ import annotations
@@ -27,9 +33,11 @@ import heapq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farebox.llm.common import materialize, row_key
+from farebox.llm.common import materialize, private, row_key
 
 BUCKET_ROWS, MAX_BUCKETS, MAX_SHARDS = 1024, 1_000_000, 1024
+#: Groups of equal texts up to this share of a shard's bytes are never cut.
+WHOLE = 1 / 32
 #: The old shard of rows that had none.
 UNPLACED = -1
 #: Hashes of a row: two over its values, one over its nulls and nested values (the first two skip nulls).
@@ -131,17 +139,33 @@ def size_of(text: Column) -> Column:
 
 
 def reshard(docs: DataFrame, old_shard: Column, shards: int = 16, capacities: dict[int, int] | None = None,
-            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            id_col: str = "doc_id", text_col: str = "text", order: tuple[Column, Column] | None = None) -> DataFrame:
     """One row per document row: id, size, text_crc32, old_shard, shard, slot (gapless from 0 in its shard), moved, KEY.
 
-    Only (id, size, hashes) is shuffled, never the text.
+    Only (id, size, hashes) is shuffled, never the text. ``order`` (a block of bounded size, the place in it)
+    gives the order of the rows in each shard.
     """
     text = F.col(f"`{text_col}`")
     h1, h2, h3 = content_key(docs)
+    block, place = order or (F.lit(0), F.lit(0))
     rows = materialize(docs.select(
         F.col(f"`{id_col}`").alias("id"), size_of(text).alias("size"),
-        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("crc"), F.xxhash64(text).alias("th"),
-        h1.alias("h1"), h2.alias("h2"), h3.alias("h3"), F.coalesce(old_shard.cast("int"), F.lit(UNPLACED)).alias("old")), "reshard-rows")
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("crc"), F.xxhash64(text).alias("th"), text.isNull().alias("none"),
+        h1.alias("h1"), h2.alias("h2"), h3.alias("h3"), F.coalesce(old_shard.cast("int"), F.lit(UNPLACED)).alias("from"),
+        block.alias("block"), place.alias("place")), "reshard-rows")
+    held = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count("*").alias("n")).first()
+    per_bucket = max(BUCKET_ROWS, -(-held["n"] // MAX_BUCKETS))
+    shard_bytes = min((capacities or even_capacities(held["bytes"], shards)).values(), default=0)
+    # groups of equal texts: the old shard that holds most of them, and whether they go as one or are spread over cells
+    parts = rows.filter("not none").groupBy("th", "from").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    groups = parts.groupBy("th").agg(
+        F.max(F.struct("bytes", (-F.col("from")).alias("o")))["o"].alias("o"), F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).filter(
+        "n > 1").select("th", F.when(F.col("bytes") <= shard_bytes, -F.col("o")).alias("home"), (F.col("bytes") <= shard_bytes * WHOLE).alias("whole"),
+                        F.when(F.col("n") > per_bucket, F.ceil(F.col("n") / per_bucket).cast("long")).alias("parts"))
+    rows = materialize(rows.join(groups, "th", "left").withColumns({
+        "old": F.coalesce("home", "from"), "whole": F.coalesce("whole", F.lit(False)) & F.col("parts").isNull(),
+        "hot": F.when(F.col("parts").isNotNull(), F.col("th")), "sub": F.pmod("h1", F.coalesce("parts", F.lit(1)))}).drop(
+        "home", "parts", "none"), "reshard-grouped")
     old = {r["old"]: (r["bytes"], r["n"]) for r in rows.groupBy("old").agg(
         F.sum("size").alias("bytes"), F.count("*").alias("n")).limit(MAX_SHARDS + 2).collect()}
     if len(old) > MAX_SHARDS + 1 or shards > MAX_SHARDS:
@@ -149,34 +173,40 @@ def reshard(docs: DataFrame, old_shard: Column, shards: int = 16, capacities: di
     supply = {k: v[0] for k, v in sorted(old.items())}
     runs = runs_of(plan_transfers(supply, capacities or even_capacities(sum(supply.values()), shards)))
 
-    per_bucket = max(BUCKET_ROWS, -(-sum(n for _, n in old.values()) // MAX_BUCKETS))
     buckets = F.create_map(*[F.lit(x) for k, (_, n) in old.items() for x in (k, -(-n // per_bucket))]) if old else F.create_map(
         F.lit(0), F.lit(1))
     unit = F.shiftrightunsigned("th", 12).cast("double") / F.lit(float(2 ** 52))
-    rows = rows.withColumn("b", F.floor(unit * F.try_element_at(buckets, F.col("old"))).cast("long"))
-    # buckets that a group of equal texts has made large are split by row hash; there are at most rows / per_bucket of them
-    large = rows.groupBy("old", "b").agg(F.count("*").alias("n")).filter(F.col("n") > 3 * per_bucket).select(
-        "old", "b", F.ceil(F.col("n") / per_bucket).cast("long").alias("parts"))
-    rows = rows.join(F.broadcast(large), ["old", "b"], "left").withColumn(
-        "sub", F.pmod("h1", F.coalesce("parts", F.lit(1)))).drop("parts")
-    cell = ["old", "b", "sub"]
+    rows = rows.withColumn("b", F.floor(unit * F.try_element_at(buckets, F.col("old"))).cast("long")).withColumn(
+        "hot", F.coalesce("hot", F.lit(0).cast("long")))
+    cell = ["old", "b", "hot", "sub"]
     before = rows.groupBy(*cell).agg(F.sum("size").alias("bytes")).select(*cell, (F.sum("bytes").over(
-        Window.partitionBy("old").orderBy("b", "sub")) - F.col("bytes")).alias("before"))
-    line = Window.partitionBy(*cell).orderBy("th", "h1", "h2", "id", "size")
+        Window.partitionBy("old").orderBy("b", "hot", "sub")) - F.col("bytes")).alias("before"))
+    line = Window.partitionBy(*cell).orderBy("th", "h1", "h2", "id", "size", "from")
+    group = Window.partitionBy(*cell, "th")
     placed = rows.withColumns({
         "rn": F.row_number().over(line),
-        "upto": F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0))}).join(before, cell)
-    middle = 2 * (F.col("before") + F.col("upto")) - F.col("size")
+        "upto": F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0))}).withColumns({
+            "first": F.min(F.col("upto") - F.col("size")).over(group), "last": F.max("upto").over(group)}).join(before, cell)
+    # twice the middle byte of the row, or of its group
+    middle = 2 * F.col("before") + F.when(F.col("whole"), F.col("first") + F.col("last")).otherwise(2 * F.col("upto") - F.col("size"))
     ends = F.create_map(*[x for k, v in runs.items() for x in (F.lit(k), F.array(*[
         F.struct(F.lit(e).cast("long").alias("end"), F.lit(s).alias("shard")) for e, s in v]))]) if runs else F.create_map(
         F.lit(0), F.array(F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).alias("shard"))))
     placed = placed.withColumn("shard", F.filter(F.try_element_at(ends, F.col("old")), lambda x: middle < 2 * x["end"])[0]["shard"])
-    placed = materialize(placed.select("id", "size", "crc", "shard", "rn", "h1", "h2", "h3", *cell), "reshard-placed")
-    first = placed.groupBy("shard", *cell).agg(F.min("rn").alias("rn0"), F.count("*").alias("n")).select(
-        "shard", *cell, "rn0", (F.sum("n").over(Window.partitionBy("shard").orderBy(*cell)) - F.col("n")).alias("at"))
-    return placed.join(first, ["shard", *cell]).select(
-        F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.col("old").alias("old_shard"), "shard",
-        (F.col("at") + F.col("rn") - F.col("rn0")).cast("long").alias("slot"), (F.col("old") != F.col("shard")).alias("moved"),
+    placed = materialize(placed.select("id", "size", "crc", "shard", "from", "rn", "h1", "h2", "h3", "block", "place", *cell), "reshard-placed")
+    if order is None:
+        first = placed.groupBy("shard", *cell).agg(F.min("rn").alias("rn0"), F.count("*").alias("n")).select(
+            "shard", *cell, "rn0", (F.sum("n").over(Window.partitionBy("shard").orderBy(*cell)) - F.col("n")).alias("at"))
+        numbered = placed.join(first, ["shard", *cell]).withColumn("slot", F.col("at") + F.col("rn") - F.col("rn0"))
+    else:
+        in_block = Window.partitionBy("shard", "block").orderBy("place", "h1", "h2", "id")
+        first = placed.groupBy("shard", "block").agg(F.count("*").alias("n")).select(
+            "shard", "block", (F.sum("n").over(Window.partitionBy("shard").orderBy("block")) - F.col("n")).alias("at"))
+        numbered = placed.withColumn("k", F.row_number().over(in_block) - 1).join(first, ["shard", "block"]).withColumn(
+            "slot", F.col("at") + F.col("k"))
+    return numbered.select(
+        F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.col("from").alias("old_shard"), "shard",
+        F.col("slot").cast("long").alias("slot"), (F.col("from") != F.col("shard")).alias("moved"),
         *[F.col(k.strip("_")).alias(k) for k in KEY])
 
 
@@ -186,45 +216,55 @@ def _delete(docs: DataFrame, folder: str) -> None:
     at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
-def with_content(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """``target`` (KEY, shard, slot) with the columns of the rows of ``docs`` that have its keys.
+def layout_names(docs: DataFrame, replaces: tuple[str, ...] = ()) -> tuple[str, str]:
+    """What the layout calls its shard (the partition folder) and slot: names that no other column of ``docs`` has."""
+    others = docs.drop(*replaces)
+    taken = {c.lower() for c in others.columns}
+    return tuple(n if n not in taken else private(others, n) for n in ("shard", "slot"))
+
+
+def with_content(docs: DataFrame, target: DataFrame, replaces: tuple[str, ...] = ()) -> DataFrame:
+    """``target`` (KEY, shard, slot) with the columns of the rows of ``docs`` that have its keys, but for those it replaces.
 
     Keys of many copies meet their content in parts, so that no task holds all copies of a row.
     """
-    body = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")]).alias("row"),
-                       *content_key(docs))
+    names = [F.col(c).alias(n) for c, n in zip(("shard", "slot"), layout_names(docs, replaces))]
+    body = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in replaces]).alias("row"), *content_key(docs))
     per_part = max(3 * BUCKET_ROWS, -(-target.count() // MAX_BUCKETS))
     many = materialize(target.groupBy(*KEY).agg(F.count("*").alias("n")).filter(F.col("n") > per_part).select(
         *KEY, F.ceil(F.col("n") / per_part).cast("long").alias("parts")), "many-copies")  # at most MAX_BUCKETS rows
     if many.isEmpty():
-        return target.join(body.groupBy(*KEY).agg(F.first("row").alias("row")), KEY).select("row.*", "shard", "slot")
+        return target.join(body.groupBy(*KEY).agg(F.first("row").alias("row")), KEY).select("row.*", *names)
     few = target.join(F.broadcast(many), KEY, "left_anti").join(
         body.join(F.broadcast(many), KEY, "left_anti").groupBy(*KEY).agg(F.first("row").alias("row")), KEY)
     content = body.join(F.broadcast(many), KEY).groupBy(*KEY).agg(F.first("row").alias("row"), F.first("parts").alias("parts"))
     rest = target.join(F.broadcast(many), KEY).withColumn("part", F.pmod("slot", "parts")).drop("parts").join(
         content.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts"), [*KEY, "part"])
-    return few.select("row.*", "shard", "slot").unionByName(rest.select("row.*", "shard", "slot"))
+    return few.select("row.*", *names).unionByName(rest.select("row.*", *names))
 
 
-def write_shards(docs: DataFrame, plan: DataFrame, path: str, shards: list[int]) -> set[int]:
+def write_shards(docs: DataFrame, plan: DataFrame, path: str, shards: list[int], replaces: tuple[str, ...] = ()) -> set[int]:
     """Replace these shards below ``path/shard=N`` by what ``plan`` puts there; returns those that get rows."""
+    shard, slot = layout_names(docs, replaces)
     target = plan.filter(F.col("shard").isin(shards)).select(*KEY, "shard", "slot")
-    with_content(docs, target).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.mode(
-        "overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("shard").parquet(path)
+    with_content(docs, target, replaces).repartitionByRange(shard, slot).sortWithinPartitions(shard, slot).write.mode(
+        "overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(shard).parquet(path)
     return {r[0] for r in target.select("shard").distinct().collect()}
 
 
-def rewrite_affected(docs: DataFrame, plan: DataFrame, path: str, id_col: str = "doc_id") -> list[int]:
+def rewrite_affected(docs: DataFrame, plan: DataFrame, path: str, replaces: tuple[str, ...] = ()) -> list[int]:
     """Rewrite, below ``path/shard=N``, only shards that lose or gain a row; returns them.
 
-    ``plan`` is from :func:`reshard` over the same rows and columns as ``docs``. Files of other shards are not touched.
-    Folders of shards that lose all rows, and of rows that had no shard, go once the others are written.
+    ``plan`` is from :func:`reshard` over the same rows and columns as ``docs``. ``replaces`` names columns of ``docs``
+    that come from the old layout (its partition column, its slots) and make way for the new ones. Files of other shards
+    are not touched. Folders of shards that lose all rows, and of rows that had no shard, go once the others are written.
     """
     moved = plan.filter("moved")
     left = {r[0] for r in moved.select("old_shard").distinct().collect()}
     affected = sorted((left | {r[0] for r in moved.select("shard").distinct().collect()}) - {UNPLACED})
     if affected:
-        kept = write_shards(docs, plan, path, affected)
-        for shard in sorted(left - kept):
-            _delete(docs, f"{path}/shard={'__HIVE_DEFAULT_PARTITION__' if shard == UNPLACED else shard}")
+        shard = layout_names(docs, replaces)[0]
+        kept = write_shards(docs, plan, path, affected, replaces)
+        for gone in sorted(left - kept):
+            _delete(docs, f"{path}/{shard}={'__HIVE_DEFAULT_PARTITION__' if gone == UNPLACED else gone}")
     return affected

@@ -477,7 +477,7 @@ def test_rewrite_touches_affected_shards_only(spark, tmp_path):
     before = {p.name for p in (tmp_path / "shards" / "shard=1").iterdir()}
     from farebox.llm.common import materialize
     body = materialize(here, "body")
-    assert sharding.rewrite_affected(body, materialize(plan, "plan"), path) == [0, 2]
+    assert sharding.rewrite_affected(body, materialize(plan, "plan"), path, replaces=("shard",)) == [0, 2]
     assert {p.name for p in (tmp_path / "shards" / "shard=1").iterdir()} == before
     spark.catalog.refreshByPath(path)
     assert {r["shard"]: r["count"] for r in spark.read.parquet(path).groupBy("shard").count().collect()} == {0: 31, 1: 30, 2: 59}
@@ -499,7 +499,7 @@ def test_rewrite_keeps_every_row(spark, tmp_path, monkeypatch, bucket_rows):
     df.repartition(3).write.partitionBy("shard").parquet(path)
     body = materialize(spark.read.parquet(path), "body")
     plan = materialize(sharding.reshard(body, F.col("shard"), 8), "plan")
-    assert sharding.rewrite_affected(body, plan, path) == list(range(16))
+    assert sharding.rewrite_affected(body, plan, path, replaces=("shard",)) == list(range(16))
     spark.catalog.refreshByPath(path)
     got = spark.read.parquet(path).collect()
     assert Counter(tuple(r)[:4] for r in got) == Counter(r[:4] for r in rows)
@@ -508,6 +508,51 @@ def test_rewrite_keeps_every_row(spark, tmp_path, monkeypatch, bucket_rows):
         (r["shard"], r["slot"], r["doc_id"] or -1) for r in plan.collect())
 
 
+def test_groups_of_equal_texts_stay_together(spark, monkeypatch):
+    """Copies that lie in many old shards meet in one new shard, but for groups cut at the end of a run."""
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 32)
+    r = random.Random(6)
+    texts = [f"{i} " + "x" * r.randrange(20, 400) for i in range(500)]
+    rows = [(i, t, r.randrange(8)) for i, t in enumerate(texts)]
+    for k in range(60):  # groups of 2 to 6 copies, two of 60, one larger than a shard
+        rows += [(1000 + k * 10 + j, texts[k], r.randrange(8)) for j in range(r.randrange(1, 6))]
+    rows += [(5000 + j, texts[100 + j % 2], r.randrange(8)) for j in range(120)]
+    rows += [(9000 + j, "y" * 100, r.randrange(8)) for j in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, o int").repartition(5)
+    got = sharding.reshard(df, F.col("o"), 8).collect()
+    text = {i: t for i, t, _ in rows}
+    shards, sizes = defaultdict(set), Counter()
+    for x in got:
+        shards[text[x["doc_id"]]].add(x["shard"])
+        sizes[x["shard"]] += x["size"]
+    mean = sum(sizes.values()) / 8
+    assert max(abs(v - mean) for v in sizes.values()) < 3 * mean * sharding.WHOLE + 400
+    small = [t for t in shards if sum(x == t for x in text.values()) * (len(t) + 1) <= mean * sharding.WHOLE]
+    assert len(small) > 400 and all(len(shards[t]) == 1 for t in small)
+    assert all(len(shards[t]) <= 2 for t in shards if t != "y" * 100) and len(shards["y" * 100]) > 2
+
+
+def test_slots_follow_a_given_order(spark):
+    df = spark.range(500).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 90).alias("text"))
+    got = sharding.reshard(df, F.col("doc_id") % 3, 4, order=(F.floor((499 - F.col("doc_id")) / 64), 499 - F.col("doc_id"))).collect()
+    for shard in range(4):
+        own = sorted((r["slot"], r["doc_id"]) for r in got if r["shard"] == shard)
+        assert [s for s, _ in own] == list(range(len(own))) and [d for _, d in own] == sorted((d for _, d in own), reverse=True)
+
+
+def test_clashing_columns_are_written_too(spark, tmp_path):
+    rows = [(i, f"t{i % 40}", 100 + i, f"s{i}") for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard int, Slot string")
+    plan = sharding.reshard(df, F.col("doc_id") % 2, 3)
+    path = str(tmp_path / "shards")
+    sharding.write_shards(df, plan, path, [0, 1, 2])
+    shard, slot = sharding.layout_names(df)
+    got = spark.read.parquet(path)
+    assert {shard, slot}.isdisjoint(df.columns) and Counter(tuple(r) for r in got.select(*df.columns).collect()) == Counter(rows)
+    assert Counter((r[shard], r[slot], r["doc_id"]) for r in got.collect()) == Counter(
+        (r["shard"], r["slot"], r["doc_id"]) for r in plan.collect())
+
+
 def test_sharding_query_writes_its_shards(spark, docs, tmp_path, monkeypatch):
     monkeypatch.setattr(queries, "scratch_path", lambda spark, name: str(tmp_path / name))
     plan = queries.placement(docs).collect()
