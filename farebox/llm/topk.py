@@ -2,21 +2,24 @@
 
 The greatest inner products are the nearest neighbours once every candidate x gets
 one more coordinate sqrt(M - |x|^2) (M: the greatest squared norm) and a query gets
-0 there: |q - x|^2 = |q|^2 + M - 2 q.x. Pivots split both sides into cells. From the
-cells' summaries (greatest query radius; the k + 1 least candidate distances) follows
-a bound t for each query cell within which its queries find k candidates. By the
-triangle inequality a candidate x of pivot p can matter to cell c only if
-|p, c| - radius(c) - |x, p| <= t and |x, p| - |p, c| - radius(c) <= t; it is sent to the
-groups of query cells for which that holds, and to no other.
-
-A group (about ``QUERY_ROWS`` queries; a large cell is cut into several) meets its
-candidates in shares of about ``DATA_ROWS`` rows dealt by row number, so neither a
-cell full of copies nor a wide bound makes a large task. Each share gives its best k
-with exact integer scores; the best k of those are the answer. Every query is
-answered exactly; bounds have slack for rounding, and ties go to the smaller id.
+0 there: |q - x|^2 = |q|^2 + M - 2 q.x. Pivots split both sides into cells.
+
+Round one solves each query within its own cell. The k-th distance it finds there, or
+the bound that follows from the cells' summaries (their k + 1 least distances) if that is
+less, is the query's reach. By the triangle inequality, and by the plane between two
+pivots, another cell p can hold a better candidate only if neither
+|q, p| - (greatest |x, p|), (least |x, p|) - |q, p| nor
+(|q, p|^2 - |q, c|^2) / (2 |p, c|) exceeds that reach (c: the query's pivot); in round two
+the query goes to those cells, and to no other.
+
+Candidates are dealt once a round to shares of about ``DATA_ROWS`` rows of their cell by row
+number, so a cell full of copies is no large task; the queries, the smaller side, travel
+to the shares. Beyond ``QUERY_ROWS`` queries both are dealt in blocks of queries. Each share
+gives its best k with exact integer scores; the best k of those are the answer. Every
+query is answered exactly; bounds have slack for rounding, and ties go to the smaller id.
 
 Components become floor(64 * x). Vectors that are null, empty, or hold null or
-non-finite components take no part; only vectors of equal length are compared. A
+non-finite components take no part, nor do rows with a null id; only vectors of equal length are compared. A
 row is told from its copies by its row number in the prepared table. Scores must
 fit a long.
 """
@@ -33,7 +36,7 @@ from farebox.llm.common import materialize
 SCALE = 64
 #: Pivots are chosen farthest first from so many vectors at most (least by hash); they only steer the work.
 PIVOTS, PIVOT_SAMPLE = 48, 768
-QUERY_ROWS, DATA_ROWS = 512, 32_768
+QUERY_ROWS, DATA_ROWS = 4096, 32_768
 SLACK = 1e-6
 
 
@@ -42,7 +45,7 @@ def prepare(vectors: DataFrame, every: int, id_col: str = "vec_id", vec_col: str
     x = F.transform(F.col(f"`{vec_col}`"), lambda c: c.cast("double"))
     fine = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
     ok = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), x.alias("x")).filter(
-        F.col("x").isNotNull() & (F.size("x") > 0)).filter(fine)
+        F.col("id").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0)).filter(fine)
     v = ok.select("id", F.transform("x", lambda c: F.floor(c * scale)).alias("v"))
     return materialize(v.select(
         F.monotonically_increasing_id().alias("rid"), "id", "v", F.size("v").alias("dim"),
@@ -73,35 +76,26 @@ def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
     return sample[picked]
 
 
-def plan(pivots, radius, queries, counts, nearest, k):
-    """Groups of query cells and, for each (data cell, group), the greatest |x, p| span that may matter.
-
-    Returns the groups [(cells, blocks)] and arrays low, high [data cell, group]: x goes to a group if low <= |x, p| <= high.
-    """
+def reaches(pivots: np.ndarray, radius: np.ndarray, nearest: list, k: int) -> np.ndarray:
+    """For each query cell, a distance within which each of its queries has k candidates, from the cells' summaries."""
     apart = distances(pivots, pivots)
-    cells = [c for c in range(len(pivots)) if queries[c]]
-    bound = {}
-    for c in cells:
-        reach = np.sort(np.concatenate([apart[p, c] + radius[c] + np.asarray(nearest[p]) for p in range(len(pivots)) if counts[p]] or [[]]))
-        bound[c] = reach[k] if len(reach) > k else np.inf  # k + 1 candidates: one may be the query's own row
-    groups, left = [], sorted(cells)
-    while left:
-        seed = max(left, key=lambda c: queries[c])
-        some, size = [], 0
-        for c in sorted(left, key=lambda c: apart[seed, c]):
-            if some and size + queries[c] > QUERY_ROWS:
-                break
-            some.append(c)
-            size += queries[c]
-        left = [c for c in left if c not in some]
-        groups.append((some, max(1, -(-size // QUERY_ROWS))))
-    low = np.empty((len(pivots), len(groups)))
-    high = np.empty_like(low)
-    for g, (some, _) in enumerate(groups):
-        slack = [SLACK * (1 + apart[:, c] + radius[c] + (bound[c] if np.isfinite(bound[c]) else 0)) for c in some]
-        low[:, g] = np.min([apart[:, c] - radius[c] - bound[c] - s for c, s in zip(some, slack)], axis=0)
-        high[:, g] = np.max([apart[:, c] + radius[c] + bound[c] + s for c, s in zip(some, slack)], axis=0)
-    return groups, low, high
+    out = np.full(len(pivots), np.inf)
+    for c in range(len(pivots)):
+        reach = np.sort(np.concatenate([apart[p, c] + radius[c] + np.asarray(d) for p, d in enumerate(nearest) if len(d)] or [[]]))
+        if len(reach) > k:
+            out[c] = reach[k]  # k + 1 candidates: one may be the query's own row
+    return out
+
+
+def cells_in_reach(to_pivots: np.ndarray, own: np.ndarray, reach: np.ndarray, apart: np.ndarray, least: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """[query, cell] whether a cell may hold a candidate within the query's reach; cells without candidates have least > most."""
+    near = to_pivots[np.arange(len(own)), own]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        plane = (to_pivots ** 2 - (near ** 2)[:, None]) / (2 * apart[own])
+    plane[np.arange(len(own)), own] = 0.0
+    bound = np.maximum(np.maximum(to_pivots - most, least - to_pivots), np.nan_to_num(plane, nan=0.0, posinf=0.0))
+    slack = SLACK * (1 + to_pivots + np.where(np.isfinite(reach), reach, 0)[:, None])
+    return (bound <= reach[:, None] + slack) & (least <= most)
 
 
 def best_k(scores: np.ndarray, k: int) -> np.ndarray:
@@ -123,11 +117,10 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return q @ x.T
 
 
-def _solve(k: int):
-    def solve(key, queries, data):
-        dim = key[0].as_py()
+def _solve(k: int, dim: int):
+    def solve(queries, data):
         q, x = matrix(queries["v"], dim), matrix(data["v"], dim)
-        ids, rids = data["id"].to_numpy(), data["rid"].to_numpy()
+        ids, rids = data["id"].to_numpy(zero_copy_only=False), data["rid"].to_numpy()
         order = np.lexsort((rids, ids))
         x, ids, rids = x[order], ids[order], rids[order]
         out = []
@@ -161,8 +154,11 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_i
 
 def _top_k_of(rows: DataFrame, dim: int, k: int) -> DataFrame:
     stats = rows.agg(F.max("norm2").alias("m"), F.count("*").alias("n")).first()
-    norm2, shares = stats["m"], max(1, -(-stats["n"] // DATA_ROWS))
-    sample = rows.groupBy("v").agg(F.first("rid").alias("rid")).orderBy(F.xxhash64("v")).limit(PIVOT_SAMPLE).select("v").toArrow()
+    norm2, parts = stats["m"], max(1, -(-4 * stats["n"] // DATA_ROWS))
+    # distinct vectors with the least hashes: only hashes are shuffled to find them
+    mark = F.xxhash64("v")
+    marks = rows.select(mark.alias("h")).distinct().orderBy("h").limit(PIVOT_SAMPLE).agg(F.max("h")).first()[0]
+    sample = rows.filter(mark <= marks).select("v").dropDuplicates().orderBy(mark).limit(PIVOT_SAMPLE).toArrow()
     pivots = choose_pivots(lifted(matrix(sample["v"], dim), norm2, query=False), PIVOTS)
 
     def assign(batches):
@@ -181,52 +177,79 @@ def _top_k_of(rows: DataFrame, dim: int, k: int) -> DataFrame:
 
     cells = materialize(rows.select("rid", "id", "v", "is_query").mapInArrow(
         assign, "rid long, id long, v array<bigint>, is_query boolean, cell int, dist double"), "voronoi")
-    radius, queries, counts = (np.zeros(len(pivots)) for _ in range(3))
+    radius, least, most, counts = np.zeros(len(pivots)), np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf), np.zeros(len(pivots), np.int64)
     nearest: list = [[] for _ in pivots]
-    for r in cells.groupBy("cell", "is_query").agg(F.count("*").alias("n"), F.max("dist").alias("u")).collect():
+    asked = 0
+    for r in cells.groupBy("cell", "is_query").agg(F.count("*").alias("n"), F.min("dist").alias("l"), F.max("dist").alias("u")).collect():
         if r["is_query"]:
-            radius[r["cell"]], queries[r["cell"]] = r["u"], r["n"]
+            radius[r["cell"]], asked = r["u"], asked + r["n"]
         else:
-            counts[r["cell"]] = r["n"]
+            counts[r["cell"]], least[r["cell"]], most[r["cell"]] = r["n"], r["l"], r["u"]
     # the k + 1 nearest of each cell: first within each of many parts of a cell, so that a full cell is no single task
-    part = F.pmod(F.xxhash64("rid"), F.lit(max(1, 4 * shares)))
+    part = F.pmod(F.xxhash64("rid"), F.lit(parts))
     close = cells.filter("not is_query").select("cell", "dist", part.alias("part"))
     for by in (["cell", "part"], ["cell"]):
         close = close.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("dist"))).filter(F.col("r") <= k + 1)
     for r in close.select("cell", "dist").collect():  # pivots x (k + 1) numbers
         nearest[r["cell"]].append(r["dist"])
-    groups, low, high = plan(pivots, radius, queries.astype(int), counts, nearest, k)
-    group_of = np.zeros(len(pivots), np.int32)
-    for g, (some, _) in enumerate(groups):
-        group_of[some] = g
-    blocks = np.array([b for _, b in groups])
+    known, apart = reaches(pivots, radius, nearest, k), distances(pivots, pivots)
+    shares = np.maximum(1, -(-counts // DATA_ROWS))
+    blocks = max(1, -(-asked // QUERY_ROWS))
+    data, queries = cells.filter("not is_query"), cells.filter("is_query")
+    to = ["cell", "share", "block"]
+    schema = "cell int, share int, block int, rid long, id long, v array<bigint>"
+    found = "rid long, query_id long, vec_id long, score long"
+
+    def dealt(b, place, cell, share, block):
+        """Rows of a batch (rid, id, v first) with where they go."""
+        some = b.take(pa.array(place))
+        return pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(share.astype(np.int32)), pa.array(block.astype(np.int32)),
+                                           *some.columns[:3]], [*to, "rid", "id", "v"])
+
+    def each_share(b, place, cell):
+        """Queries to all shares of a cell."""
+        times = shares[cell]
+        share = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        place, cell = np.repeat(place, times), np.repeat(cell, times)
+        return dealt(b, place, cell, share, b.column(0).to_numpy()[place] % 1_000_003 % blocks)
+
+    def deal_data(batches):
+        for b in batches:
+            cell, rid = b.column(3).to_numpy(), b.column(0).to_numpy()
+            place = np.repeat(np.arange(b.num_rows), blocks)
+            yield dealt(b, place, cell[place], (rid % 999_983 % shares[cell])[place], np.tile(np.arange(blocks), b.num_rows))
+
+    def first_round(batches):
+        for b in batches:
+            yield each_share(b, np.arange(b.num_rows), b.column(3).to_numpy())
 
-    def deal(batches):
+    def second_round(batches):
         for b in batches:
-            rid = b.column(0).to_numpy()
-            query, cell, dist = (b.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5))
-            q, x = np.flatnonzero(query), np.flatnonzero(~query.astype(bool))
-            # queries: their group and block, once per share of the data
-            g = group_of[cell[q]]
-            block = rid[q] % 1_000_003 % blocks[g]
-            sends = [(np.repeat(q, shares), np.repeat(g, shares), np.repeat(block, shares), np.tile(np.arange(shares), len(q)))]
-            # candidates: every group whose bounds they meet, all its blocks
-            for g, n in enumerate(blocks):
-                ok = x[(low[cell[x], g] <= dist[x]) & (dist[x] <= high[cell[x], g])]
-                for block in range(n):
-                    sends.append((ok, np.full(len(ok), g), np.full(len(ok), block), rid[ok] % 999_983 % shares))
-            for place, g, block, share in sends:
-                if len(place):
-                    some = b.take(pa.array(place))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(place), dim, np.int32)), pa.array(g.astype(np.int32)),
-                         pa.array(block.astype(np.int32)), pa.array(share.astype(np.int32)), some.column(3),
-                         some.column(0), some.column(1), some.column(2)],
-                        ["dim", "g", "block", "share", "is_query", "rid", "id", "v"])
-
-    dealt = cells.mapInArrow(deal, "dim int, g int, block int, share int, is_query boolean, rid long, id long, v array<bigint>")
-    to = ["dim", "g", "block", "share"]
-    best = dealt.filter("is_query").groupBy(*to).cogroup(dealt.filter("not is_query").groupBy(*to)).applyInArrow(
-        _solve(k), "rid long, query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("rid").orderBy(F.col("score").desc(), "vec_id"))
-    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            if not b.num_rows:
+                continue
+            v, own = matrix(b.column(2), dim), b.column(3).to_numpy()
+            x = lifted(v, norm2, True)
+            # the k-th score as a distance; a query with fewer than k candidates in its cell has none
+            kth = b.column(4).to_numpy(zero_copy_only=False).astype(float)
+            square = (x * x).sum(axis=1) + norm2 - 2 * kth
+            reach = np.fmin(np.sqrt(np.maximum(square, 0)), known[own])
+            go = cells_in_reach(distances(x, pivots), own, reach, apart, least, most)
+            go[np.arange(len(own)), own] = False
+            place, cell = np.nonzero(go)
+            for a in range(0, len(place), 4096):
+                yield each_share(b, place[a:a + 4096], cell[a:a + 4096])
+
+    def solved(asked):
+        there = data.select("rid", "id", "v", "cell").mapInArrow(deal_data, schema)
+        return asked.groupBy(*to).cogroup(there.groupBy(*to)).applyInArrow(_solve(k, dim), found)
+
+    by_score = Window.partitionBy("rid").orderBy(F.col("score").desc(), "vec_id")
+
+    def best(df):
+        return df.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)
+
+    one = materialize(best(solved(queries.select("rid", "id", "v", "cell").mapInArrow(first_round, schema))).drop("rank"), "round-one")
+    kth = one.groupBy("rid").agg(F.min("score").alias("kth"), F.count("*").alias("n")).filter(F.col("n") == k).select("rid", "kth")
+    reach = queries.join(kth, "rid", "left").select("rid", "id", "v", "cell", F.col("kth").cast("double"))
+    two = solved(reach.mapInArrow(second_round, schema))
+    return best(one.unionByName(two)).select("query_id", "rank", "vec_id", "score")
