@@ -63,7 +63,8 @@ def split_url(url: str | None) -> tuple[str, str]:
 def token_counts(urls: DataFrame, tokens: Iterable[str], url_col: str = "url") -> dict[str, int]:
     """How many times each of the rules' tokens occurs in all URLs (result bounded by the rules)."""
     words = urls.select(F.explode(F.split(F.lower(F.coalesce(F.col(url_col), F.lit(""))), "[^a-z0-9]+")).alias("w"))
-    counted = words.filter(F.col("w").isin(sorted(set(tokens)))).groupBy("w").count()
+    wanted = urls.sparkSession.createDataFrame([(t,) for t in sorted(set(tokens))], "w string")
+    counted = words.join(F.broadcast(wanted), "w", "left_semi").groupBy("w").count()  # MAX_RULES rules hold the tokens
     return {r["w"]: r["count"] for r in counted.collect()}
 
 
@@ -88,7 +89,13 @@ def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col:
     kind = narrow.schema["id"].dataType.simpleString()
 
     def scan(batches):
-        compiled = [re.compile(r.regex) for r in rules]
+        compiled: dict[int, re.Pattern] = {}  # of the rules that have been fetched
+
+        def regex(i):
+            if i not in compiled:
+                compiled[i] = re.compile(rules[i].regex)
+            return compiled[i]
+
         always = index.get("", [])
         for b in batches:
             out = []
@@ -102,9 +109,9 @@ def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col:
                 for i in sorted(candidates):
                     r = rules[i]
                     if r.pattern:
-                        if free is None and compiled[i].search(whole):
+                        if free is None and regex(i).search(whole):
                             free = r
-                    elif (base is None or len(r.name) > len(base.name)) and compiled[i].match(whole):
+                    elif (base is None or len(r.name) > len(base.name)) and regex(i).match(whole):
                         base = r
                 won = base or free
                 out.append((host, path, base and base.name, won.verdict if won else "allow",
