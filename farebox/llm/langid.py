@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ ORDER, BITS = 3, 15
 TRAIN_ROWS, MAX_LANGS = 40_000, 512
 SMOOTHING = 0.5
 UNKNOWN = "und"
-#: Code points scored at a time.
+#: Code points scored at a time, while a score takes at most 16 languages; fewer with more.
 STEP = 1 << 19
 
 
@@ -51,22 +52,23 @@ def features(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Blocks (documents, first position of each, code points) of about ``STEP`` points.
+def pieces(texts: list[str | None], langs: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks (documents, first position of each, code points) of about ``STEP`` points, fewer beyond 16 languages.
 
     Each piece starts with the ORDER - 1 points before it (zeros at a text's start), so that a long text can be
     scored in several pieces and no n-gram is lost or counted twice.
     """
+    step = max(1, 16 * STEP // max(16, langs))
     docs, parts, size = [], [], 0
     for d, text in enumerate(texts):
         codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32) if text else np.zeros(0, np.uint32)
         codes = np.concatenate([np.zeros(ORDER - 1, np.uint32), codes])
-        for a in range(0, len(codes) - ORDER + 1, STEP):
-            part = codes[a:a + STEP + ORDER - 1]
+        for a in range(0, len(codes) - ORDER + 1, step):
+            part = codes[a:a + step + ORDER - 1]
             docs.append(d)
             parts.append(part)
             size += len(part)
-            if size >= STEP:
+            if size >= step:
                 yield _block(docs, parts)
                 docs, parts, size = [], [], 0
     if docs:
@@ -87,13 +89,14 @@ def _own(starts: np.ndarray, length: int) -> np.ndarray:
 
 
 def count_features(texts: list[str], labels: list[int], langs: int) -> np.ndarray:
-    counts = np.zeros((langs, ORDER << BITS), np.int64)
+    counts = np.zeros((langs, ORDER << BITS), np.int32)
     labels = np.array(labels)
     for docs, starts, codes in pieces(texts):
         f, own = features(codes), _own(starts, len(codes))
         lang = np.repeat(labels[docs], np.diff(np.append(starts, len(codes))))[:len(own)][own]
         for row in f:
-            counts += np.bincount(lang * counts.shape[1] + row[own], minlength=counts.size).reshape(counts.shape)
+            place, times = np.unique(lang * counts.shape[1] + row[own], return_counts=True)
+            counts.reshape(-1)[place] += times.astype(np.int32)
     return counts
 
 
@@ -130,12 +133,12 @@ def train(docs: DataFrame, label_col: str = "lang", text_col: str = "text", rows
         place = {x: i for i, x in enumerate(langs)}
 
         def count(batches):
-            total = np.zeros(counts.shape, np.int64)
+            total = np.zeros(counts.shape, np.int32)
             for b in batches:
                 total += count_features(b.column(1).to_pylist(), [place[x] for x in b.column(0).to_pylist()], len(langs))
             lang, bucket = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(lang.astype(np.int32)), pa.array(bucket.astype(np.int32)),
-                                              pa.array(total[lang, bucket])], ["l", "b", "n"])
+                                              pa.array(total[lang, bucket].astype(np.int64))], ["l", "b", "n"])
 
         got = known.mapInArrow(count, "l int, b int, n bigint").groupBy("l", "b").agg(F.sum("n").alias("n")).toArrow()
         counts[got["l"].to_numpy(), got["b"].to_numpy()] = got["n"].to_numpy()  # languages x buckets at most
@@ -147,7 +150,7 @@ def train(docs: DataFrame, label_col: str = "lang", text_col: str = "text", rows
 def score_batch(texts: list[str | None], logp: np.ndarray, prior: np.ndarray) -> np.ndarray:
     """(documents, languages) log joint probabilities."""
     total = np.tile(prior, (len(texts), 1))
-    for docs, starts, codes in pieces(texts):
+    for docs, starts, codes in pieces(texts, len(prior)):
         f, own = features(codes), _own(starts, len(codes))
         each = np.zeros((len(codes), len(prior)), np.float32)
         for row in f:
@@ -158,6 +161,31 @@ def score_batch(texts: list[str | None], logp: np.ndarray, prior: np.ndarray) ->
     return total
 
 
+def _named(texts: list[str | None], names: list[str], matrix: np.ndarray, start: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Language and posterior probability of each text."""
+    texts = [t if has_letter(t) else None for t in texts]
+    if not names:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts))
+    joint = score_batch(texts, matrix, start)
+    best = joint.argmax(axis=1)
+    top = 1 / np.exp(joint - joint.max(axis=1, keepdims=True)).sum(axis=1)
+    pred = [UNKNOWN if t is None else names[k] for t, k in zip(texts, best)]
+    return pred, np.where([t is None for t in texts], 0.0, top)
+
+
+def accepted(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows that have a language: a letter, and a prediction of at least ``least_score``. Only the text goes to Python."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def keep(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for b in batches:
+            pred, score = _named(b.tolist(), *sent.value)
+            yield pd.Series([p != UNKNOWN and x >= least_score for p, x in zip(pred, score)], dtype=bool)
+
+    return docs.filter(keep(F.col(f"`{text_col}`")))
+
+
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], keys: dict[str, Column],
             text_col: str = "text") -> DataFrame:
     """The key columns, lang_pred and score (posterior probability of lang_pred) of every row; no shuffle."""
@@ -169,14 +197,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], ke
     def scan(batches):
         names, matrix, start = sent.value
         for b in batches:
-            texts = [t if has_letter(t) else None for t in b.column(0).to_pylist()]
-            pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            if names:
-                joint = score_batch(texts, matrix, start)
-                best = joint.argmax(axis=1)
-                top = 1 / np.exp(joint - joint.max(axis=1, keepdims=True)).sum(axis=1)
-                pred = [UNKNOWN if t is None else names[k] for t, k in zip(texts, best)]
-                score = np.where([t is None for t in texts], 0.0, top)
+            pred, score = _named(b.column(0).to_pylist(), names, matrix, start)
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(pred, pa.string()), pa.array(score)],
                                              [*b.schema.names[1:], "lang_pred", "score"])
 

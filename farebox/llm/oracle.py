@@ -56,13 +56,22 @@ WITH c AS (
 esc AS (
   SELECT *, length(text) + length(regexp_replace(text, '[^\\\\<#]', '', 'g'))
             + length(role) + length(regexp_replace(role, '[^\\\\<#:]', '', 'g'))
-            + length('### ') + 2 + length('</turn>') + 1 AS chars FROM c)
-SELECT conv_id, count(*) AS n_turns,
+            + length('### ') + 2 + length('</turn>') + 1 AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS prev
+  FROM c),
+run AS (
+  SELECT conv_id, min(pos) FILTER (WHERE NOT coalesce((prev IS NULL AND role IN ('system', 'user')) OR (prev = 'system' AND role = 'user')
+                                     OR (prev = 'user' AND role = 'assistant') OR (prev = 'assistant' AND role = 'user'), FALSE)) AS bad,
+         count(*) AS n, arg_max(role, pos) AS last_role
+  FROM esc GROUP BY conv_id),
+ends AS (SELECT conv_id, coalesce(bad, CASE WHEN last_role NOT IN ('user', 'assistant') THEN n END) AS refused_at FROM run)
+SELECT conv_id, any_value(refused_at) IS NULL AS valid, any_value(refused_at) AS refused_at, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(chars) AS BIGINT) AS formatted_chars
-FROM esc GROUP BY conv_id
+FROM esc JOIN ends USING (conv_id) GROUP BY conv_id
 """
 
 ORACLE["op3_decontamination"] = r"""

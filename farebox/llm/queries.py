@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.llm import chat, decontam, langid, lm, milquality, mixing, pii, sharding, simhash, topk, trie, urlfilter, whitening
@@ -67,9 +68,9 @@ def old_shards():
     return F.crc32(F.coalesce("source", F.lit("")).cast("binary")) % OLD_SHARDS
 
 
-def placement(docs: DataFrame) -> DataFrame:
-    """The placement of every row, whose shards are then written below the shared scratch folder."""
-    placed = materialize(sharding.reshard(docs, old_shards(), SHARDS), "placement")
+def placement(docs: DataFrame, order: tuple[Column, Column] | None = None) -> DataFrame:
+    """The placement of every row, whose shards are then written below the shared scratch folder, sorted by slot."""
+    placed = materialize(sharding.reshard(docs, old_shards(), SHARDS, order=order), "placement")
     path = scratch_path(docs.sparkSession, "shards")
     affected = sharding.rewrite_affected(docs, placed, path)
     untouched = [s for s in range(SHARDS) if s not in affected]
@@ -79,6 +80,20 @@ def placement(docs: DataFrame) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "old_shard", "moved")
 
 
+#: Rows of a file that are numbered together.
+FILE_BLOCK = 4096
+
+
+def file_order(docs: DataFrame) -> tuple[Column, Column] | None:
+    """The order in which the rows were written, if ``docs`` is read from Spark's part files; else None."""
+    try:
+        docs.select("_metadata.file_name", "_metadata.row_index")
+    except AnalysisException:
+        return None
+    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).try_cast("int")
+    return F.struct(part.alias("part"), F.floor(F.col("_metadata.row_index") / FILE_BLOCK).alias("block")), F.col("_metadata.row_index")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placement(table(spark, sf_dir, "documents"))
 
@@ -119,7 +134,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""),
                256).alias("turns_sha256"),
         F.char_length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
-        F.char_length("formatted").cast("long").alias("formatted_chars"))
+        F.char_length("formatted").cast("long").alias("formatted_chars"), "valid", F.col("refused_at").cast("long").alias("refused_at"))
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -179,6 +179,30 @@ def test_trie_join_finds_every_link(spark, monkeypatch, step, leaf, full):
     assert pairs == {(i, j) for i, j in itertools.combinations(range(len(fps)), 2) if (fps[i] ^ fps[j]).bit_count() <= 2}
 
 
+def test_leaves_are_cut_below_sixteen_bits(spark, monkeypatch):
+    """All fingerprints under one prefix: no leaf holds more than the bound, and no link is lost."""
+    monkeypatch.setattr(simhash, "FULL_LEAF", 25)
+    monkeypatch.setattr(simhash, "LEAST_LEAF", 25)
+    r = random.Random(9)
+    fps = sorted({0xABCD << 48 | x % 2 ** 20 for x in clustered(400)} | {0xABCD << 48 | r.getrandbits(48) for _ in range(200)})
+    df = spark.createDataFrame([(x - (x >> 63 << 64),) for x in fps], "fp long")
+    leaves = simhash.leaves_of(df)
+    inside = [sum(x >> (64 - bits) == p for x in fps) for bits, p in leaves]
+    assert sum(inside) == len(fps) and max(inside) <= 25 and max(bits for bits, _ in leaves) > 16
+    assert [p << (64 - bits) for bits, p in leaves] == sorted(p << (64 - bits) for bits, p in leaves)
+    got = {x["u"]: x["root"] for x in simhash.components(simhash.links(df)).collect()}
+    root = [got.get(x - (x >> 63 << 64), x - (x >> 63 << 64)) for x in fps]
+    classes = plain_components(fps)
+    for i, j in itertools.combinations(range(len(fps)), 2):
+        assert (root[i] == root[j]) == (classes[i] == classes[j])
+
+
+def test_dropped_rows_by_shuffle_too(crowded, monkeypatch):
+    few = sorted(str(r) for r in simhash.drop_near_duplicates(crowded).collect())
+    monkeypatch.setattr(simhash, "BROADCAST_KEYS", 0)
+    assert sorted(str(r) for r in simhash.drop_near_duplicates(crowded).collect()) == few
+
+
 def test_leaf_pairs_lose_no_pair():
     counts = Counter(x >> 48 for x in clustered(3000, 9))
     leaves = simhash.cut(counts, 60)
@@ -594,13 +618,27 @@ def test_top_k_equals_all_pairs(spark, monkeypatch, sizes):
     assert topk.top_k(df.limit(0)).collect() == []
 
 
-def test_bounds_prune():
+def test_bounds_prune_and_lose_nothing():
+    """On clustered data most cells are out of reach; no cell with a true neighbour is."""
     r = np.random.default_rng(0)
-    centres = r.normal(0, 100, (6, 4))
-    pivots = centres
-    radius = np.full(6, 2.0)
-    _, low, high = topk.plan(pivots, radius, np.full(6, 600), np.full(6, 100), [[0.1] * 21] * 6, 20)
-    assert (low > 2).any()  # some cells are sent nowhere near some groups
+    centres = r.normal(0, 100, (12, 4))
+    x = np.concatenate([c + r.normal(0, 3, (80, 4)) for c in centres])
+    q = x[::7] + 0.25
+    pivots = topk.choose_pivots(x, 12)
+    to_x, to_q = topk.distances(x, pivots), topk.distances(q, pivots)
+    cell, own = to_x.argmin(axis=1), to_q.argmin(axis=1)
+    span = [to_x[cell == p, p] for p in range(12)]
+    least, most = np.array([d.min() for d in span]), np.array([d.max() for d in span])
+    apart = topk.distances(q, x)
+    radius = np.array([to_q[own == p, p].max(initial=0) for p in range(12)])
+    known = topk.reaches(pivots, radius, [np.sort(d)[:6] for d in span], 5)
+    kth = np.sort(apart, axis=1)[:, 4]
+    assert (known[own] >= kth).all()
+    for reach in (known[own], kth):
+        go = topk.cells_in_reach(to_q, own, reach, topk.distances(pivots, pivots), least, most)
+        for i, p in zip(*np.nonzero(~go)):
+            assert apart[i, cell == p].min() >= kth[i]
+    assert go.mean() < 0.3
 
 
 # -- pipeline --------------------------------------------------------------------------------------
@@ -634,6 +672,29 @@ def test_pipeline_equals_its_parts(spark):
     assert ids == Counter(r["doc_id"] for r in four.collect())
 
 
+def test_shards_keep_the_order_of_the_mixture(spark, docs, tmp_path):
+    import corpus_pipeline as cp
+    from farebox.llm.common import materialize
+
+    written = materialize(cp.mix_sources(spark, docs.repartition(5), ""), "mixture")
+    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int")
+    order = [r["doc_id"] for r in written.select("doc_id", part.alias("p"), F.col("_metadata.row_index").alias("i")).orderBy("p", "i").collect()]
+    mixed = mixing.mix(docs)
+    want = mixed.orderBy(mixed.columns[-6], mixed.columns[-1]).select("source").collect()
+    source = {r["doc_id"]: r["source"] for r in docs.collect()}
+    assert [source[i] for i in order] == [r["source"] for r in want]
+    rank = defaultdict(list)
+    for k, i in enumerate(order):
+        rank[i].append(k)
+    got = cp.shard(spark, written, "").collect()
+    assert len(got) == len(order)
+    for s in {r["shard"] for r in got}:
+        own = [r["doc_id"] for r in sorted((r for r in got if r["shard"] == s), key=lambda r: r["slot"])]
+        at = -1  # the rows of a shard can be found in the mixture one after another
+        for i in own:
+            at = min(k for k in rank[i] if k > at)
+
+
 def test_pipeline_on_crowded_columns(spark, crowded):
     import corpus_pipeline as cp
 
