@@ -19,9 +19,7 @@ LEAST_SCORE = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that have a language: some letter, and a prediction of at least LEAST_SCORE."""
     model = langid.train(docs.filter(doc_bucket(F.col("doc_id"), queries.LEARN_LANG) != 1))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    found = langid.predict(docs, model, {"row": row})
-    return found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    return langid.accepted(docs, model, LEAST_SCORE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,13 +33,18 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document at least once; those of sources below their target weight again in later passes."""
-    return mixing.mix(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Every document at least once; those of sources below their target weight again in later passes.
+
+    The rows are written in the order of the mixture, which is that of the files and of the rows in them.
+    """
+    mixed = mixing.mix(docs)
+    slot, place = mixed.columns[-6], mixed.columns[-1]
+    return mixed.repartitionByRange(slot, place).sortWithinPartitions(slot, place).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The placement of every row of the mixture."""
-    return queries.placement(docs)
+    """The placement of every row of the mixture; each shard keeps the mixture's order."""
+    return queries.placement(docs, queries.file_order(docs))
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontaminate", decontaminate),
