@@ -5,8 +5,9 @@ in timestamp unit (TIMESTAMP(NANOS) vs MICROS) and in column-name case
 (``airport_fee`` / ``Airport_fee``), and some columns exist in one month
 only. One scan over files of different physical types fails, so:
 
-1. files are grouped by their footer schema and each group is ONE scan
-   (a few scans instead of one per month, so no deep union);
+1. all part files of all months are grouped by the schema in their own footers, so drift
+   inside a month is found too, and each group is ONE scan (a few scans instead of one per
+   month, so no deep union);
 2. each group casts drifting columns to their canonical (widest) type;
 3. groups are unioned by name (case-insensitive, missing columns null);
 4. ``*datetime*`` columns that arrived as bigint nanoseconds are turned
@@ -89,20 +90,55 @@ def _with_lineage(df: DataFrame) -> DataFrame:
     )
 
 
-def group_by_schema(spark: SparkSession, paths: list[str], threads: int = 16) -> list[list[str]]:
-    """Group landing paths by their footer schema.
-
-    Footer reads are driver-side metadata calls; a small thread pool
-    overlaps their latency (hundreds of monthly files stay a few seconds).
-    Group order follows the first path of each group.
+def part_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files of a landing month: the file itself, or all files below the folder."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    if not fs.getFileStatus(root).isDirectory():
+        return [path]
+    found, files = fs.listFiles(root, True), []
+    while found.hasNext():
+        file = found.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            files.append(file.toString())
+    return sorted(files)
+
+
+def footer_schema(spark: SparkSession, file: str) -> str:
+    """The schema that a Parquet file's footer states; no row is read and no Spark job runs."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(file), conf)
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(at)
+    try:
+        return reader.getFooter().getFileMetaData().getSchema().toString().split("\n", 1)[1]  # without the writer's name for it
+    finally:
+        reader.close()
+
+
+def group_by_schema(spark: SparkSession, paths: list[str], threads: int = 32) -> list[list[str]]:
+    """Group landing paths by the physical schema of their files.
+
+    Every footer of every part file is read, overlapped by a thread pool on the driver, so
+    no Spark job is started however many months there are. A month whose files agree
+    stays one path; one whose files differ is given file by file. Group order follows the
+    first path of each group.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as pool:
-        keys = list(pool.map(lambda p: spark.read.parquet(p).schema.json(), paths))
+        files = list(pool.map(lambda p: part_files(spark, p), paths))
+        flat = [(k, f) for k, own in enumerate(files) for f in own]
+        schemas = list(pool.map(lambda x: footer_schema(spark, x[1]), flat))
+    kinds: dict[int, set[str]] = {}
+    for (k, _), schema in zip(flat, schemas):
+        kinds.setdefault(k, set()).add(schema)
     groups: dict[str, list[str]] = {}
-    for p, key in zip(paths, keys):
-        groups.setdefault(key, []).append(p)
+    for (k, file), schema in zip(flat, schemas):
+        own = groups.setdefault(schema, [])
+        path = paths[k] if len(kinds[k]) == 1 else file
+        if not own or own[-1] != path:
+            own.append(path)
     return list(groups.values())
 
 

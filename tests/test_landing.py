@@ -91,3 +91,33 @@ def test_group_by_schema_groups_identical_files(spark, tmp_path):
         str(tmp_path / "yellow_tripdata_2023-03.parquet"))
     paths = [ld.landing_path(str(tmp_path), m) for m in ("2023-01", "2023-02", "2023-03")]
     assert [len(g) for g in ld.group_by_schema(spark, paths)] == [2, 1]
+
+
+def test_a_month_with_two_physical_schemas_reads_whole(spark, landing_dir):
+    """Part files of one month differ in width, unit and columns; each is read by its own footer."""
+    import os
+
+    month = f"{landing_dir}/yellow_tripdata_2023-05.parquet"
+    os.mkdir(month)
+    for i, name in enumerate(("2023-03", "2023-04", "2023-03")):
+        table = pq.read_table(f"{landing_dir}/yellow_tripdata_{name}.parquet")
+        pq.write_table(table, f"{month}/part-0000{i}.parquet", version="2.6")
+    months = ["2023-03", "2023-04", "2023-05"]
+    groups = ld.group_by_schema(spark, [ld.landing_path(landing_dir, m) for m in months])
+    assert sorted(len(g) for g in groups) == [2, 3]
+    rows = ld.read_landing(spark, landing_dir, months).collect()
+    assert sorted((r._source_month, r.VendorID, r.passenger_count) for r in rows if r.passenger_count) == sorted(
+        [("2023-03", 1, 1.0), ("2023-04", 6, 2.0), ("2023-05", 1, 1.0), ("2023-05", 1, 1.0), ("2023-05", 6, 2.0)])
+    assert len(rows) == 8 and {r.airport_fee for r in rows} == {0.0, 1.25, 1.75}
+
+
+def test_footers_are_read_without_a_spark_read(spark, landing_dir, monkeypatch):
+    """However many months: none starts a schema inference."""
+    import shutil
+
+    paths = []
+    for i in range(24):
+        paths.append(f"{landing_dir}/yellow_tripdata_20{10 + i}-01.parquet")
+        shutil.copy(f"{landing_dir}/yellow_tripdata_2023-0{3 + i % 2}.parquet", paths[-1])
+    monkeypatch.setattr(type(spark), "read", property(lambda self: pytest.fail("a Spark read")))
+    assert [len(g) for g in ld.group_by_schema(spark, paths)] == [12, 12]
