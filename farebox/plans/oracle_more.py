@@ -332,6 +332,17 @@ SELECT TRUE AS p50_within, TRUE AS p90_within, TRUE AS p99_within, TRUE AS p999_
 SELECT trip_month AS mes, ROUND(AVG(total_amount), 2) AS media, TRUE AS median_within FROM silver GROUP BY trip_month""",
         "silver_write": with_("silver") + "SELECT * FROM silver",
         "silver_write_path": with_("silver") + "SELECT * FROM silver",
+        "catalog_drop_keeps_data": with_("silver") + "SELECT * FROM silver",
+        "silver_head": with_("silver") + """
+SELECT * FROM silver
+ORDER BY tpep_pickup_datetime, tpep_dropoff_datetime, VendorID, total_amount, passenger_count LIMIT 20""",
+        "gate_refuses": with_("silver", extra=[METRICS.format(src="typed")]) + """
+SELECT concat_ws(',', CASE WHEN dropoff_not_after > 0 THEN 'dropoff_apos_pickup' END,
+                 CASE WHEN passengers_not_positive > 0 THEN 'passenger_count_positivo' END,
+                 CASE WHEN missing_VendorID + missing_passenger_count + missing_total_amount + missing_tpep_pickup_datetime
+                           + missing_tpep_dropoff_datetime > 0 THEN 'sem_nulos_em_obrigatorias' END,
+                 CASE WHEN amount_not_positive > 0 THEN 'total_amount_positivo' END) AS refused,
+       (SELECT COUNT(*) FROM silver) AS linhas FROM metrics""",
         "gold_write_aggregates": with_("q1") + "SELECT * FROM q1",
         "gold_trips": with_("silver") + """
 SELECT VendorID, passenger_count, total_amount, tpep_pickup_datetime, tpep_dropoff_datetime,

@@ -23,6 +23,7 @@ from farebox.operators import documents as docs
 from farebox.operators import merge as mg
 from farebox.operators import quality as dq
 from farebox.operators import snapshots as snap
+from farebox.operators.cleaning import derive_month_hour
 from farebox.plans import jobs
 from farebox.plans.inputs import W, silver, typed
 from farebox.session import checkpoint_root, scratch_path
@@ -398,6 +399,34 @@ def _registered_silver(spark, sf_dir) -> str:
     return f"{DATABASE}.silver_trips"
 
 
+def _gate_refuses(spark, sf_dir):
+    """Typed rows that break the rules are refused; the published table keeps the rows of the run before."""
+    root = scratch_path(spark, "gate")
+    name = root.rsplit("/", 1)[1].replace("-", "_")
+    jobs.publish_silver(silver(spark, sf_dir), root, DATABASE, name)
+    refused = []
+    try:
+        jobs.publish_silver(derive_month_hour(typed(spark, sf_dir)), root, DATABASE, name)
+    except dq.DataQualityError as e:
+        refused = [x.split(":")[0] for x in str(e).split("; ")]
+    return spark.table(f"{DATABASE}.{name}").agg(F.count(F.lit(1)).alias("linhas")).select(
+        F.lit(",".join(sorted(refused))).alias("refused"), "linhas")
+
+
+def _drop_keeps_data(spark, sf_dir):
+    """The rows below a table's folder after the table has been dropped."""
+    root = scratch_path(spark, "dropped")
+    name = root.rsplit("/", 1)[1].replace("-", "_")
+    path = jobs.publish_silver(silver(spark, sf_dir), root, DATABASE, name)
+    spark.sql(f"DROP TABLE {DATABASE}.{name}")
+    return spark.read.parquet(path)
+
+
+def _silver_head(spark, sf_dir):
+    """The first rows in a total order (a top-k, never a full sort)."""
+    return silver(spark, sf_dir).orderBy(C.pickup, C.dropoff, C.vendor, C.amount, C.passengers).limit(20)
+
+
 def _catalog_sql_scan(spark, sf_dir):
     qualified = _registered_silver(spark, sf_dir)
     return spark.sql(agg.MONTHLY_REVENUE_SQL.format(
@@ -467,6 +496,9 @@ def sink_queries():
         "layers_end_to_end": _layers_end_to_end,
         "silver_write": _silver_write,
         "silver_write_path": _silver_write_path,
+        "gate_refuses": _gate_refuses,
+        "catalog_drop_keeps_data": _drop_keeps_data,
+        "silver_head": _silver_head,
         "gold_write_aggregates": lambda s, d: _gold(s, d, "agg_receita_mensal"),
         "gold_trips": lambda s, d: _gold(s, d, "trips"),
         "bronze_backfill_month": _bronze_backfill,
