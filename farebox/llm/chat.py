@@ -11,7 +11,8 @@ empty. Rows with a null conversation id form one conversation. A conversation
 that the machine rejects is formatted all the same, with ``valid`` false and the
 place of the first refused turn in ``refused_at`` (0-based; one past the last
 turn if it ends where it may not; null if valid). A conversation is one output
-row, so it must fit in a task; nothing else is gathered.
+row, so it must fit in a task; nothing else is gathered. An empty table gives no
+conversation; columns beside conv_id, turn, role and text are not looked at.
 """
 
 from __future__ import annotations

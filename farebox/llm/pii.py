@@ -7,7 +7,9 @@ are kept only when checksum and context lift them to ``MIN_SCORE``.
 
 Null text counts as empty (no spans). Offsets are code points, end exclusive.
 Patterns are possessive and anchored, so time is linear in the text length
-however long a run of digits or letters is. Repeated rows each give a row.
+however long a run of digits or letters is. Repeated rows each give a row, an empty
+table gives none. ``find_pii`` looks at the id and the text alone, ``redact`` keeps all
+other columns as they are, whatever their names.
 """
 
 from __future__ import annotations
