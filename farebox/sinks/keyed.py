@@ -9,12 +9,14 @@ a month half written; months are switched one after another.
 The rows carry the columns of the ``sequence`` and a tombstone flag, so whether a row is
 newer is known across batches, deletions included; ``read`` hides them. One writer at a
 time. A run that dies anywhere is simply repeated: months it had switched stay as they
-are, and so does their part of the feed.
+are, and so does their part of the feed. Where the catalog has forgotten the table (a
+session without a metastore ends), ``attach`` finds its months and changes again.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -136,7 +138,7 @@ def merge(spark: SparkSession, t: KeyedTable, batch: DataFrame, expectations=Non
 
 
 def _publish(spark, t: KeyedTable, staged: DataFrame, parts: list, tie_break, operation) -> dict[str, int]:
-    _create(spark, t, staged)
+    attach(spark, t, staged)
     version = (history(spark, t).agg(F.max("version")).first()[0])
     version = 0 if version is None else version + 1
     columns = spark.table(t.table).columns
@@ -145,7 +147,7 @@ def _publish(spark, t: KeyedTable, staged: DataFrame, parts: list, tie_break, op
     met = mg.met_by_sequence(target, staged, list(t.keys), list(t.sequence), tie_break, t.buckets)
     counts = Observation()
     rows = mg.outcome_rows(met.observe(counts, *mg.sequence_counts(values)), columns, values)
-    run = f"{t.root.rstrip('/')}/runs/v{version:09d}-{uuid.uuid4().hex[:12]}"
+    run = f"{t.root.rstrip('/')}/runs/v{version:09d}-{time.time_ns():020d}-{uuid.uuid4().hex[:12]}"
     as_written = f"{ident(t.database)}.{ident(f'{t.name}_{run[-12:]}')}"
     try:
         (rows.write.partitionBy(mg.KIND, t.partition).bucketBy(t.buckets, *t.keys).sortBy(*t.keys)
@@ -172,6 +174,28 @@ def _publish(spark, t: KeyedTable, staged: DataFrame, parts: list, tie_break, op
     return metrics
 
 
+def attach(spark: SparkSession, t: KeyedTable, rows: DataFrame) -> None:
+    """Create the catalog tables if they are not there, with the months and changes of all recorded merges.
+
+    ``rows`` has the columns of a batch (those of ``t.sequence`` and the tombstone flag included). A month is read
+    from the newest folder that a recorded merge has written for it.
+    """
+    new = not spark.catalog.tableExists(t.table) if spark.catalog.databaseExists(t.database) else True
+    _create(spark, t, rows)
+    last = history(spark, t).agg(F.max("version")).first()[0] if new else None
+    if last is None:
+        return
+    newest: dict[tuple, str] = {}
+    for kind in ("table", "change"):
+        for folder in folders(spark, f"{t.root.rstrip('/')}/runs/*/{mg.KIND}={kind}/*"):  # by version, then time
+            version, part = int(folder.split("/")[-3][1:10]), folder.rsplit("=", 1)[1]
+            if version <= last:
+                newest[kind, None if kind == "table" else version, part] = folder
+    for (kind, version, part), folder in newest.items():
+        month = f"{ident(t.partition)} = {part}"
+        _point(spark, t.table if kind == "table" else t.feed, month if kind == "table" else f"{mg.VERSION} = {version}, {month}", folder)
+
+
 def _create(spark: SparkSession, t: KeyedTable, rows: DataFrame) -> None:
     ensure_database(spark, t.database)
     kinds = dict(rows.dtypes)

@@ -61,16 +61,19 @@ def write_silver(
     Where readers must never see that, use ``jobs.silver_publish_job``.
     """
     from farebox.operators.quality import gate, observe_checks, observed_results
-    from farebox.session import scratch_path
+    from farebox.session import remove_path, scratch_path
 
     spark = silver.sparkSession
     stage = scratch_path(spark, "silver-stage")
-    checked, obs = observe_checks(silver, expectations, name=stage.rsplit("/", 1)[-1], cols=cols)
-    write_partitioned(checked, stage, [cols.month], fmt=fmt)
-    results = gate(observed_results(obs))
-    staged = spark.read.format(fmt).schema(silver.schema).load(stage)
-    write_partitioned(staged.select(*silver.columns), path, [cols.month], fmt=fmt, dynamic=False)
-    return results
+    try:
+        checked, obs = observe_checks(silver, expectations, name=stage.rsplit("/", 1)[-1], cols=cols)
+        write_partitioned(checked, stage, [cols.month], fmt=fmt)
+        results = gate(observed_results(obs))
+        staged = spark.read.format(fmt).schema(silver.schema).load(stage)
+        write_partitioned(staged.select(*silver.columns), path, [cols.month], fmt=fmt, dynamic=False)
+        return results
+    finally:
+        remove_path(spark, stage)
 
 
 def write_gold(silver: DataFrame, gold_root: str, month: int = 5,

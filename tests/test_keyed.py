@@ -222,6 +222,21 @@ def test_a_run_that_died_before_its_history_is_repeated(spark, make, monkeypatch
     assert amounts(keyed.as_of_version(spark, t, 0)) == amounts(spark.createDataFrame(BASE, SCHEMA))
 
 
+def test_a_table_that_the_catalog_forgot_is_found_again(spark, make):
+    t, merge = make()
+    merge(BASE)
+    merge([trip(2, 7.0, 1, 1), trip(1, 1.0, 2, 1, True)])
+    merge([trip(5, 8.0, 3, 2)])
+    want, changes = amounts(keyed.read(spark, t)), sorted(map(str, keyed.changes(spark, t).collect()))
+    for name in (t.table, t.feed):
+        spark.sql(f"DROP TABLE {name}")
+    m = merge([trip(2, 6.0, 1, 0), trip(9, 4.0, 1, 3)])  # older than what the forgotten table has
+    assert (m["inserted"], m["stale"]) == (1, 1)
+    assert amounts(keyed.read(spark, t)) == sorted([*want, (9, 1, 4.0)])
+    assert sorted(map(str, keyed.changes(spark, t, until=2).collect())) == changes
+    assert [r.version for r in keyed.history(spark, t).orderBy("version").collect()] == [0, 1, 2, 3]
+
+
 def test_many_batches_leave_a_bounded_number_of_folders(spark, make):
     t, merge = make(keep_changes=3)
     scratch = folders(spark, f"{t.root.rsplit('/', 1)[0]}/*")
