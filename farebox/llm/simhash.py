@@ -6,7 +6,8 @@ seed 42; a bit is set if it is set in more than half of the hashes. No words: ze
 Null text has no words. Fingerprints link at ``bits`` or fewer differing bits,
 empty texts like any other.
 
-The distinct fingerprints form a binary trie. Its top (a count per 16-bit prefix)
+The distinct fingerprints form a binary trie. Its top (a count per 16-bit prefix, and
+below prefixes that hold more than ``FULL_LEAF``, four bits at a time, of their children)
 is cut into leaves; pairs of leaves are walked together, adding up the bits in which
 their prefixes differ, and a pair is dropped once the budget is exceeded. Each pair
 left is one task group that walks its two sub-tries in the same way, bit by bit.
@@ -69,9 +70,9 @@ def fingerprints(docs: DataFrame, keys: dict[str, Column], text_col: str = "text
 
 # -- the top of the trie, on the driver ------------------------------------------------------------
 
-def cut(counts: dict[int, int], leaf: int, depth: int = TOP_BITS) -> list[tuple[int, int]]:
-    """Leaves (bits, prefix) of the trie over ``depth``-bit prefixes, split while they hold more than ``leaf``."""
-    out, stack = [], [(0, 0, sorted(counts.items()))]
+def cut(counts: dict[int, int], leaf: int, depth: int = TOP_BITS, root: tuple[int, int] = (0, 0)) -> list[tuple[int, int]]:
+    """Leaves (bits, prefix) of the trie over ``depth``-bit prefixes below ``root``, split while they hold more than ``leaf``."""
+    out, stack = [], [(*root, sorted(counts.items()))]
     while stack:
         bits, prefix, inside = stack.pop()
         if bits == depth or sum(n for _, n in inside) <= leaf:
@@ -195,15 +196,32 @@ def forest(a: np.ndarray, b: np.ndarray, same: bool, budget: int) -> tuple[np.nd
 
 # -- on Spark --------------------------------------------------------------------------------------
 
+def leaves_of(distinct: DataFrame) -> list[tuple[int, int]]:
+    """Leaves of the trie, in order; none holds more than ``FULL_LEAF`` fingerprints.
+
+    The driver gets a count per 16-bit prefix, then one per child of the few prefixes that are too full.
+    """
+    def counted(depth: int, among: DataFrame) -> dict[int, int]:
+        prefix = F.shiftrightunsigned("fp", 64 - depth) if depth < 64 else F.col("fp")
+        return {r["p"] % (1 << 64): r["count"] for r in among.groupBy(prefix.alias("p")).count().collect()}
+
+    counts, depth = counted(TOP_BITS, distinct), TOP_BITS
+    leaf = min(FULL_LEAF, max(LEAST_LEAF, sum(counts.values()) // LEAVES))
+    leaves = cut(counts, leaf)
+    while full := [(bits, p) for bits, p in leaves if bits == depth < 64 and counts[p] > FULL_LEAF]:
+        inside = distinct.filter(F.shiftrightunsigned("fp", 64 - depth).isin([p for _, p in full]))
+        counts = counted(depth + 4, inside)
+        below = {x: {p: n for p, n in counts.items() if p >> 4 == x[1]} for x in full}
+        leaves = [y for x in leaves for y in (cut(below[x], leaf, depth + 4, x) if x in below else [x])]
+        depth += 4
+    return leaves
+
+
 def links(distinct: DataFrame, budget: int = BITS) -> DataFrame:
     """(u, v): links among distinct fingerprints ``fp`` that connect all within ``budget`` bits of each other."""
-    prefix = F.shiftrightunsigned("fp", 64 - TOP_BITS).alias("p")
-    counts = {r["p"]: r["count"] for r in distinct.groupBy(prefix).count().collect()}  # at most 2 ** TOP_BITS
-    leaves = cut(counts, min(FULL_LEAF, max(LEAST_LEAF, sum(counts.values()) // LEAVES)))
+    leaves = leaves_of(distinct)
     pairs = leaf_pairs(leaves, budget)
-    leaf_of = np.zeros(1 << TOP_BITS, np.int32)
-    for k, (bits, p) in enumerate(leaves):
-        leaf_of[p << (TOP_BITS - bits):(p + 1) << (TOP_BITS - bits)] = k
+    starts = np.array([p << (64 - bits) for bits, p in leaves], np.uint64)  # rising, and every fingerprint lies in a leaf
     ends = np.array(pairs, np.int32).reshape(-1, 2)
     lone = ends[:, 0] == ends[:, 1]
     # the (group, side) of every leaf, laid end to end: those of leaf k are first[k] .. first[k + 1]
@@ -212,14 +230,14 @@ def links(distinct: DataFrame, budget: int = BITS) -> DataFrame:
     group = np.concatenate([np.arange(len(ends)), np.flatnonzero(~lone)])[order].astype(np.int32)
     side_of = (order >= len(ends)).astype(np.int8)
     first = np.searchsorted(owner[order], np.arange(len(leaves) + 1))
-    sent = distinct.sparkSession.sparkContext.broadcast((leaf_of, group, side_of, first, lone))  # set by TOP_BITS
+    sent = distinct.sparkSession.sparkContext.broadcast((starts, group, side_of, first, lone))  # some numbers per leaf
 
     def deal(batches):
         leaf_at, to, side, start, _ = sent.value
         for batch in batches:
             for at in range(0, batch.num_rows, DEAL_ROWS):
                 fp = batch.column(0).slice(at, DEAL_ROWS).to_numpy(zero_copy_only=False)
-                leaf = leaf_at[(fp.view(np.uint64) >> np.uint64(64 - TOP_BITS)).astype(np.int64)]
+                leaf = np.searchsorted(leaf_at, fp.view(np.uint64), "right") - 1
                 times = start[leaf + 1] - start[leaf]
                 upto = np.cumsum(times)
                 place = np.arange(upto[-1]) + np.repeat(start[leaf] - (upto - times), times)
@@ -284,12 +302,32 @@ def near_duplicates(docs: DataFrame, keys: dict[str, Column], pick: str | None =
     return rows.join(of, "fp")
 
 
+#: Row keys of so many dropped rows are broadcast; beyond, rows and keys meet by shuffle.
+BROADCAST_KEYS = 1 << 18
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """The documents, all columns, one of each component: the row with the least id (then the least row hash)."""
+    """The documents, all columns, one of each component: the row with the least id (then the least row hash).
+
+    Rows meet the keys of those to drop, and only rows that are there several times are
+    shuffled to keep one of them; the texts of all others stay where they are while these
+    keys are few (``BROADCAST_KEYS``).
+    """
     h1, h2 = row_key(docs)
     found = near_duplicates(docs, {"id": F.col(f"`{id_col}`"), "h1": h1, "h2": h2}, None, text_col, shingle, bits)
     a, b = private(docs, "h1"), private(docs, "h2")
-    kept = materialize(found.select(F.col("least.h1").alias(a), F.col("least.h2").alias(b)).distinct(), "kept")
-    return docs.withColumns({a: h1, b: h2}).join(kept, [a, b], "left_semi").dropDuplicates([a, b]).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    chosen = (F.col("h1") == F.col("least.h1")) & (F.col("h2") == F.col("least.h2"))
+    marks = materialize(found.groupBy(F.col("h1").alias(a), F.col("h2").alias(b)).agg(
+        F.bool_or(chosen).alias("kept"), F.count("*").alias("n")), "marks")
+    n_gone, n_many = marks.agg(F.count_if(~F.col("kept")), F.count_if(F.col("kept") & (F.col("n") > 1))).first()
+
+    def keys_of(rows: DataFrame, n: int) -> DataFrame:
+        rows = rows.select(a, b)
+        return F.broadcast(rows) if n <= BROADCAST_KEYS else rows
+
+    left = docs.withColumns({a: h1, b: h2}).join(keys_of(marks.filter("not kept"), n_gone), [a, b], "left_anti")
+    if n_many:
+        many = keys_of(marks.filter("kept and n > 1"), n_many)
+        left = left.join(many, [a, b], "left_anti").unionByName(left.join(many, [a, b], "left_semi").dropDuplicates([a, b]))
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
