@@ -6,7 +6,7 @@ hands to each new one. An old shard's rows lie on a line; the flow cuts the line
 into runs, one per new shard, and a row goes where its middle byte lies. So sizes
 differ from the capacities by about a row per run, and rows that may stay do.
 
-Rows with equal texts are a group. A group that fits in a new shard lies whole on one
+Rows with equal texts (null texts, too) are a group. A group that fits in a new shard lies whole on one
 line, that of the old shard which holds most of its bytes; larger groups stay where
 they are. On a line rows are ordered by text hash, a group side by side. A group of at
 most ``WHOLE`` of a shard's bytes goes as one where its middle byte lies; a larger one
@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from farebox.llm.common import materialize, private, row_key
 
 BUCKET_ROWS, MAX_BUCKETS, MAX_SHARDS = 1024, 1_000_000, 1024
+#: Slots of a shard that are written by one task.
+RANGE_ROWS = 1 << 15
 #: Groups of equal texts up to this share of a shard's bytes are never cut.
 WHOLE = 1 / 32
 #: The old shard of rows that had none.
@@ -150,22 +152,25 @@ def reshard(docs: DataFrame, old_shard: Column, shards: int = 16, capacities: di
     block, place = order or (F.lit(0), F.lit(0))
     rows = materialize(docs.select(
         F.col(f"`{id_col}`").alias("id"), size_of(text).alias("size"),
-        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("crc"), F.xxhash64(text).alias("th"), text.isNull().alias("none"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("crc"), F.xxhash64(text).alias("th"),
         h1.alias("h1"), h2.alias("h2"), h3.alias("h3"), F.coalesce(old_shard.cast("int"), F.lit(UNPLACED)).alias("from"),
         block.alias("block"), place.alias("place")), "reshard-rows")
     held = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count("*").alias("n")).first()
     per_bucket = max(BUCKET_ROWS, -(-held["n"] // MAX_BUCKETS))
     shard_bytes = min((capacities or even_capacities(held["bytes"], shards)).values(), default=0)
     # groups of equal texts: the old shard that holds most of them, and whether they go as one or are spread over cells
-    parts = rows.filter("not none").groupBy("th", "from").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
-    groups = parts.groupBy("th").agg(
+    parts = rows.groupBy("th", "from").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    groups = materialize(parts.groupBy("th").agg(
         F.max(F.struct("bytes", (-F.col("from")).alias("o")))["o"].alias("o"), F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).filter(
         "n > 1").select("th", F.when(F.col("bytes") <= shard_bytes, -F.col("o")).alias("home"), (F.col("bytes") <= shard_bytes * WHOLE).alias("whole"),
-                        F.when(F.col("n") > per_bucket, F.ceil(F.col("n") / per_bucket).cast("long")).alias("parts"))
-    rows = materialize(rows.join(groups, "th", "left").withColumns({
+                        F.when(F.col("n") > per_bucket, F.ceil(F.col("n") / per_bucket).cast("long")).alias("parts")), "text-groups")
+    # large groups, at most MAX_BUCKETS, come to their rows; only rows of the others meet their groups by shuffle
+    large = F.broadcast(groups.filter("parts is not null"))
+    grouped = rows.join(large, "th", "left_anti").join(groups.filter("parts is null"), "th", "left").unionByName(rows.join(large, "th"))
+    rows = materialize(grouped.withColumns({
         "old": F.coalesce("home", "from"), "whole": F.coalesce("whole", F.lit(False)) & F.col("parts").isNull(),
         "hot": F.when(F.col("parts").isNotNull(), F.col("th")), "sub": F.pmod("h1", F.coalesce("parts", F.lit(1)))}).drop(
-        "home", "parts", "none"), "reshard-grouped")
+        "home", "parts"), "reshard-grouped")
     old = {r["old"]: (r["bytes"], r["n"]) for r in rows.groupBy("old").agg(
         F.sum("size").alias("bytes"), F.count("*").alias("n")).limit(MAX_SHARDS + 2).collect()}
     if len(old) > MAX_SHARDS + 1 or shards > MAX_SHARDS:
@@ -224,31 +229,24 @@ def layout_names(docs: DataFrame, replaces: tuple[str, ...] = ()) -> tuple[str,
 
 
 def with_content(docs: DataFrame, target: DataFrame, replaces: tuple[str, ...] = ()) -> DataFrame:
-    """``target`` (KEY, shard, slot) with the columns of the rows of ``docs`` that have its keys, but for those it replaces.
+    """The columns of the rows of ``docs``, but for those replaced, at the shards and slots that ``target`` (KEY, shard, slot)
+    gives their keys; dealt to ranges of ``RANGE_ROWS`` slots and sorted.
 
-    Keys of many copies meet their content in parts, so that no task holds all copies of a row.
+    Copies of a row travel once to each range that has some of them.
     """
-    names = [F.col(c).alias(n) for c, n in zip(("shard", "slot"), layout_names(docs, replaces))]
+    shard, slot = layout_names(docs, replaces)
+    cell = ["shard", "range"]
     body = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in replaces]).alias("row"), *content_key(docs))
-    per_part = max(3 * BUCKET_ROWS, -(-target.count() // MAX_BUCKETS))
-    many = materialize(target.groupBy(*KEY).agg(F.count("*").alias("n")).filter(F.col("n") > per_part).select(
-        *KEY, F.ceil(F.col("n") / per_part).cast("long").alias("parts")), "many-copies")  # at most MAX_BUCKETS rows
-    if many.isEmpty():
-        return target.join(body.groupBy(*KEY).agg(F.first("row").alias("row")), KEY).select("row.*", *names)
-    few = target.join(F.broadcast(many), KEY, "left_anti").join(
-        body.join(F.broadcast(many), KEY, "left_anti").groupBy(*KEY).agg(F.first("row").alias("row")), KEY)
-    content = body.join(F.broadcast(many), KEY).groupBy(*KEY).agg(F.first("row").alias("row"), F.first("parts").alias("parts"))
-    rest = target.join(F.broadcast(many), KEY).withColumn("part", F.pmod("slot", "parts")).drop("parts").join(
-        content.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts"), [*KEY, "part"])
-    return few.select("row.*", *names).unionByName(rest.select("row.*", *names))
+    wanted = target.withColumn("range", F.floor(F.col("slot") / RANGE_ROWS)).groupBy(*KEY, *cell).agg(F.collect_list("slot").alias("slots"))
+    met = wanted.join(body.groupBy(*KEY).agg(F.first("row").alias("row")), KEY).select("row", *cell, "slots")
+    return met.repartition(*cell).select("row.*", F.col("shard").alias(shard), F.explode("slots").alias(slot)).sortWithinPartitions(shard, slot)
 
 
 def write_shards(docs: DataFrame, plan: DataFrame, path: str, shards: list[int], replaces: tuple[str, ...] = ()) -> set[int]:
     """Replace these shards below ``path/shard=N`` by what ``plan`` puts there; returns those that get rows."""
-    shard, slot = layout_names(docs, replaces)
     target = plan.filter(F.col("shard").isin(shards)).select(*KEY, "shard", "slot")
-    with_content(docs, target, replaces).repartitionByRange(shard, slot).sortWithinPartitions(shard, slot).write.mode(
-        "overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(shard).parquet(path)
+    with_content(docs, target, replaces).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+        "compression", "zstd").partitionBy(layout_names(docs, replaces)[0]).parquet(path)
     return {r[0] for r in target.select("shard").distinct().collect()}
 
 

@@ -514,6 +514,7 @@ ODD_ROWS = [(None, None, "a", "b"), (None, None, None, "b"), (None, "t", None, "
 def test_rewrite_keeps_every_row(spark, tmp_path, monkeypatch, bucket_rows):
     """Null ids, repeated rows (one of them very often), rows that differ in where the null is, and fewer shards."""
     monkeypatch.setattr(sharding, "BUCKET_ROWS", bucket_rows)
+    monkeypatch.setattr(sharding, "RANGE_ROWS", bucket_rows)
     from farebox.llm.common import materialize
 
     path = str(tmp_path / "shards")
@@ -542,6 +543,7 @@ def test_groups_of_equal_texts_stay_together(spark, monkeypatch):
         rows += [(1000 + k * 10 + j, texts[k], r.randrange(8)) for j in range(r.randrange(1, 6))]
     rows += [(5000 + j, texts[100 + j % 2], r.randrange(8)) for j in range(120)]
     rows += [(9000 + j, "y" * 100, r.randrange(8)) for j in range(600)]
+    rows += [(20_000 + j, None, r.randrange(8)) for j in range(100)]
     df = spark.createDataFrame(rows, "doc_id long, text string, o int").repartition(5)
     got = sharding.reshard(df, F.col("o"), 8).collect()
     text = {i: t for i, t, _ in rows}
@@ -551,7 +553,7 @@ def test_groups_of_equal_texts_stay_together(spark, monkeypatch):
         sizes[x["shard"]] += x["size"]
     mean = sum(sizes.values()) / 8
     assert max(abs(v - mean) for v in sizes.values()) < 3 * mean * sharding.WHOLE + 400
-    small = [t for t in shards if sum(x == t for x in text.values()) * (len(t) + 1) <= mean * sharding.WHOLE]
+    small = [t for t in shards if sum(x == t for x in text.values()) * (len(t or "") + 1) <= mean * sharding.WHOLE]
     assert len(small) > 400 and all(len(shards[t]) == 1 for t in small)
     assert all(len(shards[t]) <= 2 for t in shards if t != "y" * 100) and len(shards["y" * 100]) > 2
 
