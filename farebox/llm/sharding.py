@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from farebox.llm.common import materialize, private, row_key
 
 BUCKET_ROWS, MAX_BUCKETS, MAX_SHARDS = 1024, 1_000_000, 1024
+#: Shards are written once and read often.
+ZSTD_LEVEL = 9
 #: Slots of a shard that are written by one task.
 RANGE_ROWS = 1 << 15
 #: Groups of equal texts up to this share of a shard's bytes are never cut.
@@ -246,7 +248,7 @@ def write_shards(docs: DataFrame, plan: DataFrame, path: str, shards: list[int],
     """Replace these shards below ``path/shard=N`` by what ``plan`` puts there; returns those that get rows."""
     target = plan.filter(F.col("shard").isin(shards)).select(*KEY, "shard", "slot")
     with_content(docs, target, replaces).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
-        "compression", "zstd").partitionBy(layout_names(docs, replaces)[0]).parquet(path)
+        "compression", "zstd").option("parquet.compression.codec.zstd.level", ZSTD_LEVEL).partitionBy(layout_names(docs, replaces)[0]).parquet(path)
     return {r[0] for r in target.select("shard").distinct().collect()}
 
 
