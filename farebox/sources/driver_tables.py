@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.config import DateWindow
+from farebox.session import remove_path, scratch_path
 
 DUPLICATE_EVERY = 50  # fixed: the oracle duplicates the same rows
 
@@ -102,16 +103,12 @@ LANDING_PARTITION = "_file"
 # Landing directories are written as ``<landing>/_file=yellow_tripdata_<YYYY-MM>.parquet``
 # (one Spark write per physical schema, partitioned by file name).
 DRIVER_LANDING_TEMPLATE = LANDING_PARTITION + "=yellow_tripdata_{month}.parquet"
+#: Rows of a staged file: a task takes several files, and sorts their rows by landing file in memory.
+STAGED_ROWS = 100_000
 
 
-def trips_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trips plus the other TLC-style columns, in canonical types.
-
-    RatecodeID = l_linenumber, PULocationID = l_partkey, DOLocationID =
-    l_suppkey, payment_type = l_linenumber % 4 + 1, airport_fee = l_tax,
-    congestion_surcharge = l_discount (present in even months only), and a
-    sub-microsecond part ``_nanos`` = l_linenumber for the nanosecond files.
-    """
+def landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``trips_landing`` derives its columns from, each once: the lineitems with their order's pickup time."""
     lineitem = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     joined = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -119,10 +116,25 @@ def trips_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pickup = F.col("o_orderdate") + F.make_dt_interval(
         F.lit(0), (F.col("l_orderkey") % 24).cast("int"))
     return joined.select(
+        "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+        "l_shipdate", pickup.alias("pickup"),
+        F.explode(F.sequence(F.lit(1), copies)).alias("_copy"),
+    ).drop("_copy")
+
+
+def trips_landing(rows: DataFrame) -> DataFrame:
+    """Raw trips plus the other TLC-style columns, in canonical types, of staged ``landing_rows``.
+
+    RatecodeID = l_linenumber, PULocationID = l_partkey, DOLocationID =
+    l_suppkey, payment_type = l_linenumber % 4 + 1, airport_fee = l_tax,
+    congestion_surcharge = l_discount (present in even months only), and a
+    sub-microsecond part ``_nanos`` = l_linenumber for the nanosecond files.
+    """
+    return rows.select(
         F.col("l_suppkey").cast("bigint").alias("VendorID"),
         F.nullif(F.col("l_quantity") - F.lit(1), F.lit(13.0)).alias("passenger_count"),
         (F.col("l_extendedprice") - F.lit(2000)).alias("total_amount"),
-        pickup.alias("tpep_pickup_datetime"),
+        F.col("pickup").alias("tpep_pickup_datetime"),
         F.col("l_shipdate").alias("tpep_dropoff_datetime"),
         F.col("l_quantity").alias("trip_distance"),
         F.col("l_returnflag").alias("store_and_fwd_flag"),
@@ -133,8 +145,27 @@ def trips_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_tax").alias("airport_fee"),
         F.col("l_discount").alias("congestion_surcharge"),
         F.col("l_linenumber").cast("bigint").alias("_nanos"),
-        F.explode(F.sequence(F.lit(1), copies)).alias("_copy"),
-    ).drop("_copy")
+        LANDING_PARTITION,
+    )
+
+
+def stage_landing(spark: SparkSession, sf_dir: str, stage: str) -> tuple[DataFrame, list[str]]:
+    """The rows of ``trips_landing`` with their landing file, and the pickup months among them.
+
+    The rows that they derive from are joined and shuffled once and written to ``stage`` by file, so each delivery
+    of some months is a scan of these months that nothing needs to be shuffled for.
+    """
+    rows, months = landing_rows(spark, sf_dir), Observation()
+    filed = rows.withColumn("month", F.trunc("pickup", "month")).hint("rebalance", "month").withColumn(
+        LANDING_PARTITION, F.concat(F.lit("yellow_tripdata_"), F.date_format("month", "yyyy-MM"), F.lit(".parquet"))).drop("month")
+    (filed.observe(months, F.collect_set(F.regexp_extract(LANDING_PARTITION, r"(\d{4}-\d{2})", 1)).alias("m"))
+     .write.option("maxRecordsPerFile", STAGED_ROWS).partitionBy(LANDING_PARTITION).parquet(stage))
+    return trips_landing(spark.read.schema(filed.schema).parquet(stage)), sorted(months.get["m"] or [])
+
+
+def odd_month() -> F.Column:
+    """Whether a landing file's month is odd (of the partition column alone, so other months are not read)."""
+    return F.regexp_extract(LANDING_PARTITION, r"-(\d{2})\.parquet", 1).cast("int") % 2 == 1
 
 
 def _epoch_nanos(ts_col: str, extra: str) -> F.Column:
@@ -149,14 +180,21 @@ def write_driver_landing(spark: SparkSession, sf_dir: str, landing: str) -> list
     BIGINT passenger_count and RatecodeID, timestamps as INT64 nanoseconds
     since the epoch, ``airport_fee``. Even months ("schema B"): canonical
     widths, DOUBLE passenger_count, microsecond timestamps, ``Airport_fee``
-    and an extra ``congestion_surcharge``. Two Spark writes in total; each
+    and an extra ``congestion_surcharge``. Two Spark writes of staged rows; each
     is partitioned by the landing file name. Returns the months written.
     """
-    rows = trips_landing(spark, sf_dir).withColumn(
-        "_ym", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
-    rows = rows.withColumn(
-        LANDING_PARTITION, F.concat(F.lit("yellow_tripdata_"), F.col("_ym"), F.lit(".parquet")))
-    odd = F.month("tpep_pickup_datetime") % 2 == 1
+    stage = scratch_path(spark, "landing-stage")
+    try:
+        rows, months = stage_landing(spark, sf_dir, stage)
+        for part in _drifting(rows):
+            part.write.mode("append").partitionBy(LANDING_PARTITION).parquet(landing)
+        return months
+    finally:
+        remove_path(spark, stage)
+
+
+def _drifting(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    odd = odd_month()
     schema_a = rows.filter(odd).select(
         F.col("VendorID").cast("int").alias("VendorID"),
         F.col("passenger_count").cast("bigint").alias("passenger_count"),
@@ -177,11 +215,4 @@ def write_driver_landing(spark: SparkSession, sf_dir: str, landing: str) -> list
         "PULocationID", "DOLocationID", "payment_type",
         F.col("airport_fee").alias("Airport_fee"), "congestion_surcharge", LANDING_PARTITION,
     )
-    months: set[str] = set()
-    for i, part in enumerate((schema_a, schema_b)):
-        obs = Observation(f"landing_months_{i}")
-        observed = part.hint("rebalance", LANDING_PARTITION).observe(
-            obs, F.collect_set(F.regexp_extract(LANDING_PARTITION, r"(\d{4}-\d{2})", 1)).alias("m"))
-        observed.write.mode("append").partitionBy(LANDING_PARTITION).parquet(landing)
-        months.update(obs.get["m"] or [])
-    return sorted(months)
+    return schema_a, schema_b
