@@ -1,7 +1,8 @@
 """Partitioned writes of the layers.
 
 * Bronze: partitioned by source month, **dynamic** partition overwrite set
-  per write, so re-landing one month replaces only that month (backfill).
+  per write, so re-landing one month replaces only that month (backfill). Its rows
+  come by month from the landing files and are not shuffled.
 * Silver / Gold fact: partitioned by ``trip_month``. A ``rebalance`` hint on
   the partition column replaces the usual ``repartition(col)``: rows of a
   month still go to the same writer(s), but AQE splits a month that is

@@ -186,7 +186,11 @@ def canonical_names(df: DataFrame, names: list[str] | None = None) -> DataFrame:
 
 
 def write_bronze(df: DataFrame, bronze: str, fmt: str = "parquet") -> None:
-    """K1: Bronze partitioned by source month, dynamic overwrite (per-month backfill)."""
+    """K1: Bronze partitioned by source month, dynamic overwrite (per-month backfill).
+
+    A landing file holds one month, so the tasks that read the files write the months as
+    they are: nothing is shuffled, and a month gets a file for each task that read some of it.
+    """
     from farebox.sinks.layout import write_partitioned
 
-    write_partitioned(df, bronze, ["_source_month"], dynamic=True, fmt=fmt)
+    write_partitioned(df, bronze, ["_source_month"], dynamic=True, fmt=fmt, balance=False)

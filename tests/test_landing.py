@@ -7,6 +7,7 @@ import datetime as dt
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from paths import SF_SMALL
 from pyspark.sql import types as T
 
 from farebox.sources import landing as ld
@@ -121,3 +122,23 @@ def test_footers_are_read_without_a_spark_read(spark, landing_dir, monkeypatch):
         shutil.copy(f"{landing_dir}/yellow_tripdata_2023-0{3 + i % 2}.parquet", paths[-1])
     monkeypatch.setattr(type(spark), "read", property(lambda self: pytest.fail("a Spark read")))
     assert [len(g) for g in ld.group_by_schema(spark, paths)] == [12, 12]
+
+
+def test_deliveries_are_read_from_one_shuffle(spark):
+    """Rows are joined and shuffled once; a delivery of odd months is a scan of them, and Bronze is written as it is read."""
+    from farebox.plans.queries_more import _land_canonical
+    from farebox.session import scratch_path
+    from farebox.sources.driver_tables import LANDING_PARTITION, odd_month, stage_landing
+
+    rows, months = stage_landing(spark, SF_SMALL, scratch_path(spark, "one-shuffle"))
+    odd = rows.filter(odd_month())
+    assert "Exchange" not in odd._jdf.queryExecution().toString()
+    land, bronze = scratch_path(spark, "one-land"), scratch_path(spark, "one-bronze")
+    for is_odd in (True, False):
+        _land_canonical(rows, land, is_odd)
+    read = ld.read_landing(spark, land, months, f"{LANDING_PARTITION}=yellow_tripdata_{{month}}.parquet")
+    tasks = read.rdd.getNumPartitions()
+    ld.write_bronze(read, bronze)
+    written = spark.read.parquet(bronze)
+    assert written.count() == rows.count() and written.select("_source_month").distinct().count() == len(months)
+    assert len({f.rsplit("/", 1)[1].split("-")[1] for f in written.inputFiles()}) == tasks  # the reading tasks have written
