@@ -218,7 +218,7 @@ def leaves_of(distinct: DataFrame) -> list[tuple[int, int]]:
 
 
 def links(distinct: DataFrame, budget: int = BITS) -> DataFrame:
-    """(u, v): links among distinct fingerprints ``fp`` that connect all within ``budget`` bits of each other."""
+    """(u, v): links among distinct fingerprints ``fp`` that connect all within ``budget`` bits of each other; some repeat."""
     leaves = leaves_of(distinct)
     pairs = leaf_pairs(leaves, budget)
     starts = np.array([p << (64 - bits) for bits, p in leaves], np.uint64)  # rising, and every fingerprint lies in a leaf
@@ -252,7 +252,7 @@ def links(distinct: DataFrame, budget: int = BITS) -> DataFrame:
         return pa.table({"u": u.view(np.int64), "v": v.view(np.int64)})
 
     return distinct.select("fp").mapInArrow(deal, "g int, side tinyint, fp bigint").groupBy("g").applyInArrow(
-        solve, "u bigint, v bigint").distinct()
+        solve, "u bigint, v bigint")
 
 
 def _star(edges: DataFrame, small: bool) -> DataFrame:
@@ -268,23 +268,23 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     return materialize(out.filter("u <> v").distinct(), "star")
 
 
+def settled(edges: DataFrame) -> bool:
+    """Whether distinct edges (u > v) are stars: no u has two edges or is the v of another. One row per node and task is shuffled."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("below")),
+                                          F.struct(F.col("v").alias("node"), F.lit(0).alias("below")))).alias("e")).select("e.*")
+    nodes = ends.groupBy("node").agg(F.sum("below").alias("below"), F.min("below").alias("least"))
+    return nodes.filter((F.col("below") > 1) | ((F.col("below") == 1) & (F.col("least") == 0))).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(u, root): every linked node and the least node of its component (edges have u > v).
 
-    Alternates the two stars until the edges stop changing; each round is a written table.
+    Alternates the two stars until every component is a star around its least node; each
+    round is a written table, and links that are stars already need none.
     """
-    def state(df):
-        return df.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)),
-                      F.coalesce(F.sum(F.xxhash64("u", "v") % 1_000_003), F.lit(0))).first()
-
     edges = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    seen = state(edges)
-    while seen[0]:
+    while not settled(edges):
         edges = _star(_star(edges, small=False), small=True)
-        now = state(edges)
-        if now == seen:
-            break
-        seen = now
     return edges.withColumnRenamed("v", "root")
 
 

@@ -720,3 +720,18 @@ def test_items_digest_is_of_sorted_strings(spark):
     got = queries.op3_decontamination(spark, "/root/testdata/sf0.001").filter("contaminated").collect()
     assert got and all(r["n_hit"] > 0 and r["n_items"] > 0 for r in got)
     assert hashlib.sha256(b"").hexdigest() not in {r["items_sha256"] for r in got}
+
+
+def test_components_of_stars_need_no_round(spark, monkeypatch):
+    from farebox.llm import simhash
+
+    rounds, star = [], simhash._star
+    monkeypatch.setattr(simhash, "_star", lambda edges, small: rounds.append(small) or star(edges, small))
+
+    def roots(*edges):
+        rounds.clear()
+        return {r.u: r.root for r in simhash.components(spark.createDataFrame(list(edges), "u long, v long")).collect()}
+
+    assert roots((5, 1), (1, 6), (9, 7), (5, 1)) == {5: 1, 6: 1, 9: 7} and not rounds
+    assert roots((3, 2), (2, 1), (9, 3), (8, 9)) == {2: 1, 3: 1, 8: 1, 9: 1} and rounds
+    assert roots((5, 1), (5, 2)) == {2: 1, 5: 1} and rounds
