@@ -8,20 +8,23 @@ bigrams are smoothed with a Dirichlet prior that grows with the state's count,
 
 so an arc weighs log10 P(w | s), and without an arc the failure arc leads to the root at
 log10(K(s) / (c(s) + K(s))), where every word has the arc log10 P(w). A state not seen in
-training is the root. P(w) is the add-``SMOOTHING`` share of each of the ``FREQUENT`` most
-frequent words and of the end; all other words share what is left evenly. One left-to-right
-walk carries the state and adds up the weights. Nothing caps states or arcs.
+training is the root. P(w) is the add-``SMOOTHING`` share of the training tokens of each word
+of the corpus, of the end and of one word that does not occur. One left-to-right walk carries
+the state and adds up the weights. Nothing caps words, states or arcs.
 
 Work goes in slices of about ``SLICE`` bytes of text (a long text is cut at white space and
 the walk carried on, so only a single word must fit in a task). A task weighs every step as
-far as it can: counts of frequent words, and of the bigrams among the ``TOP`` most
-frequent words, are broadcast (their number is fixed). Each other distinct (document,
-bigram) goes once, in packed arrays, to the bucket of its bigram or, after a rarer word, of
-its state; there the training occurrences are the counts that all occurrences of the same
-bigram are weighed with, and a sum for each document goes back. So no table of bigrams is
-written or joined. A bucket gets no large share of the input: bigrams with many
-occurrences are among the top words, and states that are bucketed whole are rare in the
-whole input, held-out rows included. Buckets hold the bigrams of about ``BUCKET`` bytes.
+far as it can: counts of about the ``SENT`` most frequent words, and of the bigrams among the
+``TOP`` most frequent words, are broadcast (their number is fixed; which words are sent changes
+no result). Each other distinct (document, bigram) goes once, in packed arrays, to a bucket: to
+that of its bigram if both words are sent, else to that of its last word, or to that of its
+state if only the state is not sent. There the training occurrences are the counts that all
+occurrences of the same word and bigram are weighed with, and a sum for each document goes
+back. Only a bigram of two words that are not sent travels on, with the count and the share of
+its last word, to the bucket that has counted its state. So no table of bigrams is written or
+joined. A bucket gets no large share of the input: bigrams with many occurrences are among the
+top words, and words that are bucketed whole are rare in the whole input, held-out rows
+included. Buckets hold the bigrams of about ``BUCKET`` bytes.
 
 Words and bigrams are told apart by 64-bit hashes. Null text is empty: the end token alone.
 With nothing to learn from, N = V = 0 and all words are equally likely. Rows whose ``learn``
@@ -43,7 +46,9 @@ from pyspark.sql import functions as F
 from farebox.llm.common import materialize
 
 SMOOTHING, POWER = 0.1, 0.95
-TOP, FREQUENT = 1024, 1 << 18
+TOP, SENT = 1024, 1 << 18
+#: A number limits the vocabulary: only so many words have a share of their own, all others an even one. None: no limit.
+FREQUENT = None
 SLICE, BUCKET = 1 << 20, 1 << 24
 #: At least so many buckets.
 LEAST_BUCKETS = 64
@@ -203,10 +208,10 @@ def count_words(texts: DataFrame, buckets: int) -> DataFrame:
         "bucket").applyInArrow(add, "h bigint, c bigint, a bigint"), "word-counts")
 
 
-def most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes (sorted), counts and counts in all rows of the most frequent words, at most ``most``, ties in or out together.
+def least_count(counts: DataFrame, most: int) -> int | None:
+    """Count in all rows that the most frequent words have at least, at most ``most`` of them, ties in or out together.
 
-    The least count comes from a histogram over quarter powers of two, a few hundred rows.
+    It comes from a histogram over quarter powers of two, a few hundred rows.
     """
     level = F.floor(4 * F.log2(F.col("a").cast("double"))).cast("int")
     room, least = most, None
@@ -214,6 +219,12 @@ def most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray,
         if r["n"] > room:
             break
         room, least = room - r["n"], r["a"]
+    return least
+
+
+def most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes (sorted), counts and counts in all rows of the most frequent words, for the broadcast."""
+    least = least_count(counts, most)
     if least is None:
         return (np.zeros(0, np.int64),) * 3
     got = counts.filter(F.col("a") >= least).toArrow()
@@ -222,21 +233,40 @@ def most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray,
     return h[order], c[order], a[order]
 
 
+@dataclass
+class Shares:
+    """P(w) from a word's counts: ``mass`` is that of all tokens, ``even`` that of a word with fewer than ``least`` in all rows."""
+
+    mass: float
+    even: float
+    least: float
+
+    def of(self, c: np.ndarray, a: np.ndarray) -> np.ndarray:
+        return np.where(a >= self.least, c + SMOOTHING, self.even) / self.mass
+
+
+def shares(counts: DataFrame, n: int) -> Shares:
+    """Of the words' counts and the number of training tokens."""
+    least = 1 if FREQUENT is None else least_count(counts, FREQUENT)
+    least = np.inf if least is None else least
+    own = F.col("a") >= F.lit(float(least))
+    kept, rare, kinds = counts.agg(F.count_if(own), F.coalesce(F.sum(F.when(~own, F.col("c"))), F.lit(0)),
+                                   F.count_if(~own & (F.col("c") > 0))).first()
+    return Shares(n + SMOOTHING * (kept + 2), (rare + SMOOTHING) / (kinds + 1), least)
+
+
 class Model:
-    """What every task knows. Codes: places among the frequent words, then the end, then the start; -1 is any other word."""
+    """What every task knows. Codes: places among the sent words, then the end, then the start; -1 is any other word."""
 
-    def __init__(self, h: np.ndarray, c: np.ndarray, a: np.ndarray, n: int, v: int, ends: int):
+    def __init__(self, h: np.ndarray, c: np.ndarray, a: np.ndarray, ends: int, shares: Shares):
         self.h = h
-        self.n, self.v, self.ends = n, v, ends
+        self.shares = shares
         f = len(h)
         self.end, self.start = f, f + 1
         self.c = np.append(c, [ends, ends])  # a text has one start, as it has one end
-        rare = n - ends - int(c.sum())
-        kinds = v - (ends > 0) - int((c > 0).sum())
-        mass = n + SMOOTHING * (f + 2)
-        self.p = np.append(self.c + SMOOTHING, (rare + SMOOTHING) / (kinds + 1)) / mass  # the last is any other word's
+        self.p = np.append(shares.of(c, a), np.full(2, (ends + SMOOTHING) / shares.mass))
         top = np.lexsort((h, -a))[:TOP]
-        self.label = np.full(f + 3, -1)
+        self.label = np.full(f + 3, -1)  # the last is any other word's
         self.label[top] = np.arange(len(top))
         self.label[self.end] = self.label[self.start] = len(top)  # the end as a word, the start as a state
         self.labels = len(top) + 1
@@ -280,10 +310,16 @@ def count_top(texts: DataFrame, sent, labels: int) -> np.ndarray:
     return out
 
 
-#: Packed columns: bigrams after a frequent state (hash, prior share, text, times), then those after any other (with the state's hash).
-AFTER_FREQUENT = {"fp": np.int64, "fx": np.float32, "fd": np.int32, "ft": np.int32}
-AFTER_RARE = {"rs": np.int64, "rp": np.int64, "rx": np.float32, "rd": np.int32, "rt": np.int32}
-PARTS = {**AFTER_FREQUENT, **AFTER_RARE}
+#: Packed columns: bigrams of sent words (hash, prior share, text, times), then all others: hash of the word or state whose
+#: bucket it is, the other one (code, or hash if it is not sent either), kind, text, times. Times are negative where not learned from.
+OF_SENT = {"fp": np.int64, "fx": np.float32, "fd": np.int32, "ft": np.int32}
+OF_RARE = {"rk": np.int64, "ro": np.int64, "rg": np.int8, "rd": np.int32, "rt": np.int32}
+PARTS = {**OF_SENT, **OF_RARE}
+RARE_WORD, RARE_STATE, BOTH_RARE = 0, 1, 2
+#: Bigrams of kind ``BOTH_RARE`` on their way to the state's bucket: state, training count, share of the word, slice, text, times.
+ONWARD = {"os": np.int64, "oc": np.int64, "op": np.float32, "on": np.int64, "od": np.int32, "ot": np.int32}
+#: Hashes and training counts of the words of a bucket that are states of such bigrams.
+COUNTED = {"ch": np.int64, "cc": np.int64}
 SUMS = {"tokens": "bigint", "known": "bigint", "base": "double", "walk": "double"}
 BACK = {"bd": np.int32, "bk": np.int64, "bb": np.float64, "bw": np.float64}
 
@@ -301,31 +337,38 @@ def walk_slice(m: Model, x: Slice, learn: np.ndarray, buckets: int):
     """Sums of each text of a slice, as far as known, and the bigrams left, packed by bucket."""
     texts = len(x.rows)
     s, w = m.codes(x.s), m.codes(x.w)
-    known_s = s >= 0
-    p = m.p[w]  # -1 is the last
-    c = np.where(known_s, m.c[s], 0).astype(float)
+    known_w, sent = w >= 0, (s >= 0) & (w >= 0)
+    p, c = np.where(known_w, m.p[w], 1.0), np.where(sent, m.c[s], 0).astype(float)
     k = prior(np.maximum(c, 1))
-    step = np.where(known_s, np.where(c > 0, np.log10(k * p / (c + k)), np.log10(p)), 0.0)
+    step = np.where(sent, np.log10(k * p / (c + k)), 0.0)
     at = m.pair(s, w)
     step += np.where((at >= 0) & (c > 0), np.log10(1 + m.pairs[at] / (k * p)), 0.0)
-    cw = np.where(w >= 0, m.c[w], 0)
+    cw = np.where(known_w, m.c[w], 0)
     sums = [np.bincount(x.text, minlength=texts), np.bincount(x.text, cw > 0, texts).astype(np.int64),
-            np.bincount(x.text, np.where(w >= 0, np.log10(cw + SMOOTHING), 0.0), texts), np.bincount(x.text, step, texts)]
+            np.bincount(x.text, np.where(known_w, np.log10(cw + SMOOTHING), 0.0), texts), np.bincount(x.text, step, texts)]
     sign = np.where(learn[x.rows], 1, -1)
 
     out = {}
-    for names, left in ((AFTER_FREQUENT, known_s & (c > 0) & (at < 0)), (AFTER_RARE, ~known_s)):
-        left = np.flatnonzero(left)
-        pair, text = pair_hash(x.s[left], x.w[left]), x.text[left]
-        some, times = _distinct(pair, text, sign)
-        state = x.s[left][some]
-        b = bucket_of(pair[some] if names is AFTER_FREQUENT else mixed(state.view(np.uint64)).view(np.int64), buckets)
-        order = np.argsort(b, kind="stable")
-        cuts = np.searchsorted(b[order], np.arange(buckets + 1))
-        share = p[left] * (k[left] if names is AFTER_FREQUENT else 1.0)
-        values = [pair[some], share[some], text[some], times] if names is AFTER_FREQUENT else [state, pair[some], share[some], text[some], times]
+
+    def pack(names, bucket, *values):
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for (name, kind), v in zip(names.items(), values):
             out[name] = (v[order].astype(kind), cuts)
+
+    left = np.flatnonzero(sent & (c > 0) & (at < 0))
+    pair = pair_hash(x.s[left], x.w[left])
+    some, times = _distinct(pair, x.text[left], sign)
+    pair, left = pair[some], left[some]
+    pack(OF_SENT, bucket_of(pair, buckets), pair, (k * p)[left], x.text[left], times)
+
+    left = np.flatnonzero(~sent)
+    some, times = _distinct(pair_hash(x.s[left], x.w[left]), x.text[left], sign)
+    left = left[some]
+    s, w, hs, hw = s[left], w[left], x.s[left], x.w[left]
+    kind = np.where(w >= 0, RARE_STATE, np.where(s >= 0, RARE_WORD, BOTH_RARE))
+    key, other = np.where(w >= 0, hs, hw), np.where(w >= 0, w, np.where(s >= 0, s, hs))
+    pack(OF_RARE, bucket_of(key, buckets), key, other, kind, x.text[left], times)
     return sums, out
 
 
@@ -344,8 +387,9 @@ def _by_text(part: np.ndarray, text: np.ndarray, *values: np.ndarray) -> tuple[n
     return summed(part.astype(np.int64) << 32 | text, *values)
 
 
-def weigh_bucket(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the packed bigrams of a bucket: part and text of each (part, text) that occurs, and known, base and walk sums."""
+def weigh_bucket(m: Model, table: pa.Table) -> tuple[tuple[np.ndarray, ...], dict[str, np.ndarray], dict[str, np.ndarray]]:
+    """Of the packed bigrams of a bucket: part and text of each (part, text) that occurs, with known, base and walk sums;
+    the bigrams that travel on (their slice is a part of the table); the counts that bigrams travel on to."""
     def owner(name):
         return np.repeat(np.arange(len(table), dtype=np.int32), [len(x.as_buffer()) // 4 if x.is_valid else 0 for x in table[name]])
 
@@ -358,22 +402,57 @@ def weigh_bucket(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     c = _trained(times, *_runs(pair[order]))
     del pair
     walk = np.abs(times) * np.log10(1 + c / column("fx", order))
-    after_frequent = _by_text(owner("fd")[order], column("fd", order), walk)
+    of_sent = _by_text(owner("fd")[order], column("fd", order), walk)
     del order, times, c, walk
 
-    state, pair = unpacked(table["rs"], np.int64), unpacked(table["rp"], np.int64)
-    order = np.lexsort((pair, state)).astype(np.int32)
-    state, pair, times, share = state[order], pair[order], column("rt", order), column("rx", order).astype(float)
-    cs, c = _trained(times, *_runs(state)), _trained(times, *_runs(state, pair))
+    key, other, kind = (unpacked(table[x], PARTS[x]) for x in ("rk", "ro", "rg"))
+    order = np.lexsort((other, kind, key)).astype(np.int32)
+    key, other, kind, times = key[order], other[order], kind[order], column("rt", order)
+    part, text = owner("rd")[order], column("rd", order)
+    del order
+    first, word = _runs(key)
+    pair_c = _trained(times, *_runs(key, kind, other))
+    learned, times = np.maximum(times, 0), np.abs(times).astype(np.int64)
+    ends = kind != RARE_STATE  # these end in the bucket's word, each occurrence of it once
+
+    def total(x):
+        return np.add.reduceat(x, first, dtype=np.int64) if len(x) else x.astype(np.int64)
+
+    c, a = total(np.where(ends, learned, 0)), total(np.where(ends, times, 0))
+    known, base = times * (ends & (c[word] > 0)), times * np.where(ends, np.log10(c[word] + SMOOTHING), 0.0)
+    p, cs = m.shares.of(c, a)[word], c[word]  # of the step's word, and of its state
+    p[~ends], at = m.p[other[~ends]], kind == RARE_WORD
+    cs[at] = m.c[other[at]]
     k = prior(np.maximum(cs, 1))
-    times = np.abs(times).astype(np.int64)
-    walk = times * np.where(cs > 0, np.log10((c + k * share) / (cs + k)), np.log10(share))
-    after_rare = _by_text(owner("rd")[order], column("rd", order), times * (cs > 0), times * np.log10(cs + SMOOTHING), walk)
-
-    zero = np.zeros(len(after_frequent[0]))
-    keys, known, base, walk = summed(np.append(after_frequent[0], after_rare[0]), np.append(zero, after_rare[1]),
-                                     np.append(zero, after_rare[2]), np.append(after_frequent[1], after_rare[3]))
-    return keys >> 32, (keys & 0xFFFFFFFF).astype(np.int32), known.astype(np.int64), base, walk
+    on = kind == BOTH_RARE
+    walk = times * np.where(on, 0.0, np.log10((pair_c + k * p) / (cs + k)))
+    of_rare = _by_text(part, text, known, base, walk)
+
+    onward = dict(zip(ONWARD, (other[on], pair_c[on], p[on], part[on], text[on], times[on])))
+    counted = (c > 0) & (a > total(np.where(ends, 0, times)))  # other occurrences come before words that are not sent
+    zero = np.zeros(len(of_sent[0]))
+    keys, known, base, walk = summed(np.append(of_sent[0], of_rare[0]), np.append(zero, of_rare[1]),
+                                     np.append(zero, of_rare[2]), np.append(of_sent[1], of_rare[3]))
+    back = keys >> 32, (keys & 0xFFFFFFFF).astype(np.int32), known.astype(np.int64), base, walk
+    return back, onward, dict(zip(COUNTED, (key[first][counted], c[counted])))
+
+
+def weigh_onward(table: pa.Table) -> pa.Table:
+    """For each slice what its texts gain from the bigrams that came to the bucket of their state."""
+    states, c = summed(*(unpacked(table[x], COUNTED[x]) for x in COUNTED))
+    s, pair_c, p, number, text, times = (unpacked(table[x], ONWARD[x]) for x in ONWARD)
+    cs = np.zeros(len(s), np.int64)
+    if len(states):
+        at = np.minimum(np.searchsorted(states, s), len(states) - 1)
+        cs = np.where(states[at] == s, c[at], 0)
+    k = prior(np.maximum(cs, 1))
+    walk = times * np.log10((pair_c + k * p) / (cs + k))
+    number, part = np.unique(number, return_inverse=True)
+    keys, walk = _by_text(part, text, walk)
+    cuts = np.searchsorted(keys >> 32, np.arange(len(number) + 1))
+    zero = np.zeros(len(keys))
+    values = ((keys & 0xFFFFFFFF), zero, zero, walk)
+    return pa.table([pa.array(number), *(packed(v.astype(t), cuts) for t, v in zip(BACK.values(), values))], ["__slice", *BACK])
 
 
 def score(docs: DataFrame, learn: Column, keys: dict[str, Column], text_col: str = "text") -> DataFrame:
@@ -388,9 +467,10 @@ def score(docs: DataFrame, learn: Column, keys: dict[str, Column], text_col: str
     counts = count_words(texts, buckets)
     n, v, ends = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0),
                             F.coalesce(F.sum(F.when(F.col("h") == int(END), F.col("c"))), F.lit(0))).first()
-    model = Model(*most_frequent(counts.filter(F.col("h") != int(END)), FREQUENT), n, v, ends)
+    words = counts.filter(F.col("h") != int(END))
+    model = Model(*most_frequent(words, SENT), ends, shares(words, n))
     model.pairs = count_top(texts, spark.sparkContext.broadcast(model), model.labels)
-    sent = spark.sparkContext.broadcast(model)  # of fixed size: FREQUENT words, (TOP + 1) ** 2 bigrams
+    sent = spark.sparkContext.broadcast(model)  # of fixed size: SENT words, (TOP + 1) ** 2 bigrams
     row = texts.drop("__text", "__learn").schema
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in row.fields)
     sums = ", ".join(f"__{k} {t}" for k, t in SUMS.items())
@@ -404,7 +484,7 @@ def score(docs: DataFrame, learn: Column, keys: dict[str, Column], text_col: str
                 own, left = walk_slice(m, x, learn, buckets)
                 rows, number, home = len(x.rows), (part << 33) + at, (part + at) % buckets
                 at += 1
-                some = np.flatnonzero(np.diff(left["fp"][1]) + np.diff(left["rp"][1]))
+                some = np.flatnonzero(np.diff(left["fp"][1]) + np.diff(left["rk"][1]))
                 n = rows + len(some)
                 bucket = np.append(np.full(rows, home), some).astype(np.int32)
                 columns = [pa.array(bucket), pa.array(np.full(n, number)),
@@ -418,20 +498,32 @@ def score(docs: DataFrame, learn: Column, keys: dict[str, Column], text_col: str
     walked = texts.mapInArrow(scan, f"__bucket int, __slice bigint, __text int, {kinds}, {sums}, " + ", ".join(f"{k} binary" for k in PARTS))
 
     def weigh(table):
-        """The rows of texts as they are, and for each slice what its texts gain from this bucket."""
+        """The rows of texts as they are, for each slice what its texts gain from this bucket, and a row for each bucket ahead."""
         is_text = pc.is_valid(table["__text"])
-        part, text, known, base, walk = weigh_bucket(table)
+        bucket, number = table["__bucket"][0].as_py(), table["__slice"].to_numpy()
+        (part, text, known, base, walk), onward, counted = weigh_bucket(sent.value, table)
         narrow = table.drop_columns(["__bucket", *PARTS])
         rows, back = narrow.filter(is_text), narrow.filter(pc.invert(is_text)).combine_chunks()
         places = np.flatnonzero(~is_text.to_numpy(zero_copy_only=False) if isinstance(is_text, pa.Array) else ~is_text.to_numpy())
         cuts = np.append(np.searchsorted(part, places), len(part))
         for (name, kind), values in zip(BACK.items(), (text, known, base, walk)):
             back = back.append_column(name, packed(values.astype(kind), cuts))
-            rows = rows.append_column(name, pa.nulls(len(rows), pa.binary()))
-        return pa.concat_tables([rows, back])
+        onward["on"] = number[onward["on"]]
+        ahead = bucket_of(onward["os"], buckets)
+        order = np.argsort(ahead, kind="stable")
+        some, first = np.unique(ahead[order], return_index=True)
+        cuts = np.append(first, len(order))
+        ahead = pa.table({"__ahead": some, **{x: packed(onward[x][order].astype(t), cuts) for x, t in ONWARD.items()}})
+        cuts = np.array([0, len(counted["ch"])])
+        counted = pa.table({"__ahead": np.array([bucket], np.int32), **{x: packed(counted[x], cuts) for x in COUNTED}}).slice(0, min(1, cuts[1]))
+        return pa.concat_tables([rows, back, ahead, counted], promote_options="default")
 
     met = materialize(walked.groupBy("__bucket").applyInArrow(
-        weigh, f"__slice bigint, __text int, {kinds}, {sums}, " + ", ".join(f"{k} binary" for k in BACK)), "weighed")
+        weigh, f"__slice bigint, __text int, {kinds}, {sums}, "
+        + ", ".join(f"{k} binary" for k in BACK) + ", __ahead int, " + ", ".join(f"{k} binary" for k in (*ONWARD, *COUNTED))), "weighed")
+    ahead = met.filter("__ahead is not null").select("__ahead", *ONWARD, *COUNTED).groupBy("__ahead").applyInArrow(
+        weigh_onward, "__slice bigint, " + ", ".join(f"{k} binary" for k in BACK))
+    met = met.filter("__ahead is null").drop("__ahead", *ONWARD, *COUNTED).unionByName(ahead, allowMissingColumns=True)
 
     def together(table):
         """The texts of a slice with all that its buckets gave."""

@@ -283,6 +283,27 @@ def test_lm_equals_plain_model(docs, doc_rows, monkeypatch, frequent, top, size)
     same_scores(got, doc_rows, plain_lm(train, [r[1] for r in doc_rows], frequent))
 
 
+@pytest.mark.parametrize("sent,top,size", [(0, 0, 1 << 20), (8, 3, 1 << 20), (12, 4, 64), (2, 1024, 300)])
+def test_lm_scores_do_not_depend_on_what_is_sent(docs, doc_rows, monkeypatch, sent, top, size):
+    """Words that are not broadcast keep their own counts, also next to each other."""
+    for name, value in (("SENT", sent), ("TOP", top), ("SLICE", size), ("HELD", 500)):
+        monkeypatch.setattr(lm, name, value)
+    learn = F.coalesce(F.col("doc_id") % 3 != 0, F.lit(False))
+    got = lm.score(docs, learn, {"doc_id": F.col("doc_id")}).collect()
+    train = [r[1] for r in doc_rows if r[0] is not None and r[0] % 3 != 0]
+    same_scores(got, doc_rows, plain_lm(train, [r[1] for r in doc_rows]))
+
+
+def test_lm_has_no_cap_on_words(spark):
+    """280,000 words, most of them once: seen in training or not, they don't have equal shares."""
+    r = random.Random(4)
+    order = [f"w{i}" for i in range(280_000) for _ in range(2 if i % 3 == 0 else 1)]
+    r.shuffle(order)
+    rows = [(i, " ".join(order[k:k + 500])) for i, k in enumerate(range(0, len(order), 500))]
+    got = lm.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") % 4 != 0, {"doc_id": F.col("doc_id")}).collect()
+    same_scores(got, rows, plain_lm([t for i, t in rows if i % 4], [t for _, t in rows]))
+
+
 def test_lm_query_has_no_cap_on_states(spark, tmp_path):
     r = random.Random(8)
     order = [f"w{i}" for i in range(3000)]  # each word has one follower
