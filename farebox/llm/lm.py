@@ -52,6 +52,8 @@ FREQUENT = None
 SLICE, BUCKET = 1 << 20, 1 << 24
 #: At least so many buckets.
 LEAST_BUCKETS = 64
+#: Bigrams or counts in a row that travels on: Spark reads thousands of rows at once.
+PIECE = 128
 #: A task hands on its word counts whenever it holds so many.
 HELD = 1 << 20
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint64)
@@ -498,7 +500,7 @@ def score(docs: DataFrame, learn: Column, keys: dict[str, Column], text_col: str
     walked = texts.mapInArrow(scan, f"__bucket int, __slice bigint, __text int, {kinds}, {sums}, " + ", ".join(f"{k} binary" for k in PARTS))
 
     def weigh(table):
-        """The rows of texts as they are, for each slice what its texts gain from this bucket, and a row for each bucket ahead."""
+        """The rows of texts as they are, for each slice what its texts gain from this bucket, and rows for the buckets ahead."""
         is_text = pc.is_valid(table["__text"])
         bucket, number = table["__bucket"][0].as_py(), table["__slice"].to_numpy()
         (part, text, known, base, walk), onward, counted = weigh_bucket(sent.value, table)
@@ -511,11 +513,13 @@ def score(docs: DataFrame, learn: Column, keys: dict[str, Column], text_col: str
         onward["on"] = number[onward["on"]]
         ahead = bucket_of(onward["os"], buckets)
         order = np.argsort(ahead, kind="stable")
-        some, first = np.unique(ahead[order], return_index=True)
-        cuts = np.append(first, len(order))
-        ahead = pa.table({"__ahead": some, **{x: packed(onward[x][order].astype(t), cuts) for x, t in ONWARD.items()}})
-        cuts = np.array([0, len(counted["ch"])])
-        counted = pa.table({"__ahead": np.array([bucket], np.int32), **{x: packed(counted[x], cuts) for x in COUNTED}}).slice(0, min(1, cuts[1]))
+        first, run = _runs(ahead[order])
+        starts = np.flatnonzero((np.arange(len(order)) - first[run]) % PIECE == 0)
+        cuts = np.append(starts, len(order))
+        ahead = pa.table({"__ahead": ahead[order][starts], **{x: packed(onward[x][order].astype(t), cuts) for x, t in ONWARD.items()}})
+        starts = np.arange(0, len(counted["ch"]), PIECE)
+        cuts = np.append(starts, len(counted["ch"]))
+        counted = pa.table({"__ahead": np.full(len(starts), bucket, np.int32), **{x: packed(counted[x], cuts) for x in COUNTED}})
         return pa.concat_tables([rows, back, ahead, counted], promote_options="default")
 
     met = materialize(walked.groupBy("__bucket").applyInArrow(

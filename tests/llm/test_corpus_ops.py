@@ -286,7 +286,7 @@ def test_lm_equals_plain_model(docs, doc_rows, monkeypatch, frequent, top, size)
 @pytest.mark.parametrize("sent,top,size", [(0, 0, 1 << 20), (8, 3, 1 << 20), (12, 4, 64), (2, 1024, 300)])
 def test_lm_scores_do_not_depend_on_what_is_sent(docs, doc_rows, monkeypatch, sent, top, size):
     """Words that are not broadcast keep their own counts, also next to each other."""
-    for name, value in (("SENT", sent), ("TOP", top), ("SLICE", size), ("HELD", 500)):
+    for name, value in (("SENT", sent), ("TOP", top), ("SLICE", size), ("HELD", 500), ("PIECE", 3)):
         monkeypatch.setattr(lm, name, value)
     learn = F.coalesce(F.col("doc_id") % 3 != 0, F.lit(False))
     got = lm.score(docs, learn, {"doc_id": F.col("doc_id")}).collect()
